@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from docketlake.llm import exact_dedup, jaccard_join
+from docketlake.llm import byte_bpe, exact_dedup, jaccard_join, quality, toxicity
 
 QUERIES = {
     "op1_exact_dedup": exact_dedup.op1_exact_dedup,
     "op2_ngram_jaccard_join": jaccard_join.op2_ngram_jaccard_join,
+    "op5_toxicity": toxicity.op5_toxicity,
+    "op7_byte_bpe": byte_bpe.op7_byte_bpe,
+    "op8_quality_classifier": quality.op8_quality_classifier,
 }
 
 ORACLE_SQL = {
