@@ -249,21 +249,25 @@ def encoder(ranks: str = RANKS) -> Encoder:
     return _LOADED[key]
 
 
-def encode(docs: DataFrame, ranks: str = RANKS) -> DataFrame:
+def encode(docs: DataFrame, ranks: str = RANKS, ends: bool = True) -> DataFrame:
     """``doc_id, ids, ends``: token ids of each whole text and the byte offset at which each token ends.
 
     A null text counts as empty; an empty text has no ids. Repeated rows are encoded each. Extra columns are ignored.
+    With ``ends`` false the offsets are left out.
     """
     ship(docs.sparkSession)
 
     def run(batches):
         for rows, data, offsets in text_chunks(batches):
-            ids, first, ends = encoder(ranks).encode(data, offsets)
-            ends = ends - np.repeat(offsets[:-1], np.diff(first))
+            ids, first, stops = encoder(ranks).encode(data, offsets)
             cuts = pa.array(first.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.ListArray.from_arrays(cuts, pa.array(ids.astype(np.int32))), pa.ListArray.from_arrays(cuts, pa.array(ends))], ["doc_id", "ids", "ends"])
+            columns = [rows.column(0), pa.ListArray.from_arrays(cuts, pa.array(ids.astype(np.int32)))]
+            if ends:
+                columns.append(pa.ListArray.from_arrays(cuts, pa.array(stops - np.repeat(offsets[:-1], np.diff(first)))))
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "ends"][: len(columns)])
 
-    return narrow(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, ids array<int>, ends array<long>")
+    schema = "doc_id long, ids array<int>" + ", ends array<long>" * ends
+    return narrow(docs, doc_id="long", text="string").mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, ranks: str = RANKS) -> DataFrame:
