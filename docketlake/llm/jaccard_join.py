@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import math
+import uuid
 from fractions import Fraction
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +20,9 @@ SIMILARITY = 0.8
 #: Children that a set gets at each level of a path, on average. Two sets of similarity 0.8 share 8/9 of them.
 BRANCHING = 2.0
 DEPTH = 2
-MAX_DEPTH = 5
+#: Oversize buckets split on to this depth, with less branching: there a set is in about as many buckets as before.
+MAX_DEPTH = 4
+FURTHER_BRANCHING = 1.2
 TARGET_RECALL = 0.99999
 #: Buckets up to this many sets are compared at once; a larger one splits on, and what is left goes in blocks.
 SMALL_BUCKET = 256
@@ -49,8 +53,12 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE_WORDS)
     if len(short):
         own = np.array([int(mix(np.array([sum((int(x) * (2 * i + 3) for i, x in enumerate(h[words.first[d] : words.first[d + 1]])), int(counts[d])) & (2**64 - 1)], dtype=np.uint64))[0]) for d in short], dtype=np.uint64)
         text, grams = np.r_[text, short], np.r_[grams, own]
-    order = np.lexsort((grams, text))
-    text, grams = text[order], grams[order]
+    if len(short):
+        order = np.argsort(text, kind="stable")
+        text, grams = text[order], grams[order]
+    edges = np.searchsorted(text, np.arange(len(counts) + 1)).tolist()
+    for a, b in zip(edges, edges[1:], strict=False):
+        grams[a:b].sort()
     if len(grams):
         new = np.r_[True, (text[1:] != text[:-1]) | (grams[1:] != grams[:-1])]
         text, grams = text[new], grams[new]
@@ -67,10 +75,12 @@ def _spread(first: np.ndarray, sets: np.ndarray) -> tuple[np.ndarray, np.ndarray
 def extend_paths(grams: np.ndarray, first: np.ndarray, sets: np.ndarray, paths: np.ndarray, branching: float) -> tuple[np.ndarray, np.ndarray]:
     """One level more: each path takes those tokens of its set whose hash, with the path, is below branching / size."""
     at, which = _spread(first, sets)
-    size = (first[sets + 1] - first[sets])[which]
+    share = branching / (first[sets + 1] - first[sets])
+    limit = (np.minimum(share, 1 - 2.0**-53) * 2.0**64).astype(np.uint64)
+    limit[share >= 1] = np.uint64(2**64 - 1)
     key = mix(paths)[which]
     token = mix(grams[at] ^ key)
-    chosen = token.astype(np.float64) < branching / size * 2.0**64
+    chosen = token <= limit[which]
     return sets[which[chosen]], mix(token[chosen] + key[chosen])
 
 
@@ -87,6 +97,11 @@ def chosen_paths(grams: np.ndarray, first: np.ndarray, runs: int, branching: flo
     return np.concatenate(out_sets), np.concatenate(out_paths)
 
 
+def _lows(sigs: list[bytes]) -> np.ndarray:
+    """The first 64 bits of signatures: what buckets hold. Sets that share them are told apart where sets are joined."""
+    return np.frombuffer(b"".join(s[:8] for s in sigs), dtype=">i8").astype("<i8")
+
+
 def _signatures(grams: np.ndarray, first: np.ndarray) -> list[bytes]:
     return [hashlib.blake2b(grams[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first[:-1], first[1:], strict=True)]
 
@@ -99,10 +114,9 @@ def _profiles(runs: int):
             order = np.argsort(sets, kind="stable")
             where = np.searchsorted(sets[order], np.arange(rows.num_rows + 1)).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(where), pa.array(paths[order].view(np.int64)))
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), pa.array(_signatures(grams, first), pa.binary()), pa.array(np.diff(first).astype(np.int64)), listed],
-                ["doc_id", "sig", "n", "paths"],
-            )
+            sigs = _signatures(grams, first)
+            columns = [rows.column(0), pa.array(sigs, pa.binary()), pa.array(_lows(sigs)), pa.array(np.diff(first).astype(np.int64)), listed]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sig", "low", "n", "paths"])
 
     return profile
 
@@ -112,18 +126,19 @@ def _sets_of(sieve):
         for _, data, offsets in text_chunks(batches):
             grams, first = shingle_sets(data, offsets)
             sigs = _signatures(grams, first)
-            low = np.frombuffer(b"".join(s[:8] for s in sigs), dtype=">i8").astype("<i8")
+            low = _lows(sigs)
             seen: dict[bytes, int] = {}
             for i in np.flatnonzero(sieve.value.maybe(low) & (np.diff(first) > 0)):
                 seen.setdefault(sigs[i], int(i))
             if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array([grams[first[i] : first[i + 1]].tobytes() for i in seen.values()], pa.binary())], ["sig", "grams"])
+                held = [grams[first[i] : first[i + 1]].tobytes() for i in seen.values()]
+                yield pa.RecordBatch.from_arrays([pa.array(low[list(seen.values())]), pa.array(list(seen), pa.binary()), pa.array(held, pa.binary())], ["low", "sig", "grams"])
 
     return sets
 
 
 def _children(batches):
-    """One level more for the rows of oversize buckets: ``path, sig, grams`` to ``path, sig``."""
+    """One level more for the rows of oversize buckets: ``path, low, grams`` to ``path, low``."""
     for batch in batches:
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
@@ -131,9 +146,9 @@ def _children(batches):
             first = np.r_[0, np.cumsum([len(x) // 8 for x in held])]
             grams = np.frombuffer(b"".join(held), dtype=np.uint64)
             paths = np.asarray(part.column(0)).view(np.uint64)
-            sets, more = extend_paths(grams, first, np.arange(len(held)), paths, BRANCHING)
+            sets, more = extend_paths(grams, first, np.arange(len(held)), paths, FURTHER_BRANCHING)
             more = (more & np.uint64(~31 & (2**64 - 1))) | (paths[sets] & np.uint64(31))
-            yield pa.RecordBatch.from_arrays([pa.array(more.view(np.int64)), part.column(1).take(pa.array(sets))], ["path", "sig"])
+            yield pa.RecordBatch.from_arrays([pa.array(more.view(np.int64)), part.column(1).take(pa.array(sets))], ["path", "low"])
 
 
 def intersections(held: list[np.ndarray], slice_columns: int = 4096) -> np.ndarray:
@@ -160,13 +175,12 @@ def intersections(held: list[np.ndarray], slice_columns: int = 4096) -> np.ndarr
 
 
 def _linked(held: list[np.ndarray], side: np.ndarray, cross: bool, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs a < b of sets at or above the threshold; if ``cross``, only pairs of different sides."""
+    """Index pairs a < b of sets at or above the threshold: of different sides if ``cross``, else not both of side -1."""
     sizes = np.array([len(x) for x in held], dtype=np.float64)
     shared = intersections(held)
     union = sizes[:, None] + sizes[None, :] - shared
     similar = np.triu(shared * threshold.denominator >= union * threshold.numerator, 1)
-    if cross:
-        similar &= side[:, None] != side[None, :]
+    similar &= (side[:, None] != side[None, :]) if cross else np.maximum(side[:, None], side[None, :]) >= 0
     return np.nonzero(similar)
 
 
@@ -221,15 +235,23 @@ def _compare(threshold: Fraction, count_links: bool):
 
 
 def _compared(members: DataFrame, sets: DataFrame, threshold: Fraction, count_links: bool) -> DataFrame:
-    """``members``: ``g, size, sig, w``. A group above the small size is compared block by block, each pair of blocks apart."""
-    blocks = F.when(F.col("size") <= SMALL_BUCKET, F.lit(1)).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int")
-    rows = members.select("g", "sig", "w", blocks.alias("blocks")).withColumn("b", F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("g", F.least("b", "other").alias("i"), F.greatest("b", "other").alias("j"), "b", "sig", "w")
+    """``members``: ``g, size, low, sig, w, way, minor``; a null sig stands for every set with these first bits.
+
+    By ``way``, a group is compared ``whole``; in ``blocks``, each pair of blocks apart; or ``thin``: its minor sets
+    with each block of the others, which are known to belong together.
+    """
+    blocks = F.when(F.col("way") == "whole", F.lit(1)).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int")
+    rows = members.select("g", "low", F.col("sig").alias("only"), "w", "way", "minor", blocks.alias("blocks")).withColumn("h", F.pmod(F.xxhash64("low"), F.col("blocks")).cast("int"))
+    apart, thin = F.col("way") == "blocks", F.col("way") == "thin"
+    everywhere = apart | (thin & F.col("minor"))
+    rows = rows.withColumn("other", F.explode(F.when(everywhere, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("h"))))
+    i, j = (F.when(apart, pick("h", "other")).otherwise(F.col("other")) for pick in (F.least, F.greatest))
+    side = F.when(apart, F.col("h")).when(thin & ~F.col("minor"), F.lit(-1)).otherwise(F.lit(0))
+    rows = rows.select("g", i.alias("i"), j.alias("j"), side.alias("b"), "low", "only", "w")
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = rows.join(sets, "sig").select("g", "i", "j", "b", "sig", "w", "grams")
+    whole = rows.join(sets, "low").where("only is null or only = sig").select("g", "i", "j", "b", "sig", "w", "grams")
     out = "sig binary, links long" if count_links else "a binary, b binary"
-    return whole.repartition(4 * parts, "g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(_compare(threshold, count_links), out)
+    return whole.repartition(parts, "g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(_compare(threshold, count_links), out)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -247,6 +269,10 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _low(column: str):
+    return F.conv(F.hex(F.substring(column, 1, 8)), 16, -10).cast("long")
+
+
 def similar_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET_RECALL) -> DataFrame:
     """One row for each document: ``doc_id, class_id, n_links``.
 
@@ -259,56 +285,68 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: floa
     Documents with equal sets are one set (128-bit signature of the sorted shingle hashes). Each run gives a set
     some paths: at each level a path takes the tokens whose hash, together with the path so far, is below
     branching / size. Sets on one path form a bucket. Small buckets are compared whole. Larger ones split on by
-    more levels; if that does not make them small, they are compared in blocks. The first run joins most of what is
-    similar; of later runs only buckets that hold sets of different components are looked at. Last, links are
+    more levels; if that does not make them small, they are compared in blocks. The sets stand in a table of the
+    warehouse, bucketed by key, while the function runs. One bucket of the first
+    run for each set joins most of what is similar; of all others only buckets that hold sets of different components
+    are looked at. Last, links are
     counted inside each component, where no pair can be missed.
     """
     ship(docs.sparkSession)
     spark = docs.sparkSession
     threshold = Fraction(similarity).limit_denominator(1000)
     runs = min(32, runs_for(recall, similarity))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     plain = narrow(docs, doc_id="long", text="string")
-    profile = settled(plain.mapInArrow(_profiles(runs), "doc_id long, sig binary, n long, paths array<long>"))
-    weights = profile.groupBy("sig").agg(F.count(F.lit(1)).alias("w"), F.min("doc_id").alias("least"), F.max("n").alias("n"))
-    rows = settled(profile.select(F.explode("paths").alias("path"), "sig").distinct())
-    several = rows.groupBy("path").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    met = settled(rows.join(several, "path"))
-    low = F.conv(F.hex(F.substring("sig", 1, 8)), 16, -10).cast("long")
-    candidates = met.select(low.alias("low")).distinct()
-    sieve = spark.sparkContext.broadcast(build_sieve(candidates, "low"))
-    sets = settled(plain.select("text").mapInArrow(_sets_of(sieve), "sig binary, grams binary").groupBy("sig").agg(F.first("grams").alias("grams")))
+    profile = settled(plain.mapInArrow(_profiles(runs), "doc_id long, sig binary, low long, n long, paths array<long>"))
+    weights = profile.groupBy("sig").agg(F.count(F.lit(1)).alias("w"), F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("low").alias("low"))
+    rows = profile.select(F.explode("paths").alias("path"), "low")
+    several = rows.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path")
+    met = settled(rows.join(several, "path").distinct())
+    sieve = spark.sparkContext.broadcast(build_sieve(met.select("low").distinct(), "low"))
+    found = plain.select("text").mapInArrow(_sets_of(sieve), "low long, sig binary, grams binary")
+    # Dealt out by key once: the joins below move the rows of buckets, not the sets.
+    name = f"docketlake_sets_{uuid.uuid4().hex}"
+    dealt = found.groupBy("low", "sig").agg(F.first("grams").alias("grams")).repartition(parts, "low")
+    dealt.write.bucketBy(parts, "low").sortBy("low").saveAsTable(name)
+    sets = spark.table(name)
 
     def edges_of(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-        """Spanning links of all buckets ``path, sig``, those of one component left out."""
-        found = None
+        """Spanning links of all buckets ``path, low``, those of one component left out."""
+        found = []
         for depth in range(DEPTH, MAX_DEPTH + 1):
-            known = F.xxhash64("sig")
-            held = buckets
+            held = buckets.withColumn("known", F.xxhash64("low"))
             if labels is not None:
-                held = held.join(labels.withColumnRenamed("node", "sig"), "sig", "left")
-                known = F.xxhash64(F.coalesce("label", "sig"))
-            held = held.withColumn("known", known)
-            mixed = held.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("known").alias("p"), F.max("known").alias("q")).where("size > 1 and p <> q").select("path", "size")
-            held = settled(buckets.join(mixed, "path").select(F.col("path").alias("g"), "size", "sig", F.lit(1).alias("w")))
-            large = held.where(F.col("size") > SMALL_BUCKET)
-            done = held if depth == MAX_DEPTH else held.where(F.col("size") <= SMALL_BUCKET)
-            part = settled(_compared(done, sets, threshold, False))
-            found = part if found is None else found.union(part)
-            if depth == MAX_DEPTH or not large.limit(1).count():
-                return found.distinct()
-            buckets = settled(large.select(F.col("g").alias("path"), "sig").join(sets, "sig").select("path", "sig", "grams").mapInArrow(_children, "path long, sig binary").distinct())
-
-    run = F.col("path").bitwiseAND(F.lit(31))
-    edges = edges_of(met.where(run == 0).select("path", "sig"), None)
-    labels = components(edges)
-    more = edges_of(met.where(run > 0).select("path", "sig"), labels)
+                held = buckets.join(labels.select(_low("node").alias("low"), "label"), "low", "left")
+                held = held.select("path", "low", F.xxhash64(F.coalesce(_low("label"), "low")).alias("known"))
+            shares = held.groupBy("path", "known").agg(F.count(F.lit(1)).alias("c"))
+            mixed = shares.groupBy("path").agg(F.sum("c").alias("size"), F.max(F.struct("c", "known")).alias("top"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+            few = (F.col("size") - F.col("top.c")) * F.ceil(F.col("size") / BLOCK) <= 4 * F.col("size")
+            way = F.when(F.col("size") <= SMALL_BUCKET, "whole").when(few, "thin").otherwise("blocks" if depth == MAX_DEPTH else "deeper")
+            mixed = mixed.select("path", "size", F.col("top.known").alias("top"), way.alias("way"))
+            held = settled(held.join(mixed, "path").select(F.col("path").alias("g"), "size", "low", F.lit(None).cast("binary").alias("sig"), F.lit(1).alias("w"), "way", (F.col("known") != F.col("top")).alias("minor")))
+            # Small buckets with the same members are compared once.
+            once = held.where("way = 'whole'").groupBy("g").agg(F.sort_array(F.collect_list("low")).alias("m")).select("m").distinct()
+            once = once.select(F.xxhash64("m").alias("g"), F.size("m").cast("long").alias("size"), F.explode("m").alias("low"), F.lit(None).cast("binary").alias("sig"), F.lit(1).alias("w"), F.lit("whole").alias("way"), F.lit(True).alias("minor"))
+            found.append(settled(_compared(once.union(held.where("way in ('thin', 'blocks')")), sets, threshold, False).distinct()))
+            deeper = held.where("way = 'deeper'")
+            if depth == MAX_DEPTH or not deeper.limit(1).count():
+                break
+            deeper = deeper.select(F.col("g").alias("path"), "low").join(sets, "low").select("path", "low", "grams")
+            buckets = settled(deeper.mapInArrow(_children, "path long, low long").distinct())
+        return reduce(DataFrame.union, found).distinct()
+
+    first_run = met.where(F.col("path").bitwiseAND(F.lit(31)) == 0)
+    labels = components(edges_of(first_run.groupBy("low").agg(F.min("path").alias("path")).select("path", "low"), None))
+    more = edges_of(met.select("path", "low"), labels)
     labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b").union(more))
 
     members = labels.join(weights.withColumnRenamed("sig", "node"), "node")
     sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.min("least").alias("class_id"))
-    members = settled(members.join(sizes, "label").select("node", "label", "size", "class_id", "w"))
-    grouped = members.select(F.xxhash64("label").alias("g"), "size", F.col("node").alias("sig"), "w")
-    links = _compared(grouped, sets, threshold, True).groupBy("sig").agg(F.sum("links").alias("links"))
+    members = settled(members.join(sizes, "label").select("node", "label", "size", "class_id", "low", "w"))
+    way = F.when(F.col("size") <= SMALL_BUCKET, "whole").otherwise("blocks")
+    grouped = members.select(F.xxhash64("label").alias("g"), "size", "low", F.col("node").alias("sig"), "w", way.alias("way"), F.lit(True).alias("minor"))
+    links = settled(_compared(grouped, sets, threshold, True).groupBy("sig").agg(F.sum("links").alias("links")))
+    spark.sql(f"DROP TABLE {name}")
     of_sig = weights.join(members.select(F.col("node").alias("sig"), "class_id"), "sig", "left").join(links, "sig", "left")
     of_sig = of_sig.select("sig", F.coalesce("class_id", "least").alias("class_id"), (F.col("w") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"))
     empty = F.col("n") == 0
