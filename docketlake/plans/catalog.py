@@ -1,6 +1,8 @@
-"""The registry of queries over the reference tables, each with the SQL that says the same."""
+"""The registry of queries over the reference tables, each with the SQL that says the same where SQL can."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from docketlake.plans import records, texts, web
+
+QUERIES = records.QUERIES | texts.QUERIES | web.QUERIES
+ORACLE_SQL = records.ORACLE_SQL | texts.ORACLE_SQL | web.ORACLE_SQL
