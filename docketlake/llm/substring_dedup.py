@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import Words, build_sieve, settled, ship, table, text_chunks, words_of
+from docketlake.llm.common import Words, build_sieve, settled, ship, string_buffers, table, text_chunks, words_of
 
 WINDOW_WORDS = 13
 #: A window's anchor is the least hash among its runs of so many words.
@@ -18,10 +18,10 @@ ANCHOR_WORDS = 5
 ANCHOR_SIEVE_BITS = 1 << 25
 ROW_SIEVE_BITS = 1 << 24
 #: From so many documents on, an anchor's segments are dealt out over so many salts.
-SALTS = ((512, 16), (16_384, 256), (1_048_576, 8192))
+SALTS = ((4096, 16), (65_536, 256), (1_048_576, 4096))
 SALT_SIEVE_BITS = 1 << 20
 #: Segments that one automaton is compiled for and streamed over.
-SHARD_SEGMENTS = 4096
+SHARD_SEGMENTS = 2048
 NO_ID = (1 << 63) - 1
 
 SEGMENT = "anchor long, salt int, kind int, dkey long, text_hash long, start int, segment binary"
@@ -78,19 +78,21 @@ def _emit_anchors(window: int):
     return run
 
 
-def _emit_segments(window: int, sieve, tiers):
+def _emit_segments(window: int, sieve, tiers, salted_only: bool = False):
+    counts = tuple(count for _, count in SALTS)
+
     def run(batches):
         for rows, data, offsets in text_chunks(batches):
             words = words_of(data, offsets)
             anchor, head, tail = anchors_of(words, window)
-            hit = sieve.value.maybe(anchor)
+            hit = tiers[0].value.maybe(anchor) if salted_only else sieve.value.maybe(anchor)
             anchor, head, tail = anchor[hit], head[hit], tail[hit]
             if not len(anchor):
                 continue
             text = np.searchsorted(words.first, head, side="right") - 1
             dkey, text_hash = np.asarray(rows.column(2))[text], np.asarray(rows.column(3))[text]
             salts = np.ones(len(anchor), dtype=np.int64)
-            for (_, count), tier in zip(SALTS, tiers, strict=True):
+            for count, tier in zip(counts, tiers, strict=True):
                 salts[tier.value.maybe(anchor)] = count
             salt = np.where(salts > 1, ((text_hash ^ (text_hash >> 29)) & 0x7FFFFFFF) % salts, -1)
             flat, begin = normalised(words)
@@ -145,74 +147,89 @@ def _locate(window: int):
     """Compiles automata of confirmed phrases and streams the segments of the same anchors through them.
 
     Rows come sorted by anchor and salt, phrases before segments. Segments of salted anchors rely on the phrases that
-    come with them; the others' phrases are confirmed here, where all segments of an anchor meet.
+    come with them. Elsewhere all segments of an anchor meet here: windows whose hash is that of two documents are
+    candidates, the text of the first document's becomes a phrase, and a segment counts only where the automaton finds
+    the phrase in it.
     """
 
-    def search(phrases: dict[bytes, int], segments: list[tuple]) -> list[tuple]:
-        if not phrases:
-            return []
-        automaton = ahocorasick.Automaton()
-        for phrase, first in phrases.items():
-            automaton.add_word(" " + phrase.decode("latin-1") + " ", (first, len(phrase) + 1))
-        automaton.make_automaton()
-        out = []
-        for dkey, text_hash, start, segment in segments:
-            word = None
-            low = high = -1
-            for end, (first, length) in automaton.iter(" " + segment.decode("latin-1") + " "):
-                if first >= dkey:
-                    continue
-                if word is None:
-                    word = {c: i for i, c in enumerate(_cuts(segment))}
-                at = start + word[end - length]
-                if at <= high:
-                    high = at + window
-                else:
-                    if high > 0:
-                        out.append((dkey, text_hash, low, high))
-                    low, high = at, at + window
-            if high > 0:
-                out.append((dkey, text_hash, low, high))
-        return out
+    def shard(table: pa.Table):
+        """All rows of some anchors: confirm, compile, search."""
+        salt, kind, dkey, text_hash, start = (np.asarray(table.column(c).combine_chunks()) for c in ("salt", "kind", "dkey", "text_hash", "start"))
+        data, offsets = string_buffers(table.column("segment"))
+        raw = data.tobytes()
+        words = words_of(data, offsets)
+        phrases = {raw[offsets[i] : offsets[i + 1]]: int(dkey[i]) for i in np.flatnonzero(kind == 0)}
+        n = np.where((kind == 1) & (salt < 0), np.maximum(words.counts - window + 1, 0), 0)
+        row = np.repeat(np.arange(len(n)), n)
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(words.first[:-1], n)
+        search = (kind == 1) & (salt >= 0)
+        if len(at):
+            order = np.argsort(h := words.gram_hashes(window)[at], kind="stable")
+            h, row, at = h[order], row[order], at[order]
+            heads = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+            owner = dkey[row]
+            low, high = np.minimum.reduceat(owner, heads), np.maximum.reduceat(owner, heads)
+            size = np.diff(np.r_[heads, len(h)])
+            search[row[np.repeat(low, size) < owner]] = True
+            first_of = np.flatnonzero(owner == np.repeat(low, size))
+            group = np.searchsorted(heads, first_of, side="right") - 1
+            group, one = np.unique(group, return_index=True)
+            for g in np.flatnonzero((low < high)[group]):
+                i = at[first_of[one[g]]]
+                phrases[raw[words.start[i] : words.end[i + window - 1]]] = int(low[group[g]])
+        out: list[tuple] = []
+        if phrases:
+            automaton = ahocorasick.Automaton()
+            for phrase, first in phrases.items():
+                automaton.add_word(" " + phrase.decode("latin-1") + " ", (first, len(phrase) + 1))
+            automaton.make_automaton()
+            for i in np.flatnonzero(search).tolist():
+                text = raw[offsets[i] : offsets[i + 1]].decode("latin-1")
+                own, word, low_word, high_word = int(dkey[i]), None, -1, -1
+                for end, (first, length) in automaton.iter(f" {text} "):
+                    if first >= own:
+                        continue
+                    if word is None:
+                        a, b = words.first[i], words.first[i + 1]
+                        word = {c: k for k, c in enumerate((words.start[a:b] - offsets[i]).tolist())}
+                    here = word[end - length]
+                    if here > high_word and high_word >= 0:
+                        out.append((own, int(text_hash[i]), int(start[i]) + low_word, int(start[i]) + high_word))
+                        low_word = here
+                    elif high_word < 0:
+                        low_word = here
+                    high_word = here + window
+                if high_word >= 0:
+                    out.append((own, int(text_hash[i]), int(start[i]) + low_word, int(start[i]) + high_word))
+        columns = zip(*out, strict=True) if out else ((), (), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["dkey", "text_hash", "low", "high"])
 
     def run(batches):
-        phrases, segments, group, key = {}, [], [], None
-
-        def close_group():
-            """Confirms the windows of an unsalted anchor's segments: those of two documents or more."""
-            if group:
-                seen: dict[bytes, list[int]] = {}
-                for dkey, _, _, segment in group:
-                    _note_windows(segment, dkey, window, seen)
-                phrases.update({p: low for p, (low, high) in seen.items() if low < high})
-                segments.extend(group)
-                group.clear()
-
-        def flush():
-            found = search(phrases, segments)
-            phrases.clear()
-            segments.clear()
-            return pa.RecordBatch.from_arrays([pa.array([r[i] for r in found], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.int32(), pa.int32()))], ["dkey", "text_hash", "low", "high"])
-
+        held: list[pa.RecordBatch] = []
+        rows = 0
         for batch in batches:
-            for anchor, salt, kind, dkey, text_hash, start, segment in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (anchor, salt) != key:
-                    close_group()
-                    if len(segments) >= SHARD_SEGMENTS:
-                        yield flush()
-                    key = (anchor, salt)
-                if kind == 0:
-                    phrases[segment] = dkey
-                elif salt >= 0:
-                    segments.append((dkey, text_hash, start, segment))
-                    if len(segments) >= 4 * SHARD_SEGMENTS:
-                        own = dict(phrases)
-                        yield flush()
-                        phrases.update(own)
-                else:
-                    group.append((dkey, text_hash, start, segment))
-        close_group()
-        yield flush()
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            rows += batch.num_rows
+            if rows < SHARD_SEGMENTS:
+                continue
+            table = pa.Table.from_batches(held)
+            anchor, salt = np.asarray(table.column("anchor").combine_chunks()), np.asarray(table.column("salt").combine_chunks())
+            cuts = np.flatnonzero((anchor[1:] != anchor[:-1]) | (salt[1:] != salt[:-1])) + 1
+            done = 0
+            while len(cuts) and cuts[-1] > done:
+                to = int(cuts[min(np.searchsorted(cuts, done + SHARD_SEGMENTS), len(cuts) - 1)])
+                yield shard(table.slice(done, to - done))
+                done = to
+            if not done and salt[-1] >= 0 and rows >= 4 * SHARD_SEGMENTS:
+                # A salted anchor needs no more than its phrases to go on.
+                yield shard(table)
+                table, done = table.filter(pa.array(np.asarray(table.column("kind").combine_chunks()) == 0)), 0
+            held = table.slice(done).combine_chunks().to_batches()
+            rows = sum(b.num_rows for b in held)
+        if held:
+            yield shard(pa.Table.from_batches(held))
 
     return run
 
@@ -226,16 +243,19 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     recurring = settled(counted.where("low < high").select("anchor", "n"))
     sieve = context.broadcast(build_sieve(recurring, "anchor", ANCHOR_SIEVE_BITS))
     tiers = [context.broadcast(build_sieve(recurring.where(F.col("n") >= least), "anchor", SALT_SIEVE_BITS)) for least, _ in SALTS]
-    segments = settled(plain.mapInArrow(_emit_segments(window, sieve, tiers), SEGMENT))
-
-    spread = segments.where("salt >= 0").mapInArrow(_spread_phrases(window), "anchor long, phrase binary, low long, high long")
+    segments = plain.mapInArrow(_emit_segments(window, sieve, tiers), SEGMENT)
+    # Made again for the few salted anchors: that costs less than to keep all segments.
+    emit, note = _emit_segments(window, sieve, tiers, True), _spread_phrases(window)
+    spread = plain.mapInArrow(lambda batches: note(emit(batches)), "anchor long, phrase binary, low long, high long")
     spread = spread.groupBy("anchor", "phrase").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
 
+    counts = tuple(count for _, count in SALTS)
+
     def salted(batches):
         for batch in batches:
             anchor = np.asarray(batch.column(0)).astype(np.int64)
             salts = np.ones(len(anchor), dtype=np.int64)
-            for (_, count), tier in zip(SALTS, tiers, strict=True):
+            for count, tier in zip(counts, tiers, strict=True):
                 salts[tier.value.maybe(anchor)] = count
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salts)], ["anchor", "phrase", "low", "salts"])
 
@@ -259,7 +279,8 @@ def _digest(words: Words, gone: list[list] | None) -> tuple[list[int], list[int]
         if stay.all():
             kept = raw[begin[a] : begin[b] - 1] if b > a else b""
         else:
-            kept = b" ".join(raw[begin[a + i] : begin[a + i + 1] - 1] for i in np.flatnonzero(stay))
+            edges = np.flatnonzero(np.diff(np.r_[False, stay, False].astype(np.int8))) + a
+            kept = b" ".join(raw[begin[i] : begin[j] - 1] for i, j in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
         removed.append(b - a - int(stay.sum()))
         shas.append(hashlib.sha256(kept).hexdigest())
     return counts, removed, shas
@@ -282,8 +303,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     ignored.
 
     A window's anchor, the least hash of its five-word runs, brings equal windows together. Anchors of one document
-    only are out. Segments of the others meet by anchor; windows of two documents are confirmed word by word and
-    compiled into automata, through which the segments of all documents are streamed. Anchors of very many documents
+    only are out. Segments of the others meet by anchor; windows of two documents are compiled into automata, through
+    which the segments of all documents are streamed, so that every removal rests on equal text. Anchors of very many documents
     are dealt out by salt: their phrases are confirmed by a pre-aggregated minimum and sent to each salt.
     """
     plain = _plain(docs)
