@@ -10,6 +10,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 _SHIPPED: set[str] = set()
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -28,8 +29,14 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 
 
 def ship(spark: SparkSession) -> None:
-    """Makes this package importable in the executors' Python workers, once for each application."""
+    """Makes this package importable in the executors' Python workers, once for each application.
+
+    Arrow batches of whole texts are held to a thousand rows, unless the session says otherwise: a worker has a few
+    copies of a batch in memory.
+    """
     context = spark.sparkContext
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, "1000")
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parent
