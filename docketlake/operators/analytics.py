@@ -26,13 +26,14 @@ def month_spine(df: DataFrame) -> DataFrame:
 def monthly_counts(df: DataFrame, dimensions: Sequence[str] = ()) -> DataFrame:
     """AG-3..5, J-10, J-11: counts by month and the dimensions; months without rows count 0.
 
-    Only combinations of dimensions that occur get a series.
+    Only combinations of dimensions that occur get a series. Each is exploded into the months by itself, so that the
+    grid needs no join.
     """
     counts = df.groupBy(*dimensions, "month").agg(F.count(F.lit(1)).alias("n"))
-    months = F.broadcast(month_spine(df))
     if not dimensions:
-        return months.join(counts, "month", "left").select("month", F.coalesce("n", F.lit(0)).alias("n"))
-    grid = counts.select(*dimensions).distinct().crossJoin(months)
+        return month_spine(df).join(counts, "month", "left").select("month", F.coalesce("n", F.lit(0)).alias("n"))
+    first, last = df.agg(F.min("month")).scalar(), df.agg(F.max("month")).scalar()
+    grid = counts.select(*dimensions).distinct().select(*dimensions, F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("month"))
     same = [F.col(f"g.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*dimensions, "month")]
     joined = grid.alias("g").join(counts.alias("c"), on=_all(same), how="left")
     return joined.select(*[F.col(f"g.{c}") for c in (*dimensions, "month")], F.coalesce("n", F.lit(0)).alias("n"))
@@ -93,8 +94,7 @@ def with_locality_rate(localities: DataFrame) -> DataFrame:
 
 def with_scale(df: DataFrame, column: str, low: float, high: float, name: str) -> DataFrame:
     """AG-10, M-3: a value's place between 0 and the greatest one, as ``low`` to ``high``."""
-    greatest = df.agg(F.max(column).alias("_greatest"))
-    return df.crossJoin(F.broadcast(greatest)).withColumn(name, scaled(F.col(column), F.col("_greatest"), low, high)).drop("_greatest")
+    return df.withColumn(name, scaled(F.col(column), df.agg(F.max(column)).scalar(), low, high))
 
 
 def mean_days(df: DataFrame, start: str, end: str) -> DataFrame:
@@ -102,4 +102,32 @@ def mean_days(df: DataFrame, start: str, end: str) -> DataFrame:
     dated = with_month(df, start)
     spans = dated.withColumn("_days", days_between(F.col(start), F.col(end))).where("_days >= 0")
     means = spans.groupBy("month").agg(F.avg("_days").alias("avg_processing_days"), F.count(F.lit(1)).alias("n"))
-    return F.broadcast(month_spine(dated)).join(means, "month", "left").select("month", "avg_processing_days", F.coalesce("n", F.lit(0)).alias("n"))
+    return month_spine(dated).join(means, "month", "left").select("month", "avg_processing_days", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def unparsed_counts(df: DataFrame, text: str, parsed: str) -> DataFrame:
+    """AG-11: rows, rows without a date, and those whose text is no date."""
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(parsed).isNull()).alias("without_date"),
+        F.count_if(F.col(parsed).isNull() & F.col(text).isNotNull()).alias("unparsed"),
+    )
+
+
+def panel_index(rank: Column, columns: int = 3) -> Column:
+    """WN-6: row and column of the rank-th panel, from rank 1 on."""
+    at = rank - 1
+    return F.struct(F.floor(at / columns).cast("long").alias("row"), F.pmod(at, F.lit(columns)).cast("long").alias("column"))
+
+
+def month_ticks(months: DataFrame, most: int = 15) -> DataFrame:
+    """SL-9, D-7: about ``most`` of the months of a spine, evenly, with their labels."""
+    n = months.agg(F.count(F.lit(1))).scalar()
+    first = months.agg(F.min("month")).scalar()
+    at = F.round(F.months_between("month", first)).cast("long")
+    return months.where(F.pmod(at, F.greatest(F.floor(n / most), F.lit(1))) == 0).select("month", F.date_format("month", "MMM yy").alias("label"))
+
+
+def map_aspect(latitude: float = 47.8) -> Column:
+    """M-5: how much longer a degree of latitude is than one of longitude."""
+    return 1 / F.cos(F.radians(F.lit(latitude)))

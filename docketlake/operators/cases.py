@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.functions.html import DEFENDANT_ROLES, PLAINTIFF_ROLES
-from docketlake.functions.text import blank, contains_any, inline, key_of, labelled_entry, safe_file_stem, strip
+from docketlake.functions.text import blank, contains_any, inline, key_of, labelled_entry, safe_file_stem, strip, without_marker
 from docketlake.operators.relational import first_per_key
 
 
@@ -49,3 +49,28 @@ def with_texts(cases: DataFrame, texts: DataFrame, link: str, number: str, order
     has = F.col("_text").isNotNull()
     rows = rows.withColumn("opinion_text", F.when(has, inline(F.col("_text"), F.col("_path"))).otherwise(F.lit("")))
     return rows.withColumn("opinion_text_file", F.when(has, F.col("_path")).otherwise(F.lit(""))).drop("_url", "_text", "_link", "_path")
+
+
+def opinion_jobs(rows: DataFrame, files: DataFrame, path: str, cell: str) -> DataFrame:
+    """J-12, S-17: the rows with ``opinion_id`` and ``body``: the file's text if it is there, else the cell's.
+
+    ``files``: ``path, text``, a row for each file. The id is that of the path, or of the cell's first 500 characters
+    without a truncation marker; rows with neither have nulls.
+    """
+    known = files.select(F.col("path").alias("_path"), F.col("text").alias("_text"))
+    joined = rows.join(known, strip(F.col(path)) == F.col("_path"), "left")
+    bare = F.when(~blank(F.col(cell)), without_marker(F.col(cell)))
+    source = F.coalesce(F.col("_path"), F.substring(bare, 1, 500))
+    body = F.when(F.col("_path").isNotNull(), F.col("_text")).otherwise(bare)
+    return joined.withColumn("opinion_id", key_of(source)).withColumn("body", body).drop("_path", "_text")
+
+
+def completion_counts(rows: DataFrame, text: str, complete: str) -> DataFrame:
+    """AG-18, AG-21: rows, rows with a text, distinct texts, rows that are complete."""
+    filled = F.coalesce(F.length(text) > 0, F.lit(False))
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(filled).alias("with_text"),
+        F.countDistinct(F.when(filled, F.sha1(text))).alias("distinct_texts"),
+        F.count_if(F.coalesce(complete, F.lit(False))).alias("complete"),
+    )

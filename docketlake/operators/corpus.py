@@ -38,9 +38,17 @@ def unique_paragraphs(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 def paragraph_stats(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
     """AG-13: documents, lines, paragraph occurrences, distinct paragraphs, characters with and without repeats."""
-    whole = lines.agg(F.countDistinct(doc).alias("documents"), F.count(F.lit(1)).alias("lines"), F.count("k").alias("occurrences"), F.coalesce(F.sum(F.length("norm")), F.lit(0)).alias("chars"))
-    once = lines.where("k is not null").groupBy("k").agg(F.min(F.length("norm")).alias("n")).agg(F.count(F.lit(1)).alias("unique_paragraphs"), F.coalesce(F.sum("n"), F.lit(0)).alias("unique_chars"))
-    return whole.crossJoin(F.broadcast(once))
+    once = lines.where("k is not null").groupBy("k").agg(F.min(F.length("norm")).alias("n"))
+    return lines.agg(
+        F.countDistinct(doc).alias("documents"),
+        F.count(F.lit(1)).alias("lines"),
+        F.count("k").alias("occurrences"),
+        F.coalesce(F.sum(F.length("norm")), F.lit(0)).alias("chars"),
+    ).select(
+        "*",
+        once.agg(F.count(F.lit(1))).scalar().alias("unique_paragraphs"),
+        once.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar().alias("unique_chars"),
+    )
 
 
 def keys_of_documents(lines: DataFrame, doc: str = "doc_id") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.functions.text import CYRILLIC, looks_untranslated, needs_translation
-from docketlake.operators.corpus import DELIMITER, MAX_CHARS, SENTINEL, pack_batches, sentence_pieces
+from docketlake.operators.corpus import DELIMITER, MAX_CHARS, SENTINEL, pack_batches, paragraph_chunks, sentence_pieces
 from docketlake.session import settled, ship
 
 #: Text in, text out; raises or returns nothing on failure. It must be picklable: it runs on the executors.
@@ -50,6 +50,13 @@ def translate_batch(translator: Translator, paragraphs: Sequence[str], limit: in
     return [translate_paragraph(translator, p, limit) for p in paragraphs]
 
 
+def translate_document(translator: Translator, text: str, limit: int = MAX_CHARS) -> tuple[str, bool]:
+    """TR-7: a whole text chunk by chunk; a chunk that fails stays as it is, and the text does not count as done."""
+    chunks = paragraph_chunks(text, limit)
+    answers = [attempt(translator, c) for c in chunks]
+    return "\n".join(a if a is not None else c for a, c in zip(answers, chunks, strict=True)), None not in answers
+
+
 def check_translator(translator: Translator, sample: str = "тест") -> None:
     """TR-6: fails before any work if the translator does not answer."""
     if attempt(translator, sample) is None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.functions.dates import day_text, pages_of, parse_flexible, parse_strict, scaled
+from docketlake.functions.dates import day_text, pages_of, parse_flexible, parse_strict
 from docketlake.functions.text import label_blank
 from docketlake.operators import analytics as A
 from docketlake.operators import relational as R
@@ -168,8 +168,21 @@ def result_pages(spark: SparkSession, sf: str) -> DataFrame:
 def outcome_scale(spark: SparkSession, sf: str) -> DataFrame:
     """Counts by outcome on a scale from 0.25 to 1."""
     counts = _dated(spark, sf).groupBy("solution").agg(F.count(F.lit(1)).alias("n"))
-    most = counts.agg(F.max("n").alias("most"))
-    return counts.crossJoin(F.broadcast(most)).select("solution", "n", F.round(scaled(F.col("n"), F.col("most"), 0.25, 1.0), 6).alias("shade"))
+    return A.with_scale(counts, "n", 0.25, 1.0, "shade").withColumn("shade", F.round("shade", 6))
+
+
+def unparsed_dates(spark: SparkSession, sf: str) -> DataFrame:
+    rows = _texts(spark, sf).withColumn("given", F.when(F.col("given") != "nan", F.col("given"))).withColumn("day", parse_strict(F.col("given")))
+    return A.unparsed_counts(rows, "given", "day")
+
+
+def court_panels(spark: SparkSession, sf: str) -> DataFrame:
+    order = R.value_frequency(_dated(spark, sf), "court", F.col("id"))
+    return order.select("court", "rank", A.panel_index(F.col("rank")).alias("at")).select("court", "rank", F.col("at.row").alias("panel_row"), F.col("at.column").alias("panel_column"))
+
+
+def month_ticks(spark: SparkSession, sf: str) -> DataFrame:
+    return A.month_ticks(A.month_spine(_dated(spark, sf)))
 
 
 QUERIES = {
@@ -177,7 +190,7 @@ QUERIES = {
     for f in (
         latest_per_key, outcome_summary, date_parse_strict, date_parse_flexible, value_frequency, monthly_total, monthly_by_outcome,
         monthly_by_court, monthly_court_outcome, monthly_grouping_sets, court_month_matrix, per_capita, locality_rollup,
-        locality_per_capita, avg_processing_days, result_pages, outcome_scale,
+        locality_per_capita, avg_processing_days, result_pages, outcome_scale, unparsed_dates, court_panels, month_ticks,
     )
 }
 
@@ -210,6 +223,9 @@ SELECT *, round(10000.0::DOUBLE * cases / population, 6) AS per_10k FROM l WHERE
 spine AS (SELECT CAST(unnest(generate_series((SELECT min(month) FROM dated), (SELECT max(month) FROM dated), INTERVAL 1 MONTH)) AS DATE) AS month),
 m AS (SELECT month, avg(decided - receipt) AS a, count(*) AS n FROM dated WHERE decided - receipt >= 0 GROUP BY 1)
 SELECT month, round(a, 6) AS avg_processing_days, coalesce(n, 0) AS n FROM spine LEFT JOIN m USING (month)""",
+    "unparsed_dates": f"WITH {TEXTS}, p AS (SELECT nullif(given, 'nan') AS given, try_strptime(trim(given), '%d.%m.%Y') AS day FROM texts) SELECT count(*) AS rows, count(*) FILTER (WHERE day IS NULL) AS without_date, count(*) FILTER (WHERE day IS NULL AND given IS NOT NULL) AS unparsed FROM p",
+    "court_panels": f"WITH {CASES}, {SPINE}, g AS (SELECT court, row_number() OVER (ORDER BY count(*) DESC, min(id), court) AS rank FROM dated GROUP BY court) SELECT court, rank, (rank - 1) // 3 AS panel_row, (rank - 1) % 3 AS panel_column FROM g",
+    "month_ticks": f"WITH {CASES}, {SPINE}, i AS (SELECT month, row_number() OVER (ORDER BY month) - 1 AS k, count(*) OVER () AS n FROM spine) SELECT month, strftime(month, '%b %y') AS label FROM i WHERE k % greatest(n // 15, 1) = 0",
     "result_pages": f"WITH {CASES}, {POPULATION} SELECT court, cases, CAST(greatest(ceil(cases / 25.0), 1) AS INTEGER) AS pages FROM counts",
     "outcome_scale": f"WITH {CASES}, c AS (SELECT {LABELLED} AS solution, count(*) AS n FROM cases WHERE receipt IS NOT NULL GROUP BY 1) SELECT solution, n, round(0.25::DOUBLE + 0.75::DOUBLE * (n::DOUBLE / (SELECT max(n) FROM c)::DOUBLE), 6) AS shade FROM c",
 }

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from docketlake.functions import text as T
 from docketlake.operators import corpus as C
 from docketlake.operators import relational as R
-from docketlake.operators.cases import link_files, participants_pivot, with_events, with_texts
+from docketlake.operators.cases import completion_counts, link_files, participants_pivot, with_events, with_texts
+from docketlake.operators.cases import opinion_jobs as jobs_of
 from docketlake.operators.translate import translate_pending, translate_values
 from docketlake.sources.readers import table
 
@@ -229,6 +230,21 @@ def opinion_files(spark: SparkSession, sf: str) -> DataFrame:
     return link_files(_linked_documents(spark, sf)[0], "judicial_acts_link", "case_number", "doc_id")
 
 
+def opinion_jobs(spark: SparkSession, sf: str) -> DataFrame:
+    """Each third document has a file, each third a cell only, and the others a file that is not there."""
+    docs = table(spark, sf, "documents")
+    path = F.concat(F.lit("texts/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    files = docs.where("doc_id % 3 = 0").select(path.alias("path"), "text")
+    cell = F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("[TRUNCATED -- x]\n"), F.col("text")))
+    rows = docs.select("doc_id", F.when(F.col("doc_id") % 3 != 1, path).alias("file"), cell.alias("cell"))
+    return jobs_of(rows, files, "file", "cell").select("doc_id", "opinion_id", F.length("body").alias("chars"))
+
+
+def completion(spark: SparkSession, sf: str) -> DataFrame:
+    done = C.reassembled(_lines(spark, sf), _cache(spark, sf, "k >= '08'"))
+    return completion_counts(done, "text", "complete")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -237,6 +253,7 @@ QUERIES = {
         duplicate_documents_first, first_appearance, first_n_semi_join, pending_anti_join, retry_failures, run_counters,
         distinct_translatable, needs_translation, translated_left_join, translated_values, translated_paragraphs,
         sanitize_filename, transliterate, shorten_label, column_widths, participants, case_events, opinions_of_cases, opinion_files,
+        opinion_jobs, completion,
     )
 }
 
@@ -279,5 +296,7 @@ SELECT conv_id, coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHER
 FROM p GROUP BY conv_id""",
     "case_events": "SELECT doc_id AS case, source, turn, role AS event_name FROM documents LEFT JOIN conversations ON conv_id = doc_id",
     "opinions_of_cases": f"WITH {LINKED}, t AS (SELECT 'https://court.example/doc?n=' || doc_id AS url, text FROM documents WHERE doc_id < 90 AND text <> '') SELECT doc_id, CAST(coalesce(CASE WHEN length(text) > 32000 THEN length('[TRUNCATED -- full text in ' || path || ']') + 1 + 31900 ELSE length(text) END, 0) AS INTEGER) AS chars, CASE WHEN text IS NULL THEN '' ELSE path END AS opinion_text_file FROM l LEFT JOIN t ON l.link = t.url LEFT JOIN f ON l.link = f.link",
+    "opinion_jobs": f"WITH b AS (SELECT doc_id, text, regexp_replace({STRIP % "('[TRUNCATED -- x]' || chr(10) || text)"}, '^\\[TRUNCATED[^\\]]*\\]\\n', '') AS bare FROM documents) SELECT doc_id, substr(sha1(CASE WHEN doc_id % 3 = 0 THEN 'texts/' || doc_id || '.txt' ELSE substr(bare, 1, 500) END), 1, 16) AS opinion_id, CAST(CASE WHEN doc_id % 3 = 0 THEN length(text) ELSE length(bare) END AS INTEGER) AS chars FROM b",
+    "completion": f"WITH {LINES}, d AS (SELECT doc_id, string_agg(CASE WHEN norm IS NULL THEN line ELSE lower(norm) END, chr(10) ORDER BY pos) AS text, bool_and(norm IS NULL OR k >= '08') AS complete FROM lines GROUP BY doc_id) SELECT count(*) AS rows, count(*) FILTER (WHERE complete AND text <> '') AS with_text, count(DISTINCT CASE WHEN complete AND text <> '' THEN text END) AS distinct_texts, count(*) FILTER (WHERE complete) AS complete FROM d",
     "opinion_files": f"WITH {LINKED} SELECT link, path FROM f",
 }
