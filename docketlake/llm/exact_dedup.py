@@ -110,7 +110,7 @@ def dedup_groups(docs: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"), best, F.min("bare").alias("low"), F.max("bare").alias("high"))
         .where(F.col("n") > 1)
         .select(
-            "sha",
+            F.lower(F.hex("sha")).alias("text_sha256"),
             F.when(F.col("low") == F.col("high"), F.col("n")).otherwise(F.raise_error(F.lit("two texts share a SHA-256")).cast("long")).alias("group_size"),
             F.col("best.keep_id").alias("keep_id"),
             (-F.col("best.a")).alias("keep_points"),
@@ -118,12 +118,13 @@ def dedup_groups(docs: DataFrame) -> DataFrame:
         )
     )
     keep_id = F.when(F.col("found"), F.col("keep_id")).otherwise(F.col("doc_id"))
-    return digests.join(groups, "sha", "left").select(
+    # Joined by a key that neither side is dealt out by: both are shuffled then, and Spark can split a hot group.
+    return digests.withColumn("text_sha256", F.lower(F.hex("sha"))).join(groups, "text_sha256", "left").select(
         "doc_id",
         keep_id.alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         (F.col("found").isNull() | (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("n_points") == F.col("keep_points")))).alias("kept"),
-        F.lower(F.hex("sha")).alias("text_sha256"),
+        "text_sha256",
         "n_points",
     )
 
