@@ -181,6 +181,13 @@ def carried_sums(spark: SparkSession, sums: pd.DataFrame, key: str, value: str)
     return {(int(p), k): int(b) for p, k, b in zip(sums["pid"], sums[key], before, strict=True)}
 
 
+def one_of_each(df: DataFrame, repeated: DataFrame, same: Column, key: list[str]) -> DataFrame:
+    """``df`` with one row of each repeated key; ``repeated``, computed before, names those keys, ``same`` matches them."""
+    if not repeated.limit(1).count():
+        return df
+    return df.join(repeated, same, "left_anti").unionByName(df.join(repeated, same, "left_semi").dropDuplicates(key))
+
+
 def crc_mod(doc_id: str, modulus: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % F.lit(modulus)

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import build_sieve, narrow, settled, ship, table, text_bytes
+from docketlake.llm.common import build_sieve, narrow, one_of_each, settled, ship, table, text_bytes
 from docketlake.llm.cqf import CountingQuotientFilter
 
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -145,10 +145,8 @@ def without_copies(docs: DataFrame) -> DataFrame:
     marked = docs.withColumns({"_key_sha": F.sha2(F.translate(text, WHITE.decode(), ""), 256), "_key_points": F.length(text).cast("long")})
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key_sha") == F.col("_sha")) & (F.col("_key_points") == F.col(points))
     left = marked.join(key.where(~F.col("kept")).drop("kept").distinct(), same, "left_anti")
-    repeated = key.where("kept").groupBy("_doc", "_sha", points).count().where("count > 1").drop("count")
-    single = left.join(repeated, same, "left_anti")
-    several = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_key_sha"])
-    return single.unionByName(several).drop("_key_sha", "_key_points")
+    repeated = settled(key.where("kept").groupBy("_doc", "_sha", points).count().where("count > 1").drop("count"))
+    return one_of_each(left, repeated, same, ["doc_id", "_key_sha"]).drop("_key_sha", "_key_points")
 
 
 OP1_SQL = """

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import build_sieve, mix, narrow, settled, ship, table, text_chunks, words_of
+from docketlake.llm.common import build_sieve, mix, narrow, one_of_each, settled, ship, table, text_chunks, words_of
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -115,8 +115,8 @@ def _profiles(runs: int):
             where = np.searchsorted(sets[order], np.arange(rows.num_rows + 1)).astype(np.int32)
             listed = pa.ListArray.from_arrays(pa.array(where), pa.array(paths[order].view(np.int64)))
             sigs = _signatures(grams, first)
-            columns = [rows.column(0), pa.array(sigs, pa.binary()), pa.array(_lows(sigs)), pa.array(np.diff(first).astype(np.int64)), listed]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "sig", "low", "n", "paths"])
+            columns = [rows.column(0), rows.column(2), pa.array(sigs, pa.binary()), pa.array(_lows(sigs)), pa.array(np.diff(first).astype(np.int64)), listed]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "sig", "low", "n", "paths"])
 
     return profile
 
@@ -291,13 +291,22 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: floa
     are looked at. Last, links are
     counted inside each component, where no pair can be missed.
     """
+    return _classes(docs, similarity, recall).select("doc_id", "class_id", "n_links")
+
+
+def _text_hash():
+    return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+
+
+def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET_RECALL) -> DataFrame:
+    """``similar_groups`` with a hash of each row's text, the number of its shingles, and a key of its class."""
     ship(docs.sparkSession)
     spark = docs.sparkSession
     threshold = Fraction(similarity).limit_denominator(1000)
     runs = min(32, runs_for(recall, similarity))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    plain = narrow(docs, doc_id="long", text="string")
-    profile = settled(plain.mapInArrow(_profiles(runs), "doc_id long, sig binary, low long, n long, paths array<long>"))
+    plain = narrow(docs, doc_id="long", text="string").withColumn("text_hash", _text_hash())
+    profile = settled(plain.mapInArrow(_profiles(runs), "doc_id long, text_hash long, sig binary, low long, n long, paths array<long>"))
     weights = profile.groupBy("sig").agg(F.count(F.lit(1)).alias("w"), F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("low").alias("low"))
     rows = profile.select(F.explode("paths").alias("path"), "low")
     several = rows.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path")
@@ -347,11 +356,14 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: floa
     grouped = members.select(F.xxhash64("label").alias("g"), "size", "low", F.col("node").alias("sig"), "w", way.alias("way"), F.lit(True).alias("minor"))
     links = settled(_compared(grouped, sets, threshold, True).groupBy("sig").agg(F.sum("links").alias("links")))
     spark.sql(f"DROP TABLE {name}")
-    of_sig = weights.join(members.select(F.col("node").alias("sig"), "class_id"), "sig", "left").join(links, "sig", "left")
-    of_sig = of_sig.select("sig", F.coalesce("class_id", "least").alias("class_id"), (F.col("w") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"))
+    of_sig = weights.join(members.select(F.col("node").alias("sig"), "class_id", "label"), "sig", "left").join(links, "sig", "left")
+    of_sig = of_sig.select("sig", F.coalesce("label", "sig").alias("class_key"), F.when(F.col("label").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id"), (F.col("w") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"))
     empty = F.col("n") == 0
-    return profile.select("doc_id", "sig", "n").join(of_sig, "sig").select(
+    return profile.select("doc_id", "text_hash", "sig", "n").join(of_sig, "sig").select(
         "doc_id",
+        "text_hash",
+        "n",
+        "class_key",
         F.when(empty, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
         F.when(empty, F.lit(0)).otherwise(F.col("n_links")).cast("long").alias("n_links"),
     )
@@ -362,9 +374,21 @@ def op2_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
-    """``docs`` without the documents whose class another document stands for (the one with the least doc_id)."""
-    gone = settled(similar_groups(docs).where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
+    """``docs`` with one row of each class, the one with the least doc_id (then text hash); all columns kept.
+
+    Rows without words all stay. Of rows that repeat doc_id and text one stays.
+    """
+    classes = settled(_classes(docs).where("n > 0").select("doc_id", "text_hash", "class_key"))
+    order = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "text_hash")
+    leaders = classes.groupBy("class_key").agg(F.min(order).alias("first"))
+    own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    key = classes.join(leaders, "class_key").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), own.alias("_own"))
+    key = settled(key)
+    gone = key.where(~F.col("_own")).select("_doc", "_hash").distinct()
+    repeated = settled(key.where("_own").groupBy("_doc", "_hash").count().where("count > 1").drop("count"))
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key_hash") == F.col("_hash"))
+    left = docs.withColumn("_key_hash", _text_hash()).join(gone, same, "left_anti")
+    return one_of_each(left, repeated, same, ["doc_id", "_key_hash"]).drop("_key_hash")
 
 
 OP2_SQL = """

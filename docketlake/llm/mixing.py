@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import carried_sums, mix, settled, ship, table, text_chunks, words_of
+from docketlake.llm.common import carried_sums, mix, one_of_each, settled, ship, table, text_chunks, words_of
 
 WEIGHTS = (1, 2, 3)
 MOST_PASSES = 3
@@ -118,7 +118,7 @@ def placed_rows(sized: DataFrame, plan: Plan) -> DataFrame:
     number = {s: i for i, s in enumerate(plan.sources)}
     numbers = spark.createDataFrame([(s, i) for s, i in number.items()], "source string, source_no long")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    known = sized.join(F.broadcast(numbers.withColumnRenamed("source", "_s")), F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "source")
+    known = sized.join(numbers.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "source")
     order = ["source_no", "doc_id", "size", "text_hash"]
     dealt = settled(known.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("pid", F.spark_partition_id()))
     sums = dealt.groupBy("pid", "source_no").agg(F.sum("size").alias("size")).toPandas()
@@ -197,7 +197,7 @@ def mixed_sizes(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     taken = drawn_pieces(placed, plan).groupBy("source_no", "start").agg(F.sum((F.col("high") - F.col("low")) * F.col("draws")).alias("taken"))
     facts = spark.createDataFrame(list(zip(range(len(plan.sources)), plan.sizes, plan.targets, strict=True)), "source_no long, source_size long, target double")
-    rows = placed.join(taken, ["source_no", "start"], "left").join(F.broadcast(facts), "source_no")
+    rows = placed.join(taken, ["source_no", "start"], "left").join(facts, "source_no")
     return rows.select("doc_id", "size", "source_size", "target", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("taken"))
 
 
@@ -214,13 +214,12 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     placed, plan = _planned(docs)
     spark = docs.sparkSession
     pieces = drawn_pieces(placed, plan).groupBy("source_no", "start").agg(F.sort_array(F.collect_list(F.struct("low", "high", "draws"))).alias("pieces"))
-    rows = placed.join(pieces, ["source_no", "start"]).groupBy("doc_id", "text_hash").agg(F.collect_list("pieces").alias("takes"))
+    rows = placed.where("size > 0").join(pieces, ["source_no", "start"]).groupBy("doc_id", "text_hash").agg(F.collect_list("pieces").alias("takes"))
     rows = rows.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), F.col("takes").alias("_takes"))
     once = docs.withColumn("_key", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    doubled = placed.groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).count().where("count > 1").drop("count")
+    doubled = settled(placed.groupBy(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")).count().where("count > 1").drop("count"))
     same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_hash"))
-    once = once.join(doubled, same, "left_anti").unionByName(once.join(doubled, same, "left_semi").dropDuplicates(["doc_id", "_key"]))
-    joined = once.join(rows, same).drop("_doc", "_hash", "_key")
+    joined = one_of_each(once, doubled, same, ["doc_id", "_key"]).join(rows, same).drop("_doc", "_hash", "_key")
     names = docs.columns
     text_at, chars_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
     schema = docs.schema
