@@ -36,7 +36,10 @@ def first_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 
 
 def value_frequency(df: DataFrame, column: str, order: Column) -> DataFrame:
-    """AG-2, WN-8: values with their counts and ranks, most frequent first; ties by first appearance, then value."""
+    """AG-2, WN-8: values with their counts and ranks, most frequent first; ties by first appearance, then value.
+
+    The ranking sorts one row for each distinct value, after the counts have been made in parallel.
+    """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen"))
     rank = F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("first_seen"), F.col(column)))
     return counts.select(column, "n", rank.cast("long").alias("rank"))
