@@ -359,7 +359,9 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TA
     of_sig = weights.join(members.select(F.col("node").alias("sig"), "class_id", "label"), "sig", "left").join(links, "sig", "left")
     of_sig = of_sig.select("sig", F.coalesce("label", "sig").alias("class_key"), F.when(F.col("label").isNull(), F.col("least")).otherwise(F.col("class_id")).alias("class_id"), (F.col("w") - 1 + F.coalesce("links", F.lit(0))).cast("long").alias("n_links"))
     empty = F.col("n") == 0
-    return profile.select("doc_id", "text_hash", "sig", "n").join(of_sig, "sig").select(
+    # By a key that neither side is dealt out by, so that Spark can split the many rows of one set.
+    of_sig = of_sig.withColumn("_key", F.hex("sig")).drop("sig")
+    return profile.select("doc_id", "text_hash", "n", F.hex("sig").alias("_key")).join(of_sig, "_key").select(
         "doc_id",
         "text_hash",
         "n",
