@@ -16,7 +16,7 @@ from docketlake.llm.common import narrow, ship, table, text_chunks
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: Distinct pieces that a worker remembers before it starts afresh.
-CACHE_PIECES = 1 << 19
+CACHE_PIECES = 1 << 18
 
 OTHER, LETTER, NUMBER, SPACE, WHITE, MARK, TAIL = range(7)
 #: White space other than U+0020.
