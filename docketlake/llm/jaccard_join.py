@@ -174,28 +174,30 @@ def intersections(held: list[np.ndarray], slice_columns: int = 4096) -> np.ndarr
     return out
 
 
-def _linked(held: list[np.ndarray], side: np.ndarray, cross: bool, threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs a < b of sets at or above the threshold: of different sides if ``cross``, else not both of side -1."""
+def _linked(held: list[np.ndarray], threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs a < b of sets at or above the threshold."""
     sizes = np.array([len(x) for x in held], dtype=np.float64)
     shared = intersections(held)
     union = sizes[:, None] + sizes[None, :] - shared
-    similar = np.triu(shared * threshold.denominator >= union * threshold.numerator, 1)
-    similar &= (side[:, None] != side[None, :]) if cross else np.maximum(side[:, None], side[None, :]) >= 0
-    return np.nonzero(similar)
+    return np.nonzero(np.triu(shared * threshold.denominator >= union * threshold.numerator, 1))
 
 
 def _compare(threshold: Fraction, count_links: bool):
     """Compares the sets of each group ``g, i, j``, whose rows follow each other: ``g, i, j, b, sig, w, grams``.
 
-    Gives edges ``a, b`` that span what is linked (fewer than sets), or for each set the weight of those linked to it.
+    Gives edges ``a, b`` that span what is linked, or for each set the weight of those linked to it. A group of two
+    blocks (i < j) leaves what links sets of one block to that block's own group; its edges join what those do not.
+    Sets of side -1 belong together already.
     """
 
     def finish(key, rows):
         sigs, side = [r[1] for r in rows], np.array([r[0] for r in rows])
         if len(sigs) < 2:
             return []
-        a, b = _linked([np.frombuffer(r[3], dtype=np.uint64) for r in rows], side, key[1] != key[2], threshold)
+        a, b = _linked([np.frombuffer(r[3], dtype=np.uint64) for r in rows], threshold)
+        known = side[a] == side[b] if key[1] != key[2] else (side[a] < 0) & (side[b] < 0)
         if count_links:
+            a, b = a[~known], b[~known]
             weight = np.array([r[2] for r in rows], dtype=np.int64)
             total = np.bincount(a, weight[b], len(sigs)) + np.bincount(b, weight[a], len(sigs))
             return [(sigs[i], int(total[i])) for i in np.flatnonzero(total)]
@@ -207,13 +209,19 @@ def _compare(threshold: Fraction, count_links: bool):
                 x = root[x]
             return x
 
-        edges = []
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
-            p, q = find(x), find(y)
-            if p != q:
-                root[max(p, q)] = min(p, q)
-                edges.append((sigs[x], sigs[y]))
-        return edges
+        def join(pairs):
+            for x, y in pairs:
+                p, q = find(x), find(y)
+                if p != q:
+                    root[max(p, q)] = min(p, q)
+                    yield sigs[x], sigs[y]
+
+        together = np.flatnonzero(side < 0).tolist()
+        for _ in join(zip(together, together[1:], strict=False)):
+            pass
+        for _ in join(zip(a[known].tolist(), b[known].tolist(), strict=True)):
+            pass
+        return list(join(zip(a[~known].tolist(), b[~known].tolist(), strict=True)))
 
     def compare(batches):
         names, kind = (["sig", "links"], pa.int64()) if count_links else (["a", "b"], pa.binary())
