@@ -233,6 +233,17 @@ def test_divergence_rejects_noise(spark, sf):
     assert got[got.quality == 0].kept.mean() <= 0.35
 
 
+def test_divergence_rejects_noise_of_each_length(labelled):
+    """On the half of sf0.1's labelled texts that the class limit was not fitted on."""
+    both = labelled[0]
+    got = quality_rules.judged(both).join(both.select("doc_id", "quality"), "doc_id").where("not base_failed").toPandas()
+    got = got[[(int(i) * 0x9E3779B97F4A7C15 >> 13) & 1 == 1 for i in got.doc_id]]
+    for least, most, junk in ((50, 99, 0.25), (100, 199, 0.05), (200, 10**9, 0.05)):
+        band = got[got.n_words.between(least, most)]
+        assert band[band.quality == 0].kept.mean() <= junk
+        assert band[band.quality == 1].kept.mean() >= 0.98
+
+
 # 5 and 8: classifiers.
 
 
