@@ -19,8 +19,8 @@ RULES = (
     ("org/es/", "block"),
 )
 
-#: The labelled table that the weights are trained from: 1 to block, 0 to allow.
-LABELLED = (
+#: Labelled urls: 1 to block, 0 to allow.
+LISTED = (
     ("casino-bonus.example.biz/play/free-spins", 1),
     ("www.poker-online.example.top/win/jackpot", 1),
     ("best-casino.example.xyz/slots", 1),
@@ -58,6 +58,39 @@ LABELLED = (
     ("science.example.org/de/physik", 0),
     ("www.example.net/about/contact", 0),
 )
+#: Host names to block and to allow, which get the same ordinary paths, prefixes and TLDs: so the host alone decides.
+BAD_NAMES = """
+    casino-royal mega-casino lucky-slots win-big-casino poker-bets sport-bets bets-online free-spins adult-videos
+    adult-chat sexy-cams porn-tube pills-online cheap-meds cheap-viagra discount-pills spam-mail link-farm seo-spam
+    content-farm ads-click ad-tracker track-pixel popup-ads free-gifts win-prizes payday-loans replica-shop
+    crack-keygen warez-zone adult-pics adult-live adult-zone casino-games casino-club track-ads spam-bots farm-links
+    bets-live cheap-drugs
+""".split()
+GOOD_NAMES = """
+    history garden morning weather museum library science travel recipes journal theatre station northern village
+    teacher railway brothers gathering nation weekend letters together sharing reader writers harbour mountain
+    collection children kitchen street school bread winter summer council county parish market bakery cinema concert
+    orchestra painting sculpture physics chemistry biology mathematics astronomy philosophy economics language
+    grammar dictionary newspaper magazine breakfast furniture electric computer software hardware network engineer
+    building bridge airport ferry bicycle football tennis swimming athletics hiking camping forest river valley
+    island coast lighthouse castle cathedral heritage archive research university college student nursery hospital
+    clinic doctor dentist pharmacy insurance theory earth north south other another whether father mother brother
+    health wealth growth youth truth month fourth eighth south-bath the-hague then-now that-place these-days
+    those-who there-here thing-shop think-tank third-way three-hills threads throne thunder thursday strasse bahnhof
+    rathaus zeitung garten schule kirche ausstellung wissenschaft gesundheit mairie musique cuisine jardin quartier
+    lecture biblioteca ciudad escuela cocina noticias deportes
+""".split()
+PREFIXES, TLDS, PATHS = ("", "www.", "m.", "blog."), ("com", "net", "org"), ("/en/1042", "/de/77", "/fr/5310.html", "/es/268/")
+
+
+def _dealt(names: list[str], label: int, each: int) -> tuple[tuple[str, int], ...]:
+    """``each`` urls of each name, prefixes, TLDs and paths in turn."""
+    pairs = [(i, j, name) for i, name in enumerate(names) for j in range(each)]
+    return tuple((f"{PREFIXES[(i + j) % 4]}{name}.example.{TLDS[(i + j) % 3]}{PATHS[(i + 2 * j) % 4]}", label) for i, j, name in pairs)
+
+
+#: The labelled table that the weights are trained from.
+LABELLED = LISTED + _dealt(BAD_NAMES, 1, 2) + _dealt(GOOD_NAMES, 0, 1)
 GRAM = 3
 BUCKETS = 1024
 #: Weights are whole numbers of this size, so that sums are exact in any order.

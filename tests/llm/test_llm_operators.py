@@ -191,6 +191,15 @@ def test_url_model_learns_its_table():
     assert right >= 0.95 * len(url_filter.LABELLED)
 
 
+def test_url_model_on_urls_outside_its_table(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = url_filter.judged(pages).where("rule is null").toPandas()
+    bad = got.host.str.contains("adult-x|ads-track|casino-win|cheap-pills|free-bets|spam-farm")
+    assert not set(got.host) & {u.split("/")[0] for u, _ in url_filter.LABELLED}
+    assert (got[bad].verdict == "block").mean() >= 0.85
+    assert (got[~bad].verdict == "block").mean() <= 0.005
+
+
 # 4: quality rules.
 
 
