@@ -226,6 +226,18 @@ def opinions_of_cases(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("doc_id", F.length("opinion_text").alias("chars"), "opinion_text_file")
 
 
+def opinions_of_all_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document is a text; links are null, unmatched, shared by up to three cases, or the one of document 1."""
+    docs = table(spark, sf, "documents")
+    i = F.col("doc_id")
+    n = F.when(i % 11 == 1, F.lit("1")).when(i % 7 == 3, F.concat(F.lit("x"), i.cast("string"))).otherwise((i - i % 3).cast("string"))
+    link = F.concat(F.lit(" https://court.example/doc?n="), n, F.lit(" "))
+    cases = docs.select("doc_id", F.concat(F.lit("2-"), i.cast("string"), F.lit("/2026")).alias("case_number"), F.when(i % 5 != 0, link).alias("judicial_acts_link"))
+    texts = docs.select(F.concat(F.lit("https://court.example/doc?n="), i.cast("string")).alias("url"), F.col("text").alias("opinion_text"))
+    rows = with_texts(cases, texts, "judicial_acts_link", "case_number", "doc_id")
+    return rows.select("doc_id", F.length("opinion_text").alias("chars"), "opinion_text_file")
+
+
 def opinion_files(spark: SparkSession, sf: str) -> DataFrame:
     return link_files(_linked_documents(spark, sf)[0], "judicial_acts_link", "case_number", "doc_id")
 
@@ -253,7 +265,7 @@ QUERIES = {
         duplicate_documents_first, first_appearance, first_n_semi_join, pending_anti_join, retry_failures, run_counters,
         distinct_translatable, needs_translation, translated_left_join, translated_values, translated_paragraphs,
         sanitize_filename, transliterate, shorten_label, column_widths, participants, case_events, opinions_of_cases, opinion_files,
-        opinion_jobs, completion,
+        opinions_of_all_cases, opinion_jobs, completion,
     )
 }
 
@@ -261,6 +273,7 @@ U = "SELECT k, min(norm) AS norm, count(*) AS occurrences, arg_min(doc_id, (doc_
 CELL = "CASE WHEN length(text) > 2000 THEN '[TRUNCATED -- full text in texts/' || doc_id || '.txt]' || chr(10) || substr(text, 1, 1900) ELSE text END"
 GIVEN = "'  ' || p_name || ' / ~ М-' || p_partkey || '/2026 ~'"
 LINKED = "l AS (SELECT doc_id, '2-' || doc_id || '/2026' AS case_number, CASE WHEN doc_id % 5 <> 0 THEN 'https://court.example/doc?n=' || (doc_id % 97) END AS link FROM documents), f AS (SELECT link, 'opinion_fulltexts/' || regexp_replace(arg_min(case_number, doc_id), '[^\\p{L}\\p{N}_-]+', '_', 'g') || '_' || substr(sha1(link), 1, 8) || '.txt' AS path FROM l WHERE link IS NOT NULL GROUP BY link)"
+ALL_LINKED = "l AS (SELECT doc_id, '2-' || doc_id || '/2026' AS case_number, CASE WHEN doc_id % 5 <> 0 THEN 'https://court.example/doc?n=' || CASE WHEN doc_id % 11 = 1 THEN '1' WHEN doc_id % 7 = 3 THEN 'x' || doc_id ELSE CAST(doc_id - doc_id % 3 AS VARCHAR) END END AS link FROM documents), f AS (SELECT link, 'opinion_fulltexts/' || regexp_replace(arg_min(case_number, doc_id), '[^\\p{L}\\p{N}_-]+', '_', 'g') || '_' || substr(sha1(link), 1, 8) || '.txt' AS path FROM l WHERE link IS NOT NULL GROUP BY link)"
 STRIP = f"regexp_replace(%s, '^{W}+|{W}+$', '', 'g')"
 
 ORACLE_SQL = {
@@ -296,6 +309,7 @@ SELECT conv_id, coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHER
 FROM p GROUP BY conv_id""",
     "case_events": "SELECT doc_id AS case, source, turn, role AS event_name FROM documents LEFT JOIN conversations ON conv_id = doc_id",
     "opinions_of_cases": f"WITH {LINKED}, t AS (SELECT 'https://court.example/doc?n=' || doc_id AS url, text FROM documents WHERE doc_id < 90 AND text <> '') SELECT doc_id, CAST(coalesce(CASE WHEN length(text) > 32000 THEN length('[TRUNCATED -- full text in ' || path || ']') + 1 + 31900 ELSE length(text) END, 0) AS INTEGER) AS chars, CASE WHEN text IS NULL THEN '' ELSE path END AS opinion_text_file FROM l LEFT JOIN t ON l.link = t.url LEFT JOIN f ON l.link = f.link",
+    "opinions_of_all_cases": f"WITH {ALL_LINKED}, t AS (SELECT 'https://court.example/doc?n=' || doc_id AS url, text FROM documents WHERE text <> '') SELECT doc_id, CAST(coalesce(CASE WHEN length(text) > 32000 THEN length('[TRUNCATED -- full text in ' || path || ']') + 1 + 31900 ELSE length(text) END, 0) AS INTEGER) AS chars, CASE WHEN text IS NULL THEN '' ELSE path END AS opinion_text_file FROM l LEFT JOIN t ON l.link = t.url LEFT JOIN f ON l.link = f.link",
     "opinion_jobs": f"WITH b AS (SELECT doc_id, text, regexp_replace({STRIP % "('[TRUNCATED -- x]' || chr(10) || text)"}, '^\\[TRUNCATED[^\\]]*\\]\\n', '') AS bare FROM documents) SELECT doc_id, substr(sha1(CASE WHEN doc_id % 3 = 0 THEN 'texts/' || doc_id || '.txt' ELSE substr(bare, 1, 500) END), 1, 16) AS opinion_id, CAST(CASE WHEN doc_id % 3 = 0 THEN length(text) ELSE length(bare) END AS INTEGER) AS chars FROM b",
     "completion": f"WITH {LINES}, d AS (SELECT doc_id, string_agg(CASE WHEN norm IS NULL THEN line ELSE lower(norm) END, chr(10) ORDER BY pos) AS text, bool_and(norm IS NULL OR k >= '08') AS complete FROM lines GROUP BY doc_id) SELECT count(*) AS rows, count(*) FILTER (WHERE complete AND text <> '') AS with_text, count(DISTINCT CASE WHEN complete AND text <> '' THEN text END) AS distinct_texts, count(*) FILTER (WHERE complete) AS complete FROM d",
     "opinion_files": f"WITH {LINKED} SELECT link, path FROM f",

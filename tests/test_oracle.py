@@ -17,6 +17,16 @@ def test_gives_rows(name, spark, sf):
     assert len(set(df.columns)) == len(df.columns)
 
 
+def test_opinions_of_all_cases_take_every_text(spark, sf):
+    """Each case has the text that its link names, whatever the id; only the others have none."""
+    held = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
+    got = {r.doc_id: r for r in catalog.QUERIES["opinions_of_all_cases"](spark, sf).collect()}
+    assert set(got) == set(held) and max(held) > 90
+    of = {i: 1 if i % 11 == 1 else None if i % 7 == 3 else i - i % 3 for i in held}
+    assert {i for i, r in got.items() if r.opinion_text_file} == {i for i, n in of.items() if i % 5 and held.get(n)}
+    assert all(r.chars == len(held[of[i]]) for i, r in got.items() if r.opinion_text_file and len(held[of[i]]) <= 32000)
+
+
 def test_entry_points(spark):
     import __spark_entry__
 
