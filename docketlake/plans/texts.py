@@ -172,6 +172,15 @@ def translated_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
     return translate_pending(unique, _cache(spark, sf, "k >= '08'"), _whispered, ["first_doc", "first_pos", "k"])
 
 
+def translated_all_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
+    """Every distinct paragraph in batches through the translator: the cache is empty.
+
+    No SQL: a sentence over the limit is cut hard, and the pieces come back joined by blanks.
+    """
+    unique = C.unique_paragraphs(_lines(spark, sf)).select("k", "norm", "first_doc", "first_pos")
+    return translate_pending(unique, spark.createDataFrame([], "k string, en string"), _whispered, ["first_doc", "first_pos", "k"])
+
+
 def sanitize_filename(spark: SparkSession, sf: str) -> DataFrame:
     given = F.concat(F.lit("  "), F.col("p_name"), F.lit(" / ~ М-"), F.col("p_partkey").cast("string"), F.lit("/2026 ~"))
     rows = table(spark, sf, "part").select("p_partkey", given.alias("given"))
@@ -264,7 +273,7 @@ QUERIES = {
         sentence_chunks, paragraph_chunks, sentences, batch_round_trip, inline_truncate, marker_strip, letter_ratio,
         duplicate_documents_first, first_appearance, first_n_semi_join, pending_anti_join, retry_failures, run_counters,
         distinct_translatable, needs_translation, translated_left_join, translated_values, translated_paragraphs,
-        sanitize_filename, transliterate, shorten_label, column_widths, participants, case_events, opinions_of_cases, opinion_files,
+        translated_all_paragraphs, sanitize_filename, transliterate, shorten_label, column_widths, participants, case_events, opinions_of_cases, opinion_files,
         opinions_of_all_cases, opinion_jobs, completion,
     )
 }

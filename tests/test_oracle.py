@@ -27,6 +27,15 @@ def test_opinions_of_all_cases_take_every_text(spark, sf):
     assert all(r.chars == len(held[of[i]]) for i, r in got.items() if r.opinion_text_file and len(held[of[i]]) <= 32000)
 
 
+def test_all_paragraphs_are_translated(spark, sf):
+    """Those of up to the limit as they are, longer ones equal but for the blanks between pieces."""
+    unique = {r.k: r.norm.lower() for r in catalog.QUERIES["paragraph_unique"](spark, sf).collect()}
+    got = {r.k: r.en for r in catalog.QUERIES["translated_all_paragraphs"](spark, sf).collect()}
+    assert set(got) == set(unique)
+    assert all(got[k] == x for k, x in unique.items() if len(x) <= 1200)
+    assert all(got[k].replace(" ", "") == x.replace(" ", "") for k, x in unique.items())
+
+
 def test_entry_points(spark):
     import __spark_entry__
 
