@@ -30,8 +30,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each row: ``doc_id, n_tokens, ids``, the ids' text being the row's."""
-    return byte_bpe.encode(docs, ends=False).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
+    """Token ids of each row, and the digest of what they decode to: ``doc_id, n_tokens, ids, decoded_sha256``."""
+    return byte_bpe.encode(docs, ends=False, decoded=True).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded_sha256")
 
 
 STAGES = [

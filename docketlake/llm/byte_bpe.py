@@ -249,24 +249,30 @@ def encoder(ranks: str = RANKS) -> Encoder:
     return _LOADED[key]
 
 
-def encode(docs: DataFrame, ranks: str = RANKS, ends: bool = True) -> DataFrame:
+def encode(docs: DataFrame, ranks: str = RANKS, ends: bool = True, decoded: bool = False) -> DataFrame:
     """``doc_id, ids, ends``: token ids of each whole text and the byte offset at which each token ends.
 
     A null text counts as empty; an empty text has no ids. Repeated rows are encoded each. Extra columns are ignored.
-    With ``ends`` false the offsets are left out.
+    With ``ends`` false the offsets are left out; with ``decoded`` the ids are decoded in the same pass, and
+    ``decoded_sha256`` is the digest of those bytes.
     """
     ship(docs.sparkSession)
 
     def run(batches):
         for rows, data, offsets in text_chunks(batches):
-            ids, first, stops = encoder(ranks).encode(data, offsets)
+            coder = encoder(ranks)
+            ids, first, stops = coder.encode(data, offsets)
             cuts = pa.array(first.astype(np.int32))
             columns = [rows.column(0), pa.ListArray.from_arrays(cuts, pa.array(ids.astype(np.int32)))]
             if ends:
                 columns.append(pa.ListArray.from_arrays(cuts, pa.array(stops - np.repeat(offsets[:-1], np.diff(first)))))
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", "ends"][: len(columns)])
+            if decoded:
+                back, bounds = coder.decode(ids).tobytes(), np.r_[0, stops][first].tolist()
+                columns.append(pa.array([hashlib.sha256(back[a:b]).hexdigest() for a, b in zip(bounds, bounds[1:], strict=False)], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "doc_id long, ids array<int>" + ", ends array<long>" * ends
+    names = ["doc_id", "ids", *["ends"] * ends, *["decoded_sha256"] * decoded]
+    schema = "doc_id long, ids array<int>" + ", ends array<long>" * ends + ", decoded_sha256 string" * decoded
     return narrow(docs, doc_id="long", text="string").mapInArrow(run, schema)
 
 

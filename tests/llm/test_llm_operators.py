@@ -521,6 +521,14 @@ def test_latest_earlier_over_partitions(spark):
 # The pipeline.
 
 
+def test_pipeline_decodes_what_it_encodes(spark, docs, rows):
+    import corpus_pipeline
+
+    got = corpus_pipeline.encoded(spark, docs, "").select("doc_id", "decoded_sha256").collect()
+    want = [(d, hashlib.sha256((t or "").encode()).hexdigest()) for d, t, *_ in rows]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
 def test_pipeline(spark, sf, tmp_path):
     import corpus_pipeline
 
