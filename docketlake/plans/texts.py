@@ -214,6 +214,12 @@ def participants(spark: SparkSession, sf: str) -> DataFrame:
     return participants_pivot(people, "conv_id", "role", "name", "turn", plaintiffs=("user",), defendants=("assistant",))
 
 
+def participants_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole texts as the names."""
+    people = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.col("text").alias("name"))
+    return participants_pivot(people, "conv_id", "role", "name", "turn", plaintiffs=("user",), defendants=("assistant",))
+
+
 def case_events(spark: SparkSession, sf: str) -> DataFrame:
     """Documents with their conversations of the same number as events."""
     cases = table(spark, sf, "documents").select(F.col("doc_id").alias("case"), "source")
@@ -274,7 +280,7 @@ QUERIES = {
         duplicate_documents_first, first_appearance, first_n_semi_join, pending_anti_join, retry_failures, run_counters,
         distinct_translatable, needs_translation, translated_left_join, translated_values, translated_paragraphs,
         translated_all_paragraphs, sanitize_filename, transliterate, shorten_label, column_widths, participants, case_events, opinions_of_cases, opinion_files,
-        opinions_of_all_cases, opinion_jobs, completion,
+        opinions_of_all_cases, participants_whole, opinion_jobs, completion,
     )
 }
 
@@ -315,6 +321,11 @@ ORACLE_SQL = {
 SELECT conv_id, coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHERE contains(lower(role), 'user')), '') AS participants_plaintiffs,
   coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHERE contains(lower(role), 'assistant') AND NOT contains(lower(role), 'user')), '') AS participants_defendants,
   coalesce(string_agg(CASE WHEN role <> '' AND role <> name THEN role || ': ' || name ELSE name END, '; ' ORDER BY turn, name) FILTER (WHERE NOT contains(lower(role), 'assistant') AND NOT contains(lower(role), 'user')), '') AS participants_other
+FROM p GROUP BY conv_id""",
+    "participants_whole": """WITH p AS (SELECT conv_id, turn, coalesce(role, '') AS role, CASE WHEN text <> '' THEN text ELSE coalesce(role, '') END AS name FROM conversations)
+SELECT conv_id, coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHERE contains(lower(role), 'user')), '') AS participants_plaintiffs,
+  coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHERE contains(lower(role), 'assistant') AND NOT contains(lower(role), 'user')), '') AS participants_defendants,
+  coalesce(string_agg(CASE WHEN role <> '' AND role <> name THEN role || ': ' || name ELSE name END, '; ' ORDER BY turn, name) FILTER (WHERE NOT contains(lower(role), 'assistant') AND NOT contains(lower(role), 'user')), '') AS participants_other
 FROM p GROUP BY conv_id""",
     "case_events": "SELECT doc_id AS case, source, turn, role AS event_name FROM documents LEFT JOIN conversations ON conv_id = doc_id",
     "opinions_of_cases": f"WITH {LINKED}, t AS (SELECT 'https://court.example/doc?n=' || doc_id AS url, text FROM documents WHERE doc_id < 90 AND text <> '') SELECT doc_id, CAST(coalesce(CASE WHEN length(text) > 32000 THEN length('[TRUNCATED -- full text in ' || path || ']') + 1 + 31900 ELSE length(text) END, 0) AS INTEGER) AS chars, CASE WHEN text IS NULL THEN '' ELSE path END AS opinion_text_file FROM l LEFT JOIN t ON l.link = t.url LEFT JOIN f ON l.link = f.link",

@@ -36,6 +36,12 @@ def test_all_paragraphs_are_translated(spark, sf):
     assert all(got[k].replace(" ", "") == x.replace(" ", "") for k, x in unique.items())
 
 
+def test_participants_have_whole_texts(spark, sf):
+    given = spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'user' and length(text) > 20").collect()
+    got = {r.conv_id: r.participants_plaintiffs for r in catalog.QUERIES["participants_whole"](spark, sf).collect()}
+    assert given and all(r.text in got[r.conv_id] for r in given)
+
+
 def test_entry_points(spark):
     import __spark_entry__
 
