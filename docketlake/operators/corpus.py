@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketlake.functions.text import CYRILLIC, collapse, key_of, passthrough_norm
-from docketlake.session import settled, ship
+from docketlake.session import settled_in_place, ship
 
 #: Characters of a batch at most, and what separates its paragraphs.
 MAX_CHARS = 1200
@@ -146,7 +146,7 @@ def pack_batches(paragraphs: DataFrame, order: list[str], norm: str = "norm", li
     ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = paragraphs.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id())
-    rows = settled(rows)
+    rows = settled_in_place(rows)
 
     def effects(frames):
         pid, lengths, alone = None, [], []

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -50,7 +51,7 @@ def ship(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints: the one that the session names, else one of our own (tests)."""
+    """The shared folder for checkpoints: the one that the session names. Only a session on this machine gets one of its own."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
@@ -59,12 +60,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             context.setCheckpointDir(named)
         return named
     if current is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="docketlake-checkpoints-"))
         current = context.getCheckpointDir()
     return current
 
 
 def settled(df):
-    """``df`` computed once and written to the checkpoint folder, so that lost executors cost no recomputation."""
+    """``df`` computed once and written to the checkpoint folder as a table, so that lost executors cost no recomputation.
+
+    Unlike a checkpoint the table tells its real size, so joins of it are planned right however many steps led to it.
+    """
+    spark = df.sparkSession
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/docketlake-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def settled_in_place(df):
+    """``df`` written to the checkpoint folder with its partitions and the order of rows in them."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
