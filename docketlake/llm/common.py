@@ -11,9 +11,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.session import ensure_checkpoint_dir, settled, ship
+from docketlake.session import ensure_checkpoint_dir, settled, settled_in_place, ship
 
-__all__ = ["ensure_checkpoint_dir", "settled", "ship"]
+__all__ = ["ensure_checkpoint_dir", "settled", "settled_in_place", "ship"]
 
 #: Java's rendering of the word class of every contract: runs of characters other than these six.
 SPACE_CLASS = r"[\x20\x09-\x0D]"

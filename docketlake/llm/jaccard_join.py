@@ -6,7 +6,6 @@ import hashlib
 import math
 import uuid
 from fractions import Fraction
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,21 +19,30 @@ SIMILARITY = 0.8
 #: Children that a set gets at each level of a path, on average. Two sets of similarity 0.8 share 8/9 of them.
 BRANCHING = 2.0
 DEPTH = 2
-#: Oversize buckets split on to this depth, with less branching: there a set is in about as many buckets as before.
-MAX_DEPTH = 4
-FURTHER_BRANCHING = 1.2
-TARGET_RECALL = 0.99999
-#: Buckets up to this many sets are compared at once; a larger one splits on, and what is left goes in blocks.
+TARGET_RECALL = 0.9999
+#: The run stands in the lowest bits of a path.
+RUN_BITS = 8
+#: Buckets of up to so many sets, with so many shingles together, are compared at once. Larger ones split on.
 SMALL_BUCKET = 256
-BLOCK = 512
+SMALL_SHINGLES = 1 << 21
+#: Sets that a large bucket's centre is made from, about; each salt of its rows holds about so many.
+CENTRE_SETS, SALT_SETS = 64, 2048
+#: Sets that share a token outside their component's centre are compared at once up to so many, else in blocks of that size.
+BLOCK = 1024
 
 
 def runs_for(recall: float, similarity: float = SIMILARITY, branching: float = BRANCHING, depth: int = DEPTH) -> int:
-    """Runs after which a pair just at the threshold has met with probability ``recall``."""
-    shared, alive = branching * 2 * similarity / (1 + similarity), 1.0
+    """Runs after which a pair just at the threshold has met with probability ``recall``, if all its buckets split once more.
+
+    There it shares one chosen token on average at least (see ``_deltas``). The run must fit a path's lowest bits.
+    """
+    shared, alive = branching * 2 * similarity / (1 + similarity), 1 - math.exp(-1)
     for _ in range(depth):
         alive = 1 - math.exp(-shared * alive)
-    return math.ceil(math.log(1 - recall) / math.log(1 - alive))
+    runs = math.ceil(math.log(1 - recall) / math.log(1 - alive))
+    if runs > 1 << RUN_BITS:
+        raise ValueError(f"a recall of {recall} at similarity {similarity} takes {runs} runs, more than {1 << RUN_BITS}")
+    return runs
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int = SHINGLE_WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -85,7 +93,7 @@ def extend_paths(grams: np.ndarray, first: np.ndarray, sets: np.ndarray, paths:
 
 
 def chosen_paths(grams: np.ndarray, first: np.ndarray, runs: int, branching: float = BRANCHING, depth: int = DEPTH) -> tuple[np.ndarray, np.ndarray]:
-    """Set index and path of every path of every run; the run stands in a path's lowest five bits."""
+    """Set index and path of every path of every run; the run stands in a path's lowest bits."""
     out_sets, out_paths = [], []
     everyone = np.flatnonzero(np.diff(first) > 0)
     for run in range(runs):
@@ -93,7 +101,7 @@ def chosen_paths(grams: np.ndarray, first: np.ndarray, runs: int, branching: flo
         for _ in range(depth):
             sets, paths = extend_paths(grams, first, sets, paths, branching)
         out_sets.append(sets)
-        out_paths.append((paths & np.uint64(~31 & (2**64 - 1))) | np.uint64(run))
+        out_paths.append((paths & np.uint64(2**64 - (1 << RUN_BITS))) | np.uint64(run))
     return np.concatenate(out_sets), np.concatenate(out_paths)
 
 
@@ -137,20 +145,6 @@ def _sets_of(sieve):
     return sets
 
 
-def _children(batches):
-    """One level more for the rows of oversize buckets: ``path, low, grams`` to ``path, low``."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            part = batch.slice(at, 256)
-            held = part.column(2).to_pylist()
-            first = np.r_[0, np.cumsum([len(x) // 8 for x in held])]
-            grams = np.frombuffer(b"".join(held), dtype=np.uint64)
-            paths = np.asarray(part.column(0)).view(np.uint64)
-            sets, more = extend_paths(grams, first, np.arange(len(held)), paths, FURTHER_BRANCHING)
-            more = (more & np.uint64(~31 & (2**64 - 1))) | (paths[sets] & np.uint64(31))
-            yield pa.RecordBatch.from_arrays([pa.array(more.view(np.int64)), part.column(1).take(pa.array(sets))], ["path", "low"])
-
-
 def intersections(held: list[np.ndarray], slice_columns: int = 4096) -> np.ndarray:
     """How many elements each two sets share. Memory: sets times slice_columns."""
     m = len(held)
@@ -174,34 +168,52 @@ def intersections(held: list[np.ndarray], slice_columns: int = 4096) -> np.ndarr
     return out
 
 
-def _linked(held: list[np.ndarray], threshold: Fraction) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs a < b of sets at or above the threshold."""
-    sizes = np.array([len(x) for x in held], dtype=np.float64)
-    shared = intersections(held)
-    union = sizes[:, None] + sizes[None, :] - shared
-    return np.nonzero(np.triu(shared * threshold.denominator >= union * threshold.numerator, 1))
+def _grouped(batches):
+    """Yields the rows of each value of the first column; rows come sorted by it."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if row[0] != key:
+                if rows:
+                    yield key, rows
+                key, rows = row[0], []
+            rows.append(row[1:])
+    if rows:
+        yield key, rows
 
 
-def _compare(threshold: Fraction, count_links: bool):
-    """Compares the sets of each group ``g, i, j``, whose rows follow each other: ``g, i, j, b, sig, w, grams``.
+def _batched(pairs, names: tuple[str, str], kinds: tuple, size: int = 1 << 14):
+    """Record batches of the pairs of an iterator of lists of pairs."""
+    held: list[tuple] = []
 
-    Gives edges ``a, b`` that span what is linked, or for each set the weight of those linked to it. A group of two
-    blocks (i < j) leaves what links sets of one block to that block's own group; its edges join what those do not.
-    Sets of side -1 belong together already.
-    """
+    def batch():
+        return pa.RecordBatch.from_arrays([pa.array([x[i] for x in held], kinds[i]) for i in (0, 1)], list(names))
+
+    for found in pairs:
+        held += found
+        if len(held) >= size:
+            yield batch()
+            held = []
+    if held:
+        yield batch()
 
-    def finish(key, rows):
-        sigs, side = [r[1] for r in rows], np.array([r[0] for r in rows])
+
+def _compare(threshold: Fraction, count_links: bool):
+    """Compares all sets of each group: ``g, sig, w, grams`` to edges ``a, b`` that span the links, or ``sig, links``."""
+
+    def finish(rows):
+        sigs = [r[0] for r in rows]
         if len(sigs) < 2:
             return []
-        a, b = _linked([np.frombuffer(r[3], dtype=np.uint64) for r in rows], threshold)
-        known = side[a] == side[b] if key[1] != key[2] else (side[a] < 0) & (side[b] < 0)
+        held = [np.frombuffer(r[2], dtype=np.uint64) for r in rows]
+        sizes, shared = np.array([len(x) for x in held], dtype=np.float64), intersections(held)
+        union = sizes[:, None] + sizes[None, :] - shared
+        a, b = np.nonzero(np.triu(shared * threshold.denominator >= union * threshold.numerator, 1))
         if count_links:
-            a, b = a[~known], b[~known]
-            weight = np.array([r[2] for r in rows], dtype=np.int64)
+            weight = np.array([r[1] for r in rows], dtype=np.int64)
             total = np.bincount(a, weight[b], len(sigs)) + np.bincount(b, weight[a], len(sigs))
             return [(sigs[i], int(total[i])) for i in np.flatnonzero(total)]
-        root = list(range(len(sigs)))
+        root, out = list(range(len(sigs))), []
 
         def find(x):
             while root[x] != x:
@@ -209,57 +221,154 @@ def _compare(threshold: Fraction, count_links: bool):
                 x = root[x]
             return x
 
-        def join(pairs):
-            for x, y in pairs:
-                p, q = find(x), find(y)
-                if p != q:
-                    root[max(p, q)] = min(p, q)
-                    yield sigs[x], sigs[y]
-
-        together = np.flatnonzero(side < 0).tolist()
-        for _ in join(zip(together, together[1:], strict=False)):
-            pass
-        for _ in join(zip(a[known].tolist(), b[known].tolist(), strict=True)):
-            pass
-        return list(join(zip(a[~known].tolist(), b[~known].tolist(), strict=True)))
-
-    def compare(batches):
-        names, kind = (["sig", "links"], pa.int64()) if count_links else (["a", "b"], pa.binary())
-        key, rows, out = None, [], []
-        for batch in batches:
-            for g, i, j, b, sig, w, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (g, i, j) != key:
-                    if key is not None:
-                        out += finish(key, rows)
-                    key, rows = (g, i, j), []
-                rows.append((b, sig, w, grams))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], kind)], names)
-                out = []
-        if key is not None and (out := finish(key, rows)):
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], kind)], names)
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            p, q = find(x), find(y)
+            if p != q:
+                root[max(p, q)] = min(p, q)
+                out.append((sigs[x], sigs[y]))
+        return out
 
-    return compare
+    names, kinds = (("sig", "links"), (pa.binary(), pa.int64())) if count_links else (("a", "b"), (pa.binary(), pa.binary()))
+    return lambda batches: _batched((finish(rows) for _, rows in _grouped(batches)), names, kinds)
 
 
 def _compared(members: DataFrame, sets: DataFrame, threshold: Fraction, count_links: bool) -> DataFrame:
-    """``members``: ``g, size, low, sig, w, way, minor``; a null sig stands for every set with these first bits.
-
-    By ``way``, a group is compared ``whole``; in ``blocks``, each pair of blocks apart; or ``thin``: its minor sets
-    with each block of the others, which are known to belong together.
-    """
-    blocks = F.when(F.col("way") == "whole", F.lit(1)).otherwise(F.ceil(F.col("size") / BLOCK)).cast("int")
-    rows = members.select("g", "low", F.col("sig").alias("only"), "w", "way", "minor", blocks.alias("blocks")).withColumn("h", F.pmod(F.xxhash64("low"), F.col("blocks")).cast("int"))
-    apart, thin = F.col("way") == "blocks", F.col("way") == "thin"
-    everywhere = apart | (thin & F.col("minor"))
-    rows = rows.withColumn("other", F.explode(F.when(everywhere, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("h"))))
-    i, j = (F.when(apart, pick("h", "other")).otherwise(F.col("other")) for pick in (F.least, F.greatest))
-    side = F.when(apart, F.col("h")).when(thin & ~F.col("minor"), F.lit(-1)).otherwise(F.lit(0))
-    rows = rows.select("g", i.alias("i"), j.alias("j"), side.alias("b"), "low", "only", "w")
+    """``members``: ``g, low, only, w``; a null ``only`` stands for every set with these first bits."""
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    whole = rows.join(sets, "low").where("only is null or only = sig").select("g", "i", "j", "b", "sig", "w", "grams")
+    whole = members.join(sets, "low").where("only is null or only = sig").select("g", "sig", "w", "grams")
     out = "sig binary, links long" if count_links else "a binary, b binary"
-    return whole.repartition(parts, "g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(_compare(threshold, count_links), out)
+    return whole.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_compare(threshold, count_links), out)
+
+
+def _majority(batches):
+    """``g, held`` to ``g, centre``: the shingles of more than half of the sets held."""
+    for batch in batches:
+        centres = []
+        for held in batch.column(1).to_pylist():
+            values, n = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in held]), return_counts=True)
+            centres.append(values[2 * n > len(held)].tobytes())
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(centres, pa.binary())], ["g", "centre"])
+
+
+def _differences(threshold: Fraction, sample: bool):
+    """``g, low, sig, w, grams, centre`` to ``g, low, sig, w, f, keys``: see ``_deltas``."""
+    a, b = threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fs, counts, keys = [], [0], []
+            for g, grams, centre in zip(batch.column(0).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                x, c = np.frombuffer(grams, dtype=np.uint64), np.frombuffer(centre or b"", dtype=np.uint64)
+                apart = np.setxor1d(x, c, assume_unique=True)
+                fs.append(b * len(apart) - a * len(x))
+                if sample:
+                    salt = mix(np.array([g], dtype=np.int64).view(np.uint64))
+                    token = mix(apart ^ salt)
+                    if 2 * len(apart) > len(x):
+                        token = token[token <= np.uint64(min(BRANCHING / len(apart), 1.0) * (2**64 - 2048))]
+                    apart = mix(token + salt)
+                keys.append(np.sort(apart.view(np.int64)))
+                counts.append(counts[-1] + len(apart))
+            listed = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(np.concatenate(keys)))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fs, pa.int64()), listed], ["g", "low", "sig", "w", "f", "keys"])
+
+    return run
+
+
+def _salted(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """``rows`` (``g, low, ..``) with the columns of ``facts`` (``g, size, ..``, a row for each g), however hot a g is."""
+    salts = F.ceil(F.col("size") / SALT_SETS).cast("int")
+    spread = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    sizes = facts.select("g", salts.alias("_salts"))
+    placed = rows.join(F.broadcast(sizes), "g") if sizes.count() <= 10_000 else rows.join(sizes, "g")
+    return placed.withColumn("_salt", F.pmod(F.xxhash64("low"), F.col("_salts")).cast("int")).drop("_salts").join(spread, ["g", "_salt"]).drop("_salt")
+
+
+def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fraction, sample: bool) -> DataFrame:
+    """``g, low, sig, w, f, keys`` of the members (``g, low, only, w``) of large groups; ``sizes``: ``g, size, shingles``.
+
+    A group has a centre: the shingles of more than half of some 64 of its sets. D(x) are the shingles by which a set x
+    differs from it. Two sets differ by |D(x)| + |D(y)| - 2 |D(x) n D(y)| shingles, so at a similarity of 4/5 they are
+    linked if and only if f(x) + f(y) <= 18 |D(x) n D(y)| with f(x) = 9 |D(x)| - |x|. Thus pairs with f(x) + f(y) <= 0 are linked whatever the
+    rest, and others only if they share a shingle of D. This holds for any centre, so a sample may choose it.
+
+    ``keys`` are the shingles of D(x). With ``sample`` they are keys of buckets to go on with: all of D(x) where it is at
+    most half as large as x, else each with a probability of 2 / |D(x)|. Linked sets x, y of the latter kind share at
+    least |D(x)| - |x| / 4 shingles of D(x), so one chosen one on average at least.
+    """
+    share = F.least(F.lit(1.0), F.greatest(F.lit(8.0), F.least(F.lit(float(CENTRE_SETS)), SMALL_SHINGLES * F.col("size") / F.col("shingles"))) / F.col("size"))
+    drawn = members.join(sizes.select("g", share.alias("share")), "g").where(F.pmod(F.xxhash64("g", "low"), F.lit(1 << 30)) <= F.col("share") * (1 << 30))
+    held = drawn.join(sets, "low").where("only is null or only = sig").groupBy("g").agg(F.collect_list("grams").alias("held"))
+    centres = settled(held.mapInArrow(_majority, "g long, centre binary"))
+    whole = _salted(members, sizes.join(centres, "g", "left").select("g", "size", "centre")).join(sets, "low").where("only is null or only = sig")
+    return whole.select("g", "low", "sig", "w", "grams", "centre").mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, f long, keys array<long>")
+
+
+def _extremes(deltas: DataFrame) -> DataFrame:
+    return settled(deltas.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("f", "sig")).alias("least"), F.max("f").alias("most")))
+
+
+def _free_counts(batches):
+    """``g, held`` (of ``f, w``) to ``g, f, free``: the weight of all f' <= -f."""
+    for batch in batches:
+        out: list[list] = [[], [], []]
+        for g, held in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            f, w = (np.array([x[k] for x in held], dtype=np.int64) for k in ("f", "w"))
+            order = np.argsort(f)
+            f, total = f[order], np.r_[0, np.cumsum(w[order])]
+            for column, values in zip(out, ([g] * len(f), f.tolist(), total[np.searchsorted(f, -f, side="right")].tolist()), strict=True):
+                column += values
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], ["g", "f", "free"])
+
+
+def _count_sharing(threshold: Fraction):
+    """``g, side, token, sig, w, f, keys`` to ``sig, links``: pairs with f(x) + f(y) > 0 whose least shared key is the token.
+
+    Where a group has two sides, only pairs across count.
+    """
+    b2 = 2 * (threshold.denominator + threshold.numerator)
+
+    def finish(rows):
+        if len(rows) < 2:
+            return []
+        token = rows[0][1]
+        side, weight, f = (np.array([r[k] for r in rows], dtype=np.int64) for k in (0, 3, 4))
+        held = [np.array(r[5], dtype=np.int64) for r in rows]
+        shared = intersections(held)
+        earlier = intersections([x[x < token] for x in held])
+        linked = (f[:, None] + f[None, :] > 0) & (f[:, None] + f[None, :] <= b2 * shared) & (earlier == 0)
+        if side.min() < side.max():
+            linked &= side[:, None] != side[None, :]
+        np.fill_diagonal(linked, False)
+        total = linked @ weight
+        return [(rows[i][2], int(total[i])) for i in np.flatnonzero(total)]
+
+    return lambda batches: _batched((finish(rows) for _, rows in _grouped(batches)), ("sig", "links"), (pa.binary(), pa.int64()))
+
+
+def _links_in_large(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fraction) -> DataFrame:
+    """``sig, links`` of the sets of large components: links that follow from f alone, and those that need a shared shingle."""
+    spark = members.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    deltas = settled(_deltas(members, sizes, sets, threshold, sample=False))
+    ends = _extremes(deltas)
+    free = deltas.groupBy("g", "f").agg(F.sum("w").alias("w")).groupBy("g").agg(F.collect_list(F.struct("f", "w")).alias("held")).mapInArrow(_free_counts, "g long, f long, free long")
+    own = F.when(F.col("f") <= 0, F.col("w")).otherwise(F.lit(0))
+    follows = deltas.select("g", "f", "sig", "w").join(free, ["g", "f"]).select("sig", (F.col("free") - own).alias("links"))
+    asking = _salted(deltas, ends.select("g", "size", "most")).where("f + most > 0").select("g", "low", "sig", "w", "f", "keys")
+    rows = settled(asking.select("g", F.explode("keys").alias("token"), "sig"))
+    sharing = settled(rows.groupBy("g", "token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
+    # Tokens with the same sets are looked at once, by the least of them.
+    few = rows.join(sharing.where(F.col("n") <= BLOCK), ["g", "token"]).groupBy("g", "token").agg(F.sort_array(F.collect_list("sig")).alias("m"))
+    few = few.groupBy("g", "m").agg(F.min("token").alias("token")).select("g", "token", F.explode("m").alias("sig"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    many = rows.join(sharing.where(F.col("n") > BLOCK), ["g", "token"]).withColumn("h", F.pmod(F.xxhash64("sig"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    many = many.select("g", "token", "sig", F.least("h", "other").alias("i"), F.greatest("h", "other").alias("j"), F.col("h").alias("side"))
+    listed = few.union(many).join(asking.withColumnRenamed("sig", "_sig").withColumnRenamed("g", "_g"), (F.col("g") == F.col("_g")) & (F.col("sig") == F.col("_sig")))
+    listed = listed.select(F.xxhash64("g", "token", "i", "j").alias("g"), "side", "token", "sig", "w", "f", "keys")
+    return follows.union(listed.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_count_sharing(threshold), "sig binary, links long"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -292,12 +401,13 @@ def similar_groups(docs: DataFrame, similarity: float = SIMILARITY, recall: floa
 
     Documents with equal sets are one set (128-bit signature of the sorted shingle hashes). Each run gives a set
     some paths: at each level a path takes the tokens whose hash, together with the path so far, is below
-    branching / size. Sets on one path form a bucket. Small buckets are compared whole. Larger ones split on by
-    more levels; if that does not make them small, they are compared in blocks. The sets stand in a table of the
-    warehouse, bucketed by key, while the function runs. One bucket of the first
-    run for each set joins most of what is similar; of all others only buckets that hold sets of different components
-    are looked at. Last, links are
-    counted inside each component, where no pair can be missed.
+    branching / size. Sets on one path form a bucket. Small buckets are compared whole. In a larger one a centre is
+    chosen; what is linked by its distance to the centre alone needs no comparison, and the rest splits on by the shingles
+    in which sets differ from the centre, since shingles that most sets share do not split them. Every such bucket is
+    about half as large at most. One bucket of the first run for each set joins most of what is similar; of all others
+    only buckets that hold sets of different components are looked at. Last, links are counted inside each component,
+    where no pair can be missed: in large ones by the same centres. The sets stand in a table of the warehouse,
+    bucketed by key, while the function runs.
     """
     return _classes(docs, similarity, recall).select("doc_id", "class_id", "n_links")
 
@@ -306,17 +416,50 @@ def _text_hash():
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+def _is_small():
+    return (F.col("size") == 2) | ((F.col("size") <= SMALL_BUCKET) & (F.col("shingles") <= SMALL_SHINGLES))
+
+
+def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, threshold: Fraction) -> tuple[DataFrame, DataFrame | None]:
+    """Spanning links ``a, b`` of the buckets ``path, low, n``, and the buckets that large ones split into, if any.
+
+    Buckets of one component, by ``labels``, are left out.
+    """
+    held = buckets.withColumn("known", F.col("low"))
+    if labels is not None:
+        held = buckets.join(labels.select(_low("node").alias("low"), "label"), "low", "left").select("path", "low", "n", F.coalesce(_low("label"), "low").alias("known"))
+    same = [F.bit_xor(F.xxhash64("low", F.lit(i))).alias(f"x{i}") for i in (0, 1)]
+    shares = held.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min("known").alias("p"), F.max("known").alias("q"), *same).where("p < q")
+    # Buckets with the same members are looked at once.
+    mixed = shares.groupBy("size", "shingles", "x0", "x1").agg(F.min("path").alias("g"))
+    mixed = settled(mixed.select("g", "size", "shingles", _is_small().alias("small")))
+    held = settled(buckets.withColumnRenamed("path", "g").join(mixed, "g"))
+    once = held.where("small").select("g", "low", F.lit(None).cast("binary").alias("only"), F.lit(1).cast("long").alias("w"))
+    edges = _compared(once, sets, threshold, False)
+    large = mixed.where("not small")
+    if not large.limit(1).count():
+        return settled(edges.distinct()), None
+    members = held.where("not small").select("g", "low", F.lit(None).cast("binary").alias("only"), F.lit(1).cast("long").alias("w"))
+    deltas = settled(_deltas(members, large.select("g", "size", "shingles"), sets, threshold, sample=True))
+    known = settled(_salted(deltas, _extremes(deltas)))
+    star = known.where((F.col("f") + F.col("least.f") <= 0) & (F.col("sig") != F.col("least.sig"))).select(F.col("least.sig").alias("a"), F.col("sig").alias("b"))
+    split = known.where("f + most > 0").select(F.explode("keys").alias("path"), "low")
+    counted = held.select("low", "n").distinct()
+    split = settled(split.join(split.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path"), "path").distinct().join(counted, "low").select("path", "low", "n"))
+    return settled(edges.union(star).distinct()), split
+
+
 def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET_RECALL) -> DataFrame:
     """``similar_groups`` with a hash of each row's text, the number of its shingles, and a key of its class."""
     ship(docs.sparkSession)
     spark = docs.sparkSession
     threshold = Fraction(similarity).limit_denominator(1000)
-    runs = min(32, runs_for(recall, similarity))
+    runs = runs_for(recall, similarity)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     plain = narrow(docs, doc_id="long", text="string").withColumn("text_hash", _text_hash())
     profile = settled(plain.mapInArrow(_profiles(runs), "doc_id long, text_hash long, sig binary, low long, n long, paths array<long>"))
     weights = profile.groupBy("sig").agg(F.count(F.lit(1)).alias("w"), F.min("doc_id").alias("least"), F.max("n").alias("n"), F.first("low").alias("low"))
-    rows = profile.select(F.explode("paths").alias("path"), "low")
+    rows = profile.select(F.explode("paths").alias("path"), "low", "n")
     several = rows.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path")
     met = settled(rows.join(several, "path").distinct())
     sieve = spark.sparkContext.broadcast(build_sieve(met.select("low").distinct(), "low"))
@@ -327,43 +470,23 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TA
     dealt.write.bucketBy(parts, "low").sortBy("low").saveAsTable(name)
     try:
         sets = spark.table(name)
-
-        def edges_of(buckets: DataFrame, labels: DataFrame | None) -> DataFrame:
-            """Spanning links of all buckets ``path, low``, those of one component left out."""
-            found = []
-            for depth in range(DEPTH, MAX_DEPTH + 1):
-                held = buckets.withColumn("known", F.xxhash64("low"))
-                if labels is not None:
-                    held = buckets.join(labels.select(_low("node").alias("low"), "label"), "low", "left")
-                    held = held.select("path", "low", F.xxhash64(F.coalesce(_low("label"), "low")).alias("known"))
-                shares = held.groupBy("path", "known").agg(F.count(F.lit(1)).alias("c"))
-                mixed = shares.groupBy("path").agg(F.sum("c").alias("size"), F.max(F.struct("c", "known")).alias("top"), F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
-                few = (F.col("size") - F.col("top.c")) * F.ceil(F.col("size") / BLOCK) <= 4 * F.col("size")
-                way = F.when(F.col("size") <= SMALL_BUCKET, "whole").when(few, "thin").otherwise("blocks" if depth == MAX_DEPTH else "deeper")
-                mixed = mixed.select("path", "size", F.col("top.known").alias("top"), way.alias("way"))
-                held = settled(held.join(mixed, "path").select(F.col("path").alias("g"), "size", "low", F.lit(None).cast("binary").alias("sig"), F.lit(1).alias("w"), "way", (F.col("known") != F.col("top")).alias("minor")))
-                # Small buckets with the same members are compared once.
-                once = held.where("way = 'whole'").groupBy("g").agg(F.sort_array(F.collect_list("low")).alias("m")).select("m").distinct()
-                once = once.select(F.xxhash64("m").alias("g"), F.size("m").cast("long").alias("size"), F.explode("m").alias("low"), F.lit(None).cast("binary").alias("sig"), F.lit(1).alias("w"), F.lit("whole").alias("way"), F.lit(True).alias("minor"))
-                found.append(settled(_compared(once.union(held.where("way in ('thin', 'blocks')")), sets, threshold, False).distinct()))
-                deeper = held.where("way = 'deeper'")
-                if depth == MAX_DEPTH or not deeper.limit(1).count():
-                    break
-                deeper = deeper.select(F.col("g").alias("path"), "low").join(sets, "low").select("path", "low", "grams")
-                buckets = settled(deeper.mapInArrow(_children, "path long, low long").distinct())
-            return reduce(DataFrame.union, found).distinct()
-
-        first_run = met.where(F.col("path").bitwiseAND(F.lit(31)) == 0)
-        labels = components(edges_of(first_run.groupBy("low").agg(F.min("path").alias("path")).select("path", "low"), None))
-        more = edges_of(met.select("path", "low"), labels)
-        labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b").union(more))
+        first_run = met.where(F.col("path").bitwiseAND(F.lit((1 << RUN_BITS) - 1)) == 0)
+        edges, _ = _edges_of(first_run.groupBy("low", "n").agg(F.min("path").alias("path")).select("path", "low", "n"), None, sets, threshold)
+        labels, buckets = components(edges), met
+        while buckets is not None:
+            edges, buckets = _edges_of(buckets, labels, sets, threshold)
+            if edges.limit(1).count():
+                labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).where("a <> b").union(edges))
 
         members = labels.join(weights.withColumnRenamed("sig", "node"), "node")
-        sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.min("least").alias("class_id"))
-        members = settled(members.join(sizes, "label").select("node", "label", "size", "class_id", "low", "w"))
-        way = F.when(F.col("size") <= SMALL_BUCKET, "whole").otherwise("blocks")
-        grouped = members.select(F.xxhash64("label").alias("g"), "size", "low", F.col("node").alias("sig"), "w", way.alias("way"), F.lit(True).alias("minor"))
-        links = settled(_compared(grouped, sets, threshold, True).groupBy("sig").agg(F.sum("links").alias("links")))
+        sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min("least").alias("class_id"))
+        members = settled(members.join(sizes.withColumn("small", _is_small()), "label").select("node", "label", "size", "shingles", "small", "class_id", "low", "w"))
+        grouped = members.select(F.xxhash64("label").alias("g"), "low", F.col("node").alias("only"), "w", "small", "size", "shingles")
+        counts = _compared(grouped.where("small").select("g", "low", "only", "w"), sets, threshold, True)
+        large = settled(grouped.where("not small").select("g", "size", "shingles").distinct())
+        if large.limit(1).count():
+            counts = counts.union(_links_in_large(grouped.where("not small").select("g", "low", "only", "w"), large, sets, threshold))
+        links = settled(counts.groupBy("sig").agg(F.sum("links").alias("links")))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     of_sig = weights.join(members.select(F.col("node").alias("sig"), "class_id", "label"), "sig", "left").join(links, "sig", "left")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import carried_sums, mix, one_of_each, settled, ship, table, text_chunks, words_of
+from docketlake.llm.common import carried_sums, mix, one_of_each, settled, settled_in_place, ship, table, text_chunks, words_of
 
 WEIGHTS = (1, 2, 3)
 MOST_PASSES = 3
@@ -120,7 +120,7 @@ def placed_rows(sized: DataFrame, plan: Plan) -> DataFrame:
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     known = sized.join(numbers.withColumnRenamed("source", "_s"), F.col("source").eqNullSafe(F.col("_s"))).drop("_s", "source")
     order = ["source_no", "doc_id", "size", "text_hash"]
-    dealt = settled(known.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("pid", F.spark_partition_id()))
+    dealt = settled_in_place(known.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("pid", F.spark_partition_id()))
     sums = dealt.groupBy("pid", "source_no").agg(F.sum("size").alias("size")).toPandas()
     before = spark.sparkContext.broadcast(carried_sums(spark, sums, "source_no", "size"))
     at = [dealt.columns.index(c) for c in ("doc_id", "source_no", "size", "text_hash", "pid")]

@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import settled, ship, table
+from docketlake.llm.common import settled_in_place, ship, table
 
 #: Headers of a 304 that say nothing about the stored response: of the connection, or of the body it does not have.
 NOT_MERGED = (
@@ -43,7 +43,7 @@ def latest_earlier(events: DataFrame) -> DataFrame:
     ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", "at", "full", "record_id"]
-    dealt = settled(events.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("pid", F.spark_partition_id()))
+    dealt = settled_in_place(events.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("pid", F.spark_partition_id()))
 
     def ends(batches):
         key, response, pid = None, None, None

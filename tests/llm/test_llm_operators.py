@@ -122,14 +122,43 @@ def test_jaccard_join(docs, clashing, no_docs, rows):
     assert jaccard_join.similar_groups(no_docs).count() == 0
 
 
-@pytest.mark.parametrize(("small", "block", "depth"), [(4, 4, 2), (6, 5, 4)])
-def test_large_buckets(docs, rows, monkeypatch, small, block, depth):
-    monkeypatch.setattr(jaccard_join, "SMALL_BUCKET", small)
-    monkeypatch.setattr(jaccard_join, "BLOCK", block)
-    monkeypatch.setattr(jaccard_join, "MAX_DEPTH", depth)
+@pytest.mark.parametrize(("small", "block", "centre", "salt"), [(4, 4, 64, 2), (2, 3, 5, 1000)])
+def test_large_buckets(docs, rows, monkeypatch, small, block, centre, salt):
+    for name, value in (("SMALL_BUCKET", small), ("BLOCK", block), ("CENTRE_SETS", centre), ("SALT_SETS", salt)):
+        monkeypatch.setattr(jaccard_join, name, value)
     assert tuples(jaccard_join.similar_groups(docs), "doc_id", "class_id", "n_links") == brute_jaccard(rows)
 
 
+def test_families_that_links_chain(spark, monkeypatch):
+    """Texts that move away from each other step by step, texts with many edits, and texts that share a passage only."""
+    r = random.Random(8)
+    word = lambda: f"w{r.randrange(5000)}"
+    base = [word() for _ in range(150)]
+    texts, at = [], base[:]
+    for i in range(30):
+        at = at[:]
+        at[(7 * i) % 150] = word()
+        texts.append(at)
+    for _ in range(60):
+        edited = base[:]
+        for _ in range(r.randrange(5)):
+            edited[r.randrange(150)] = word()
+        texts.append(edited)
+    for _ in range(40):
+        texts.append([*base[:60], *[word() for _ in range(r.randint(1, 120))]])
+    rows = [(i, " ".join(t), None, None, 0) for i, t in enumerate(texts)]
+    monkeypatch.setattr(jaccard_join, "SMALL_BUCKET", 8)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 16)
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert tuples(jaccard_join.similar_groups(df), "doc_id", "class_id", "n_links") == brute_jaccard(rows)
+
+
+def test_runs_do_not_run_out():
+    assert jaccard_join.runs_for(0.9999, 0.2) > 8
+    with pytest.raises(ValueError, match="runs"):
+        jaccard_join.runs_for(0.9999, 0.02)
+
+
 def test_recall_at_the_threshold():
     """Pairs of similarity 0.8 meet on a path of some run."""
     r = np.random.default_rng(2)
