@@ -199,7 +199,10 @@ def _batched(pairs, names: tuple[str, str], kinds: tuple, size: int = 1 << 14):
 
 
 def _compare(threshold: Fraction, count_links: bool):
-    """Compares all sets of each group: ``g, sig, w, grams`` to edges ``a, b`` that span the links, or ``sig, links``."""
+    """Compares all sets of each group: ``g, sig, w, grams`` to ``sig, links``, or to edges ``a, b`` between sets of different w.
+
+    Sets of equal w belong together already; the edges span what links join beyond that.
+    """
 
     def finish(rows):
         sigs = [r[0] for r in rows]
@@ -213,7 +216,8 @@ def _compare(threshold: Fraction, count_links: bool):
             weight = np.array([r[1] for r in rows], dtype=np.int64)
             total = np.bincount(a, weight[b], len(sigs)) + np.bincount(b, weight[a], len(sigs))
             return [(sigs[i], int(total[i])) for i in np.flatnonzero(total)]
-        root, out = list(range(len(sigs))), []
+        first: dict[int, int] = {}
+        root, out = [first.setdefault(r[1], i) for i, r in enumerate(rows)], []
 
         def find(x):
             while root[x] != x:
@@ -221,7 +225,8 @@ def _compare(threshold: Fraction, count_links: bool):
                 x = root[x]
             return x
 
-        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+        apart = np.array(root)[a] != np.array(root)[b]
+        for x, y in zip(a[apart].tolist(), b[apart].tolist(), strict=True):
             p, q = find(x), find(y)
             if p != q:
                 root[max(p, q)] = min(p, q)
@@ -264,11 +269,11 @@ def _differences(threshold: Fraction, sample: bool):
                 apart = np.setxor1d(x, c, assume_unique=True)
                 fs.append(b * len(apart) - a * len(x))
                 if sample:
-                    salt = mix(np.array([g], dtype=np.int64).view(np.uint64))
-                    token = mix(apart ^ salt)
-                    if 2 * len(apart) > len(x):
-                        token = token[token <= np.uint64(min(BRANCHING / len(apart), 1.0) * (2**64 - 2048))]
-                    apart = mix(token + salt)
+                    most = len(x) * a / threshold.numerator
+                    if len(apart) > 1.2 * most:
+                        token = mix(apart ^ mix(np.array([g], dtype=np.int64).view(np.uint64)))
+                        apart = apart[token <= np.uint64(min(BRANCHING / (len(apart) - most), 1.0) * (2**64 - 2048))]
+                    apart = mix(apart + mix(c[:1] + c.sum(dtype=np.uint64) if len(c) else np.zeros(1, dtype=np.uint64)))
                 keys.append(np.sort(apart.view(np.int64)))
                 counts.append(counts[-1] + len(apart))
             listed = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(np.concatenate(keys)))
@@ -294,9 +299,10 @@ def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fr
     linked if and only if f(x) + f(y) <= 18 |D(x) n D(y)| with f(x) = 9 |D(x)| - |x|. Thus pairs with f(x) + f(y) <= 0 are linked whatever the
     rest, and others only if they share a shingle of D. This holds for any centre, so a sample may choose it.
 
-    ``keys`` are the shingles of D(x). With ``sample`` they are keys of buckets to go on with: all of D(x) where it is at
-    most half as large as x, else each with a probability of 2 / |D(x)|. Linked sets x, y of the latter kind share at
-    least |D(x)| - |x| / 4 shingles of D(x), so one chosen one on average at least.
+    ``keys`` are the shingles of D(x). With ``sample`` they are keys of buckets to go on with: all of D(x) where it has at
+    most 0.3 |x| shingles, else each with a probability of 2 / (|D(x)| - |x| / 4). Sets that are linked to x share all of
+    D(x) with it but |x| / 4 shingles, so two chosen ones on average at least, less where they differ in size. The key
+    has the centre in it, not the group, so that groups of one family with the same centre go on as one.
     """
     share = F.least(F.lit(1.0), F.greatest(F.lit(8.0), F.least(F.lit(float(CENTRE_SETS)), SMALL_SHINGLES * F.col("size") / F.col("shingles"))) / F.col("size"))
     drawn = members.join(sizes.select("g", share.alias("share")), "g").where(F.pmod(F.xxhash64("g", "low"), F.lit(1 << 30)) <= F.col("share") * (1 << 30))
@@ -420,7 +426,7 @@ def _is_small():
     return (F.col("size") == 2) | ((F.col("size") <= SMALL_BUCKET) & (F.col("shingles") <= SMALL_SHINGLES))
 
 
-def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, threshold: Fraction) -> tuple[DataFrame, DataFrame | None]:
+def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, threshold: Fraction, further: bool = True) -> tuple[DataFrame, DataFrame | None]:
     """Spanning links ``a, b`` of the buckets ``path, low, n``, and the buckets that large ones split into, if any.
 
     Buckets of one component, by ``labels``, are left out.
@@ -433,8 +439,8 @@ def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, thr
     # Buckets with the same members are looked at once.
     mixed = shares.groupBy("size", "shingles", "x0", "x1").agg(F.min("path").alias("g"))
     mixed = settled(mixed.select("g", "size", "shingles", _is_small().alias("small")))
-    held = settled(buckets.withColumnRenamed("path", "g").join(mixed, "g"))
-    once = held.where("small").select("g", "low", F.lit(None).cast("binary").alias("only"), F.lit(1).cast("long").alias("w"))
+    held = settled(held.withColumnRenamed("path", "g").join(mixed, "g"))
+    once = held.where("small").select("g", "low", F.lit(None).cast("binary").alias("only"), F.col("known").alias("w"))
     edges = _compared(once, sets, threshold, False)
     large = mixed.where("not small")
     if not large.limit(1).count():
@@ -443,10 +449,14 @@ def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, thr
     deltas = settled(_deltas(members, large.select("g", "size", "shingles"), sets, threshold, sample=True))
     known = settled(_salted(deltas, _extremes(deltas)))
     star = known.where((F.col("f") + F.col("least.f") <= 0) & (F.col("sig") != F.col("least.sig"))).select(F.col("least.sig").alias("a"), F.col("sig").alias("b"))
-    split = known.where("f + most > 0").select(F.explode("keys").alias("path"), "low")
+    edges = settled(edges.union(star).distinct())
+    if not further:
+        return edges, None
+    # A bucket all of whose sets are linked to the least is done.
+    split = known.where("least.f + most > 0 and f + most > 0").select(F.explode("keys").alias("path"), "low")
     counted = held.select("low", "n").distinct()
     split = settled(split.join(split.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path"), "path").distinct().join(counted, "low").select("path", "low", "n"))
-    return settled(edges.union(star).distinct()), split
+    return edges, split
 
 
 def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TARGET_RECALL) -> DataFrame:
@@ -471,7 +481,7 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TA
     try:
         sets = spark.table(name)
         first_run = met.where(F.col("path").bitwiseAND(F.lit((1 << RUN_BITS) - 1)) == 0)
-        edges, _ = _edges_of(first_run.groupBy("low", "n").agg(F.min("path").alias("path")).select("path", "low", "n"), None, sets, threshold)
+        edges, _ = _edges_of(first_run.groupBy("low", "n").agg(F.min("path").alias("path")).select("path", "low", "n"), None, sets, threshold, further=False)
         labels, buckets = components(edges), met
         while buckets is not None:
             edges, buckets = _edges_of(buckets, labels, sets, threshold)
