@@ -256,43 +256,46 @@ def _majority(batches):
 
 
 def _differences(threshold: Fraction, sample: bool):
-    """``g, low, sig, w, grams, centre`` to ``g, low, sig, w, f, keys``: see ``_deltas``."""
+    """``g, low, sig, w, size, grams, centre`` to ``g, low, sig, w, size, f, by, keys``: see ``_deltas``."""
     a, b = threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fs, counts, keys = [], [0], []
-            for g, grams, centre in zip(batch.column(0).to_pylist(), batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+            fs, counts, keys, bys = [], [0], [], []
+            for g, grams, centre in zip(batch.column(0).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True):
                 x, c = np.frombuffer(grams, dtype=np.uint64), np.frombuffer(centre or b"", dtype=np.uint64)
                 apart = np.setxor1d(x, c, assume_unique=True)
                 fs.append(b * len(apart) - a * len(x))
+                by = mix(c[:1] + c.sum(dtype=np.uint64) if len(c) else np.zeros(1, dtype=np.uint64))
                 if sample:
-                    most = len(x) * a / threshold.numerator
+                    most, named = len(x) * a / threshold.numerator, by
                     if len(apart) > 1.2 * most:
-                        token = mix(apart ^ mix(np.array([g], dtype=np.int64).view(np.uint64)))
-                        apart = apart[token <= np.uint64(min(BRANCHING / (len(apart) - most), 1.0) * (2**64 - 2048))]
-                    apart = mix(apart + mix(c[:1] + c.sum(dtype=np.uint64) if len(c) else np.zeros(1, dtype=np.uint64)))
+                        by = mix(by ^ np.array([g], dtype=np.int64).view(np.uint64))
+                        apart = apart[mix(apart ^ by) <= np.uint64(min(BRANCHING / (len(apart) - most), 1.0) * (2**64 - 2048))]
+                    apart = mix(apart + named)
+                bys.append(int(by.view(np.int64)[0]))
                 keys.append(np.sort(apart.view(np.int64)))
                 counts.append(counts[-1] + len(apart))
             listed = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(np.concatenate(keys)))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(fs, pa.int64()), listed], ["g", "low", "sig", "w", "f", "keys"])
+            columns = [*batch.columns[:5], pa.array(fs, pa.int64()), pa.array(bys, pa.int64()), listed]
+            yield pa.RecordBatch.from_arrays(columns, ["g", "low", "sig", "w", "size", "f", "by", "keys"])
 
     return run
 
 
 def _salted(rows: DataFrame, facts: DataFrame) -> DataFrame:
-    """``rows`` (``g, low, ..``) with the columns of ``facts`` (``g, size, ..``, a row for each g), however hot a g is."""
+    """``rows`` (``g, size, low, ..``) with the columns of ``facts`` (``g, size, ..``, a row for each g), however hot a g is."""
     salts = F.ceil(F.col("size") / SALT_SETS).cast("int")
-    spread = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-    sizes = facts.select("g", salts.alias("_salts"))
-    placed = rows.join(F.broadcast(sizes), "g") if sizes.count() <= 10_000 else rows.join(sizes, "g")
-    return placed.withColumn("_salt", F.pmod(F.xxhash64("low"), F.col("_salts")).cast("int")).drop("_salts").join(spread, ["g", "_salt"]).drop("_salt")
+    spread = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("size")
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("low"), salts).cast("int")).join(spread, ["g", "_salt"]).drop("_salt")
 
 
 def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fraction, sample: bool) -> DataFrame:
-    """``g, low, sig, w, f, keys`` of the members (``g, low, only, w``) of large groups; ``sizes``: ``g, size, shingles``.
+    """``g, low, sig, w, size, f, by, keys`` of the members (``g, size, shingles, low, only, w``) of large groups.
+
+    ``sizes`` (``g, size``) has a row for each group, of ``size`` members and ``shingles`` together.
 
     A group has a centre: the shingles of more than half of some 64 of its sets. D(x) are the shingles by which a set x
     differs from it. Two sets differ by |D(x)| + |D(y)| - 2 |D(x) n D(y)| shingles, so at a similarity of 4/5 they are
@@ -305,11 +308,12 @@ def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fr
     has the centre in it, not the group, so that groups of one family with the same centre go on as one.
     """
     share = F.least(F.lit(1.0), F.greatest(F.lit(8.0), F.least(F.lit(float(CENTRE_SETS)), SMALL_SHINGLES * F.col("size") / F.col("shingles"))) / F.col("size"))
-    drawn = members.join(sizes.select("g", share.alias("share")), "g").where(F.pmod(F.xxhash64("g", "low"), F.lit(1 << 30)) <= F.col("share") * (1 << 30))
+    drawn = members.where(F.pmod(F.xxhash64("g", "low"), F.lit(1 << 30)) <= share * (1 << 30))
     held = drawn.join(sets, "low").where("only is null or only = sig").groupBy("g").agg(F.collect_list("grams").alias("held"))
     centres = settled(held.mapInArrow(_majority, "g long, centre binary"))
     whole = _salted(members, sizes.join(centres, "g", "left").select("g", "size", "centre")).join(sets, "low").where("only is null or only = sig")
-    return whole.select("g", "low", "sig", "w", "grams", "centre").mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, f long, keys array<long>")
+    whole = whole.select("g", "low", "sig", "w", "size", "grams", "centre")
+    return whole.mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, size long, f long, by long, keys array<long>")
 
 
 def _extremes(deltas: DataFrame) -> DataFrame:
@@ -445,15 +449,15 @@ def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, thr
     large = mixed.where("not small")
     if not large.limit(1).count():
         return settled(edges.distinct()), None
-    members = held.where("not small").select("g", "low", F.lit(None).cast("binary").alias("only"), F.lit(1).cast("long").alias("w"))
-    deltas = settled(_deltas(members, large.select("g", "size", "shingles"), sets, threshold, sample=True))
+    members = held.where("not small").select("g", "size", "shingles", "low", F.lit(None).cast("binary").alias("only"), F.lit(1).cast("long").alias("w"))
+    deltas = settled(_deltas(members, large.select("g", "size"), sets, threshold, sample=True))
     known = settled(_salted(deltas, _extremes(deltas)))
     star = known.where((F.col("f") + F.col("least.f") <= 0) & (F.col("sig") != F.col("least.sig"))).select(F.col("least.sig").alias("a"), F.col("sig").alias("b"))
     edges = settled(edges.union(star).distinct())
     if not further:
         return edges, None
     # A bucket all of whose sets are linked to the least is done.
-    split = known.where("least.f + most > 0 and f + most > 0").select(F.explode("keys").alias("path"), "low")
+    split = known.where("least.f + most > 0 and f + most > 0").groupBy("by", "low").agg(F.first("keys").alias("keys")).select(F.explode("keys").alias("path"), "low")
     counted = held.select("low", "n").distinct()
     split = settled(split.join(split.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path"), "path").distinct().join(counted, "low").select("path", "low", "n"))
     return edges, split
@@ -493,9 +497,9 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TA
         members = settled(members.join(sizes.withColumn("small", _is_small()), "label").select("node", "label", "size", "shingles", "small", "class_id", "low", "w"))
         grouped = members.select(F.xxhash64("label").alias("g"), "low", F.col("node").alias("only"), "w", "small", "size", "shingles")
         counts = _compared(grouped.where("small").select("g", "low", "only", "w"), sets, threshold, True)
-        large = settled(grouped.where("not small").select("g", "size", "shingles").distinct())
+        large = settled(grouped.where("not small").select("g", "size").distinct())
         if large.limit(1).count():
-            counts = counts.union(_links_in_large(grouped.where("not small").select("g", "low", "only", "w"), large, sets, threshold))
+            counts = counts.union(_links_in_large(grouped.where("not small").select("g", "size", "shingles", "low", "only", "w"), large, sets, threshold))
         links = settled(counts.groupBy("sig").agg(F.sum("links").alias("links")))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
