@@ -15,14 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from docketlake.llm.common import narrow, ship, table, text_chunks
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
-#: Distinct pieces that a worker remembers before it starts afresh.
-CACHE_PIECES = 1 << 18
+#: Distinct pieces, and their bytes, that a worker remembers before it starts afresh.
+CACHE_PIECES, CACHE_BYTES = 1 << 18, 1 << 25
 
-OTHER, LETTER, NUMBER, SPACE, WHITE, MARK, TAIL = range(7)
 #: White space other than U+0020.
 _WHITE = [*range(0x09, 0x0E), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
-#: What may follow an apostrophe in a contraction.
-_ONE, _TWO = "stmd", ("re", "ve", "ll")
+#: Classes of code points. After an apostrophe s, t, m, d end a contraction; r and v do with e, l does with l.
+OTHER, LETTER, NUMBER, SPACE, WHITE, APOSTROPHE, ENDS, RV, E, L = range(10)
+_LETTERS = (LETTER, ENDS, RV, E, L)
 
 _LOADED: dict = {}
 
@@ -33,27 +33,67 @@ def codepoint_classes() -> np.ndarray:
         kinds = {"L": LETTER, "N": NUMBER}
         classes = np.fromiter((kinds.get(unicodedata.category(chr(i))[0], OTHER) for i in range(0x110000)), dtype=np.uint8, count=0x110000)
         classes[_WHITE] = WHITE
-        classes[0x20] = SPACE
+        for kind, of in ((SPACE, " "), (APOSTROPHE, "'"), (ENDS, "stmd"), (RV, "rv"), (E, "e"), (L, "l")):
+            classes[[ord(c) for c in of]] = kind
         _LOADED["classes"] = classes
     return _LOADED["classes"]
 
 
-# States say what the character before belongs to. Each class acts on them as a function; functions compose, and
-# composition is associative, so a scan gives the state before every character.
-_STATES = 6
-_START, _IN_OTHER, _IN_LETTERS, _IN_NUMBERS, _AFTER_SPACE, _AFTER_WHITE = range(_STATES)
-_ACTS = {OTHER: _IN_OTHER, LETTER: _IN_LETTERS, NUMBER: _IN_NUMBERS, SPACE: _AFTER_SPACE, WHITE: _AFTER_WHITE, MARK: _START, TAIL: _START}
-
-
-def _monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The functions that compositions of the classes' functions can be: by class, composition table, action on states."""
-    functions = [tuple(range(_STATES)), *dict.fromkeys((to,) * _STATES for to in _ACTS.values())]
-    of_class = np.array([functions.index((_ACTS[c],) * _STATES) for c in range(len(_ACTS))], dtype=np.uint8)
-    then = np.array([[functions.index(tuple(g[x] for x in f)) for g in functions] for f in functions], dtype=np.uint8)
-    return of_class, then, np.array(functions, dtype=np.uint8)
+# A state says what the characters before may go on as: nothing (at a text's start, or after a contraction); a run of
+# letters, numbers or others; a white run of one or of more characters whose last is a space or is not; an apostrophe
+# that opened its piece; and an r or v, or an l, right after that one.
+_STATES = 11
+START, IN_LETTERS, IN_NUMBERS, IN_OTHER, SPACE_1, SPACE_2, WHITE_1, WHITE_2, QUOTE, QUOTE_RV, QUOTE_L = range(_STATES)
+_RUN = {LETTER: IN_LETTERS, NUMBER: IN_NUMBERS, OTHER: IN_OTHER}
+#: What a step says about boundaries: before this character, before the one ahead of it, or not before that one after all.
+HERE, BACK, UNDO = 1, 2, 4
+
+
+def _step(state: int, kind: int) -> tuple[int, int]:
+    """The state after a character of the class, and what that says."""
+    spaces, whites = (SPACE_1, SPACE_2), (WHITE_1, WHITE_2)
+    if kind in (SPACE, WHITE):
+        one, more = spaces if kind == SPACE else whites
+        return (more, 0) if state in spaces + whites else (one, HERE)
+    if (state, kind) in ((QUOTE_RV, E), (QUOTE_L, L)):
+        return START, UNDO
+    if state == QUOTE and kind == ENDS:
+        return START, 0
+    said = BACK if state in (SPACE_2, WHITE_2) else 0
+    if kind == APOSTROPHE:
+        if state in (IN_OTHER, QUOTE, *spaces):
+            return IN_OTHER, said
+        return QUOTE, said | HERE
+    if state == QUOTE and kind in (RV, L):
+        return QUOTE_RV if kind == RV else QUOTE_L, HERE
+    run = _RUN[LETTER if kind in _LETTERS else kind]
+    goes_on = state in spaces or state == run or (run == IN_LETTERS and state in (QUOTE_RV, QUOTE_L)) or (run == IN_OTHER and state == QUOTE)
+    return run, said | (0 if goes_on else HERE)
+
+
+def _monoid() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All functions on states that classes and their compositions are.
+
+    The function of each class (and, ten further on, of each class at a text's start), the composition table, each
+    function's action on states, and what a class says in a state.
+    """
+    own = [tuple(_step(s, k)[0] for s in range(_STATES)) for k in range(10)]
+    own += [(_step(START, k)[0],) * _STATES for k in range(10)]
+    functions = list(dict.fromkeys([tuple(range(_STATES)), *own]))
+    number = {f: i for i, f in enumerate(functions)}
+    for f in functions:
+        for g in own:
+            made = tuple(g[x] for x in f)
+            if made not in number:
+                number[made] = len(functions)
+                functions.append(made)
+    then = np.array([[number[tuple(g[x] for x in f)] for g in functions] for f in functions], dtype=np.uint8)
+    said = np.array([[_step(s, k)[1] for k in range(10)] for s in range(_STATES)], dtype=np.uint8)
+    return np.array([number[f] for f in own], dtype=np.uint8), then, np.array(functions, dtype=np.uint8), said
 
 
-_OF_CLASS, _THEN, _ACTION = _monoid()
+_OF_CLASS, _THEN, _ACTION, _SAID = _monoid()
+_FLAT, _M = _THEN.ravel(), np.uint16(len(_THEN))
 
 
 def scan(functions: np.ndarray, width: int = 128) -> np.ndarray:
@@ -69,56 +109,34 @@ def scan(functions: np.ndarray, width: int = 128) -> np.ndarray:
     grid = np.zeros(rows * width, dtype=np.uint8)
     grid[:n] = functions
     columns = np.ascontiguousarray(grid.reshape(rows, width).T)
-    flat, m = _THEN.ravel(), np.uint8(len(_THEN))
     for j in range(1, width):
-        columns[j] = flat[columns[j - 1] * m + columns[j]]
+        columns[j] = _FLAT[columns[j - 1] * _M + columns[j]]
     before = np.zeros(rows, dtype=np.uint8)
     before[1:] = scan(columns[-1].copy(), width)[:-1]
-    return np.ascontiguousarray(flat[before[None, :] * m + columns].T).ravel()[:n]
+    return np.ascontiguousarray(_FLAT[(before * _M)[None, :] + columns].T).ravel()[:n]
 
 
 def token_starts(points: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """Where the pieces of the pattern start: ``points`` are the code points of texts that begin at ``firsts``."""
+    """Where the pieces of the pattern start: ``points`` are the code points of texts that begin at ``firsts``.
+
+    A scan gives the state before each character; state and class say where boundaries are.
+    """
     n = len(points)
+    if not n:
+        return np.zeros(0, dtype=np.int64)
     kind = codepoint_classes()[points]
-    begins = np.zeros(n + 1, dtype=bool)
-    begins[firsts[firsts <= n]] = True
-    begins[n] = True
-    opens = begins[:n]
-
-    # Contractions: an apostrophe where a piece starts, before one of the fixed endings within the text.
-    marks = np.flatnonzero(points == 0x27)
-    if len(marks):
-        before = np.where(opens[marks], _START, kind[marks - 1])
-        marks = marks[(before != OTHER) & (before != SPACE) | opens[marks]]
-        follow = np.zeros((2, len(marks)), dtype=np.uint32)
-        for i in (0, 1):
-            inside = (marks + i + 1 < n) & ~begins[np.minimum(marks + i + 1, n)] & (~begins[np.minimum(marks + 1, n)])
-            follow[i, inside] = points[marks[inside] + i + 1]
-        one = np.isin(follow[0], [ord(c) for c in _ONE])
-        two = np.zeros(len(marks), dtype=bool)
-        for a, b in _TWO:
-            two |= (follow[0] == ord(a)) & (follow[1] == ord(b))
-        kind[marks[one | two]] = MARK
-        kind[marks[one | two] + 1] = TAIL
-        kind[marks[two] + 2] = TAIL
-
-    state = np.zeros(n, dtype=np.uint8)
-    if n > 1:
-        state[1:] = _ACTION[scan(_OF_CLASS[kind]), _START][:-1]
-    state[opens] = _START
-    white = (kind == SPACE) | (kind == WHITE)
-    ends_run = np.ones(n, dtype=bool)
-    ends_run[:-1] = ~white[1:]
-    ends_text = begins[1:]
-    fresh = np.ones(n, dtype=bool)
-    for c, own in ((LETTER, _IN_LETTERS), (NUMBER, _IN_NUMBERS), (OTHER, _IN_OTHER)):
-        of = kind == c
-        fresh[of] = (state[of] != own) & (state[of] != _AFTER_SPACE)
-    fresh[kind == TAIL] = False
-    inner = white & ((state == _AFTER_SPACE) | (state == _AFTER_WHITE))
-    fresh[inner] = (ends_run & ~ends_text)[inner]
-    return np.flatnonzero(fresh | opens)
+    opens = np.zeros(n + 1, dtype=bool)
+    opens[firsts] = True
+    opens = opens[:n]
+    states = _ACTION[:, START][scan(_OF_CLASS[kind + np.uint8(10) * opens])]
+    before = np.empty(n, dtype=np.uint8)
+    before[0], before[1:] = START, states[:-1]
+    before[opens] = START
+    said = _SAID.ravel()[before * np.uint8(10) + kind]
+    starts = (said & HERE).astype(bool)
+    starts[:-1] |= (said[1:] & BACK).astype(bool)
+    starts[:-1] &= (said[1:] & UNDO) == 0
+    return np.flatnonzero(starts | opens)
 
 
 def load_ranks(name: str = RANKS) -> dict[bytes, int]:
@@ -192,6 +210,7 @@ class Encoder:
 
     def forget(self) -> None:
         self.piece_number: dict[bytes, int] = {}
+        self.piece_bytes = 0
         self.flat, self.starts = np.zeros(1 << 16, dtype=np.uint32), np.zeros((1 << 16) + 1, dtype=np.int64)
 
     def _learn(self, pieces: list[bytes]) -> None:
@@ -208,6 +227,7 @@ class Encoder:
             self.flat[at : at + len(ids)] = ids
             at += len(ids)
             known[piece] = n
+            self.piece_bytes += len(piece)
             self.starts[n + 1] = at
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -220,7 +240,7 @@ class Encoder:
         cuts = at.tolist()
         cuts.append(len(raw))
         pieces = [raw[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
-        if len(self.piece_number) > CACHE_PIECES:
+        if len(self.piece_number) > CACHE_PIECES or self.piece_bytes > CACHE_BYTES:
             self.forget()
         numbers = list(map(self.piece_number.get, pieces))
         if None in numbers:

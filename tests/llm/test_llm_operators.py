@@ -453,6 +453,27 @@ def test_scan_is_the_running_composition():
         acc = byte_bpe._THEN[acc, x]
         want.append(acc)
     assert byte_bpe.scan(f, 16).tolist() == want
+    assert len({tuple(x) for x in byte_bpe._ACTION.tolist() if len(set(x)) > 1}) > 10
+
+
+def test_boundaries_need_the_scan(reference_encoding, monkeypatch):
+    """With each character's own function in place of the running composition, pieces come out wrong."""
+    text = "we're  they'll 'really' x''s \n\n a"
+    data, offsets = common.string_buffers(pa.array([text]))
+    points, firsts = np.array([ord(c) for c in text]), np.array([0])
+    right = byte_bpe.token_starts(points, firsts).tolist()
+    assert byte_bpe.encoder().encode(data, offsets)[0].tolist() == reference_encoding.encode_ordinary(text)
+    monkeypatch.setattr(byte_bpe, "scan", lambda functions, width=128: functions)
+    assert byte_bpe.token_starts(points, firsts).tolist() != right
+
+
+def test_caches_are_bounded_by_bytes(reference_encoding, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 100)
+    coder = byte_bpe.Encoder()
+    for i in range(20):
+        text = f"{'xyz' * 20}{i} word{i}"
+        assert coder.encode(*common.string_buffers(pa.array([text])))[0].tolist() == reference_encoding.encode_ordinary(text)
+        assert coder.piece_bytes < 300
 
 
 def test_round_trip(docs, clashing, no_docs, rows, reference_encoding):
