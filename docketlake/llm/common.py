@@ -6,7 +6,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -174,11 +173,15 @@ def build_sieve(df: DataFrame, column: str, bits: int = 1 << 24) -> Sieve:
     return Sieve(bits, words)
 
 
-def carried_sums(spark: SparkSession, sums: pd.DataFrame, key: str, value: str) -> dict[tuple[int, str], int]:
-    """What stands before each (partition, key) in partition order. ``sums`` holds one row for each pair."""
-    sums = sums.sort_values([key, "pid"], kind="stable")
-    before = sums.groupby(key, dropna=False)[value].cumsum() - sums[value]
-    return {(int(p), k): int(b) for p, k, b in zip(sums["pid"], sums[key], before, strict=True)}
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """Column names like the given ones that ``df`` does not have in any spelling."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while (name := f"_{name}") in taken:
+            pass
+        out.append(name)
+    return out
 
 
 def one_of_each(df: DataFrame, repeated: DataFrame, same: Column, key: list[str]) -> DataFrame:

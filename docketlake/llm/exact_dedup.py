@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import build_sieve, narrow, one_of_each, settled, ship, table, text_bytes
+from docketlake.llm.common import build_sieve, fresh, narrow, one_of_each, settled, ship, table, text_bytes
 from docketlake.llm.cqf import CountingQuotientFilter
 
 WHITE = b"\x20\x09\x0a\x0b\x0c\x0d"
@@ -138,15 +138,14 @@ def without_copies(docs: DataFrame) -> DataFrame:
 
     Of rows that repeat both doc_id and text one stays. Text that is null stays null.
     """
-    gone, points = "_gone", "_points"
-    groups = settled(dedup_groups(docs).select("doc_id", "text_sha256", "n_points", "kept"))
-    key = groups.select(F.col("doc_id").alias("_doc"), F.col("text_sha256").alias("_sha"), F.col("n_points").alias(points), F.lit(True).alias(gone), "kept")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    marked = docs.withColumns({"_key_sha": F.sha2(F.translate(text, WHITE.decode(), ""), 256), "_key_points": F.length(text).cast("long")})
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key_sha") == F.col("_sha")) & (F.col("_key_points") == F.col(points))
-    left = marked.join(key.where(~F.col("kept")).drop("kept").distinct(), same, "left_anti")
-    repeated = settled(key.where("kept").groupBy("_doc", "_sha", points).count().where("count > 1").drop("count"))
-    return one_of_each(left, repeated, same, ["doc_id", "_key_sha"]).drop("_key_sha", "_key_points")
+    doc, sha, points, own_sha, own_points = fresh(docs, "doc", "sha", "points", "key_sha", "key_points")
+    groups = settled(dedup_groups(docs).select(F.col("doc_id").alias(doc), F.col("text_sha256").alias(sha), F.col("n_points").alias(points), F.col("kept").alias("kept")))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    marked = docs.withColumns({own_sha: F.sha2(F.translate(text, WHITE.decode(), ""), 256), own_points: F.length(text).cast("long")})
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own_sha) == F.col(sha)) & (F.col(own_points) == F.col(points))
+    left = marked.join(groups.where(~F.col("kept")).drop("kept").distinct(), same, "left_anti")
+    repeated = settled(groups.where("kept").groupBy(doc, sha, points).count().where("count > 1").drop("count"))
+    return one_of_each(left, repeated, same, ["doc_id", own_sha]).drop(own_sha, own_points)
 
 
 OP1_SQL = """

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import build_sieve, mix, narrow, one_of_each, settled, ship, table, text_chunks, words_of
+from docketlake.llm.common import build_sieve, fresh, mix, narrow, one_of_each, settled, ship, table, text_chunks, words_of
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -531,13 +531,13 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("a"), "doc_id", "text_hash")
     leaders = classes.groupBy("class_key").agg(F.min(order).alias("first"))
     own = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
-    key = classes.join(leaders, "class_key").select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), own.alias("_own"))
-    key = settled(key)
-    gone = key.where(~F.col("_own")).select("_doc", "_hash").distinct()
-    repeated = settled(key.where("_own").groupBy("_doc", "_hash").count().where("count > 1").drop("count"))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key_hash") == F.col("_hash"))
-    left = docs.withColumn("_key_hash", _text_hash()).join(gone, same, "left_anti")
-    return one_of_each(left, repeated, same, ["doc_id", "_key_hash"]).drop("_key_hash")
+    doc, hashed, kept, own_hash = fresh(docs, "doc", "hash", "kept", "key_hash")
+    key = settled(classes.join(leaders, "class_key").select(F.col("doc_id").alias(doc), F.col("text_hash").alias(hashed), own.alias(kept)))
+    gone = key.where(~F.col(kept)).select(doc, hashed).distinct()
+    repeated = settled(key.where(F.col(kept)).groupBy(doc, hashed).count().where("count > 1").drop("count"))
+    same = F.col("doc_id").eqNullSafe(F.col(doc)) & (F.col(own_hash) == F.col(hashed))
+    left = docs.withColumn(own_hash, _text_hash()).join(gone, same, "left_anti")
+    return one_of_each(left, repeated, same, ["doc_id", own_hash]).drop(own_hash)
 
 
 OP2_SQL = """

@@ -352,12 +352,21 @@ def test_labelled_sample_is_bounded(spark, docs):
 # 6: mixing.
 
 
-def test_targets():
-    got = mixing.targets_of([10, 100, 100, 1000], [1, 2, 3, 1])
-    assert got[0] == 30 and sum(got) == pytest.approx(1210)
-    assert all(t <= 3 * s + 1e-9 for t, s in zip(got, [10, 100, 100, 1000], strict=True))
-    assert mixing.targets_of([0, 5], [1, 2]) == [0, 5]
-    assert mixing.targets_of([0], [1]) == [0]
+def brute_targets(sizes):
+    """Shares by weights 1, 2, 3 of all sizes, a source stopping at three times its size; by bisection of the level."""
+    weights, total = [1 + i % 3 for i in range(len(sizes))], sum(sizes)
+    low, high = 0.0, 3.0 * max([total, 1])
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(3 * n, w * level) for n, w in zip(sizes, weights, strict=True)) < total else (low, level)
+    return [min(3 * n, w * high) for n, w in zip(sizes, weights, strict=True)]
+
+
+@pytest.mark.parametrize("sizes", [[10, 100, 100, 1000], [0, 5], [0], [100, 100], [300, 300, 300], [1, 2, 3, 4, 5, 6, 7], []])
+def test_targets(spark, sizes):
+    sources = spark.createDataFrame([(f"s{i}", n, i, 1 + i % 3) for i, n in enumerate(sizes)], "source string, size long, source_no long, weight int")
+    got = [r.target for r in mixing.with_targets(sources).orderBy("source_no").collect()]
+    assert got == pytest.approx(brute_targets(sizes), abs=1e-6)
 
 
 @given(st.integers(1, 700), st.integers(0, 99))
@@ -366,50 +375,71 @@ def test_permutation(n, key):
     assert sorted(mixing.permuted(np.arange(n), n, key)) == list(range(n))
 
 
-def brute_mix(rows):
-    """Blocks, draws and taken words, one word at a time."""
-    import pandas as pd
-
+@given(st.integers(1, 700), st.integers(0, 99))
+@settings(max_examples=40, deadline=None)
+def test_permutation_back(n, key):
+    there = mixing.permuted(np.arange(n), n, key)
+    assert mixing.permuted(there, n, key, back=True).tolist() == list(range(n))
+
+
+@given(st.integers(1, 2000), st.floats(0, 3), st.integers(0, 50))
+@settings(max_examples=80, deadline=None)
+def test_slots_give_the_words_asked_for(size, passes, number):
+    words = round(size * passes)
+    n, last = mixing.slots_of(size, words, number)
+    blocks = -(-size // 128)
+    lengths = [min(128, size - 128 * int(mixing.permuted(np.array([k % blocks]), blocks, number * 64 + k // blocks)[0])) for k in range(n)]
+    if n:
+        assert 0 < last
+        lengths[-1] = min(lengths[-1], last)
+    assert sum(lengths) == words
+
+
+def sized_sources(rows):
+    """Rows by source, code points first, each with its documents in order."""
     sized = [(d, s, len(SPLIT.findall(t or ""))) for d, t, _, s, _ in rows]
-    totals = defaultdict(int)
-    for _, s, n in sized:
-        totals[s] += n
-    plan = mixing.plan_of(pd.DataFrame({"source": list(totals), "size": list(totals.values())}))
-    draws = [defaultdict(int) for _ in plan.sources]
-    for i, k in enumerate(plan.slots):
-        for slot in range(k):
-            draws[i][int(mixing.permuted(np.array([slot % plan.blocks[i]]), plan.blocks[i], i * 64 + slot // plan.blocks[i])[0])] += 1
-    taken = defaultdict(int)
-    for i, d in enumerate(draws):
-        for block, n in d.items():
-            taken[plan.sources[i]] += n * (min(plan.sizes[i], (block + 1) * mixing.BLOCK_WORDS) - block * mixing.BLOCK_WORDS)
-    return plan, taken
-
-
-def test_mixing(docs, clashing, no_docs, rows):
+    names = sorted({s for _, s, _ in sized if s is not None}) + [None] * any(s is None for _, s, _ in sized)
+    return [(s, [(d, n) for d, x, n in sized if x == s]) for s in names]
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_mixing(spark, docs, clashing, no_docs, rows, small):
+    """Held against the contract alone: targets by bisection, what each source gives, and what a pass can take of a document."""
+    if small:
+        rows = [(i, " ".join(["w"] * n), None, s, 0) for i, (s, n) in enumerate([("a", 100), ("b", 100), ("c", 3), ("c", 0), (None, 1), ("d", 700), ("d", 129)])]
+        docs = clashing = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     got = mixing.mixed_sizes(docs).toPandas()
-    plan, taken = brute_mix(rows)
+    sources = sized_sources(rows)
+    targets = brute_targets([sum(n for _, n in held) for _, held in sources])
     assert len(got) == len(rows) and (got.taken <= 3 * got["size"]).all()
-    assert got.taken.sum() == sum(taken.values())
-    by_target = got.groupby("target").taken.sum()
-    for i, s in enumerate(plan.sources):
-        same = [j for j, t in enumerate(plan.targets) if t == plan.targets[i]]
-        assert by_target[plan.targets[i]] == sum(taken[plan.sources[j]] for j in same), s
+    assert sorted((n, t) for n, t in zip(got["size"], got.target.round(4), strict=True)) == sorted((n, round(t, 4)) for (_, held), t in zip(sources, targets, strict=True) for _, n in held)
+    for target in set(targets):
+        ours = got[(got.target - target).abs() < 1e-6]
+        assert ours.taken.sum() == sum(round(t) for t in targets if abs(t - target) < 1e-6)
+    passes = got.target.round() // got.source_size.clip(lower=1)
+    assert ((got.taken >= passes * got["size"]) & (got.taken <= (passes + 1) * got["size"])).all()
     again = mixing.mixed_sizes(docs.repartition(5)).toPandas()
     assert sorted(map(tuple, again.astype(object).where(again.notna(), None).values.tolist()), key=repr) == sorted(map(tuple, got.astype(object).where(got.notna(), None).values.tolist()), key=repr)
     assert mixing.mixed_sizes(clashing).count() == len(rows)
     assert mixing.mixed_sizes(no_docs).count() == 0
 
 
-def test_shard_counts_use_up_the_slots():
-    plan = mixing.Plan(["a", "b", "c"], [0, 0, 0], [], [9000, 40, 1], [20000, 100, 3])
-    counts = mixing.shard_counts(plan)
-    assert counts.groupby("source_no").n.sum().to_dict() == {0: 20000, 1: 100, 2: 3}
-    assert len(counts.shard.unique()) == 20103 // mixing.LEAST_SHARD
-    assert mixing.shard_counts(mixing.Plan([], [], [], [], [])).empty
+def test_packed_blocks(docs, no_docs, rows, monkeypatch):
+    """Blocks hold 128 words at most, words in order, and together what each document is taken."""
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 8)
+    monkeypatch.setattr(mixing, "GROUP_SHARDS", 3)
+    got = mixing.packed_blocks(docs).toPandas()
+    got["words"] = got.high - got.low
+    by_block = got.groupby(["source", "pass", "block"], dropna=False)
+    assert by_block.words.sum().max() <= 128 and by_block["shard"].nunique().max() == 1
+    assert got.shard.nunique() > 5
+    taken = mixing.mixed_sizes(docs).toPandas()
+    unique = [d for d in {d for d, *_ in rows} if sum(d == x for x, *_ in rows) == 1]
+    assert {d: int(got[got.doc_id == d].words.sum()) for d in unique} == {d: int(taken[taken.doc_id == d].taken.sum()) for d in unique}
+    assert mixing.packed_blocks(no_docs).count() == 0
 
 
-def test_mixed_documents(docs, no_docs):
+def test_mixed_documents(docs, no_docs, clashing):
     made, sizes = mixing.mixed_documents(docs), mixing.mixed_sizes(docs).toPandas()
     assert made.columns == docs.columns
     out = made.toPandas()
@@ -418,6 +448,18 @@ def test_mixed_documents(docs, no_docs):
     assert mixing.mixed_documents(no_docs).count() == 0
 
 
+def test_stages_keep_columns_that_clash(docs, labelled):
+    """Columns named like those that the stages make on the way come out as they went in."""
+    odd = ("_key", "_key_sha", "_key_points", "_key_hash", "_doc", "_hash", "_sha", "_points", "_kept", "_takes", "kept", "source_no", "start", "g", "pass")
+    named = docs.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in odd})
+    model = quality.fit_on(labelled[1], labelled[2])
+    for stage in (exact_dedup.without_copies, jaccard_join.one_of_each_group, mixing.mixed_documents, lambda d: quality.good_documents(d, model)):
+        out, plain = stage(named), stage(docs)
+        assert out.columns == named.columns
+        assert tuples(out, "doc_id", "text", "n_chars") == tuples(plain, "doc_id", "text", "n_chars")
+        assert out.where(" or ".join(f"{c} <> concat('{c}', doc_id)" for c in odd)).count() == 0
+
+
 # 7: byte-level BPE.
 
 
