@@ -16,7 +16,7 @@ from docketlake.llm.labelled import labelled_sample
 SAMPLE = {0: 1500, 1: 3000}
 BUCKETS = 1 << 15
 DIMENSIONS = 8
-GRAM_BYTES = (3, 4)
+GRAM_CHARACTERS = (3, 4)
 EPOCHS = 12
 RATE = 0.5
 KEEP_FROM = 0.7
@@ -32,13 +32,19 @@ def _spaced(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return out, np.r_[0, offsets[1:] + np.arange(1, texts + 1)]
 
 
-def _grams(words: Words, n: int) -> np.ndarray:
-    """The bucket of the n bytes from each byte on."""
-    data = np.where((words.data >= 0x09) & (words.data <= 0x0D), np.uint8(0x20), words.data)
-    m = max(0, len(data) - n + 1)
+def _characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The code points of UTF-8 bytes, white space as U+0020, and for each byte the number of characters before it."""
+    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), dtype="<u4")
+    points = np.where((points >= 0x09) & (points <= 0x0D), np.uint32(0x20), points)
+    return points, np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
+
+
+def _grams(points: np.ndarray, n: int) -> np.ndarray:
+    """The bucket of the n characters from each character on."""
+    m = max(0, len(points) - n + 1)
     h = np.full(m, n, dtype=np.uint32)
     for i in range(n):
-        h = h * np.uint32(0x01000193) ^ data[i : i + m]
+        h = h * np.uint32(0x01000193) ^ points[i : i + m]
     h ^= h >> np.uint32(15)
     h *= np.uint32(0x2C1B3C6D)
     h ^= h >> np.uint32(13)
@@ -56,10 +62,9 @@ def _whole_words(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return (h & np.uint64(BUCKETS - 1)).astype(np.int64), (mix(same.astype(np.uint64) + np.uint64(77)) & np.uint64(BUCKETS - 1)).astype(np.int64)
 
 
-def _gram_span(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """First byte and number of the n-grams of each word with a space at either side."""
-    low = words.start - 1
-    return low, np.maximum(words.end - words.start + 3 - n, 0)
+def _gram_span(words: Words, before: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """First character and number of the n-grams of each word with a space at either side."""
+    return before[words.start] - 1, np.maximum(before[words.end] - before[words.start] + 3 - n, 0)
 
 
 @dataclass
@@ -72,12 +77,13 @@ class Model:
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         data, offsets = _spaced(data, offsets)
         words = words_of(data, offsets)
+        points, before = _characters(data)
         held = [self.weights[x] for x in _whole_words(words)]
         total, n = held[0] + held[1], np.full(len(words.start), 2, dtype=np.int64)
-        for size in GRAM_BYTES:
-            low, many = _gram_span(words, size)
-            run = np.zeros(len(data) + 2, dtype=np.int64)
-            grams = self.weights[_grams(words, size)]
+        for size in GRAM_CHARACTERS:
+            low, many = _gram_span(words, before, size)
+            run = np.zeros(len(points) + 2, dtype=np.int64)
+            grams = self.weights[_grams(points, size)]
             np.cumsum(grams, out=run[1 : len(grams) + 1])
             total += run[np.where(many > 0, low + many, 0)] - run[np.where(many > 0, low, 0)]
             n += many
@@ -94,14 +100,15 @@ def sparse_features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     for text in texts:
         data, offsets = _spaced(np.frombuffer(text, dtype=np.uint8), np.array([0, len(text)]))
         words = words_of(data, offsets)
-        spans = [_gram_span(words, n) for n in GRAM_BYTES]
+        points, before = _characters(data)
+        spans = [_gram_span(words, before, n) for n in GRAM_CHARACTERS]
         share = 1.0 / (2 + sum(many for _, many in spans)) / max(1, len(words.start))
         sums = np.zeros(BUCKETS)
         for buckets in _whole_words(words):
             sums += np.bincount(buckets, share, BUCKETS)
-        for n, (low, many) in zip(GRAM_BYTES, spans, strict=True):
+        for n, (low, many) in zip(GRAM_CHARACTERS, spans, strict=True):
             at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(low, many)
-            sums += np.bincount(_grams(words, n)[at], np.repeat(share, many), BUCKETS)
+            sums += np.bincount(_grams(points, n)[at], np.repeat(share, many), BUCKETS)
         used = np.flatnonzero(sums)
         out.append((used.astype(np.int32), sums[used].astype(np.float32)))
     return out
@@ -142,8 +149,9 @@ def fit_on(docs: DataFrame, labels: DataFrame) -> Model:
 def score_quality(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of each document.
 
-    A document is the average of its words' vectors, and a word the average of the vectors of the word, its byte
-    n-grams and whether it repeats the word before. All words of the whole text count. Null and empty texts have the
+    A document is the average of its words' vectors, and a word the average of the vectors of the word, of its
+    character n-grams, spaces at its edges included, and of whether it repeats the word before: hashed bigrams of rare
+    words are not seen twice, and without it texts of one word over and over pass. All words of the whole text count. Null and empty texts have the
     score of the bias alone. Rows that repeat get equal scores; a null doc_id counts as the empty text in held_out.
     Extra columns are ignored.
     """
@@ -164,7 +172,10 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def good_documents(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` without the rows that the model rejects; all columns kept."""
+    """``docs`` without the rows that the model rejects; all columns kept.
+
+    Null and empty texts have the bias's score. Rows that repeat, and null ids, are judged each by their text.
+    """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")

@@ -22,7 +22,8 @@ TOXIC_WORDS = 2_000
 #: Short matches anywhere in the dictionary, weighed by an optimal parser.
 MATCHING = {"window_log": 20, "hash_log": 18, "chain_log": 19, "search_log": 6, "min_match": 3, "target_length": 64, "strategy": zstandard.STRATEGY_BTULTRA2}
 EDGE = b".,;:!?\"'()[]{}<>#$%&*|-_"
-CACHE_WINDOWS = 1 << 19
+#: Windows, and their bytes, that a worker remembers before it starts afresh.
+CACHE_WINDOWS, CACHE_BYTES = 1 << 19, 1 << 24
 SMALLEST_CELL = 8
 #: A word goes into the toxic dictionary from this excess on; a pair of lengths counts from this log-odds on.
 EXCESS = 6.0
@@ -77,16 +78,18 @@ class Model:
 
     def scorer(self):
         """A function from a text to its score; remembers windows."""
-        cell, known = self.meter(), {}
+        cell, known, held = self.meter(), {}, [0]
 
         def score(text: bytes) -> float:
-            if len(known) > CACHE_WINDOWS:
+            if len(known) > CACHE_WINDOWS or held[0] > CACHE_BYTES:
                 known.clear()
+                held[0] = 0
             found = windows(text)
             values = list(map(known.get, found))
             if None in values:
                 for w in {w for w, v in zip(found, values, strict=True) if v is None}:
                     known[w] = float(self.weights[cell(w)])
+                    held[0] += len(w)
                 values = list(map(known.get, found))
             return squash(self.slope * math.log1p(math.fsum(values)) + self.bias + self.length_weight * math.log1p(len(found)))
 

@@ -21,15 +21,17 @@ IGNORED_PARAMETERS = "utm_[^=&]*|ref|sessionid"
 
 
 def canonical_url(url: Column) -> Column:
-    """Without scheme, fragment, default port and ignored parameters; host in lower case; an empty path is ``/``."""
+    """Without scheme, fragment, the scheme's default port and ignored parameters; host in lower case; an empty path is ``/``."""
     bare = F.regexp_replace(F.trim(url), r"(?s)#.*$", "")
     host = F.lower(F.regexp_extract(bare, r"(?s)^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)", 1))
     rest = F.regexp_replace(bare, r"(?s)^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*", "")
     rest = F.regexp_replace(rest, rf"([?&])(?:(?:{IGNORED_PARAMETERS})=[^&]*(?:&|$))+", "$1")
     rest = F.regexp_replace(rest, r"[?&]$", "")
     rest = F.when(F.startswith(rest, F.lit("/")), rest).otherwise(F.concat(F.lit("/"), rest))
-    return F.when(host != "", F.concat(F.regexp_replace(host, r":(80|443)$", ""), rest))
-
+    scheme = F.lower(F.regexp_extract(bare, r"(?s)^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
+    port = F.when(scheme == "http", ":80").when(scheme == "https", ":443").otherwise(":")
+    named = F.when(F.endswith(host, port), F.substring(host, F.lit(1), F.length(host) - F.length(port))).otherwise(host)
+    return F.when(host != "", F.concat(named, rest))
 
 
 def latest_earlier(events: DataFrame) -> DataFrame:
@@ -111,17 +113,19 @@ def resolved(captures: DataFrame) -> DataFrame:
     the response's, weak or strong; else its last-modified must. ``outcome``: ``resolved``; ``unverified`` if the 304
     has neither; ``mismatch``; ``missing`` if there is no such response, or no url or time. Unless it is ``missing``,
     response_id names the response. Resolved and unverified ones get the response's payload, and its headers with those
-    of the 304 put over them that may be. Null maps count as empty. Record ids are taken to be unique; rows that repeat
-    a revisit are answered each. Extra columns are ignored.
+    of the 304 put over them that may be. Null maps count as empty. Rows that repeat a revisit are answered each. Of
+    rows that repeat a response's record id the one with the least payload, then the least headers, counts. A revisit
+    with a null record id is missing its response; an empty table has no rows. Extra columns are ignored.
     """
     rows = captures.select("record_id", "kind", "at", "status", F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"), "payload", canonical_url(F.col("target_uri")).alias("url_key"))
     full = F.coalesce((F.col("kind") == "response") & (F.col("status") == 200), F.lit(False))
     revisit = F.coalesce((F.col("kind") == "revisit") & (F.col("status") == 304), F.lit(False))
-    events = rows.where((full | revisit) & F.col("url_key").isNotNull() & F.col("at").isNotNull()).select(F.col("url_key").alias("key"), "at", full.alias("full"), "record_id")
+    events = rows.where((full | revisit) & F.col("record_id").isNotNull() & F.col("url_key").isNotNull() & F.col("at").isNotNull()).select(F.col("url_key").alias("key"), "at", full.alias("full"), "record_id")
     pairs = latest_earlier(events).where("response_id is not null").distinct().withColumnRenamed("record_id", "_asks")
     asks = rows.where(revisit).select("record_id", "url_key", "headers")
     found = asks.join(pairs, asks["record_id"] == pairs["_asks"], "left").drop("_asks")
-    given = rows.where(full).select(F.col("record_id").alias("_id"), F.col("headers").alias("base"), F.col("payload"))
+    first = F.min_by(F.struct("headers", "payload"), F.struct("payload", F.to_json("headers"))).alias("given")
+    given = rows.where(full).groupBy(F.col("record_id").alias("_id")).agg(first).select("_id", F.col("given.headers").alias("base"), F.col("given.payload").alias("payload"))
     both = found.join(given, F.col("response_id") == F.col("_id"), "left")
     tag, base_tag = (F.regexp_replace(_header(h, "etag"), "^W/", "") for h in ("headers", "base"))
     changed, base_changed = _header("headers", "last-modified"), _header("base", "last-modified")
@@ -142,7 +146,8 @@ def captures_of(pages: DataFrame) -> DataFrame:
     """An archive of two records for each page: its full response, and a 304 some time after it.
 
     Pages have no times, so these follow from page_id: a response each minute, the 304 half a minute later and up to
-    six days. The 304's validator is the page's entity tag, its weak form, its last-modified, or none, in turn.
+    six days. The 304's validator is the page's entity tag, its weak form, its last-modified, or none, in turn. Every
+    eleventh has a validator of something else; every thirteenth 304 has no time, every seventeenth one before all responses.
     """
     page = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("target_uri"), F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"))
     tag = F.concat(F.lit('"'), F.substring(F.sha1("html"), 1, 16), F.lit('"'))
@@ -154,9 +159,12 @@ def captures_of(pages: DataFrame) -> DataFrame:
         F.col("html").alias("payload"),
     )
     turn = F.pmod("page_id", F.lit(4))
+    other = F.pmod("page_id", F.lit(11)) == 3
+    tag, changed = F.when(other, F.lit('"other"')).otherwise(tag), F.when(other, F.lit("another day")).otherwise(changed)
+    at = F.when(F.pmod("page_id", F.lit(13)) == 5, F.lit(None)).when(F.pmod("page_id", F.lit(17)) == 7, F.lit(-1)).otherwise(60 * F.col("page_id") + 30 + F.pmod("page_id", F.lit(7)) * 86_400)
     validator = F.when(turn == 0, text("etag", tag)).when(turn == 1, text("etag", F.concat(F.lit("W/"), tag))).when(turn == 2, text("last-modified", changed)).otherwise(F.create_map().cast("map<string,string>"))
     again = page.select(
-        (2 * F.col("page_id") + 1).alias("record_id"), F.lit("revisit").alias("kind"), "target_uri", (60 * F.col("page_id") + 30 + F.pmod("page_id", F.lit(7)) * 86_400).alias("at"), F.lit(304).alias("status"),
+        (2 * F.col("page_id") + 1).alias("record_id"), F.lit("revisit").alias("kind"), "target_uri", at.cast("long").alias("at"), F.lit(304).alias("status"),
         F.map_concat(validator, text("cache-control", "max-age=3600", "content-length", "0", "connection", "close")).alias("headers"),
         F.lit(None).cast("string").alias("payload"),
     )
@@ -174,14 +182,15 @@ WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, '"' || substr(sha1(coalesce(html, '')), 1, 16) || '"' AS tag, 'day ' || (page_id % 28) AS changed,
          regexp_replace(trim(url), '(?s)#.*$', '') AS bare FROM pages
 ), u AS (
-  SELECT *, lower(regexp_extract(bare, '(?s)^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)) AS host,
+  SELECT *, lower(regexp_extract(bare, '(?s)^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)) AS host, lower(regexp_extract(bare, '(?s)^([A-Za-z][A-Za-z0-9+.-]*)://', 1)) AS scheme,
     regexp_replace(regexp_replace(regexp_replace(bare, '(?s)^[A-Za-z][A-Za-z0-9+.-]*://[^/?]*', ''), '([?&])(?:(?:utm_[^=&]*|ref|sessionid)=[^&]*(?:&|$))+', '\\1', 'g'), '[?&]$', '') AS rest FROM p
 ), k AS (
-  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, ':(80|443)$', '') || CASE WHEN starts_with(rest, '/') THEN rest ELSE '/' || rest END END AS url_key FROM u
+  SELECT *, CASE WHEN host <> '' THEN CASE scheme WHEN 'http' THEN regexp_replace(host, ':80$', '') WHEN 'https' THEN regexp_replace(host, ':443$', '') ELSE regexp_replace(host, ':$', '') END || CASE WHEN starts_with(rest, '/') THEN rest ELSE '/' || rest END END AS url_key FROM u
 ), f AS (
   SELECT url_key AS key, 60 * page_id AS at, 2 * page_id AS response_id, tag AS base_tag, changed AS base_changed, html, strlen(html)::VARCHAR AS length FROM k WHERE url_key IS NOT NULL
 ), a AS (
-  SELECT 2 * page_id + 1 AS record_id, url_key, 60 * page_id + 30 + page_id % 7 * 86400 AS at, page_id % 4 AS turn, tag, changed FROM k
+  SELECT 2 * page_id + 1 AS record_id, url_key, CASE WHEN page_id % 13 = 5 THEN NULL WHEN page_id % 17 = 7 THEN -1 ELSE 60 * page_id + 30 + page_id % 7 * 86400 END AS at, page_id % 4 AS turn,
+    CASE WHEN page_id % 11 = 3 THEN '"other"' ELSE tag END AS tag, CASE WHEN page_id % 11 = 3 THEN 'another day' ELSE changed END AS changed FROM k
 ), j AS (
   SELECT *, CASE WHEN response_id IS NULL THEN 'missing' WHEN turn < 2 THEN CASE WHEN tag = base_tag THEN 'resolved' ELSE 'mismatch' END
     WHEN turn = 2 THEN CASE WHEN changed = base_changed THEN 'resolved' ELSE 'mismatch' END ELSE 'unverified' END AS outcome

@@ -1,5 +1,6 @@
 """Operators against brute force on small, awkward tables."""
 
+import functools
 import hashlib
 import math
 import random
@@ -12,11 +13,12 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+import zstandard
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from docketlake.llm import byte_bpe, common, exact_dedup, jaccard_join, mixing, quality, quality_rules, substring_dedup, toxicity, url_filter, warc_revisits
+from docketlake.llm import byte_bpe, common, exact_dedup, jaccard_join, mixing, pipeline, quality, quality_rules, substring_dedup, toxicity, url_filter, warc_revisits
 from docketlake.llm.cqf import CountingQuotientFilter
 from docketlake.llm.labelled import labelled_sample
 
@@ -312,6 +314,74 @@ def test_quality_held_out(labelled):
     assert got[got.quality == 0].predicted.mean() <= 0.05
 
 
+def brute_toxicity(model, text):
+    """The score again, by plain compressor calls, one for each word and dictionary."""
+    wide = lambda t: b"".join(bytes([b, (b * 167 + 13) % 256, (b * 91 + 101) % 256]) for b in t)
+
+    @functools.cache
+    def packer(content):
+        known = zstandard.ZstdCompressionDict(wide(content), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        how = zstandard.ZstdCompressionParameters(window_log=20, hash_log=18, chain_log=19, search_log=6, min_match=3, target_length=64, strategy=zstandard.STRATEGY_BTULTRA2, write_content_size=False)
+        known.precompute_compress(compression_params=how)
+        return zstandard.ZstdCompressor(dict_data=known, compression_params=how)
+
+    def length(content, data):
+        return len(packer(content).compress(data))
+
+    total, words = 0.0, [w.strip(b".,;:!?\"'()[]{}<>#$%&*|-_") for w in text.lower().split()]
+    limit = len(model.weights) - 1
+    for w in words:
+        a, b = (length(c, wide(model.carrier) + wide(w + b" ")) - length(c, wide(model.carrier)) for c in (model.ordinary, model.toxic))
+        total += model.weights[min(max(a, 0), limit)][min(max(a - b, 0), limit)]
+    return 1 / (1 + math.exp(-(model.slope * math.log1p(total) + model.bias + model.length_weight * math.log1p(len(words)))))
+
+
+def test_toxicity_scores_by_plain_calls(labelled):
+    both, docs, labels = labelled
+    model = toxicity.fit_on(docs, labels)
+    few = both.where("length(text) < 900").orderBy(F.desc("toxic"), "doc_id").limit(6).union(both.where("toxic = 0 and length(text) < 900").limit(3))
+    got = {r.doc_id: r.score for r in toxicity.score_toxicity(few, model).collect()}
+    for row in few.collect():
+        assert got[row.doc_id] == pytest.approx(brute_toxicity(model, row.text.encode()), abs=1e-9)
+
+
+def brute_quality(model, text):
+    """The score again, one word and one n-gram at a time."""
+
+    def finish(h):
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ (h >> shift)) * factor % 2**64
+        return h ^ (h >> 31)
+
+    def gram(chars):
+        h = len(chars)
+        for c in chars:
+            h = h * 0x01000193 % 2**32 ^ ord(c)
+        h = (h ^ h >> 15) * 0x2C1B3C6D % 2**32
+        return (h ^ h >> 13) % quality.BUCKETS
+
+    words, margin = SPLIT.findall(text or ""), 0
+    for k, w in enumerate(words):
+        same = finish(77 + (k > 0 and words[k - 1] == w))
+        h = finish(sum((b + 1) * pow(0x9E3779B97F4A7C15 | 1, i, 2**64) for i, b in enumerate(w.encode())) % 2**64)
+        spaced = f" {w} "
+        buckets = [h % quality.BUCKETS, same % quality.BUCKETS, *[gram(spaced[i : i + n]) for n in (3, 4) for i in range(len(spaced) - n + 1)]]
+        margin += round(sum(int(model.weights[b]) for b in buckets) / len(buckets))
+    return 1 / (1 + math.exp(-(margin / max(1, len(words)) / 2.0**32 + model.bias)))
+
+
+def test_quality_scores_word_by_word(docs, labelled, rows):
+    model = quality.fit_on(labelled[1], labelled[2])
+    got = sorted(r.score for r in quality.score_quality(docs, model).collect())
+    assert got == pytest.approx(sorted(brute_quality(model, t) for _, t, *_ in rows), abs=1e-6)
+
+
+def test_fitted_texts_are_bounded_together(labelled):
+    _, docs, labels = labelled
+    few = labelled_sample(docs, labels, "quality", lambda c: F.lit(True), {0: 50, 1: 50}, together=20_000)
+    assert 0 < sum(len(t) for t, _ in few) <= 20_000
+
+
 @pytest.mark.parametrize("which", ["toxic", "quality"])
 def test_classifiers_on_awkward_rows(spark, docs, clashing, no_docs, rows, which):
     random_labels = [(d, i % 2, i % 2) for i, (d, *_) in enumerate(rows)] + [(None, 1, 1), (1, None, None)]
@@ -600,6 +670,22 @@ def test_revisits(spark):
     assert warc_revisits.resolved(spark.createDataFrame([], CAPTURES)).count() == 0
 
 
+def test_revisits_with_repeated_rows(spark):
+    """A repeated response answers once; a repeated revisit is answered each time; names that clash and long payloads do no harm."""
+    long = "x" * 3_000_000
+    rows = [(1, "response", "http://h:443/a", 1, 200, {"etag": "1"}, long, "e")] * 3 + [(1, "response", "http://h:443/a", 1, 200, None, long + "y", "e")]
+    rows += [(2, "response", "https://h/a", 2, 200, {"etag": "2"}, "other", "e")]
+    rows += [(3, "revisit", "http://h:443/a", 5, 304, {"etag": "1"}, None, "e")] * 2 + [(None, "revisit", "http://h:443/a", 5, 304, None, None, "e")]
+    df = spark.createDataFrame(rows, CAPTURES).withColumns({c: F.lit("clash") for c in ("_id", "_asks", "base", "given", "key", "full", "pid", "response_id", "outcome", "url_key")})
+    got = [(r.record_id, r.response_id, r.outcome, len(r.payload or "")) for r in warc_revisits.resolved(df).collect()]
+    assert sorted(got, key=repr) == sorted([(3, 1, "resolved", len(long))] * 2 + [(None, None, "missing", 0)], key=repr)
+
+
+def test_archive_of_pages_with_repeated_rows(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/", "x"), (1, "http://a.com/", "x"), (2, "https://a.com:443/#f", None)], "page_id long, url string, html string")
+    assert warc_revisits.resolved(warc_revisits.captures_of(pages)).count() == 3
+
+
 def test_latest_earlier_over_partitions(spark):
     r = random.Random(6)
     rows = [(r.choice("aaaab"), r.randint(0, 200), r.random() < 0.2, i) for i in range(800)]
@@ -614,24 +700,54 @@ def test_latest_earlier_over_partitions(spark):
 
 
 def test_pipeline_decodes_what_it_encodes(spark, docs, rows):
-    import corpus_pipeline
-
-    got = corpus_pipeline.encoded(spark, docs, "").select("doc_id", "decoded_sha256").collect()
+    got = pipeline.encoded(spark, docs, "").select("doc_id", "decoded_sha256").collect()
     want = [(d, hashlib.sha256((t or "").encode()).hexdigest()) for d, t, *_ in rows]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
 def test_pipeline(spark, sf, tmp_path):
-    import corpus_pipeline
-
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     columns, counts = docs.columns, []
-    for i, (name, stage) in enumerate(corpus_pipeline.STAGES):
+    for i, (name, stage) in enumerate(pipeline.STAGES):
         out = stage(spark, docs, sf)
         out.write.parquet(str(tmp_path / str(i)))
         docs = spark.read.parquet(str(tmp_path / str(i)))
         counts.append(docs.count())
-        if i < len(corpus_pipeline.STAGES) - 1:
+        if i < len(pipeline.STAGES) - 1:
             assert docs.columns == columns, name
     assert counts[0] >= counts[1] >= counts[2] > 0 and counts[3] == counts[4]
-    assert corpus_pipeline.run(spark, sf).count() == counts[-1]
+    assert pipeline.run(spark, sf).count() == counts[-1]
+
+
+def near_groups(kept):
+    """One row of each group of near copies that brute force finds, the least id first, rows without words all."""
+    ids = brute_jaccard(kept)
+    return {c for _, c, _ in ids}
+
+
+def test_pipeline_stages_by_brute_force(spark, docs, rows, labelled, tmp_path):
+    """Each stage on awkward rows against the same step done row by row; then the whole on no rows."""
+    model = quality.fit_on(labelled[1], labelled[2])
+    good = [r for r in rows if brute_quality(model, r[1]) >= quality.KEEP_FROM]
+    assert sorted(map(tuple, quality.good_documents(docs, model).collect()), key=repr) == sorted(good, key=repr)
+
+    seen = {}
+    for r in rows:
+        bare = re.sub(r"[\x20\x09-\x0D]", "", r[1] or "")
+        seen[bare] = min(seen.get(bare, r), r, key=lambda x: (-len(x[1] or ""), x[0] is None, x[0] or 0))
+    unique = [(r.doc_id, r.text) for r in pipeline.no_copies(spark, docs, "").collect()]
+    blank = lambda t: not (t or "").strip()
+    assert sorted(((d, t) for d, t in unique if not blank(t)), key=repr) == sorted(((r[0], r[1]) for r in seen.values() if not blank(r[1])), key=repr)
+
+    kept = {d for d, t in ((r.doc_id, r.text) for r in pipeline.no_near_copies(spark, docs, "").collect())}
+    assert kept == near_groups(rows)
+
+    mixed = pipeline.mixed(spark, docs, "").toPandas()
+    targets = brute_targets([sum(n for _, n in held) for _, held in sized_sources(rows)])
+    assert sum(len(SPLIT.findall(t)) for t in mixed.text) == sum(round(t) for t in targets)
+    words = {d: set(SPLIT.findall(t or "")) for d, t, *_ in rows if d != 19}
+    assert all(set(SPLIT.findall(t)) <= words[d] for d, t in zip(mixed.doc_id.astype(object).where(mixed.doc_id.notna(), None), mixed.text, strict=True) if d in words and d is not None)
+    for name, stage in pipeline.STAGES[1:]:
+        assert stage(spark, docs.limit(0), "").count() == 0, name
+
+
