@@ -19,6 +19,8 @@ SIMILARITY = 0.8
 #: Children that a set gets at each level of a path, on average. Two sets of similarity 0.8 share 8/9 of them.
 BRANCHING = 2.0
 DEPTH = 2
+#: Keys of a set that those linked to it have too, on average at least, where a large bucket splits on.
+SHARED_KEYS = 1.2
 TARGET_RECALL = 0.9999
 #: The run stands in the lowest bits of a path.
 RUN_BITS = 8
@@ -34,9 +36,9 @@ BLOCK = 1024
 def runs_for(recall: float, similarity: float = SIMILARITY, branching: float = BRANCHING, depth: int = DEPTH) -> int:
     """Runs after which a pair just at the threshold has met with probability ``recall``, if all its buckets split once more.
 
-    There it shares one chosen token on average at least (see ``_deltas``). The run must fit a path's lowest bits.
+    There it shares SHARED_KEYS of its keys on average at least (see ``_deltas``). The run must fit a path's lowest bits.
     """
-    shared, alive = branching * 2 * similarity / (1 + similarity), 1 - math.exp(-1)
+    shared, alive = branching * 2 * similarity / (1 + similarity), 1 - math.exp(-SHARED_KEYS)
     for _ in range(depth):
         alive = 1 - math.exp(-shared * alive)
     runs = math.ceil(math.log(1 - recall) / math.log(1 - alive))
@@ -256,31 +258,32 @@ def _majority(batches):
 
 
 def _differences(threshold: Fraction, sample: bool):
-    """``g, low, sig, w, size, grams, centre`` to ``g, low, sig, w, size, f, by, keys``: see ``_deltas``."""
+    """``g, low, sig, w, size, grams, centre`` to ``g, low, sig, w, size, f, by, rate, keys``: see ``_deltas``."""
     a, b = threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fs, counts, keys, bys = [], [0], [], []
+            fs, counts, keys, bys, rates = [], [0], [], [], []
             for g, grams, centre in zip(batch.column(0).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True):
                 x, c = np.frombuffer(grams, dtype=np.uint64), np.frombuffer(centre or b"", dtype=np.uint64)
                 apart = np.setxor1d(x, c, assume_unique=True)
                 fs.append(b * len(apart) - a * len(x))
                 by = mix(c[:1] + c.sum(dtype=np.uint64) if len(c) else np.zeros(1, dtype=np.uint64))
+                rates.append(1.0)
                 if sample:
                     most, named = len(x) * a / threshold.numerator, by
                     if len(apart) > 1.2 * most:
-                        by = mix(by ^ np.array([g], dtype=np.int64).view(np.uint64))
-                        apart = apart[mix(apart ^ by) <= np.uint64(min(BRANCHING / (len(apart) - most), 1.0) * (2**64 - 2048))]
+                        by, rates[-1] = mix(by ^ np.array([g], dtype=np.int64).view(np.uint64)), min(SHARED_KEYS / (len(apart) - most), 1.0)
+                        apart = apart[mix(apart ^ by) <= np.uint64(rates[-1] * (2**64 - 2048))]
                     apart = mix(apart + named)
                 bys.append(int(by.view(np.int64)[0]))
                 keys.append(np.sort(apart.view(np.int64)))
                 counts.append(counts[-1] + len(apart))
             listed = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(np.concatenate(keys)))
-            columns = [*batch.columns[:5], pa.array(fs, pa.int64()), pa.array(bys, pa.int64()), listed]
-            yield pa.RecordBatch.from_arrays(columns, ["g", "low", "sig", "w", "size", "f", "by", "keys"])
+            columns = [*batch.columns[:5], pa.array(fs, pa.int64()), pa.array(bys, pa.int64()), pa.array(rates), listed]
+            yield pa.RecordBatch.from_arrays(columns, ["g", "low", "sig", "w", "size", "f", "by", "rate", "keys"])
 
     return run
 
@@ -293,7 +296,7 @@ def _salted(rows: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fraction, sample: bool) -> DataFrame:
-    """``g, low, sig, w, size, f, by, keys`` of the members (``g, size, shingles, low, only, w``) of large groups.
+    """``g, low, sig, w, size, f, by, rate, keys`` of the members (``g, size, shingles, low, only, w``) of large groups.
 
     ``sizes`` (``g, size``) has a row for each group, of ``size`` members and ``shingles`` together.
 
@@ -303,8 +306,8 @@ def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fr
     rest, and others only if they share a shingle of D. This holds for any centre, so a sample may choose it.
 
     ``keys`` are the shingles of D(x). With ``sample`` they are keys of buckets to go on with: all of D(x) where it has at
-    most 0.3 |x| shingles, else each with a probability of 2 / (|D(x)| - |x| / 4). Sets that are linked to x share all of
-    D(x) with it but |x| / 4 shingles, so two chosen ones on average at least, less where they differ in size. The key
+    most 0.3 |x| shingles, else each with a probability (``rate``) of 1.2 / (|D(x)| - |x| / 4). Sets that are linked to x share all
+    of D(x) with it but |x| / 4 shingles, so 1.2 chosen ones on average at least, less where they differ in size. The key
     has the centre in it, not the group, so that groups of one family with the same centre go on as one.
     """
     share = F.least(F.lit(1.0), F.greatest(F.lit(8.0), F.least(F.lit(float(CENTRE_SETS)), SMALL_SHINGLES * F.col("size") / F.col("shingles"))) / F.col("size"))
@@ -313,7 +316,7 @@ def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fr
     centres = settled(held.mapInArrow(_majority, "g long, centre binary"))
     whole = _salted(members, sizes.join(centres, "g", "left").select("g", "size", "centre")).join(sets, "low").where("only is null or only = sig")
     whole = whole.select("g", "low", "sig", "w", "size", "grams", "centre")
-    return whole.mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, size long, f long, by long, keys array<long>")
+    return whole.mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, size long, f long, by long, rate double, keys array<long>")
 
 
 def _extremes(deltas: DataFrame) -> DataFrame:
@@ -457,7 +460,11 @@ def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, thr
     if not further:
         return edges, None
     # A bucket all of whose sets are linked to the least is done.
-    split = known.where("least.f + most > 0 and f + most > 0").groupBy("by", "low").agg(F.first("keys").alias("keys")).select(F.explode("keys").alias("path"), "low")
+    # In other ones a set shares (f + least f) / 18 shingles of D at least with any that it is linked to: 1.2 keys of those do.
+    shared = (F.col("f") + F.col("least.f")) / (2 * (threshold.denominator + threshold.numerator))
+    share = F.least(F.lit(1.0), SHARED_KEYS / F.greatest(F.lit(SHARED_KEYS), shared) / F.col("rate"))
+    split = known.where("least.f + most > 0 and f + most > 0").groupBy("by", "low").agg(F.first("keys").alias("keys"), F.max(share).alias("share"))
+    split = split.select(F.explode(F.filter("keys", lambda k: F.pmod(F.xxhash64(k), F.lit(1 << 30)) <= F.col("share") * (1 << 30))).alias("path"), "low")
     counted = held.select("low", "n").distinct()
     split = settled(split.join(split.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path"), "path").distinct().join(counted, "low").select("path", "low", "n"))
     return edges, split
