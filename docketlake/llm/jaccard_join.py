@@ -258,20 +258,21 @@ def _majority(batches):
 
 
 def _differences(threshold: Fraction, sample: bool):
-    """``g, low, sig, w, size, grams, centre`` to ``g, low, sig, w, size, f, by, rate, keys``: see ``_deltas``."""
+    """``g, low, sig, w, size, grams, centre`` to ``g, low, sig, w, size, f, by, rate, n, keys``: see ``_deltas``."""
     a, b = threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fs, counts, keys, bys, rates = [], [0], [], [], []
+            fs, counts, keys, bys, rates, ns = [], [0], [], [], [], []
             for g, grams, centre in zip(batch.column(0).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True):
                 x, c = np.frombuffer(grams, dtype=np.uint64), np.frombuffer(centre or b"", dtype=np.uint64)
                 apart = np.setxor1d(x, c, assume_unique=True)
                 fs.append(b * len(apart) - a * len(x))
                 by = mix(c[:1] + c.sum(dtype=np.uint64) if len(c) else np.zeros(1, dtype=np.uint64))
                 rates.append(1.0)
+                ns.append(len(x))
                 if sample:
                     most, named = len(x) * a / threshold.numerator, by
                     if len(apart) > 1.2 * most:
@@ -282,8 +283,8 @@ def _differences(threshold: Fraction, sample: bool):
                 keys.append(np.sort(apart.view(np.int64)))
                 counts.append(counts[-1] + len(apart))
             listed = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(np.concatenate(keys)))
-            columns = [*batch.columns[:5], pa.array(fs, pa.int64()), pa.array(bys, pa.int64()), pa.array(rates), listed]
-            yield pa.RecordBatch.from_arrays(columns, ["g", "low", "sig", "w", "size", "f", "by", "rate", "keys"])
+            columns = [*batch.columns[:5], pa.array(fs, pa.int64()), pa.array(bys, pa.int64()), pa.array(rates), pa.array(ns, pa.int64()), listed]
+            yield pa.RecordBatch.from_arrays(columns, ["g", "low", "sig", "w", "size", "f", "by", "rate", "n", "keys"])
 
     return run
 
@@ -296,7 +297,7 @@ def _salted(rows: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fraction, sample: bool) -> DataFrame:
-    """``g, low, sig, w, size, f, by, rate, keys`` of the members (``g, size, shingles, low, only, w``) of large groups.
+    """``g, low, sig, w, size, f, by, rate, n, keys`` of the members (``g, size, shingles, low, only, w``) of large groups.
 
     ``sizes`` (``g, size``) has a row for each group, of ``size`` members and ``shingles`` together.
 
@@ -316,7 +317,7 @@ def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fr
     centres = settled(held.mapInArrow(_majority, "g long, centre binary"))
     whole = _salted(members, sizes.join(centres, "g", "left").select("g", "size", "centre")).join(sets, "low").where("only is null or only = sig")
     whole = whole.select("g", "low", "sig", "w", "size", "grams", "centre")
-    return whole.mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, size long, f long, by long, rate double, keys array<long>")
+    return whole.mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, size long, f long, by long, rate double, n long, keys array<long>")
 
 
 def _extremes(deltas: DataFrame) -> DataFrame:
@@ -463,10 +464,9 @@ def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, thr
     # In other ones a set shares (f + least f) / 18 shingles of D at least with any that it is linked to: 1.2 keys of those do.
     shared = (F.col("f") + F.col("least.f")) / (2 * (threshold.denominator + threshold.numerator))
     share = F.least(F.lit(1.0), SHARED_KEYS / F.greatest(F.lit(SHARED_KEYS), shared) / F.col("rate"))
-    split = known.where("least.f + most > 0 and f + most > 0").groupBy("by", "low").agg(F.first("keys").alias("keys"), F.max(share).alias("share"))
-    split = split.select(F.explode(F.filter("keys", lambda k: F.pmod(F.xxhash64(k), F.lit(1 << 30)) <= F.col("share") * (1 << 30))).alias("path"), "low")
-    counted = held.select("low", "n").distinct()
-    split = settled(split.join(split.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path"), "path").distinct().join(counted, "low").select("path", "low", "n"))
+    split = known.where("least.f + most > 0 and f + most > 0").groupBy("by", "low", "n").agg(F.first("keys").alias("keys"), F.max(share).alias("share"))
+    split = split.select(F.explode(F.filter("keys", lambda k: F.pmod(F.xxhash64(k), F.lit(1 << 30)) <= F.col("share") * (1 << 30))).alias("path"), "low", "n")
+    split = settled(split.join(split.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path"), "path").distinct())
     return edges, split
 
 
