@@ -64,12 +64,15 @@ def check_translator(translator: Translator, sample: str = "тест") -> None:
 
 
 def translate_values(values: DataFrame, translator: Translator, column: str = "value", pattern: str | None = CYRILLIC) -> DataFrame:
-    """TR-1, O-1, O-6: ``value, en`` for each distinct value; what needs no translation, or fails, is its own."""
+    """TR-1, O-1, O-6: ``value, en`` for each distinct value; what needs no translation, or fails, is its own.
+
+    A value over COLUMN_CHARS goes in pieces of up to so many characters, all or nothing.
+    """
     ship(values.sparkSession)
 
     @F.pandas_udf("string")
     def translated(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: attempt(translator, t[:COLUMN_CHARS]))
+        return texts.map(lambda t: translate_paragraph(translator, t, COLUMN_CHARS))
 
     distinct = values.select(F.col(column).alias("value")).where("value is not null").distinct()
     wanted = needs_translation(F.col("value"), pattern)

@@ -167,18 +167,13 @@ def _whispered(text: str) -> str:
 
 
 def translated_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
-    """What a cache of the keys from '08' on lacks, in batches through a translator that whispers."""
-    unique = C.unique_paragraphs(_lines(spark, sf)).select("k", "norm", "first_doc", "first_pos")
-    return translate_pending(unique, _cache(spark, sf, "k >= '08'"), _whispered, ["first_doc", "first_pos", "k"])
-
+    """Every distinct paragraph in batches through a translator that whispers: the cache is empty.
 
-def translated_all_paragraphs(spark: SparkSession, sf: str) -> DataFrame:
-    """Every distinct paragraph in batches through the translator: the cache is empty.
-
-    No SQL: a sentence over the limit is cut hard, and the pieces come back joined by blanks.
+    Without blanks: pieces of a paragraph over the limit come back joined by one, wherever it was cut.
     """
     unique = C.unique_paragraphs(_lines(spark, sf)).select("k", "norm", "first_doc", "first_pos")
-    return translate_pending(unique, spark.createDataFrame([], "k string, en string"), _whispered, ["first_doc", "first_pos", "k"])
+    done = translate_pending(unique, spark.createDataFrame([], "k string, en string"), _whispered, ["first_doc", "first_pos", "k"])
+    return done.select("k", "ru", F.replace("en", F.lit(" "), F.lit("")).alias("en_without_blanks"))
 
 
 def sanitize_filename(spark: SparkSession, sf: str) -> DataFrame:
@@ -210,12 +205,7 @@ def column_widths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def participants(spark: SparkSession, sf: str) -> DataFrame:
-    people = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.substring("text", 1, 20).alias("name"))
-    return participants_pivot(people, "conv_id", "role", "name", "turn", plaintiffs=("user",), defendants=("assistant",))
-
-
-def participants_whole(spark: SparkSession, sf: str) -> DataFrame:
-    """Whole texts as the names."""
+    """Turns as people, whole texts as their names."""
     people = table(spark, sf, "conversations").select("conv_id", "turn", "role", F.col("text").alias("name"))
     return participants_pivot(people, "conv_id", "role", "name", "turn", plaintiffs=("user",), defendants=("assistant",))
 
@@ -228,27 +218,18 @@ def case_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _linked_documents(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    docs = table(spark, sf, "documents")
-    link = F.concat(F.lit(" https://court.example/doc?n="), (F.col("doc_id") % 97).cast("string"), F.lit(" "))
-    cases = docs.select("doc_id", F.concat(F.lit("2-"), F.col("doc_id").cast("string"), F.lit("/2026")).alias("case_number"), F.when(F.col("doc_id") % 5 != 0, link).alias("judicial_acts_link"))
-    texts = docs.where("doc_id < 90").select(F.concat(F.lit("https://court.example/doc?n="), F.col("doc_id").cast("string")).alias("url"), F.col("text").alias("opinion_text"))
-    return cases, texts
-
-
-def opinions_of_cases(spark: SparkSession, sf: str) -> DataFrame:
-    cases, texts = _linked_documents(spark, sf)
-    rows = with_texts(cases, texts, "judicial_acts_link", "case_number", "doc_id")
-    return rows.select("doc_id", F.length("opinion_text").alias("chars"), "opinion_text_file")
-
-
-def opinions_of_all_cases(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document is a text; links are null, unmatched, shared by up to three cases, or the one of document 1."""
+    """Every document is a case and a text; links are null, unmatched, shared by up to three cases, or the one of document 1."""
     docs = table(spark, sf, "documents")
     i = F.col("doc_id")
     n = F.when(i % 11 == 1, F.lit("1")).when(i % 7 == 3, F.concat(F.lit("x"), i.cast("string"))).otherwise((i - i % 3).cast("string"))
     link = F.concat(F.lit(" https://court.example/doc?n="), n, F.lit(" "))
     cases = docs.select("doc_id", F.concat(F.lit("2-"), i.cast("string"), F.lit("/2026")).alias("case_number"), F.when(i % 5 != 0, link).alias("judicial_acts_link"))
     texts = docs.select(F.concat(F.lit("https://court.example/doc?n="), i.cast("string")).alias("url"), F.col("text").alias("opinion_text"))
+    return cases, texts
+
+
+def opinions_of_cases(spark: SparkSession, sf: str) -> DataFrame:
+    cases, texts = _linked_documents(spark, sf)
     rows = with_texts(cases, texts, "judicial_acts_link", "case_number", "doc_id")
     return rows.select("doc_id", F.length("opinion_text").alias("chars"), "opinion_text_file")
 
@@ -279,16 +260,14 @@ QUERIES = {
         sentence_chunks, paragraph_chunks, sentences, batch_round_trip, inline_truncate, marker_strip, letter_ratio,
         duplicate_documents_first, first_appearance, first_n_semi_join, pending_anti_join, retry_failures, run_counters,
         distinct_translatable, needs_translation, translated_left_join, translated_values, translated_paragraphs,
-        translated_all_paragraphs, sanitize_filename, transliterate, shorten_label, column_widths, participants, case_events, opinions_of_cases, opinion_files,
-        opinions_of_all_cases, participants_whole, opinion_jobs, completion,
+        sanitize_filename, transliterate, shorten_label, column_widths, participants, case_events, opinions_of_cases, opinion_files, opinion_jobs, completion,
     )
 }
 
 U = "SELECT k, min(norm) AS norm, count(*) AS occurrences, arg_min(doc_id, (doc_id, pos)) AS first_doc, arg_min(pos, (doc_id, pos)) AS first_pos FROM lines WHERE k IS NOT NULL GROUP BY k"
 CELL = "CASE WHEN length(text) > 2000 THEN '[TRUNCATED -- full text in texts/' || doc_id || '.txt]' || chr(10) || substr(text, 1, 1900) ELSE text END"
 GIVEN = "'  ' || p_name || ' / ~ М-' || p_partkey || '/2026 ~'"
-LINKED = "l AS (SELECT doc_id, '2-' || doc_id || '/2026' AS case_number, CASE WHEN doc_id % 5 <> 0 THEN 'https://court.example/doc?n=' || (doc_id % 97) END AS link FROM documents), f AS (SELECT link, 'opinion_fulltexts/' || regexp_replace(arg_min(case_number, doc_id), '[^\\p{L}\\p{N}_-]+', '_', 'g') || '_' || substr(sha1(link), 1, 8) || '.txt' AS path FROM l WHERE link IS NOT NULL GROUP BY link)"
-ALL_LINKED = "l AS (SELECT doc_id, '2-' || doc_id || '/2026' AS case_number, CASE WHEN doc_id % 5 <> 0 THEN 'https://court.example/doc?n=' || CASE WHEN doc_id % 11 = 1 THEN '1' WHEN doc_id % 7 = 3 THEN 'x' || doc_id ELSE CAST(doc_id - doc_id % 3 AS VARCHAR) END END AS link FROM documents), f AS (SELECT link, 'opinion_fulltexts/' || regexp_replace(arg_min(case_number, doc_id), '[^\\p{L}\\p{N}_-]+', '_', 'g') || '_' || substr(sha1(link), 1, 8) || '.txt' AS path FROM l WHERE link IS NOT NULL GROUP BY link)"
+LINKED = "l AS (SELECT doc_id, '2-' || doc_id || '/2026' AS case_number, CASE WHEN doc_id % 5 <> 0 THEN 'https://court.example/doc?n=' || CASE WHEN doc_id % 11 = 1 THEN '1' WHEN doc_id % 7 = 3 THEN 'x' || doc_id ELSE CAST(doc_id - doc_id % 3 AS VARCHAR) END END AS link FROM documents), f AS (SELECT link, 'opinion_fulltexts/' || regexp_replace(arg_min(case_number, doc_id), '[^\\p{L}\\p{N}_-]+', '_', 'g') || '_' || substr(sha1(link), 1, 8) || '.txt' AS path FROM l WHERE link IS NOT NULL GROUP BY link)"
 STRIP = f"regexp_replace(%s, '^{W}+|{W}+$', '', 'g')"
 
 ORACLE_SQL = {
@@ -312,24 +291,18 @@ ORACLE_SQL = {
     "needs_translation": f"WITH g AS (SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN p_name WHEN 1 THEN ' 01.02.2025 ' WHEN 2 THEN '12:30' WHEN 3 THEN '2-10' WHEN 4 THEN 'http://x.example' ELSE '  ' END AS given FROM part) SELECT p_partkey, given, regexp_matches(given, '{LETTERS}') AND NOT starts_with(trim(given), 'http') AND NOT regexp_full_match(trim(given), '\\d{{2}}\\.\\d{{2}}\\.\\d{{4}}|\\d{{2}}:\\d{{2}}|[\\d-]+') AS needed FROM g",
     "translated_left_join": "SELECT p_partkey, p_brand AS value, CASE p_brand WHEN 'Brand#11' THEN 'first' WHEN 'Brand#22' THEN 'second' WHEN 'Brand#33' THEN 'third' ELSE p_brand END AS brand_en FROM part",
     "translated_values": f"SELECT DISTINCT p_type AS value, CASE WHEN regexp_matches(p_type, '{LETTERS}') THEN reverse(p_type) ELSE p_type END AS en FROM part",
-    "translated_paragraphs": f"WITH {LINES}, u AS ({U}) SELECT k, norm AS ru, lower(norm) AS en FROM u WHERE k < '08'",
+    "translated_paragraphs": f"WITH {LINES}, u AS ({U}) SELECT k, norm AS ru, replace(lower(norm), ' ', '') AS en_without_blanks FROM u",
     "sanitize_filename": f"SELECT p_partkey, substr(regexp_replace(regexp_replace({GIVEN}, '[^\\p{{L}}\\p{{N}}_-]+', '_', 'g'), '^_+|_+$', '', 'g'), 1, 24) AS stem, regexp_replace(regexp_replace({GIVEN}, '[^\\p{{L}}\\p{{N}}_-]', '_', 'g'), '^_+|_+$', '', 'g') AS name FROM part",
     "transliterate": "WITH w(i, word, latin, name) AS (VALUES " + ", ".join(f"({i}, '{w}', '{LATIN_OF[w][0]}', '{LATIN_OF[w][1]}')" for i, w in enumerate(WORDS)) + f") SELECT s_suppkey, word, latin, name FROM supplier JOIN w ON s_suppkey % {len(WORDS)} = i",
     "shorten_label": "SELECT o_orderkey, CASE o_orderpriority WHEN '1-URGENT' THEN 'urgent' WHEN '5-LOW' THEN 'low' ELSE o_orderpriority END AS label FROM orders",
     "column_widths": """WITH w AS (SELECT 'p_name' AS "column", max(length(p_name)) AS n FROM part UNION ALL SELECT 'p_brand', max(length(p_brand)) FROM part UNION ALL SELECT 'p_type', max(length(p_type)) FROM part) SELECT "column", CAST(least(greatest(greatest(n, length("column")) + 2, 12), 55) AS INTEGER) AS width FROM w""",
-    "participants": """WITH p AS (SELECT conv_id, turn, coalesce(role, '') AS role, CASE WHEN substr(text, 1, 20) <> '' THEN substr(text, 1, 20) ELSE coalesce(role, '') END AS name FROM conversations)
-SELECT conv_id, coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHERE contains(lower(role), 'user')), '') AS participants_plaintiffs,
-  coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHERE contains(lower(role), 'assistant') AND NOT contains(lower(role), 'user')), '') AS participants_defendants,
-  coalesce(string_agg(CASE WHEN role <> '' AND role <> name THEN role || ': ' || name ELSE name END, '; ' ORDER BY turn, name) FILTER (WHERE NOT contains(lower(role), 'assistant') AND NOT contains(lower(role), 'user')), '') AS participants_other
-FROM p GROUP BY conv_id""",
-    "participants_whole": """WITH p AS (SELECT conv_id, turn, coalesce(role, '') AS role, CASE WHEN text <> '' THEN text ELSE coalesce(role, '') END AS name FROM conversations)
+    "participants": """WITH p AS (SELECT conv_id, turn, coalesce(role, '') AS role, CASE WHEN text <> '' THEN text ELSE coalesce(role, '') END AS name FROM conversations)
 SELECT conv_id, coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHERE contains(lower(role), 'user')), '') AS participants_plaintiffs,
   coalesce(string_agg(name, '; ' ORDER BY turn, name) FILTER (WHERE contains(lower(role), 'assistant') AND NOT contains(lower(role), 'user')), '') AS participants_defendants,
   coalesce(string_agg(CASE WHEN role <> '' AND role <> name THEN role || ': ' || name ELSE name END, '; ' ORDER BY turn, name) FILTER (WHERE NOT contains(lower(role), 'assistant') AND NOT contains(lower(role), 'user')), '') AS participants_other
 FROM p GROUP BY conv_id""",
     "case_events": "SELECT doc_id AS case, source, turn, role AS event_name FROM documents LEFT JOIN conversations ON conv_id = doc_id",
-    "opinions_of_cases": f"WITH {LINKED}, t AS (SELECT 'https://court.example/doc?n=' || doc_id AS url, text FROM documents WHERE doc_id < 90 AND text <> '') SELECT doc_id, CAST(coalesce(CASE WHEN length(text) > 32000 THEN length('[TRUNCATED -- full text in ' || path || ']') + 1 + 31900 ELSE length(text) END, 0) AS INTEGER) AS chars, CASE WHEN text IS NULL THEN '' ELSE path END AS opinion_text_file FROM l LEFT JOIN t ON l.link = t.url LEFT JOIN f ON l.link = f.link",
-    "opinions_of_all_cases": f"WITH {ALL_LINKED}, t AS (SELECT 'https://court.example/doc?n=' || doc_id AS url, text FROM documents WHERE text <> '') SELECT doc_id, CAST(coalesce(CASE WHEN length(text) > 32000 THEN length('[TRUNCATED -- full text in ' || path || ']') + 1 + 31900 ELSE length(text) END, 0) AS INTEGER) AS chars, CASE WHEN text IS NULL THEN '' ELSE path END AS opinion_text_file FROM l LEFT JOIN t ON l.link = t.url LEFT JOIN f ON l.link = f.link",
+    "opinions_of_cases": f"WITH {LINKED}, t AS (SELECT 'https://court.example/doc?n=' || doc_id AS url, text FROM documents WHERE text <> '') SELECT doc_id, CAST(coalesce(CASE WHEN length(text) > 32000 THEN length('[TRUNCATED -- full text in ' || path || ']') + 1 + 31900 ELSE length(text) END, 0) AS INTEGER) AS chars, CASE WHEN text IS NULL THEN '' ELSE path END AS opinion_text_file FROM l LEFT JOIN t ON l.link = t.url LEFT JOIN f ON l.link = f.link",
     "opinion_jobs": f"WITH b AS (SELECT doc_id, text, regexp_replace({STRIP % "('[TRUNCATED -- x]' || chr(10) || text)"}, '^\\[TRUNCATED[^\\]]*\\]\\n', '') AS bare FROM documents) SELECT doc_id, substr(sha1(CASE WHEN doc_id % 3 = 0 THEN 'texts/' || doc_id || '.txt' ELSE substr(bare, 1, 500) END), 1, 16) AS opinion_id, CAST(CASE WHEN doc_id % 3 = 0 THEN length(text) ELSE length(bare) END AS INTEGER) AS chars FROM b",
     "completion": f"WITH {LINES}, d AS (SELECT doc_id, string_agg(CASE WHEN norm IS NULL THEN line ELSE lower(norm) END, chr(10) ORDER BY pos) AS text, bool_and(norm IS NULL OR k >= '08') AS complete FROM lines GROUP BY doc_id) SELECT count(*) AS rows, count(*) FILTER (WHERE complete AND text <> '') AS with_text, count(DISTINCT CASE WHEN complete AND text <> '' THEN text END) AS distinct_texts, count(*) FILTER (WHERE complete) AS complete FROM d",
     "opinion_files": f"WITH {LINKED} SELECT link, path FROM f",

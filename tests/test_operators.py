@@ -152,6 +152,16 @@ def test_translation(spark):
         translate.check_translator(lambda _: "")
 
 
+def test_long_values_and_paragraphs_are_translated_whole(spark):
+    texts = ["Короткий.", "Одно предложение. " * 400, "ж" * 9001, "x"]
+    values = {r.value: r.en for r in translate.translate_values(spark.createDataFrame([(t,) for t in texts], "value string"), str.upper).collect()}
+    assert values[texts[0]] == "КОРОТКИЙ." and values["x"] == "x"
+    assert all(values[t].replace(" ", "") == t.upper().replace(" ", "") for t in texts[:3])
+    rows = spark.createDataFrame([(f"k{i}", t.strip(), i) for i, t in enumerate(texts[:3])], "k string, norm string, pos long")
+    got = {r.k: r.en for r in translate.translate_pending(rows, spark.createDataFrame([], "k string, en string"), str.upper, ["pos"]).collect()}
+    assert got["k0"] == "КОРОТКИЙ." and all(got[f"k{i}"].replace(" ", "") == t.upper().replace(" ", "") for i, t in enumerate(texts[:3]))
+
+
 def test_second_run_translates_nothing(spark):
     rows = spark.createDataFrame([("k1", "раз", 1), ("k2", "два", 2), ("k3", "три", 3)], "k string, norm string, pos long")
     empty = spark.createDataFrame([], "k string, ru string, en string")

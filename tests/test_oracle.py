@@ -17,28 +17,19 @@ def test_gives_rows(name, spark, sf):
     assert len(set(df.columns)) == len(df.columns)
 
 
-def test_opinions_of_all_cases_take_every_text(spark, sf):
+def test_opinions_of_cases_take_every_text(spark, sf):
     """Each case has the text that its link names, whatever the id; only the others have none."""
     held = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()}
-    got = {r.doc_id: r for r in catalog.QUERIES["opinions_of_all_cases"](spark, sf).collect()}
+    got = {r.doc_id: r for r in catalog.QUERIES["opinions_of_cases"](spark, sf).collect()}
     assert set(got) == set(held) and max(held) > 90
     of = {i: 1 if i % 11 == 1 else None if i % 7 == 3 else i - i % 3 for i in held}
     assert {i for i, r in got.items() if r.opinion_text_file} == {i for i, n in of.items() if i % 5 and held.get(n)}
     assert all(r.chars == len(held[of[i]]) for i, r in got.items() if r.opinion_text_file and len(held[of[i]]) <= 32000)
 
 
-def test_all_paragraphs_are_translated(spark, sf):
-    """Those of up to the limit as they are, longer ones equal but for the blanks between pieces."""
-    unique = {r.k: r.norm.lower() for r in catalog.QUERIES["paragraph_unique"](spark, sf).collect()}
-    got = {r.k: r.en for r in catalog.QUERIES["translated_all_paragraphs"](spark, sf).collect()}
-    assert set(got) == set(unique)
-    assert all(got[k] == x for k, x in unique.items() if len(x) <= 1200)
-    assert all(got[k].replace(" ", "") == x.replace(" ", "") for k, x in unique.items())
-
-
 def test_participants_have_whole_texts(spark, sf):
     given = spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'user' and length(text) > 20").collect()
-    got = {r.conv_id: r.participants_plaintiffs for r in catalog.QUERIES["participants_whole"](spark, sf).collect()}
+    got = {r.conv_id: r.participants_plaintiffs for r in catalog.QUERIES["participants"](spark, sf).collect()}
     assert given and all(r.text in got[r.conv_id] for r in given)
 
 
