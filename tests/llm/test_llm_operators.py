@@ -751,3 +751,15 @@ def test_pipeline_stages_by_brute_force(spark, docs, rows, labelled, tmp_path):
         assert stage(spark, docs.limit(0), "").count() == 0, name
 
 
+def test_components(spark):
+    """Chains, stars and random edges, and no edges."""
+    draw = random.Random(5)
+    edges = [(bytes([i]), bytes([i + 1])) for i in range(120, 200)] + [(b"\x00", bytes([i])) for i in range(60, 90)]
+    edges += [(bytes([a]), bytes([b])) for a, b in ((draw.randrange(60), draw.randrange(60)) for _ in range(25)) if a != b]
+    label = {x: x for e in edges for x in e}
+    for _ in range(len(label)):
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    rows = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in edges], "a binary, b binary")
+    assert {bytes(r.node): bytes(r.label) for r in jaccard_join.components(rows.repartition(5)).collect()} == label
+    assert jaccard_join.components(rows.limit(0)).count() == 0
