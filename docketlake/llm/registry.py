@@ -7,6 +7,7 @@ from docketlake.llm import (
     exact_dedup,
     jaccard_join,
     mixing,
+    periodic_runs,
     quality,
     quality_rules,
     substring_dedup,
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_warc_revisits": warc_revisits.op10_warc_revisits,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
 }
 
 ORACLE_SQL = {
