@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from docketlake.llm import (
     byte_bpe,
+    centroid_clusters,
     exact_dedup,
     jaccard_join,
     mixing,
@@ -28,6 +29,7 @@ QUERIES = {
     "op9_substring_dedup": substring_dedup.op9_substring_dedup,
     "op10_warc_revisits": warc_revisits.op10_warc_revisits,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_centroid_clusters": centroid_clusters.op12_centroid_clusters,
 }
 
 ORACLE_SQL = {
@@ -37,4 +39,5 @@ ORACLE_SQL = {
     "op4_quality_rules": quality_rules.OP4_SQL,
     "op9_substring_dedup": substring_dedup.OP9_SQL,
     "op10_warc_revisits": warc_revisits.OP10_SQL,
+    "op12_centroid_clusters": centroid_clusters.OP12_SQL,
 }
