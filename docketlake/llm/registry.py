@@ -8,6 +8,7 @@ from docketlake.llm import (
     exact_dedup,
     jaccard_join,
     mixing,
+    page_text,
     periodic_runs,
     quality,
     quality_rules,
@@ -30,6 +31,7 @@ QUERIES = {
     "op10_warc_revisits": warc_revisits.op10_warc_revisits,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op12_centroid_clusters": centroid_clusters.op12_centroid_clusters,
+    "op13_page_text": page_text.op13_page_text,
 }
 
 ORACLE_SQL = {
