@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketlake.functions.dates import day_text
+from docketlake.operators.ordering import numbered
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], date: Column, order: Column) -> DataFrame:
@@ -38,11 +39,11 @@ def first_n(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 def value_frequency(df: DataFrame, column: str, order: Column) -> DataFrame:
     """AG-2, WN-8: values with their counts and ranks, most frequent first; ties by first appearance, then value.
 
-    The ranking sorts one row for each distinct value, after the counts have been made in parallel.
+    Counts are made in parallel, and ranked by ranges of their order: no task sorts all distinct values.
     """
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first_seen"))
-    rank = F.row_number().over(Window.orderBy(F.col("n").desc(), F.col("first_seen"), F.col(column)))
-    return counts.select(column, "n", rank.cast("long").alias("rank"))
+    ranked = numbered(counts, [F.col("n").desc(), F.col("first_seen"), F.col(f"`{column}`")], "rank")
+    return ranked.select(column, "n", "rank")
 
 
 def distinct_values(df: DataFrame, columns: Sequence[str], name: str = "value") -> DataFrame:

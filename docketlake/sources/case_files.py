@@ -15,6 +15,7 @@ import uuid
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from urllib.parse import unquote, urlsplit
 
 from pyarrow import fs as files
 from pyspark import TaskContext
@@ -31,7 +32,9 @@ RENAMES = 32
 
 def place_of(path: str) -> tuple[files.FileSystem, str]:
     """The file system and the path in it, of a local path or a uri."""
-    return files.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (files.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        path = unquote(urlsplit(path).path)
+    return files.FileSystem.from_uri(path) if "://" in path else (files.LocalFileSystem(), path)
 
 
 @dataclass

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketlake.operators.ordering import running_total
@@ -41,6 +41,6 @@ def with_row_numbers(scan: DataFrame, name: str = "row") -> DataFrame:
     return _joined(scan, rows, running_total(splits, [F.col("_file"), F.col("_block")], "_n", "_before"), name, None)
 
 
-def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, reader: DataFrameReader | None = None) -> DataFrame:
     """``value, file, line``: the lines of text files, each with its number in its file, from 0 on."""
-    return with_file_rows(spark.read.text(path), "line")
+    return with_file_rows((reader or spark.read).text(path), "line")
