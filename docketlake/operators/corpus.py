@@ -251,3 +251,8 @@ def joined_batch(paragraphs: Column) -> Column:
 def split_batch(text: Column) -> Column:
     """S-13: the segments of a translated batch, blank ones dropped."""
     return F.filter(F.transform(F.split(text, SENTINEL), collapse), lambda x: x != "")
+
+
+def segments_of(answer: str | None) -> list[str]:
+    """``split_batch`` for one answer inside a task."""
+    return list(filter(None, (" ".join(piece.split()) for piece in re.split(SENTINEL, answer or ""))))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
 import pandas as pd
@@ -10,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.functions.text import CYRILLIC, looks_untranslated, needs_translation
-from docketlake.operators.corpus import DELIMITER, MAX_CHARS, SENTINEL, pack_batches, paragraph_chunks, sentence_pieces
+from docketlake.operators.corpus import DELIMITER, MAX_CHARS, pack_batches, paragraph_chunks, segments_of, sentence_pieces
 from docketlake.session import settled, ship
 
 #: Text in, text out; raises or returns nothing on failure. It must be picklable: it runs on the executors.
@@ -40,14 +39,8 @@ def translate_paragraph(translator: Translator, norm: str, limit: int = MAX_CHAR
 
 def translate_batch(translator: Translator, paragraphs: Sequence[str], limit: int = MAX_CHARS) -> list[str | None]:
     """TR-4: one call for all; if the answer has another number of segments, a call for each."""
-    if len(paragraphs) > 1:
-        answer = attempt(translator, DELIMITER.join(paragraphs))
-        if answer is not None:
-            segments = [s.strip() for s in re.split(SENTINEL, answer)]
-            segments = [s for s in segments if s]
-            if len(segments) == len(paragraphs):
-                return segments
-    return [translate_paragraph(translator, p, limit) for p in paragraphs]
+    whole = segments_of(attempt(translator, DELIMITER.join(paragraphs))) if len(paragraphs) > 1 else []
+    return whole if whole and len(whole) == len(paragraphs) else [translate_paragraph(translator, p, limit) for p in paragraphs]
 
 
 def translate_document(translator: Translator, text: str, limit: int = MAX_CHARS) -> tuple[str, bool]:

@@ -280,3 +280,14 @@ def test_failing_list_is_left_out():
 
     got = list(acquire.crawl_all(acquire.Fetcher(broken, quiet()), ["https://bad.example/", "https://c.example/"], 1))
     assert [b for b, *_ in got] == ["https://c.example/"]
+
+
+def test_page_url():
+    given = ["https://c.example/l", "https://c.example/l?", "https://c.example/l?a=1&page=12x&page=3", "https://c.example/l?page=", "https://c.example/l?homepage=2", "l?a=1#x"]
+    assert [acquire.page_url(u, 7) for u in given] == [
+        "https://c.example/l?page=7", "https://c.example/l?&page=7", "https://c.example/l?a=1&page=7x&page=3", "https://c.example/l?page=7", "https://c.example/l?homepage=2&page=7", "l?a=1#x&page=7",
+    ]
+
+
+def test_segments():
+    assert corpus.segments_of(" a b @@@ c\n@@@@@@\n\n@@@") == ["a b", "c"] and corpus.segments_of(None) == []
