@@ -13,7 +13,7 @@ from docketlake.functions.dates import pages_of
 from docketlake.operators import relational as R
 from docketlake.session import ensure_checkpoint_dir, ship
 from docketlake.sources.readers import table
-from docketlake.streaming.resume import counts_by
+from docketlake.streaming.resume import KeyedState, counts_by
 
 #: Results and case pages of our own making, with a hole for the page's number.
 RESULTS_PAGE = """<html><head><title>Тестовский районный суд</title></head><body><p>Всего по запросу найдено — 5{n}. На странице записи с 1 по 25.</p>
@@ -106,20 +106,30 @@ def outcome_counts_stream(spark: SparkSession, sf: str) -> DataFrame:
     parent, name = path.rsplit("/", 1)
     single = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     source = single.parquet(path) if _is_folder(spark, path) else single.option("pathGlobFilter", name).parquet(parent)
-    run = uuid.uuid4().hex
-    return counts_by(source, "event_type", f"event_counts_{run}", f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{run}")
+    run = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    return counts_by(source, "event_type", f"{run}/counts", f"{run}/offsets")
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(where).isDirectory()
+    """Whether a table is a folder of files: then its files have other names than it has."""
+    return not all(f.rstrip("/").endswith("/" + path.rsplit("/", 1)[1]) for f in spark.read.parquet(path).inputFiles())
+
+
+def events_into_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Users into a keyed state, in three batches of which the second comes twice, as after a failure; one row each stays."""
+    events = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("k"), "event_id")
+    state = KeyedState(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}", "k")
+    for number in (0, 1, 1, 2):
+        batch = events.where(F.pmod("event_id", F.lit(3)) == number).groupBy("k").agg(F.min("event_id").alias("first"))
+        state.add(batch, f"run-{number}")
+    return state.rows()
 
 
 QUERIES = {
     f.__name__: f
     for f in (
         url_set_page, url_parts, url_join, html_links, html_title, html_main_text, html_classify, html_table_rows, html_result_pages,
-        html_case_events, charset_decode, json_roundtrip, cache_last_wins, outcome_counts_stream,
+        html_case_events, charset_decode, json_roundtrip, cache_last_wins, outcome_counts_stream, events_into_state,
     )
 }
 
@@ -138,5 +148,6 @@ FROM pages CROSS JOIN (VALUES ('Регистрация', '01.02.2025', '10:00'),
     "charset_decode": "SELECT page_id, length(html) AS chars FROM pages",
     "json_roundtrip": """SELECT event_id, event_id % 10 <> 0 AND json_valid(props) AS readable, '{"k":' || event_id || ',"ru":"' || event_type || '"}' AS line FROM events""",
     "cache_last_wins": "SELECT event_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1",
+    "events_into_state": "SELECT CAST(user_id AS VARCHAR) AS k, min(event_id) FILTER (WHERE event_id % 3 = b) AS first FROM events JOIN (SELECT user_id, min(event_id % 3) AS b FROM events WHERE user_id IS NOT NULL GROUP BY user_id) USING (user_id) GROUP BY user_id",
     "outcome_counts_stream": "SELECT event_type, count(*) AS n FROM events GROUP BY 1",
 }

@@ -78,9 +78,9 @@ def test_resumed_stream(spark, tmp_path):
         stream = spark.readStream.schema(schema).json(str(source))
         process_new(stream, "k", state, str(tmp_path / "check"), lambda df: df.select("k", F.col("v").alias("done"))).awaitTermination()
 
-    assert read_state(spark, state) is None
+    assert read_state(spark, state, "k") is None
     spark.createDataFrame([("a", 1), ("b", 2)], schema).write.json(str(source))
     run()
     spark.createDataFrame([("a", 9), ("c", 3)], schema).write.mode("append").json(str(source))
     run()
-    assert {(r.k, r.done) for r in read_state(spark, state).collect()} == {("a", 1), ("b", 2), ("c", 3)}
+    assert {(r.k, r.done) for r in read_state(spark, state, "k").collect()} == {("a", 1), ("b", 2), ("c", 3)}
