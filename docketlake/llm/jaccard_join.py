@@ -31,6 +31,10 @@ SMALL_SHINGLES = 1 << 21
 CENTRE_SETS, SALT_SETS = 64, 2048
 #: Sets that share a token outside their component's centre are compared at once up to so many, else in blocks of that size.
 BLOCK = 1024
+#: Edges between sets that one task takes at once: two signatures each, some 32 MB.
+LOCAL_EDGES = 1 << 18
+#: Sets that a task which reads their shingles has about, where few are left.
+TASK_SETS = 1 << 11
 
 
 def runs_for(recall: float, similarity: float = SIMILARITY, branching: float = BRANCHING, depth: int = DEPTH) -> int:
@@ -239,12 +243,18 @@ def _compare(threshold: Fraction, count_links: bool):
     return lambda batches: _batched((finish(rows) for _, rows in _grouped(batches)), names, kinds)
 
 
-def _compared(members: DataFrame, sets: DataFrame, threshold: Fraction, count_links: bool) -> DataFrame:
-    """``members``: ``g, low, only, w``; a null ``only`` stands for every set with these first bits."""
+def _few(df: DataFrame, rows: int, each: int = 1 << 15) -> DataFrame:
+    """``df``, of up to ``rows`` rows, in so few tasks that each has some ``each`` of them; as it is if that takes more tasks than it has."""
+    wanted = max(1, math.ceil(rows / each))
+    return df.coalesce(wanted) if wanted < int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
+def _compared(members: DataFrame, rows: int, sets: DataFrame, threshold: Fraction, count_links: bool) -> DataFrame:
+    """``members``, up to ``rows``: ``g, low, only, w``; a null ``only`` stands for every set with these first bits."""
     parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     whole = members.join(sets, "low").where("only is null or only = sig").select("g", "sig", "w", "grams")
     out = "sig binary, links long" if count_links else "a binary, b binary"
-    return whole.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_compare(threshold, count_links), out)
+    return _few(whole.repartition(parts, "g"), rows, TASK_SETS).sortWithinPartitions("g").mapInArrow(_compare(threshold, count_links), out)
 
 
 def _majority(batches):
@@ -314,9 +324,9 @@ def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fr
     share = F.least(F.lit(1.0), F.greatest(F.lit(8.0), F.least(F.lit(float(CENTRE_SETS)), SMALL_SHINGLES * F.col("size") / F.col("shingles"))) / F.col("size"))
     drawn = members.where(F.pmod(F.xxhash64("g", "low"), F.lit(1 << 30)) <= share * (1 << 30))
     held = drawn.join(sets, "low").where("only is null or only = sig").groupBy("g").agg(F.collect_list("grams").alias("held"))
-    centres = settled(held.mapInArrow(_majority, "g long, centre binary"))
+    centres = settled(_few(held, sizes.count(), 16).mapInArrow(_majority, "g long, centre binary"))
     whole = _salted(members, sizes.join(centres, "g", "left").select("g", "size", "centre")).join(sets, "low").where("only is null or only = sig")
-    whole = whole.select("g", "low", "sig", "w", "size", "grams", "centre")
+    whole = _few(whole, members.count(), TASK_SETS).select("g", "low", "sig", "w", "size", "grams", "centre")
     return whole.mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, size long, f long, by long, rate double, n long, keys array<long>")
 
 
@@ -377,17 +387,51 @@ def _links_in_large(members: DataFrame, sizes: DataFrame, sets: DataFrame, thres
     # Tokens with the same sets are looked at once, by the least of them.
     few = rows.join(sharing.where(F.col("n") <= BLOCK), ["g", "token"]).groupBy("g", "token").agg(F.sort_array(F.collect_list("sig")).alias("m"))
     few = few.groupBy("g", "m").agg(F.min("token").alias("token")).select("g", "token", F.explode("m").alias("sig"), F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(0).alias("side"))
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    many = rows.join(sharing.where(F.col("n") > BLOCK), ["g", "token"]).withColumn("h", F.pmod(F.xxhash64("sig"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    many = many.select("g", "token", "sig", F.least("h", "other").alias("i"), F.greatest("h", "other").alias("j"), F.col("h").alias("side"))
-    listed = few.union(many).join(asking.withColumnRenamed("sig", "_sig").withColumnRenamed("g", "_g"), (F.col("g") == F.col("_g")) & (F.col("sig") == F.col("_sig")))
+    if sharing.where(F.col("n") > BLOCK).limit(1).count():
+        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        many = rows.join(sharing.where(F.col("n") > BLOCK), ["g", "token"]).withColumn("h", F.pmod(F.xxhash64("sig"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        few = few.union(many.select("g", "token", "sig", F.least("h", "other").alias("i"), F.greatest("h", "other").alias("j"), F.col("h").alias("side")))
+    listed = few.join(asking.withColumnRenamed("sig", "_sig").withColumnRenamed("g", "_g"), (F.col("g") == F.col("_g")) & (F.col("sig") == F.col("_sig")))
     listed = listed.select(F.xxhash64("g", "token", "i", "j").alias("g"), "side", "token", "sig", "w", "f", "keys")
-    return follows.union(listed.repartition(parts, "g").sortWithinPartitions("g").mapInArrow(_count_sharing(threshold), "sig binary, links long"))
+    return follows.union(_few(listed.repartition(parts, "g"), rows.count(), TASK_SETS).sortWithinPartitions("g").mapInArrow(_count_sharing(threshold), "sig binary, links long"))
+
+
+def _local_components(batches):
+    """``a, b`` to ``node, label``: the least node of each component of a task's edges."""
+    number: dict[bytes, int] = {}
+    ends: list[int] = []
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            ends += (number.setdefault(a, len(number)), number.setdefault(b, len(number)))
+    root = list(range(len(number)))
+
+    def find(x):
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    for a, b in zip(ends[::2], ends[1::2], strict=True):
+        root[find(a)] = find(b)
+    nodes, least = list(number), {}
+    for node in sorted(nodes):
+        least.setdefault(find(number[node]), node)
+    for low in range(0, len(nodes), 1 << 14):
+        part = nodes[low : low + (1 << 14)]
+        yield pa.RecordBatch.from_arrays([pa.array(part, pa.binary()), pa.array([least[find(number[x])] for x in part], pa.binary())], ["node", "label"])
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """``node, label``: the least node of each connected component, by neighbours' labels and pointer jumping."""
-    both = settled(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    """``node, label``: the least node of each connected component.
+
+    Up to LOCAL_EDGES edges are one task's work. Of more, each task first turns its edges into stars; then labels spread by
+    neighbours and pointer jumping until none changes.
+    """
+    count = edges.count()
+    if count <= LOCAL_EDGES:
+        return settled(edges.select("a", "b").coalesce(1).mapInArrow(_local_components, "node binary, label binary"))
+    stars = edges.select("a", "b").mapInArrow(_local_components, "node binary, label binary").where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+    both = settled(stars.select("a", "b").union(stars.select("b", "a")).distinct())
     labels = settled(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("label")))
     while True:
         heard = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("heard"))
@@ -446,18 +490,20 @@ def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, thr
     shares = held.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min("known").alias("p"), F.max("known").alias("q"), *same).where("p < q")
     # Buckets with the same members are looked at once.
     mixed = shares.groupBy("size", "shingles", "x0", "x1").agg(F.min("path").alias("g"))
-    mixed = settled(mixed.select("g", "size", "shingles", _is_small().alias("small")))
-    held = settled(held.withColumnRenamed("path", "g").join(mixed, "g"))
+    most = buckets.count()
+    mixed = settled(_few(mixed.select("g", "size", "shingles", _is_small().alias("small")), most))
+    held = settled(_few(held.withColumnRenamed("path", "g").join(mixed, "g"), most))
+    most = held.count()
     once = held.where("small").select("g", "low", F.lit(None).cast("binary").alias("only"), F.col("known").alias("w"))
-    edges = _compared(once, sets, threshold, False)
+    edges = _compared(once, most, sets, threshold, False)
     large = mixed.where("not small")
     if not large.limit(1).count():
-        return settled(edges.distinct()), None
+        return settled(_few(edges.distinct(), most)), None
     members = held.where("not small").select("g", "size", "shingles", "low", F.lit(None).cast("binary").alias("only"), F.lit(1).cast("long").alias("w"))
     deltas = settled(_deltas(members, large.select("g", "size"), sets, threshold, sample=True))
-    known = settled(_salted(deltas, _extremes(deltas)))
+    known = settled(_few(_salted(deltas, _extremes(deltas)), most))
     star = known.where((F.col("f") + F.col("least.f") <= 0) & (F.col("sig") != F.col("least.sig"))).select(F.col("least.sig").alias("a"), F.col("sig").alias("b"))
-    edges = settled(edges.union(star).distinct())
+    edges = settled(_few(edges.union(star).distinct(), most))
     if not further:
         return edges, None
     # A bucket all of whose sets are linked to the least is done.
@@ -503,11 +549,12 @@ def _classes(docs: DataFrame, similarity: float = SIMILARITY, recall: float = TA
         sizes = members.groupBy("label").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min("least").alias("class_id"))
         members = settled(members.join(sizes.withColumn("small", _is_small()), "label").select("node", "label", "size", "shingles", "small", "class_id", "low", "w"))
         grouped = members.select(F.xxhash64("label").alias("g"), "low", F.col("node").alias("only"), "w", "small", "size", "shingles")
-        counts = _compared(grouped.where("small").select("g", "low", "only", "w"), sets, threshold, True)
+        count = members.count()
+        counts = _compared(grouped.where("small").select("g", "low", "only", "w"), count, sets, threshold, True)
         large = settled(grouped.where("not small").select("g", "size").distinct())
         if large.limit(1).count():
             counts = counts.union(_links_in_large(grouped.where("not small").select("g", "size", "shingles", "low", "only", "w"), large, sets, threshold))
-        links = settled(counts.groupBy("sig").agg(F.sum("links").alias("links")))
+        links = settled(_few(counts.groupBy("sig").agg(F.sum("links").alias("links")), count))
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     of_sig = weights.join(members.select(F.col("node").alias("sig"), "class_id", "label"), "sig", "left").join(links, "sig", "left")

@@ -126,7 +126,7 @@ def test_jaccard_join(docs, clashing, no_docs, rows):
 
 @pytest.mark.parametrize(("small", "block", "centre", "salt"), [(4, 4, 64, 2), (2, 3, 5, 1000)])
 def test_large_buckets(docs, rows, monkeypatch, small, block, centre, salt):
-    for name, value in (("SMALL_BUCKET", small), ("BLOCK", block), ("CENTRE_SETS", centre), ("SALT_SETS", salt)):
+    for name, value in (("SMALL_BUCKET", small), ("BLOCK", block), ("CENTRE_SETS", centre), ("SALT_SETS", salt), ("LOCAL_EDGES", block), ("TASK_SETS", block)):
         monkeypatch.setattr(jaccard_join, name, value)
     assert tuples(jaccard_join.similar_groups(docs), "doc_id", "class_id", "n_links") == brute_jaccard(rows)
 
@@ -751,7 +751,9 @@ def test_pipeline_stages_by_brute_force(spark, docs, rows, labelled, tmp_path):
         assert stage(spark, docs.limit(0), "").count() == 0, name
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [1 << 18, 0])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr(jaccard_join, "LOCAL_EDGES", local)
     """Chains, stars and random edges, and no edges."""
     draw = random.Random(5)
     edges = [(bytes([i]), bytes([i + 1])) for i in range(120, 200)] + [(b"\x00", bytes([i])) for i in range(60, 90)]
