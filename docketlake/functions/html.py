@@ -395,22 +395,6 @@ def decoded(body: Column, content_type: Column) -> Column:
     return decode(body, content_type)
 
 
-def joined_url(base: Column, link: Column) -> Column:
-    """U-3 as a column; null where either is, or where they do not join."""
-
-    @F.pandas_udf("string")
-    def join(bases: pd.Series, links: pd.Series) -> pd.Series:
-        def one(b, a):
-            try:
-                return urljoin(b, a) if b is not None and a is not None else None
-            except ValueError:
-                return None
-
-        return pd.Series([one(b, a) for b, a in zip(bases, links, strict=True)], dtype=object)
-
-    return join(base, link)
-
-
 def page_links(html: Column, base: Column) -> Column:
     @F.pandas_udf("array<string>")
     def links(htmls: pd.Series, bases: pd.Series) -> pd.Series:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.functions.dates import days_between, month_of, per_10k, scaled
+from docketlake.session import settled
 
 UNKNOWN_PLACE = "UNKNOWN"
 
@@ -26,13 +27,13 @@ def month_spine(df: DataFrame) -> DataFrame:
 def monthly_counts(df: DataFrame, dimensions: Sequence[str] = ()) -> DataFrame:
     """AG-3..5, J-10, J-11: counts by month and the dimensions; months without rows count 0.
 
-    Only combinations of dimensions that occur get a series. Each is exploded into the months by itself, so that the
-    grid needs no join.
+    Only combinations of dimensions that occur get a series. The rows are counted once; the first and last month, the
+    combinations and their grid of months all come from the counts.
     """
-    counts = df.groupBy(*dimensions, "month").agg(F.count(F.lit(1)).alias("n"))
+    counts = settled(df.groupBy(*dimensions, "month").agg(F.count(F.lit(1)).alias("n")))
     if not dimensions:
-        return month_spine(df).join(counts, "month", "left").select("month", F.coalesce("n", F.lit(0)).alias("n"))
-    first, last = df.agg(F.min("month")).scalar(), df.agg(F.max("month")).scalar()
+        return month_spine(counts).join(counts, "month", "left").select("month", F.coalesce("n", F.lit(0)).alias("n"))
+    first, last = counts.agg(F.min("month")).scalar(), counts.agg(F.max("month")).scalar()
     grid = counts.select(*dimensions).distinct().select(*dimensions, F.explode(F.sequence(first, last, F.expr("interval 1 month"))).alias("month"))
     same = [F.col(f"g.{c}").eqNullSafe(F.col(f"c.{c}")) for c in (*dimensions, "month")]
     joined = grid.alias("g").join(counts.alias("c"), on=_all(same), how="left")

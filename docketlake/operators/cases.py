@@ -44,7 +44,8 @@ def with_texts(cases: DataFrame, texts: DataFrame, link: str, number: str, order
     """
     known = texts.where("opinion_text is not null and opinion_text <> ''").select(F.col("url").alias("_url"), F.col("opinion_text").alias("_text"))
     files = link_files(cases, link, number, order).withColumnRenamed("link", "_link").withColumnRenamed("path", "_path")
-    own = strip(F.col(link))
+    # Cases without a link ask for one that nothing has, a different one each, so that they do not meet in one task.
+    own = F.coalesce(strip(F.col(link)), F.concat(F.lit("no link "), F.xxhash64(order, number).cast("string")))
     rows = cases.join(known, own == F.col("_url"), "left").join(files, own == F.col("_link"), "left")
     has = F.col("_text").isNotNull()
     rows = rows.withColumn("opinion_text", F.when(has, inline(F.col("_text"), F.col("_path"))).otherwise(F.lit("")))

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docketlake.functions.text import CYRILLIC, collapse, key_of, passthrough_norm
-from docketlake.session import settled_in_place, ship
+from docketlake.session import settled, settled_in_place, ship
 
 #: Characters of a batch at most, and what separates its paragraphs.
 MAX_CHARS = 1200
@@ -37,18 +37,19 @@ def unique_paragraphs(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 
 def paragraph_stats(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
-    """AG-13: documents, lines, paragraph occurrences, distinct paragraphs, characters with and without repeats."""
-    once = lines.where("k is not null").groupBy("k").agg(F.min(F.length("norm")).alias("n"))
-    return lines.agg(
-        F.countDistinct(doc).alias("documents"),
-        F.count(F.lit(1)).alias("lines"),
-        F.count("k").alias("occurrences"),
-        F.coalesce(F.sum(F.length("norm")), F.lit(0)).alias("chars"),
-    ).select(
-        "*",
-        once.agg(F.count(F.lit(1))).scalar().alias("unique_paragraphs"),
-        once.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar().alias("unique_chars"),
-    )
+    """AG-13: documents, lines, paragraph occurrences, distinct paragraphs, characters with and without repeats.
+
+    Lines are normalised once, for the counts by key; documents are counted without that.
+    """
+    by_key = settled(lines.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min(F.length("norm")).alias("length")))
+    known, total = F.col("k").isNotNull(), lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return by_key.agg(
+        total(F.col("n")).alias("lines"),
+        total(F.when(known, F.col("n"))).alias("occurrences"),
+        total(F.col("n") * F.col("length")).alias("chars"),
+        F.count("k").alias("unique_paragraphs"),
+        total(F.col("length")).alias("unique_chars"),
+    ).select(lines.agg(F.countDistinct(doc)).scalar().alias("documents"), "*")
 
 
 def keys_of_documents(lines: DataFrame, doc: str = "doc_id") -> DataFrame:
@@ -63,7 +64,9 @@ def reassembled(lines: DataFrame, cache: DataFrame, doc: str = "doc_id", gate: b
     ``gate`` its text is null; else such lines stay as they are.
     """
     known = cache.select(F.col("k").alias("_k"), F.col("en").alias("_en"))
-    rows = lines.join(known, F.col("k") == F.col("_k"), "left")
+    # Lines without a key ask for keys that nothing has, a different one each, so that they do not meet in one task.
+    own = F.coalesce("k", F.concat(F.lit("no key "), F.xxhash64(doc, "pos").cast("string")))
+    rows = lines.join(known, own == F.col("_k"), "left")
     ready = F.col("norm").isNull() | F.col("_en").isNotNull()
     piece = F.struct(F.col("pos"), F.when(F.col("norm").isNull(), F.col("line")).otherwise(F.coalesce("_en", "line")).alias("x"))
     docs = rows.groupBy(doc).agg(F.array_sort(F.collect_list(piece)).alias("_pieces"), F.bool_and(ready).alias("complete"))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketlake.functions import text as T
 from docketlake.operators import corpus as C
 from docketlake.operators import relational as R
+from docketlake.operators.assembly import Assembly
 from docketlake.operators.cases import completion_counts, link_files, participants_pivot, with_events, with_texts
 from docketlake.operators.cases import opinion_jobs as jobs_of
 from docketlake.operators.translate import translate_pending, translate_values
+from docketlake.session import ensure_checkpoint_dir
 from docketlake.sources.readers import table
 
 LETTERS = "[A-Za-z]"
@@ -58,6 +62,15 @@ def reassemble_complete(spark: SparkSession, sf: str) -> DataFrame:
     return C.reassembled(_lines(spark, sf), _cache(spark, sf, "k >= '08'"))
 
 
+def reassemble_in_steps(spark: SparkSession, sf: str) -> DataFrame:
+    """The same in three steps: documents with nothing to translate, then each half of the cache touches only what it completes."""
+    assembly = Assembly(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/assembly-{uuid.uuid4().hex}")
+    done = assembly.begin(_lines(spark, sf)).withColumn("step", F.lit(0))
+    for step, part in enumerate(("k >= '08' and k < '8'", "k >= '8'"), 1):
+        done = done.unionByName(assembly.add(_cache(spark, sf, part), str(step)).withColumn("step", F.lit(step)))
+    return done.unionByName(assembly.incomplete().select("doc_id"), allowMissingColumns=True)
+
+
 def pack_batches(spark: SparkSession, sf: str) -> DataFrame:
     """All distinct paragraphs, packed in the order of first appearance."""
     rows = C.unique_paragraphs(_lines(spark, sf)).select("k", "norm", "first_doc", "first_pos")
@@ -256,7 +269,7 @@ def completion(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        paragraphs, paragraph_unique, paragraph_stats, paragraph_keys, reassemble_identity, reassemble_complete, pack_batches,
+        paragraphs, paragraph_unique, paragraph_stats, paragraph_keys, reassemble_identity, reassemble_complete, reassemble_in_steps, pack_batches,
         sentence_chunks, paragraph_chunks, sentences, batch_round_trip, inline_truncate, marker_strip, letter_ratio,
         duplicate_documents_first, first_appearance, first_n_semi_join, pending_anti_join, retry_failures, run_counters,
         distinct_translatable, needs_translation, translated_left_join, translated_values, translated_paragraphs,
@@ -270,13 +283,70 @@ GIVEN = "'  ' || p_name || ' / ~ М-' || p_partkey || '/2026 ~'"
 LINKED = "l AS (SELECT doc_id, '2-' || doc_id || '/2026' AS case_number, CASE WHEN doc_id % 5 <> 0 THEN 'https://court.example/doc?n=' || CASE WHEN doc_id % 11 = 1 THEN '1' WHEN doc_id % 7 = 3 THEN 'x' || doc_id ELSE CAST(doc_id - doc_id % 3 AS VARCHAR) END END AS link FROM documents), f AS (SELECT link, 'opinion_fulltexts/' || regexp_replace(arg_min(case_number, doc_id), '[^\\p{L}\\p{N}_-]+', '_', 'g') || '_' || substr(sha1(link), 1, 8) || '.txt' AS path FROM l WHERE link IS NOT NULL GROUP BY link)"
 STRIP = f"regexp_replace(%s, '^{W}+|{W}+$', '', 'g')"
 
+#: Sentences of every document: an end mark, then white space as Java's and Python's patterns have it (RE2's lacks \\x0B).
+ENDS = r"[\s\x0B\x1c-\x1f\x85\p{Z}]"
+
+
+def _sentences_of(rows: str, space: str) -> str:
+    """``d, i, s``: the sentences of ``rows`` (``d, text``); a mark that no text has stands where one ends."""
+    return f"SELECT d, unnest(range(1, len(l) + 1)) AS i, unnest(l) AS s FROM (SELECT d, string_split(regexp_replace(text, '([.!?]){space}+', '\\1' || chr(57344), 'g'), chr(57344)) AS l FROM {rows} WHERE text IS NOT NULL)"
+
+
+def _packed(units: str, glue: str, stripped: bool, limit: int = C.MAX_CHARS) -> str:
+    """A fold over ``units`` (``d, i, x, apart``): pieces ``d, pos, piece`` of at most ``limit`` characters, in order.
+
+    ``apart`` is 1 for a unit that begins a piece, 2 for one that is a piece by itself. With ``stripped`` pieces have no white
+    space at their ends, but for one that follows a full piece.
+    """
+    strip = lambda c: f"regexp_replace({c}, '^{W}+|{W}+$', '', 'g')" if stripped else c
+    joined = strip(f"r.piece || {glue} || u.x")
+    alone = f"CASE WHEN u.apart = 2 THEN u.x ELSE {strip('u.x')} END"
+    full = f"(r.piece <> '' AND (r.apart = 2 OR u.apart > 0 OR length({joined}) > {limit}))"
+    return f"""r AS (
+  SELECT d, 0 AS i, '' AS piece, 0 AS apart, NULL::VARCHAR AS gone, max(i) AS n FROM {units} GROUP BY d
+  UNION ALL
+  SELECT r.d, u.i, CASE WHEN r.piece = '' OR r.apart = 2 OR u.apart > 0 THEN {alone} WHEN length({joined}) > {limit} THEN u.x ELSE {joined} END, u.apart, CASE WHEN {full} THEN r.piece END, r.n
+  FROM r JOIN {units} u ON u.d = r.d AND u.i = r.i + 1
+), out AS (SELECT d, i, gone AS piece FROM r WHERE gone IS NOT NULL UNION ALL SELECT d, i + 1, piece FROM r WHERE i = n AND piece <> '')"""
+
+
+def _cut(rows: str, limit: int = C.MAX_CHARS) -> str:
+    """Units of sentences ``d, i, s``: one over the limit in parts, which begin pieces and, but for the last, are pieces."""
+    return f"""(SELECT d, row_number() OVER (PARTITION BY d ORDER BY i, j) AS i, substr(s, j * {limit} + 1, {limit}) AS x, CASE WHEN length(s) <= {limit} THEN 0 WHEN (j + 1) * {limit} < length(s) THEN 2 ELSE 1 END AS apart
+  FROM (SELECT d, i, s, unnest(range(0, greatest(CAST(ceil(length(s) / {limit}.0) AS BIGINT), 1))) AS j FROM {rows}))"""
+
+
+POSITIONS = "SELECT d AS doc_id, CAST(row_number() OVER (PARTITION BY d ORDER BY i) - 1 AS INTEGER) AS pos, piece AS chunk FROM"
+DOCS = "docs AS (SELECT doc_id AS d, text FROM documents)"
+#: Sentence pieces of lines over the limit are units of their own; they and other lines are packed by line ends.
+PARAGRAPHS = f"""WITH RECURSIVE lines AS (SELECT doc_id * 1000000 + ln AS d, doc_id, ln, line AS text FROM (SELECT doc_id, unnest(range(0, len(l))) AS ln, unnest(l) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL))),
+longer AS (SELECT d, text FROM lines WHERE length(text) > {C.MAX_CHARS}), s AS ({_sentences_of('longer', ENDS)}), u AS ({_cut('s')}), {_packed('u', "' '", True)},
+units AS (SELECT doc_id AS d, row_number() OVER (PARTITION BY doc_id ORDER BY ln, j) AS i, x, apart FROM (
+  SELECT doc_id, ln, 0 AS j, text AS x, 0 AS apart FROM lines WHERE length(text) <= {C.MAX_CHARS} UNION ALL SELECT doc_id, ln, out.i, piece, 2 FROM out JOIN lines USING (d))),
+{_packed('units', 'chr(10)', False).replace('r AS (', 'q AS (', 1).replace('FROM r JOIN', 'FROM q r JOIN').replace('out AS (', 'chunks AS (', 1).replace('FROM r WHERE', 'FROM q WHERE')}
+{POSITIONS} chunks"""
+
+#: The batch that each paragraph begins if it begins one; those that do are reached from the first by doubling steps.
+FAR = f"""items AS (SELECT k, norm, row_number() OVER (ORDER BY first_doc, first_pos, k) AS i, length(norm) AS n, length(norm) > {C.MAX_CHARS} OR regexp_matches(norm, '@{{3,}}') AS alone FROM u),
+sums AS (SELECT *, sum(n + {len(C.DELIMITER)}) OVER (ORDER BY i) AS c, coalesce(min(CASE WHEN alone THEN i END) OVER (ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), (SELECT count(*) + 1 FROM u)) AS stop FROM items),
+j0 AS MATERIALIZED (SELECT a.i, CASE WHEN a.alone THEN a.i + 1 ELSE least(b.i + 1, a.stop) END AS t FROM sums a ASOF JOIN sums b ON a.c - a.n - {len(C.DELIMITER)} + {C.MAX_CHARS + len(C.DELIMITER)} >= b.c),
+s0 AS MATERIALIZED (SELECT 1 AS i WHERE EXISTS (SELECT 1 FROM u))"""
+for _step in range(24):
+    FAR += f""",
+s{_step + 1} AS MATERIALIZED (SELECT i FROM s{_step} UNION SELECT t FROM s{_step} JOIN j{_step} USING (i)), j{_step + 1} AS MATERIALIZED (SELECT a.i, b.t FROM j{_step} a JOIN j{_step} b ON a.t = b.i)"""
+
 ORACLE_SQL = {
+    "sentences": f"WITH {DOCS}, s AS ({_sentences_of('docs', '[ \\t\\n\\x0B\\f\\r]')}) SELECT d AS doc_id, CAST(i - 1 AS INTEGER) AS pos, s AS sentence FROM s",
+    "sentence_chunks": f"WITH RECURSIVE {DOCS}, s AS ({_sentences_of('docs', ENDS)}), u AS ({_cut('s')}), {_packed('u', "' '", True)} {POSITIONS} out",
+    "paragraph_chunks": PARAGRAPHS,
+    "pack_batches": f"WITH {LINES}, u AS ({U}), {FAR} SELECT k, CAST(dense_rank() OVER (ORDER BY b) - 1 AS BIGINT) AS batch_id, CAST(i - b AS BIGINT) AS batch_pos FROM (SELECT items.k, items.i, s24.i AS b FROM items ASOF JOIN s24 ON items.i >= s24.i)",
     "paragraphs": f"WITH {LINES} SELECT doc_id, pos, norm, k FROM lines",
     "paragraph_unique": f"WITH {LINES} {U}",
     "paragraph_stats": f"WITH {LINES}, u AS ({U}) SELECT count(DISTINCT doc_id) AS documents, count(*) AS lines, count(k) AS occurrences, CAST(coalesce(sum(length(norm)), 0) AS BIGINT) AS chars, (SELECT count(*) FROM u) AS unique_paragraphs, (SELECT CAST(coalesce(sum(length(norm)), 0) AS BIGINT) FROM u) AS unique_chars FROM lines",
     "paragraph_keys": f"WITH {LINES} SELECT doc_id, count(DISTINCT k) AS n_keys, coalesce(string_agg(DISTINCT k, ',' ORDER BY k), '') AS keys FROM lines GROUP BY doc_id",
     "reassemble_identity": f"WITH {LINES} SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text, bool_and(norm IS NULL) AS complete FROM lines GROUP BY doc_id",
     "reassemble_complete": f"WITH {LINES}, d AS (SELECT doc_id, string_agg(CASE WHEN norm IS NULL THEN line ELSE lower(norm) END, chr(10) ORDER BY pos) AS text, bool_and(norm IS NULL OR k >= '08') AS complete FROM lines GROUP BY doc_id) SELECT doc_id, CASE WHEN complete THEN text END AS text, complete FROM d",
+    "reassemble_in_steps": f"WITH {LINES}, d AS (SELECT doc_id, string_agg(CASE WHEN norm IS NULL THEN line ELSE lower(norm) END, chr(10) ORDER BY pos) AS text, max(CASE WHEN k IS NULL THEN 0 WHEN k < '08' THEN 3 WHEN k < '8' THEN 1 ELSE 2 END) AS s FROM lines GROUP BY doc_id) SELECT doc_id, CASE WHEN s < 3 THEN text END AS text, CASE WHEN s < 3 THEN CAST(s AS INTEGER) END AS step FROM d",
     "batch_round_trip": f"WITH {LINES} SELECT doc_id, CAST(count(*) FILTER (WHERE x <> '') AS INTEGER) AS n, true AS same_count FROM normed GROUP BY doc_id",
     "inline_truncate": f"SELECT doc_id, {CELL} AS cell FROM documents",
     "marker_strip": f"SELECT doc_id, regexp_replace({STRIP % f'({CELL})'}, '^\\[TRUNCATED[^\\]]*\\]\\n', '') AS text FROM documents",

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docketlake.functions import html as H
 from docketlake.functions import text as T
 from docketlake.functions.dates import pages_of
+from docketlake.functions.urls import joined_url
 from docketlake.operators import relational as R
 from docketlake.session import ensure_checkpoint_dir, ship
 from docketlake.sources.readers import table
@@ -45,7 +46,7 @@ def url_parts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def url_join(spark: SparkSession, sf: str) -> DataFrame:
-    return _pages(spark, sf).select("page_id", H.joined_url(F.col("url"), F.concat(F.lit("../case?id="), F.col("page_id").cast("string"))).alias("url"))
+    return _pages(spark, sf).select("page_id", joined_url(F.col("url"), F.concat(F.lit("../case?id="), F.col("page_id").cast("string"))).alias("url"))
 
 
 def html_links(spark: SparkSession, sf: str) -> DataFrame:
@@ -57,13 +58,20 @@ def html_title(spark: SparkSession, sf: str) -> DataFrame:
     return titles.select("page_id", "title", T.first_word(F.col("title")).alias("word"))
 
 
+def _decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages, the article of a third in the content element, that of another third in a plain block of paragraphs."""
+    block = F.when(F.col("page_id") % 3 == 0, F.lit('<div id="content">')).otherwise(F.lit("<div>"))
+    changed = F.replace(F.replace("html", F.lit("<article>"), block), F.lit("</article>"), F.lit("</div>"))
+    return _pages(spark, sf).select("page_id", F.when(F.col("page_id") % 3 != 2, changed).otherwise(F.col("html")).alias("html"))
+
+
 def html_main_text(spark: SparkSession, sf: str) -> DataFrame:
-    return _pages(spark, sf).select("page_id", H.page_main_text(F.col("html")).alias("text"))
+    return _decisions(spark, sf).select("page_id", H.page_main_text(F.col("html")).alias("text"))
 
 
 def html_classify(spark: SparkSession, sf: str) -> DataFrame:
     bounced = F.when(F.col("page_id") % 5 == 0, F.concat(F.col("html"), F.lit(H.BOUNCED))).when(F.col("page_id") % 5 != 1, F.col("html"))
-    pages = _pages(spark, sf).select("page_id", bounced.alias("html"))
+    pages = _decisions(spark, sf).select("page_id", bounced.alias("html"))
     rows = pages.withColumn("text", H.page_main_text(F.col("html")))
     return rows.select("page_id", F.coalesce(H.fetch_outcome(F.col("html"), F.col("text")), F.lit("ok")).alias("outcome"))
 
@@ -134,7 +142,16 @@ QUERIES = {
 }
 
 N = "CAST(page_id AS VARCHAR)"
+#: Text nodes of each article, and its text if it stands in a block and is long enough.
+MAIN = """a AS (SELECT page_id, regexp_extract(html, '(?s)<article>(.*)</article>', 1) AS body FROM pages),
+n AS (SELECT page_id, len(regexp_extract_all(body, '<p>')) AS p, list_filter(list_transform(string_split(regexp_replace(body, '<[^>]*>', chr(57344), 'g'), chr(57344)),
+  lambda x: regexp_replace(regexp_replace(replace(replace(replace(x, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp(;|$)', '&', 'g'), '^[\\s\\p{Z}]+|[\\s\\p{Z}]+$', '', 'g')), lambda x: x <> '') AS l FROM a),
+t AS (SELECT page_id, p, array_to_string(l, chr(10)) AS text FROM n), m AS (SELECT page_id, CASE WHEN page_id % 3 <> 2 AND length(text) > 100 AND (page_id % 3 = 0 OR p >= 5) THEN text END AS text FROM t)"""
 ORACLE_SQL = {
+    "url_join": "WITH u AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS site, string_split(substr(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), 2), '/') AS l FROM pages) SELECT page_id, site || '/' || array_to_string(list_append(l[1:greatest(len(l) - 2, 0)], 'case?id=' || page_id), '/') AS url FROM u",
+    "html_links": "WITH l AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS site, regexp_extract_all(html, '<a href=\"([^\"]*)\"', 1) AS h FROM pages) SELECT page_id, CAST(unnest(range(0, len(h))) AS INTEGER) AS pos, site || unnest(h) AS link FROM l",
+    "html_main_text": f"WITH {MAIN} SELECT page_id, text FROM m",
+    "html_classify": f"WITH {MAIN} SELECT page_id, CASE WHEN page_id % 5 = 1 THEN 'fetch_failed' WHEN page_id % 5 = 0 THEN 'bounced_to_search_form' WHEN text IS NULL THEN 'no_text_found' ELSE 'ok' END AS outcome FROM m",
     "url_set_page": "SELECT page_id, CASE WHEN regexp_matches(url, '[?&]page=\\d*') THEN regexp_replace(url, '([?&])page=\\d*', '\\1page=' || (page_id + 2)) ELSE url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'page=' || (page_id + 2) END AS url FROM pages",
     "url_parts": "SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS site, array_to_string(string_split(url, '/')[1:3], '/') || '/' AS base FROM pages",
     "html_title": "WITH t AS (SELECT page_id, nullif(trim(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&amp;', '&'), '&middot;', '·')), '') AS title FROM pages) SELECT page_id, title, coalesce(nullif(regexp_extract(title, '^([A-Za-zА-Яа-яЁё-]+)', 1), ''), title) AS word FROM t",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docketlake.functions import dates as D
 from docketlake.functions import text as T
+from docketlake.functions.urls import joined_url
 
 
 def values(spark, rows, function):
@@ -77,3 +78,17 @@ def test_numbers(spark):
     assert [r[0] for r in spark.range(1).select(F.explode(F.array(*[D.pages_of(F.lit(n)) for n in (0, 25, 26, 228)]))).collect()] == [1, 1, 2, 10]
     row = spark.range(1).select(D.per_10k(F.lit(30), F.lit(25000)).alias("a"), D.per_10k(F.lit(30), F.lit(0)).alias("b"), D.scaled(F.lit(5), F.lit(10), 0.25, 1.0).alias("c")).first()
     assert (row.a, row.b, row.c) == (12.0, None, 0.625)
+
+
+def test_joined_url(spark):
+    """RFC 3986, 5.4, and addresses of the kind that pages have."""
+    base = "http://a/b/c/d;p?q"
+    cases = {
+        "g:h": "g:h", "g": "http://a/b/c/g", "./g": "http://a/b/c/g", "g/": "http://a/b/c/g/", "/g": "http://a/g", "//g": "http://g", "?y": "http://a/b/c/d;p?y", "g?y": "http://a/b/c/g?y",
+        "#s": "http://a/b/c/d;p?q#s", "g#s": "http://a/b/c/g#s", ";x": "http://a/b/c/;x", "": "http://a/b/c/d;p?q", ".": "http://a/b/c/", "./": "http://a/b/c/", "..": "http://a/b/", "../": "http://a/b/", "../g": "http://a/b/g",
+        "../..": "http://a/", "../../": "http://a/", "../../g": "http://a/g", "../../../g": "http://a/g", "/./g": "http://a/g", "/../g": "http://a/g", "g.": "http://a/b/c/g.", "..g": "http://a/b/c/..g", "./../g": "http://a/b/g",
+        "./g/.": "http://a/b/c/g/", "g/./h": "http://a/b/c/g/h", "g;x=1/../y": "http://a/b/c/y", "g?y/../x": "http://a/b/c/g?y/../x", "http://e/x/../y": "http://e/y",
+    }
+    rows = [(base, r) for r in cases] + [("http://a", "g"), ("http://a?x", "g?y"), (None, "g"), (base, None)]
+    got = [r[0] for r in spark.createDataFrame(rows, "base string, ref string").select(joined_url(F.col("base"), F.col("ref"))).collect()]
+    assert got == [*cases.values(), "http://a/g", "http://a/g?y", None, None]
