@@ -185,10 +185,16 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
 
 
 def one_of_each(df: DataFrame, repeated: DataFrame, same: Column, key: list[str]) -> DataFrame:
-    """``df`` with one row of each repeated key; ``repeated``, computed before, names those keys, ``same`` matches them."""
+    """``df`` with one row of each repeated key, the least by all its columns in their order, nulls first.
+
+    ``repeated``, computed before, names those keys, ``same`` matches them. Maps, which have no order, are compared as JSON.
+    """
     if not repeated.limit(1).count():
         return df
-    return df.join(repeated, same, "left_anti").unionByName(df.join(repeated, same, "left_semi").dropDuplicates(key))
+    orderable = [F.to_json(F.col(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema]
+    (whole,) = fresh(df, "whole")
+    least = df.join(repeated, same, "left_semi").groupBy(*key).agg(F.min_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*orderable)).alias(whole))
+    return df.join(repeated, same, "left_anti").unionByName(least.select(f"{whole}.*"))
 
 
 def crc_mod(doc_id: str, modulus: int) -> Column:

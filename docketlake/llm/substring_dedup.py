@@ -309,7 +309,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     """
     plain = _plain(docs)
     found = settled(repeated_ranges(docs, window))
-    ranges = settled(found.groupBy("dkey", "text_hash").agg(F.collect_list(F.struct("low", "high")).alias("gone")))
+    ranges = settled(found.groupBy("dkey", "text_hash").agg(F.collect_set(F.struct("low", "high")).alias("gone")))
     touched = docs.sparkSession.sparkContext.broadcast(build_sieve(ranges, "text_hash", ROW_SIEVE_BITS))
 
     def untouched(batches):

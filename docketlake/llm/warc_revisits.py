@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import settled_in_place, ship, table
+from docketlake.llm.common import settled, settled_in_place, ship, table
 
 #: Headers of a 304 that say nothing about the stored response: of the connection, or of the body it does not have.
 NOT_MERGED = (
@@ -37,18 +36,19 @@ def canonical_url(url: Column) -> Column:
 def latest_earlier(events: DataFrame) -> DataFrame:
     """``record_id, response_id``: for each row that is not ``full``, the last full one of its key strictly before it.
 
-    ``events``: ``key, at, full, record_id``. Of full ones at the same time the greatest record_id counts. Rows are
-    dealt out by ranges of (key, at), so that a key of very many rows spreads over partitions; what each partition
-    ends with, a row each, reaches the driver, which says what the next one starts with.
+    ``events``: ``key, at, full, record_id``, ids of any type that has an order. Of full ones at the same time the greatest
+    record_id counts. Rows are dealt out by ranges of (key, at), so that a key of very many rows spreads over partitions;
+    what each partition ends with, a row each, reaches the driver, which says what the next one starts with.
     """
     spark = events.sparkSession
     ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["key", "at", "full", "record_id"]
+    kind = events.schema["record_id"].dataType.simpleString()
     dealt = settled_in_place(events.select(*order).repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("pid", F.spark_partition_id()))
 
     def ends(batches):
-        key, response, pid = None, None, None
+        key, response, pid, ids = None, None, None, None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -61,14 +61,13 @@ def latest_earlier(events: DataFrame) -> DataFrame:
             if len(found):
                 response = ids[int(found[-1])].as_py()
         if pid is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([key]), pa.array([response], pa.int64())], ["pid", "key", "response_id"])
+            yield pa.RecordBatch.from_arrays([pa.array([pid], pa.int32()), pa.array([key]), pa.array([response], ids.type)], ["pid", "key", "response_id"])
 
-    tails = dealt.mapInArrow(ends, "pid int, key string, response_id long").toPandas().sort_values("pid")
     carried, start = (None, None), {}
-    for pid, key, response in tails.itertuples(index=False):
-        start[int(pid)] = carried
-        if key != carried[0] or not pd.isna(response):
-            carried = (key, None if pd.isna(response) else int(response))
+    for pid, key, response in sorted(map(tuple, dealt.mapInArrow(ends, f"pid int, key string, response_id {kind}").collect()), key=lambda r: r[0]):
+        start[pid] = carried
+        if key != carried[0] or response is not None:
+            carried = (key, response)
     before = spark.sparkContext.broadcast(start)
 
     def fill(batches):
@@ -81,34 +80,39 @@ def latest_earlier(events: DataFrame) -> DataFrame:
             if not begun:
                 key, response = before.value[batch.column(4)[0].as_py()]
                 begun = True
-            keys, full, ids = batch.column(0), np.asarray(batch.column(2)).astype(bool), np.asarray(batch.column(3))
+            keys, full, ids = batch.column(0), np.asarray(batch.column(2)).astype(bool), batch.column(3)
             new = np.ones(n, dtype=bool)
             new[1:] = np.asarray(pc.not_equal(keys[1:], keys[:-1])) if n > 1 else []
             new[0] = keys[0].as_py() != key
             head = np.maximum.accumulate(np.where(new, np.arange(n), -1))
             seen = np.maximum.accumulate(np.where(full, np.arange(n), -1))
             inside = (seen >= 0) & (seen >= head)
-            answer = np.where(inside, ids[np.maximum(seen, 0)], 0)
-            known = inside.copy()
-            if response is not None:
-                carry = ~inside & (head < 0)
-                answer[carry], known[carry] = response, True
-            key, response = keys[-1].as_py(), int(answer[-1]) if known[-1] else None
-            ask = ~full
-            yield pa.RecordBatch.from_arrays([pa.array(ids[ask]), pa.array(answer[ask], pa.int64(), mask=~known[ask])], ["record_id", "response_id"])
+            # What the rows before this batch carry stands behind its own ids.
+            place = np.where(inside, seen, np.where(head < 0, n, n + 1))
+            answer = pa.concat_arrays([ids, pa.array([response, None], ids.type)]).take(pa.array(place))
+            key, response = keys[-1].as_py(), answer[-1].as_py()
+            ask = pa.array(~full)
+            yield pa.RecordBatch.from_arrays([ids.filter(ask), answer.filter(ask)], ["record_id", "response_id"])
 
-    return dealt.mapInArrow(fill, "record_id long, response_id long")
+    return dealt.mapInArrow(fill, f"record_id {kind}, response_id {kind}")
 
 
 def _header(headers: str, name: str) -> Column:
     return F.try_element_at(F.col(headers), F.lit(name))
 
 
+def _lowered(headers: Column) -> Column:
+    """Headers by their names in lower case; of names that differ in case alone the least value counts; null is empty."""
+    entries = F.map_entries(F.coalesce(headers, F.create_map().cast("map<string,string>")))
+    names = F.array_distinct(F.transform(entries, lambda e: F.lower(e["key"])))
+    return F.map_from_arrays(names, F.transform(names, lambda n: F.array_min(F.transform(F.filter(entries, lambda e: F.lower(e["key"]) == n), lambda e: e["value"]))))
+
+
 def resolved(captures: DataFrame) -> DataFrame:
     """One row for each revisit: ``record_id, url_key, response_id, outcome, headers, payload``.
 
-    ``captures``: ``record_id, kind, target_uri, at, status, headers, payload``, one row for each record, headers
-    being a map with names in lower case. A revisit (kind ``revisit``, status 304) stands for the latest earlier
+    ``captures``: ``record_id, kind, target_uri, at, status, headers, payload``, one row for each record; ids are text, such as
+    URNs, or numbers; header names count in lower case (of those that differ in case alone the least value). A revisit (kind ``revisit``, status 304) stands for the latest earlier
     record with kind ``response`` and status 200 of the same canonical url. If the 304 has an entity tag it must equal
     the response's, weak or strong; else its last-modified must. ``outcome``: ``resolved``; ``unverified`` if the 304
     has neither; ``mismatch``; ``missing`` if there is no such response, or no url or time. Unless it is ``missing``,
@@ -117,15 +121,17 @@ def resolved(captures: DataFrame) -> DataFrame:
     rows that repeat a response's record id the one with the least payload, then the least headers, counts. A revisit
     with a null record id is missing its response; an empty table has no rows. Extra columns are ignored.
     """
-    rows = captures.select("record_id", "kind", "at", "status", F.coalesce("headers", F.create_map().cast("map<string,string>")).alias("headers"), "payload", canonical_url(F.col("target_uri")).alias("url_key"))
+    rows = captures.select("record_id", "kind", "at", "status", _lowered(F.col("headers")).alias("headers"), "payload", canonical_url(F.col("target_uri")).alias("url_key"))
     full = F.coalesce((F.col("kind") == "response") & (F.col("status") == 200), F.lit(False))
     revisit = F.coalesce((F.col("kind") == "revisit") & (F.col("status") == 304), F.lit(False))
     events = rows.where((full | revisit) & F.col("record_id").isNotNull() & F.col("url_key").isNotNull() & F.col("at").isNotNull()).select(F.col("url_key").alias("key"), "at", full.alias("full"), "record_id")
-    pairs = latest_earlier(events).where("response_id is not null").distinct().withColumnRenamed("record_id", "_asks")
+    pairs = settled(latest_earlier(events).where("response_id is not null").distinct().withColumnRenamed("record_id", "_asks"))
     asks = rows.where(revisit).select("record_id", "url_key", "headers")
     found = asks.join(pairs, asks["record_id"] == pairs["_asks"], "left").drop("_asks")
+    # Only responses that something stands for are grouped; of the others no payload moves.
+    named = rows.where(full).join(pairs.select(F.col("response_id").alias("_id")).distinct(), F.col("record_id") == F.col("_id"), "left_semi")
     first = F.min_by(F.struct("headers", "payload"), F.struct("payload", F.to_json("headers"))).alias("given")
-    given = rows.where(full).groupBy(F.col("record_id").alias("_id")).agg(first).select("_id", F.col("given.headers").alias("base"), F.col("given.payload").alias("payload"))
+    given = named.groupBy(F.col("record_id").alias("_id")).agg(first).select("_id", F.col("given.headers").alias("base"), F.col("given.payload").alias("payload"))
     both = found.join(given, F.col("response_id") == F.col("_id"), "left")
     tag, base_tag = (F.regexp_replace(_header(h, "etag"), "^W/", "") for h in ("headers", "base"))
     changed, base_changed = _header("headers", "last-modified"), _header("base", "last-modified")
