@@ -151,7 +151,8 @@ def _fitting_rule(host: Column, path: Column, rules) -> Column:
 
 def _margin(host: Column, path: Column, weights: tuple[int, ...], prior: int) -> Column:
     """The prior and the weights of all n-grams of host and path: above zero where the model blocks."""
-    held = F.lit(list(weights)).cast("array<bigint>")
+    # One literal, which Spark takes apart once; a literal for each weight would make a plan of thousands of nodes.
+    held = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")
 
     def of(first: int, size: int):
         def summed(codes: Column) -> Column:
