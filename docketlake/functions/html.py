@@ -11,11 +11,9 @@ from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from docketlake.session import ship
-
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Opening one of these closes an open element of the given kinds, up to the nearest of the stops.
 _CLOSES = {
@@ -170,83 +168,6 @@ def title_of(html: str | None) -> str | None:
     return None if node is None else node.text("")
 
 
-def _results_table(root: Node) -> Node | None:
-    """H-3, SL-10: the table with a known id and rows, else the one whose headers and rows score best, first of equals."""
-    for known in KNOWN_TABLE_IDS:
-        table = root.by_id(known, "table")
-        if table is not None and len(table.all("tr")) > 1:
-            return table
-    best, best_score = None, -1.0
-    for table in root.all("table"):
-        header = " ".join(c.text().lower() for c in table.all("th"))
-        score = sum(2 for name in ("date_of_receipt", "judge", "case_number") if any(w in header for w in HEADERS[name]))
-        score += min(len(table.all("tr")), 30) * 0.1
-        if score > best_score:
-            best, best_score = table, score
-    return best
-
-
-def _blank_form(table: Node | None) -> bool:
-    """H-5: no table, or one of two rows at most without a link to a case."""
-    if table is None:
-        return True
-    rows = table.all("tr")
-    if len(rows) > 2:
-        return False
-    links = (row.first("a", having="href") for row in rows)
-    return not any(a is not None and "case_id=" in a.attrs["href"] for a in links)
-
-
-def _column_of(table: Node) -> dict[str, int]:
-    """H-4: the first column whose header has one of a field's words."""
-    found: dict[str, int] = {}
-    header = table.first("tr")
-    for i, cell in enumerate(header.all("th", "td") if header else []):
-        text = cell.text().lower()
-        for name, words in HEADERS.items():
-            if name not in found and any(w in text for w in words):
-                found[name] = i
-    return found
-
-
-CASE_FIELDS = ["case_number", "case_link", "date_of_receipt", "judge", "decision_date", "solution", "entry_into_force_date", "judicial_acts_link", "source_page"]
-CASE_SCHEMA = ", ".join(f"{c} {'int' if c == 'source_page' else 'string'}" for c in CASE_FIELDS)
-
-
-def case_rows(html: str | None, page_url: str, page_num: int) -> list[dict]:
-    """H-6: the records of a results page; what a page lacks is empty."""
-    table = _results_table(parse(html))
-    if _blank_form(table):
-        return []
-    column = _column_of(table)
-    records = []
-    for row in table.all("tr")[1:]:
-        cells = row.all("td")
-        if not cells:
-            continue
-
-        def cell(name: str) -> Node | None:
-            i = column.get(name, len(cells))
-            return cells[i] if i < len(cells) else None
-
-        own = cell("case_number")
-        link = (own.first("a") if own is not None else None) or row.first("a")
-        number = link.text() if link is not None else ""
-        if not number:
-            continue
-        record = {name: (c.text() if (c := cell(name)) is not None else "") for name in HEADERS if name not in ("case_number", "judicial_acts_link")}
-        acts = cell("judicial_acts_link")
-        act = acts.first("a", having="href") if acts is not None else None
-        record |= {
-            "case_number": number,
-            "case_link": urljoin(page_url, link.attrs.get("href", "")),
-            "judicial_acts_link": urljoin(page_url, act.attrs["href"]) if act is not None else "",
-            "source_page": page_num,
-        }
-        records.append(record)
-    return records
-
-
 def result_count(html: str | None) -> int | None:
     """H-7: how many results the page says it has."""
     found = re.search(r"найдено\D{0,15}(\d+)", parse(html).text(), re.I)
@@ -280,82 +201,15 @@ def links_of(html: str | None, base: str) -> list[str]:
     return out
 
 
-def case_info(html: str | None) -> dict[str, str]:
-    """H-11: labels in bold with the cell beside them, and the case number."""
-    root, info = parse(html), {}
+def case_number_of(html: str | None) -> str | None:
+    """H-11: the case's number: the first text with the word and a number, else the first heading with a number."""
+    root = parse(html)
     pattern = re.compile(r"Дело\s*[№N]\s*[\w\-/]+.*", re.I)
     for text in root.strings():
-        if pattern.search(text):
-            found = pattern.search(collapse(text))
-            if found:
-                info["case_number"] = collapse(found[0])
-            break
-    if "case_number" not in info:
-        for heading in (h for tag in ("h1", "h2", "h3", "h4", "h5") for h in root.all(tag)):
-            text = collapse("".join(heading.strings()))
-            if re.search(r"\d+-\d+/\d{4}", text):
-                info["case_number"] = text
-                break
-    for row in (r for t in root.all("table") for r in t.all("tr")):
-        cells = row.all("td", "th")
-        bold = (cells[0].first("b") or cells[0].first("strong")) if len(cells) > 1 else None
-        if bold is None:
-            continue
-        label, value = collapse("".join(bold.strings())), collapse("".join(cells[1].strings()))
-        if label and value:
-            info[CASE_LABELS.get(label.lower(), label)] = value
-    return info
-
-
-def _table_rows(root: Node, field_of, needed: set[str], keep) -> list[dict[str, str]]:
-    """Rows of the first table that has the needed columns and rows to keep."""
-    for table in root.all("table"):
-        header = table.first("tr")
-        if header is None:
-            continue
-        names = {i: f for i, c in enumerate(header.all("th", "td")) if (f := field_of(collapse("".join(c.strings())).lower()))}
-        if not needed <= set(names.values()):
-            continue
-        rows = [{names[i]: collapse("".join(c.strings())) for i, c in enumerate(tr.all("td", "th")) if i in names} for tr in table.all("tr")[1:]]
-        if rows := [r for r in rows if keep(r)]:
-            return rows
-    return []
-
-
-def _event_field(header: str) -> str | None:
-    return next((f for inside, equal, f in EVENT_HEADERS if header in equal or any(t in header for t in inside)), None)
-
-
-def _participant_field(header: str) -> str | None:
-    if any(t in header for t in ROLE_HEADERS):
-        return "role"
-    if any(t in header for t in NAME_HEADERS) or ("наименование" in header and "событи" not in header):
-        return "name"
-    return "inn" if "инн" in header else None
-
-
-def events_of(html: str | None) -> list[dict[str, str]]:
-    """H-12, PF-20: named events of the table with names and dates."""
-    return _table_rows(parse(html), _event_field, {"event_name", "event_date"}, lambda r: r.get("event_name", "") != "")
-
-
-def participants_of(html: str | None) -> list[dict[str, str]]:
-    """H-13: rows of the table of people with roles."""
-    return _table_rows(parse(html), _participant_field, {"role"}, lambda r: any(r.values()))
-
-
-def participant_columns(people: list[dict[str, str]]) -> dict[str, str]:
-    """AG-20 on one page; ``operators.cases.participants_pivot`` does it on tables."""
-    out: dict[str, list[str]] = {"plaintiffs": [], "defendants": [], "other": []}
-    for p in people:
-        role, name = p.get("role", ""), p.get("name", "") or p.get("role", "")
-        if any(w in role.lower() for w in PLAINTIFF_ROLES):
-            out["plaintiffs"].append(name)
-        elif any(w in role.lower() for w in DEFENDANT_ROLES):
-            out["defendants"].append(name)
-        elif entry := (f"{role}: {name}" if role and name and role != name else name or role):
-            out["other"].append(entry)
-    return {f"participants_{k}": "; ".join(v) for k, v in out.items()}
+        if found := pattern.search(collapse(text)):
+            return collapse(found[0])
+    headings = (collapse("".join(h.strings())) for tag in ("h1", "h2", "h3", "h4", "h5") for h in root.all(tag))
+    return next((text for text in headings if re.search(r"\d+-\d+/\d{4}", text)), None)
 
 
 # Columns and tables.
@@ -373,6 +227,10 @@ def page_title(html: Column) -> Column:
     return _text_udf(title_of)(html)
 
 
+def page_case_number(html: Column) -> Column:
+    return _text_udf(case_number_of)(html)
+
+
 def page_main_text(html: Column) -> Column:
     return _text_udf(main_text)(html)
 
@@ -403,39 +261,6 @@ def page_links(html: Column, base: Column) -> Column:
     return links(html, base)
 
 
-def parsed_cases(pages: DataFrame, url: str = "url", page_num: str = "page_num", html: str = "html") -> DataFrame:
-    """H-6: pages to case records, parsed in parallel."""
-    ship(pages.sparkSession)
-
-    def run(frames):
-        for frame in frames:
-            rows = [r for u, n, h in zip(frame.iloc[:, 0], frame.iloc[:, 1], frame.iloc[:, 2], strict=True) for r in case_rows(h, u or "", int(n))]
-            yield pd.DataFrame(rows, columns=CASE_FIELDS)
-
-    return pages.select(F.col(url), F.col(page_num).cast("int"), F.col(html)).mapInPandas(run, CASE_SCHEMA)
-
-
-EVENT_FIELDS = ("event_name", "event_date", "event_time", "event_result", "event_basis", "event_published_date")
-INFO_FIELDS = ("case_number", "judicial_uid", "date_filed", "hearing_type", "case_category", "judge", "current_stage")
-EVENT_ROW = ["source_url", *INFO_FIELDS, "participants_plaintiffs", "participants_defendants", "participants_other", *EVENT_FIELDS]
-
-
-def parsed_events(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """H-14, J-13: case pages to one row for each event, case fields repeated; a page without events has one row."""
-    ship(pages.sparkSession)
-
-    def run(frames):
-        for frame in frames:
-            rows = []
-            for u, h in zip(frame.iloc[:, 0], frame.iloc[:, 1], strict=True):
-                info = case_info(h)
-                fixed = {"source_url": u} | {k: info.get(k, "") for k in INFO_FIELDS} | participant_columns(participants_of(h))
-                rows += [fixed | {k: e.get(k, "") for k in EVENT_FIELDS} for e in events_of(h) or [{}]]
-            yield pd.DataFrame(rows, columns=EVENT_ROW)
-
-    return pages.select(url, html).mapInPandas(run, ", ".join(f"{c} string" for c in EVENT_ROW))
-
-
 def fetch_outcome(html: Column, text: Column) -> Column:
     """H-9, H-10, PF-16: what came of a fetched page; null if it has a text."""
     return F.when(html.isNull(), "fetch_failed").when(F.contains(html, F.lit(BOUNCED)), "bounced_to_search_form").when(text.isNull(), "no_text_found")

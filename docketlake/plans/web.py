@@ -4,37 +4,74 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docketlake.functions import html as H
 from docketlake.functions import text as T
 from docketlake.functions.dates import pages_of
+from docketlake.functions.tables import page_tables
 from docketlake.functions.urls import joined_url
 from docketlake.operators import relational as R
+from docketlake.operators.listings import case_event_rows, case_records
 from docketlake.session import ensure_checkpoint_dir, ship
 from docketlake.sources.readers import table
 from docketlake.streaming.resume import KeyedState, counts_by
 
-#: Results and case pages of our own making, with a hole for the page's number.
-RESULTS_PAGE = """<html><head><title>Тестовский районный суд</title></head><body><p>Всего по запросу найдено — 5{n}. На странице записи с 1 по 25.</p>
-<table id="tablcont"><tr><th>№ дела</th><th>Дата поступления</th><th>Судья</th><th>Дата решения</th><th>Решение</th><th>Дата вступления в законную силу</th><th>Судебные акты</th></tr>
-<tr><td><a href="/modules.php?name_op=case&amp;case_id={n}">2-{n}/2025</a><td>01.02.2025<td>Тестов Т. Т.<td>03.03.2025<td>Иск УДОВЛЕТВОРЕН<td>04.04.2025<td><a href="doc?n={n}">акт</a>
-<tr><td>без ссылки</td></tr>
-<tr><td><a href="case?case_id=9{n}">2-9{n}/2025</a></td><td>02.02.2025</td><td></td><td></td><td></td><td></td><td></td></tr></table></body></html>"""
-CASE_PAGE = """<html><body><h2>Дело № 2-{n}/2025</h2><table><tr><td><b>Судья</b></td><td>Тестов  Т. Т.</td></tr><tr><td><b>Категория дела</b></td><td>Споры {n}</td></tr></table>
-<table><tr><th>Наименование события</th><th>Дата</th><th>Время</th></tr><tr><td>Регистрация</td><td>01.02.2025</td><td>10:00</td></tr><tr><td>Заседание</td><td>02.02.2025</td><td></td></tr></table>
-<table><tr><th>Вид лица, участвующего в деле</th><th>Фамилия / наименование</th></tr><tr><td>ИСТЕЦ</td><td>А{n}</td></tr><tr><td>Ответчик</td><td>Б{n}</td></tr><tr><td>Прокурор</td><td>В{n}</td></tr></table></body></html>"""
-
-
 def _pages(spark: SparkSession, sf: str) -> DataFrame:
     ship(spark)
     return table(spark, sf, "pages")
 
 
-def _made(spark: SparkSession, sf: str, page: str) -> DataFrame:
-    """One of our pages for each page of the table, under its address."""
-    return _pages(spark, sf).select("url", F.col("page_id").alias("page_num"), F.replace(F.lit(page), F.lit("{n}"), F.col("page_id").cast("string")).alias("html"))
+def _by_page(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    """The rows of a table, dealt out to the pages by a key: ``page_id`` and the table's columns."""
+    n = table(spark, sf, "pages").agg(F.count(F.lit(1))).scalar()
+    return table(spark, sf, name).withColumn("page_id", F.pmod(F.col(key), n))
+
+
+def _tag(name: str, *inside, attributes: str = "") -> Column:
+    return F.concat(F.lit(f"<{name}{attributes}>"), *[F.lit(x) if isinstance(x, str) else x for x in inside], F.lit(f"</{name}>"))
+
+
+def _joined_rows(rows: DataFrame, order: list[str], html: Column) -> DataFrame:
+    """``page_id, n, rows``: the table rows of each page, in order, and how many."""
+    held = F.array_sort(F.collect_list(F.struct(*order, html.alias("html"))))
+    return rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("n"), F.array_join(F.transform(held, lambda x: x["html"]), "").alias("rows"))
+
+
+def _result_listings(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages, each with a results table of its orders before the footer; orders of one priority share a judge's cell."""
+    pages = _pages(spark, sf)
+    orders = _by_page(spark, sf, "orders", "o_custkey").select("page_id", "o_orderkey", "o_orderpriority", "o_orderstatus", F.date_format("o_orderdate", "dd.MM.yyyy").alias("day"))
+    group = Window.partitionBy("page_id", "o_orderpriority")
+    orders = orders.withColumns({"place": F.row_number().over(group.orderBy("o_orderkey")), "together": F.count(F.lit(1)).over(group)})
+    key = F.col("o_orderkey").cast("string")
+    judge = F.when(F.col("place") == 1, F.concat(F.lit('<td rowspan="'), F.col("together").cast("string"), F.lit('"> '), F.col("o_orderpriority"), F.lit("\n</td>"))).otherwise(F.lit(""))
+    act = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit('<a href="doc?n='), key, F.lit('">акт</a>'))).otherwise(F.lit(""))
+    case = F.concat(F.lit('<a href="/modules.php?name_op=case&amp;case_id='), key, F.lit('">2-'), key, F.lit("/2025</a>"))
+    row = F.concat(F.lit("<tr>"), judge, F.lit("<td>"), case, _tag("td", F.col("day")), F.lit("<td>"), F.col("o_orderstatus"), _tag("td", act))
+    listed = _joined_rows(orders, ["o_orderpriority", "o_orderkey"], row)
+    head = "<tr><th>Судья</th><th>№ дела<th>Дата поступления</th><th>Решение</th><th>Судебные акты</th></tr>"
+    said = F.concat(F.lit("<p>Всего по запросу найдено — "), F.col("n").cast("string"), F.lit(". На странице все.</p>"))
+    whole = F.concat(said, F.lit(f'<table id="menu"><tr><td>x<table id="tablcont">{head}'), F.col("rows"), F.lit("</table></table>"))
+    html = F.replace("html", F.lit("<footer>"), F.concat(F.coalesce(whole, F.lit("")), F.lit("<footer>")))
+    return pages.join(listed, "page_id", "left").select("url", F.col("page_id").alias("page_num"), html.alias("html"))
+
+
+def _case_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """The pages as case pages: a heading, a block of labels, orders under way as events, customers as people."""
+    pages = _pages(spark, sf)
+    number = F.col("page_id").cast("string")
+    day = F.date_format("o_orderdate", "dd.MM.yyyy")
+    events = _by_page(spark, sf, "orders", "o_custkey").where("o_orderstatus = 'P'")
+    events = _joined_rows(events.withColumn("day", day), ["o_orderkey"], F.concat(F.lit("<tr><td>"), F.concat(F.lit("Событие "), F.col("o_orderkey").cast("string")), F.lit("<td>"), F.col("day"), F.lit("<td colspan=2>"), F.col("o_orderpriority")))
+    role = F.when(F.col("c_mktsegment") == "BUILDING", "ИСТЕЦ").when(F.col("c_mktsegment") == "AUTOMOBILE", "Ответчик").when(F.col("c_mktsegment") == "MACHINERY", "").otherwise("Прокурор")
+    people = _joined_rows(_by_page(spark, sf, "customer", "c_custkey"), ["c_custkey"], F.concat(_tag("tr", _tag("td", role), _tag("td", F.col("c_name")))))
+    info = F.concat(F.lit("<h2>Дело № 2-"), number, F.lit("/2025</h2><table><tr><td><b>Судья</b></td><td>Тестов  Т. Т.</td></tr><tr><td><strong>Категория дела</strong></td><td>Споры "), number, F.lit("</td></tr></table>"))
+    block = lambda head, rows: F.coalesce(F.concat(F.lit(f"<table><thead><tr>{head}</tr></thead><tbody>"), rows, F.lit("</tbody></table>")), F.lit(""))
+    joined = pages.join(events.select("page_id", F.col("rows").alias("events")), "page_id", "left").join(people.select("page_id", F.col("rows").alias("people")), "page_id", "left")
+    told = F.concat(info, block("<th>Наименование события<th>Дата<th>Основания<th>Результат", F.col("events")), block("<th>Вид лица, участвующего в деле<th>Фамилия / наименование", F.col("people")))
+    return joined.select("url", F.replace("html", F.lit("<article>"), F.concat(told, F.lit("<article>"))).alias("html"))
 
 
 def url_set_page(spark: SparkSession, sf: str) -> DataFrame:
@@ -77,16 +114,26 @@ def html_classify(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def html_table_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return H.parsed_cases(_made(spark, sf, RESULTS_PAGE))
+    """Every page with its orders listed, parsed back into records."""
+    return case_records(_result_listings(spark, sf))
 
 
 def html_result_pages(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _made(spark, sf, RESULTS_PAGE).select("page_num", H.page_result_count(F.col("html")).alias("results"))
+    rows = _result_listings(spark, sf).select("page_num", H.page_result_count(F.col("html")).alias("results"))
     return rows.select("page_num", "results", pages_of(F.col("results")).alias("pages"))
 
 
 def html_case_events(spark: SparkSession, sf: str) -> DataFrame:
-    return H.parsed_events(_made(spark, sf, CASE_PAGE))
+    """Every page with orders as events and customers as people, parsed back."""
+    return case_event_rows(_case_pages(spark, sf))
+
+
+def html_grids(spark: SparkSession, sf: str) -> DataFrame:
+    """The tables of every page with its listing: rows, widest row and slots that a span covers, of each."""
+    grids = page_tables(_result_listings(spark, sf)).where("grid is not null")
+    covered = F.size(F.filter(F.flatten("grid"), lambda c: ~c["own"] & (c["text"] != "")))
+    width = F.array_max(F.transform("grid", lambda r: F.size(r)))
+    return grids.select("page_num", "table", F.size("grid").alias("rows"), F.coalesce(width, F.lit(0)).alias("columns"), covered.alias("covered"))
 
 
 def charset_decode(spark: SparkSession, sf: str) -> DataFrame:
@@ -137,7 +184,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         url_set_page, url_parts, url_join, html_links, html_title, html_main_text, html_classify, html_table_rows, html_result_pages,
-        html_case_events, charset_decode, json_roundtrip, cache_last_wins, outcome_counts_stream, events_into_state,
+        html_case_events, html_grids, charset_decode, json_roundtrip, cache_last_wins, outcome_counts_stream, events_into_state,
     )
 }
 
@@ -155,13 +202,21 @@ ORACLE_SQL = {
     "url_set_page": "SELECT page_id, CASE WHEN regexp_matches(url, '[?&]page=\\d*') THEN regexp_replace(url, '([?&])page=\\d*', '\\1page=' || (page_id + 2)) ELSE url || CASE WHEN contains(url, '?') THEN '&' ELSE '?' END || 'page=' || (page_id + 2) END AS url FROM pages",
     "url_parts": "SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS site, array_to_string(string_split(url, '/')[1:3], '/') || '/' AS base FROM pages",
     "html_title": "WITH t AS (SELECT page_id, nullif(trim(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&amp;', '&'), '&middot;', '·')), '') AS title FROM pages) SELECT page_id, title, coalesce(nullif(regexp_extract(title, '^([A-Za-zА-Яа-яЁё-]+)', 1), ''), title) AS word FROM t",
-    "html_table_rows": f"""WITH p AS (SELECT {N} AS n, CAST(page_id AS INTEGER) AS page_num, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS site, regexp_extract(url, '^([^?#]*/)', 1) AS folder FROM pages)
-SELECT '2-' || n || '/2025' AS case_number, site || '/modules.php?name_op=case&case_id=' || n AS case_link, '01.02.2025' AS date_of_receipt, 'Тестов Т. Т.' AS judge, '03.03.2025' AS decision_date, 'Иск УДОВЛЕТВОРЕН' AS solution, '04.04.2025' AS entry_into_force_date, folder || 'doc?n=' || n AS judicial_acts_link, page_num AS source_page FROM p
-UNION ALL SELECT '2-9' || n || '/2025', folder || 'case?case_id=9' || n, '02.02.2025', '', '', '', '', '', page_num FROM p""",
-    "html_result_pages": f"SELECT page_id AS page_num, CAST('5' || {N} AS BIGINT) AS results, CAST(greatest(ceil(CAST('5' || {N} AS BIGINT) / 25.0), 1) AS INTEGER) AS pages FROM pages",
-    "html_case_events": f"""SELECT url AS source_url, 'Дело № 2-' || {N} || '/2025' AS case_number, '' AS judicial_uid, '' AS date_filed, '' AS hearing_type, 'Споры ' || {N} AS case_category, 'Тестов Т. Т.' AS judge, '' AS current_stage,
-  'А' || {N} AS participants_plaintiffs, 'Б' || {N} AS participants_defendants, 'Прокурор: В' || {N} AS participants_other, e.name AS event_name, e.day AS event_date, e.hour AS event_time, '' AS event_result, '' AS event_basis, '' AS event_published_date
-FROM pages CROSS JOIN (VALUES ('Регистрация', '01.02.2025', '10:00'), ('Заседание', '02.02.2025', '')) e(name, day, hour)""",
+    "html_table_rows": """WITH n AS (SELECT count(*) AS n FROM pages), p AS (SELECT page_id, regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) AS site, regexp_extract(url, '^([^?#]*/)', 1) AS folder FROM pages)
+SELECT '2-' || o_orderkey || '/2025' AS case_number, site || '/modules.php?name_op=case&case_id=' || o_orderkey AS case_link, strftime(o_orderdate, '%d.%m.%Y') AS date_of_receipt, o_orderpriority AS judge, '' AS decision_date,
+  o_orderstatus AS solution, '' AS entry_into_force_date, CASE WHEN o_orderkey % 2 = 0 THEN folder || 'doc?n=' || o_orderkey ELSE '' END AS judicial_acts_link, CAST(page_id AS INTEGER) AS source_page
+FROM orders CROSS JOIN n JOIN p ON page_id = o_custkey % n""",
+    "html_result_pages": "WITH n AS (SELECT count(*) AS n FROM pages), c AS (SELECT o_custkey % n AS page_id, count(*) AS results FROM orders CROSS JOIN n GROUP BY 1) SELECT page_id AS page_num, results, CAST(greatest(ceil(results / 25.0), 1) AS INTEGER) AS pages FROM pages LEFT JOIN c USING (page_id)",
+    "html_grids": """WITH n AS (SELECT count(*) AS n FROM pages), o AS (SELECT o_custkey % n AS page_id, count(*) AS c, count(*) - count(DISTINCT o_orderpriority) AS covered FROM orders CROSS JOIN n GROUP BY 1)
+SELECT page_id AS page_num, 0 AS "table", 1 AS rows, 1 AS columns, 0 AS covered FROM pages JOIN o USING (page_id) UNION ALL SELECT page_id, 1, CAST(c + 1 AS INTEGER), 5, CAST(covered AS INTEGER) FROM pages JOIN o USING (page_id)""",
+    "html_case_events": """WITH n AS (SELECT count(*) AS n FROM pages), e AS (SELECT o_custkey % n AS page_id, 'Событие ' || o_orderkey AS event_name, strftime(o_orderdate, '%d.%m.%Y') AS event_date, o_orderpriority AS why FROM orders CROSS JOIN n WHERE o_orderstatus = 'P'),
+r AS (SELECT c_custkey % n AS page_id, c_custkey, c_name, CASE c_mktsegment WHEN 'BUILDING' THEN 'ИСТЕЦ' WHEN 'AUTOMOBILE' THEN 'Ответчик' WHEN 'MACHINERY' THEN '' ELSE 'Прокурор' END AS role FROM customer CROSS JOIN n),
+c AS (SELECT page_id, coalesce(string_agg(c_name, '; ' ORDER BY c_custkey) FILTER (WHERE role = 'ИСТЕЦ'), '') AS a, coalesce(string_agg(c_name, '; ' ORDER BY c_custkey) FILTER (WHERE role = 'Ответчик'), '') AS b,
+  coalesce(string_agg(CASE role WHEN '' THEN c_name ELSE role || ': ' || c_name END, '; ' ORDER BY c_custkey) FILTER (WHERE role NOT IN ('ИСТЕЦ', 'Ответчик')), '') AS o FROM r GROUP BY page_id)
+SELECT url AS source_url, 'Дело № 2-' || page_id || '/2025' AS case_number, '' AS judicial_uid, '' AS date_filed, '' AS hearing_type, 'Споры ' || page_id AS case_category, 'Тестов Т. Т.' AS judge, '' AS current_stage,
+  coalesce(a, '') AS participants_plaintiffs, coalesce(b, '') AS participants_defendants, coalesce(o, '') AS participants_other, coalesce(event_name, '') AS event_name, coalesce(event_date, '') AS event_date, '' AS event_time,
+  coalesce(why, '') AS event_result, coalesce(why, '') AS event_basis, '' AS event_published_date
+FROM pages LEFT JOIN e USING (page_id) LEFT JOIN c USING (page_id)""",
     "charset_decode": "SELECT page_id, length(html) AS chars FROM pages",
     "json_roundtrip": """SELECT event_id, event_id % 10 <> 0 AND json_valid(props) AS readable, '{"k":' || event_id || ',"ru":"' || event_type || '"}' AS line FROM events""",
     "cache_last_wins": "SELECT event_type, arg_max(value, (ts, event_id)) AS value FROM events GROUP BY 1",

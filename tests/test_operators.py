@@ -8,8 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from docketlake.functions import html as H
-from docketlake.operators import acquire, analytics, cases, corpus, relational, translate
-from docketlake.plans.web import CASE_PAGE, RESULTS_PAGE
+from docketlake.functions import tables
+from docketlake.operators import acquire, analytics, cases, corpus, listings, relational, translate
 
 DAY = dt.date
 
@@ -171,36 +171,88 @@ def test_second_run_translates_nothing(spark):
     assert translate.without_untranslated(first).count() == 0
 
 
-def test_results_page():
-    rows = H.case_rows(RESULTS_PAGE.replace("{n}", "7"), "https://court.example/a/b?x=1", 3)
+RESULTS_PAGE = """<html><head><title>Тестовский районный суд</title></head><body><p>Всего по запросу найдено — 57. На странице записи с 1 по 25.</p>
+<table id="tablcont"><tr><th>№ дела</th><th>Дата поступления</th><th>Судья</th><th>Дата решения</th><th>Решение</th><th>Дата вступления в законную силу</th><th>Судебные акты</th></tr>
+<tr><td><a href="/modules.php?name_op=case&amp;case_id=7">2-7/2025</a><td>01.02.2025<td>Тестов Т. Т.<td>03.03.2025<td>Иск УДОВЛЕТВОРЕН<td>04.04.2025<td><a href="doc?n=7">акт</a>
+<tr><td>без ссылки</td></tr>
+<tr><td><a href="case?case_id=97">2-97/2025</a></td><td>02.02.2025</td><td></td><td></td><td></td><td></td><td></td></tr></table></body></html>"""
+CASE_PAGE = """<html><body><h2>Дело № 2-4/2025</h2><table><tr><td><b>Судья</b></td><td>Тестов  Т. Т.</td></tr><tr><td><b>Категория дела</b></td><td>Споры 4</td></tr></table>
+<table><tr><th>Наименование события</th><th>Дата</th><th>Время</th></tr><tr><td>Регистрация</td><td>01.02.2025</td><td>10:00</td></tr><tr><td>Заседание</td><td>02.02.2025</td><td></td></tr></table>
+<table><tr><th>Вид лица, участвующего в деле</th><th>Фамилия / наименование</th></tr><tr><td>ИСТЕЦ</td><td>А4</td></tr><tr><td>Ответчик</td><td>Б4</td></tr><tr><td>Прокурор</td><td>В4</td></tr></table></body></html>"""
+
+
+def records_of(spark, *pages, url="https://court.example/a/b?x=1"):
+    df = spark.createDataFrame([(url, 3, p, "clash") for p in pages], "url string, page_num int, html string, grid string")
+    return listings.case_records(df).orderBy("case_number").collect()
+
+
+def test_results_page(spark):
+    rows = records_of(spark, RESULTS_PAGE)
     assert [r["case_number"] for r in rows] == ["2-7/2025", "2-97/2025"]
     assert rows[0]["case_link"] == "https://court.example/modules.php?name_op=case&case_id=7"
-    assert rows[0]["judicial_acts_link"] == "https://court.example/a/doc?n=7"
+    assert rows[0]["judicial_acts_link"] == "https://court.example/a/doc?n=7" and rows[1]["judicial_acts_link"] == ""
     assert rows[0]["solution"] == "Иск УДОВЛЕТВОРЕН"
     assert (rows[1]["judge"], rows[1]["source_page"]) == ("", 3)
+    assert len(records_of(spark, RESULTS_PAGE, RESULTS_PAGE, None)) == 4
 
 
-@pytest.mark.parametrize(
-    "page",
-    ["", None, "<p>no table", "<table><tr><th>Дело</th></tr><tr><td><a href='?x=1'>1</a></td></tr></table>"],
-)
-def test_pages_without_results(page):
-    assert H.case_rows(page, "https://c.example/", 1) == []
+def test_pages_without_results(spark):
+    assert records_of(spark, "", None, "<p>no table", "<table><tr><th>Дело</th></tr><tr><td><a href='?x=1'>1</a></td></tr></table>", "<table></table>", "<table id=tablcont><tr></table>") == []
 
 
-def test_results_by_score():
-    page = "<table><tr><td>menu</table><table><tr><th>Судья<th>Номер дела</tr><tr><td>А<td><a href=c?case_id=1>2-1</a></tr></table>"
-    assert [(r["judge"], r["case_number"]) for r in H.case_rows(page, "https://c.example/", 1)] == [("А", "2-1")]
+def test_results_by_score(spark):
+    page = "<table><tr><td>menu</td><table><tr><th>Судья<th>Номер дела</tr><tr><td>А<td><a href=c?case_id=1>2-1</a></tr></table>"
+    assert [(r["judge"], r["case_number"]) for r in records_of(spark, page)] == [("А", "2-1")]
+    equal = "".join(f"<table><tr><th>Судья<th>Дело<tr><td>{x}<td><a href=c?case_id=1>2-1</a></table>" for x in "АБ")
+    assert [r["judge"] for r in records_of(spark, equal)] == ["А"]
     assert H.result_count("<b>Найдено дел: 123</b>") == 123
     assert H.result_count("<p>ничего</p>") is None
 
 
-def test_case_page():
-    page = CASE_PAGE.replace("{n}", "4")
-    assert H.case_info(page) == {"case_number": "Дело № 2-4/2025", "judge": "Тестов Т. Т.", "case_category": "Споры 4"}
-    assert [e["event_name"] for e in H.events_of(page)] == ["Регистрация", "Заседание"]
-    assert H.participant_columns(H.participants_of(page)) == {"participants_plaintiffs": "А4", "participants_defendants": "Б4", "participants_other": "Прокурор: В4"}
-    assert H.events_of("") == [] and H.case_info(None) == {}
+def grid(html):
+    return [[c["text"] for c in row] for row in tables.grid_of(H.parse(html).first("table"))]
+
+
+@pytest.mark.parametrize(
+    ("html", "want"),
+    [
+        ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", [["a", "b"], ["a", "c"]]),
+        ("<table><tr><td colspan=2>a<td>b<tr><td>c<td>d<td>e</table>", [["a", "a", "b"], ["c", "d", "e"]]),
+        ("<table><tr><td rowspan=3 colspan=2>a<td>b<tr><td>c<tr><td>d<tr><td>e</table>", [["a", "a", "b"], ["a", "a", "c"], ["a", "a", "d"], ["e"]]),
+        ("<table><thead><tr><th rowspan=0>h<th>i</thead><tbody><tr><td rowspan=9>a<td>b<tr><td>c</tbody><tfoot><tr><td>f</tfoot></table>", [["h", "i"], ["a", "b"], ["a", "c"], ["f"]]),
+        ("<table><tbody><tr><td rowspan=0>a<td>b<tr><td>c</tbody></table>", [["a", "b"], ["a", "c"]]),
+        ("<table><tr><td>a<td rowspan=2>b<tr><td colspan=3>c</table>", [["a", "b"], ["c", "b", "c"]]),
+        ("<table><tr><td>a<td><td rowspan=2>z<tr><td>b</table>", [["a", "", "z"], ["b", "", "z"]]),
+        ("<table><tr><td>out<table><tr><td>in</table>side<td>x</table>", [["out side", "x"]]),
+        ("<table><tr><td colspan=0>a<td rowspan=x>b<td colspan=-1>c</table>", [["a", "b", "c"]]),
+        ("<table><caption>c</caption></table>", []),
+        ("<table><tr></tr><tr><td> a&nbsp;b\n<b>c</b> </table>", [[], ["a b c"]]),
+    ],
+)
+def test_grids(html, want):
+    assert grid(html) == want
+
+
+def test_spans_are_bounded():
+    wide = tables.grid_of(H.parse("<table><tr><td colspan=999999 rowspan=99999999>a<tr><td>b</table>").first("table"))
+    assert [len(r) for r in wide] == [1000, 1001]
+
+
+def test_records_under_spans(spark):
+    """A judge's cell that several cases share counts for each; its link names none of them."""
+    page = "<table id=tablcont><tr><th>Судья<th>№ дела<th>Решение<tr><td rowspan=3><a href=j>Т</a><td><a href='?case_id=1'>1</a><td>x<tr><td><a href='?case_id=2'>2</a><td rowspan=2>y<tr><td>none</table>"
+    got = [(r["judge"], r["case_number"], r["solution"]) for r in records_of(spark, page)]
+    assert got == [("Т", "1", "x"), ("Т", "2", "y")]
+
+
+def test_case_page(spark):
+    pages = spark.createDataFrame([("u", CASE_PAGE, 1), ("none", "", 2), ("null", None, 3)], "url string, html string, _page int")
+    rows = listings.case_event_rows(pages).orderBy("source_url", "event_name").collect()
+    assert [(r.source_url, r.event_name, r.event_date, r.event_time) for r in rows] == [("none", "", "", ""), ("null", "", "", ""), ("u", "Заседание", "02.02.2025", ""), ("u", "Регистрация", "01.02.2025", "10:00")]
+    assert (rows[2].case_number, rows[2].judge, rows[2].case_category) == ("Дело № 2-4/2025", "Тестов Т. Т.", "Споры 4")
+    assert (rows[2].participants_plaintiffs, rows[2].participants_defendants, rows[2].participants_other) == ("А4", "Б4", "Прокурор: В4")
+    assert rows[0].case_number == "" and rows[0].participants_other == ""
+    assert H.case_number_of("<h3>По делу 2-5/2024 </h3>") == "По делу 2-5/2024"
 
 
 def test_main_text():
@@ -218,11 +270,8 @@ def test_charset():
     assert H.decode_body("суд".encode("cp1251"), "text/html; charset=none-such") == "суд"
 
 
-def test_parsed_tables(spark):
-    pages = spark.createDataFrame([("https://c.example/", 1, RESULTS_PAGE.replace("{n}", "1")), (None, 2, None)], "url string, page_num int, html string")
-    assert H.parsed_cases(pages).count() == 2
-    events = H.parsed_events(pages.select("url", "html")).collect()
-    assert len(events) == 2 and all(e.event_name == "" for e in events)
+def test_outcomes(spark):
+    pages = spark.createDataFrame([(RESULTS_PAGE,), (None,)], "html string")
     outcomes = pages.select(F.coalesce(H.fetch_outcome(F.col("html"), F.lit(None)), F.lit("ok")).alias("o")).collect()
     assert [r.o for r in outcomes] == ["no_text_found", "fetch_failed"]
 
