@@ -23,6 +23,11 @@ def parse_strict(c: Column) -> Column:
     return F.try_to_timestamp(_given(c), F.lit(STRICT)).cast("date")
 
 
+def looks_like_date(c: Column) -> Column:
+    """PF-19: two, two and four digits between points, whether or not there is such a day; false for null."""
+    return F.coalesce(strip(c).rlike(r"\A[0-9]{2}\.[0-9]{2}\.[0-9]{4}\z"), F.lit(False))
+
+
 def parse_flexible(c: Column) -> Column:
     """D-1: the first of the known formats that fits, else null."""
     return F.coalesce(*[F.try_to_timestamp(_given(c), F.lit(f)) for f in FLEXIBLE]).cast("date")
@@ -66,3 +71,13 @@ def per_10k(n: Column, population: Column) -> Column:
 def scaled(c: Column, greatest: Column, low: float, high: float) -> Column:
     """M-3: from ``low`` at 0 to ``high`` at the greatest value."""
     return F.lit(low) + F.lit(high - low) * F.try_divide(c.cast("double"), greatest.cast("double"))
+
+
+def grouped_digits(c: Column) -> Column:
+    """S-20: a whole number with commas between groups of three digits."""
+    return F.format_number(c, 0)
+
+
+def one_decimal(c: Column) -> Column:
+    """S-20: one digit behind the point, halves to even as in the binary number's own value; no grouping."""
+    return F.when(c.isNotNull(), F.format_string("%.1f", c))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.functions.dates import days_between, month_of, per_10k, scaled
+from docketlake.operators.ordering import numbered
 from docketlake.session import settled
 
 UNKNOWN_PLACE = "UNKNOWN"
@@ -73,6 +74,22 @@ def per_capita(counts: DataFrame, population: DataFrame, court: str) -> DataFram
     )
 
 
+def ranked_courts(rates: DataFrame, court: str) -> DataFrame:
+    """SNK-14, SL-4: ``per_capita`` with ``place``, by cases, most first, and ``rate_place``, by rate, least first and unknown last.
+
+    Of equals the court's name decides.
+    """
+    by_cases = numbered(rates, [F.col("cases").desc(), F.col(court)], "place")
+    return numbered(by_cases, [F.col("cases_per_10k").asc_nulls_last(), F.col(court)], "rate_place")
+
+
+def ranked_localities(localities: DataFrame) -> DataFrame:
+    """SL-5: localities with ``place``, by cases, most first, and ``rate_place``, by rate, most first; without a rate there is none."""
+    by_cases = numbered(localities, [F.col("cases").desc(), F.col("locality")], "place")
+    rated = numbered(with_locality_rate(by_cases), [F.col("per_10k").desc(), F.col("locality")], "rate_place")
+    return rated.unionByName(by_cases.where(per_10k(F.col("cases"), F.col("population")).isNull()), allowMissingColumns=True)
+
+
 def by_locality(population: DataFrame, counts: DataFrame, court: str) -> DataFrame:
     """AG-7, J-9: every locality of the dimension; courts without cases count 0, their people count all the same.
 

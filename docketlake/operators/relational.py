@@ -52,6 +52,11 @@ def distinct_values(df: DataFrame, columns: Sequence[str], name: str = "value")
     return stacked.where(F.col(name).isNotNull()).distinct()
 
 
+def present(df: DataFrame, labels: Sequence[str]) -> list[str]:
+    """PF-21: those of the labels that are columns of ``df``, by exact name, in the order of the columns."""
+    return [c for c in df.columns if c in labels]
+
+
 def pending(wanted: DataFrame, done: DataFrame, key: str, retry_failures: bool = False, error: str = "error") -> DataFrame:
     """J-4, J-5, IN-1: what is not done yet; with ``retry_failures`` also what ended in an error."""
     known = done.where(F.col(error).isNull()) if retry_failures else done

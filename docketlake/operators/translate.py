@@ -50,6 +50,20 @@ def translate_document(translator: Translator, text: str, limit: int = MAX_CHARS
     return "\n".join(a if a is not None else c for a, c in zip(answers, chunks, strict=True)), None not in answers
 
 
+def translate_documents(docs: DataFrame, translator: Translator, doc: str = "doc_id", text: str = "text", limit: int = MAX_CHARS) -> DataFrame:
+    """TR-7 on a table: ``doc, en, complete``; a null or blank text has no translation and counts as complete. Computed once."""
+    ship(docs.sparkSession)
+
+    def run(frames):
+        for frame in frames:
+            done = [translate_document(translator, t, limit) if t is not None and t.strip() else (None, True) for t in frame["_text"]]
+            yield pd.DataFrame({"_doc": frame["_doc"], "en": [en for en, _ in done], "complete": [ok for _, ok in done]})
+
+    rows = docs.select(F.col(doc).alias("_doc"), F.col(text).alias("_text"))
+    found = rows.mapInPandas(run, f"_doc {docs.schema[doc].dataType.simpleString()}, en string, complete boolean")
+    return settled(found.withColumnRenamed("_doc", doc))
+
+
 def check_translator(translator: Translator, sample: str = "тест") -> None:
     """TR-6: fails before any work if the translator does not answer."""
     if attempt(translator, sample) is None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from docketlake.plans import files, records, texts, web
+from docketlake.plans import courts, files, records, texts, web
 
-QUERIES = records.QUERIES | texts.QUERIES | web.QUERIES | files.QUERIES
-ORACLE_SQL = records.ORACLE_SQL | texts.ORACLE_SQL | web.ORACLE_SQL | files.ORACLE_SQL
+QUERIES = records.QUERIES | texts.QUERIES | web.QUERIES | files.QUERIES | courts.QUERIES
+ORACLE_SQL = records.ORACLE_SQL | texts.ORACLE_SQL | web.ORACLE_SQL | files.ORACLE_SQL | courts.ORACLE_SQL
