@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,17 +10,18 @@ from docketlake.functions.text import key_of
 from docketlake.operators import relational as R
 from docketlake.operators.cases import link_files
 from docketlake.operators.ordering import numbered
-from docketlake.session import ensure_checkpoint_dir
+from docketlake.session import shared_folder
 from docketlake.sources import readers, sinks
 from docketlake.sources.case_files import write_case_csv, write_texts
 from docketlake.sources.readers import table
 from docketlake.sources.row_order import with_row_numbers
 from docketlake.sources.united import UnitedFiles
+from docketlake.sources.workbook import read_workbooks, write_workbooks
 
 
 def scratch(spark: SparkSession) -> str:
     """A new folder that the driver and all executors share."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/files-{uuid.uuid4().hex}"
+    return shared_folder(spark, "files")
 
 
 def _orders(spark: SparkSession, sf: str) -> DataFrame:
@@ -176,11 +175,31 @@ def outlines(spark: SparkSession, sf: str) -> DataFrame:
 
 
 
+def workbook_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """The parts as workbooks, one for each brand, as wide as their texts; read back by the labels of the first row."""
+    part, folder = table(spark, sf, "part"), scratch(spark)
+    widths = {r["column"]: r.width for r in R.widths(part).collect()}
+    write_workbooks(part, folder, part.columns, by="p_brand", widths=[widths[c] for c in part.columns])
+    read = read_workbooks(spark, folder)
+    return read.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in part.schema])
+
+
+def workbook_sheets(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers by nation, those of even nations with a second sheet; where there is none the first one is read."""
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name", F.col("s_nationkey").alias("book"), F.lit("RUSSIAN").alias("sheet"))
+    second = rows.where("book % 2 = 0").withColumns({"s_name": F.upper("s_name"), "sheet": F.lit("ENGLISH")})
+    both = rows.unionByName(second).repartition("book")
+    folder = scratch(spark)
+    write_workbooks(both, folder, ["s_suppkey", "s_name"], by="book", sheet="sheet")
+    read = read_workbooks(spark, folder, sheet="ENGLISH")
+    return read.select(F.col("s_suppkey").cast("long").alias("s_suppkey"), "s_name")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         case_csv_round_trip, named_text_files, enumerated_rows, restored_order, torn_cache, torn_cache_counts, united_files, united_files_lineage,
-        checkpoint_files, court_inputs, string_columns, outlines,
+        checkpoint_files, court_inputs, string_columns, outlines, workbook_round_trip, workbook_sheets,
     )
 }
 
@@ -198,6 +217,8 @@ CASE WHEN o_orderstatus <> 'F' THEN o_orderpriority END AS o_orderpriority, CASE
     "united_files_lineage": "SELECT o_orderstatus AS court_name, 'read' AS status, count(*) AS rows FROM orders GROUP BY 1 UNION ALL SELECT 'Empty', 'empty', 0 UNION ALL SELECT 'Odd', 'missing o_orderkey', 0",
     "checkpoint_files": "SELECT 'https://court.example/' || s_suppkey AS url, CASE WHEN s_suppkey % 3 <> 0 THEN s_name END AS opinion_text, CASE WHEN s_suppkey % 3 = 0 THEN 'fetch_failed' END AS error, '2026-01-01 00:00:00' AS fetched_at FROM supplier WHERE s_suppkey % 7 <> 0",
     "court_inputs": "SELECT 'https://' || c_name || '.example/' AS base_url, c_mktsegment AS notes FROM customer WHERE c_custkey % 10 > 2",
+    "workbook_round_trip": "SELECT * FROM part",
+    "workbook_sheets": "SELECT s_suppkey, CASE WHEN s_nationkey % 2 = 0 THEN upper(s_name) ELSE s_name END AS s_name FROM supplier",
     "string_columns": """SELECT p_partkey, p_name || CASE WHEN p_size % 2 = 0 THEN ',' || chr(10) || '"x"' ELSE '' END AS opinion_text, p_retailprice FROM part""",
     "outlines": """WITH n AS (SELECT DISTINCT c_nationkey AS n FROM customer), r AS (
   SELECT n + p.x AS a, n, p.polygon, p.ring FROM n JOIN (VALUES (0, 0, 0, 0), (0, 1, 0, 10), (0, 1, 1, 20), (1, 0, 0, 0), (1, 0, 1, 5)) p(odd, polygon, ring, x) ON p.odd = n % 2)

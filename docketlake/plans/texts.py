@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from docketlake.operators.assembly import Assembly
 from docketlake.operators.cases import completion_counts, link_files, participants_pivot, with_events, with_texts
 from docketlake.operators.cases import opinion_jobs as jobs_of
 from docketlake.operators.translate import translate_pending, translate_values
-from docketlake.session import ensure_checkpoint_dir
+from docketlake.session import shared_folder
 from docketlake.sources.readers import table
 
 LETTERS = "[A-Za-z]"
@@ -64,7 +62,7 @@ def reassemble_complete(spark: SparkSession, sf: str) -> DataFrame:
 
 def reassemble_in_steps(spark: SparkSession, sf: str) -> DataFrame:
     """The same in three steps: documents with nothing to translate, then each half of the cache touches only what it completes."""
-    assembly = Assembly(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/assembly-{uuid.uuid4().hex}")
+    assembly = Assembly(spark, shared_folder(spark, "assembly"))
     done = assembly.begin(_lines(spark, sf)).withColumn("step", F.lit(0))
     for step, part in enumerate(("k >= '08' and k < '8'", "k >= '8'"), 1):
         done = done.unionByName(assembly.add(_cache(spark, sf, part), str(step)).withColumn("step", F.lit(step)))

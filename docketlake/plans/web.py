@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,7 +12,7 @@ from docketlake.functions.tables import page_tables
 from docketlake.functions.urls import joined_url
 from docketlake.operators import relational as R
 from docketlake.operators.listings import case_event_rows, case_records
-from docketlake.session import ensure_checkpoint_dir, ship
+from docketlake.session import shared_folder, ship
 from docketlake.sources.readers import table
 from docketlake.streaming.resume import KeyedState, counts_by
 
@@ -161,7 +159,7 @@ def outcome_counts_stream(spark: SparkSession, sf: str) -> DataFrame:
     parent, name = path.rsplit("/", 1)
     single = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet")
     source = single.parquet(path) if _is_folder(spark, path) else single.option("pathGlobFilter", name).parquet(parent)
-    run = f"{ensure_checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    run = shared_folder(spark, "stream")
     return counts_by(source, "event_type", f"{run}/counts", f"{run}/offsets")
 
 
@@ -173,7 +171,7 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
 def events_into_state(spark: SparkSession, sf: str) -> DataFrame:
     """Users into a keyed state, in three batches of which the second comes twice, as after a failure; one row each stays."""
     events = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("k"), "event_id")
-    state = KeyedState(spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/state-{uuid.uuid4().hex}", "k")
+    state = KeyedState(spark, shared_folder(spark, "state"), "k")
     for number in (0, 1, 1, 2):
         batch = events.where(F.pmod("event_id", F.lit(3)) == number).groupBy("k").agg(F.min("event_id").alias("first"))
         state.add(batch, f"run-{number}")

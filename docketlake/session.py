@@ -10,7 +10,11 @@ from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+from docketlake.places import remove_folder
+
 _SHIPPED: set[str] = set()
+#: Folders written in the shared one, by application.
+_WRITTEN: dict[str, list[str]] = {}
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 FILE_FACTOR = "spark.sql.sources.fileCompressionFactor"
 
@@ -71,17 +75,34 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def shared_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder in the shared one, which ``clear_settled`` removes."""
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(folder)
+    return folder
+
+
 def settled(df):
     """``df`` computed once and written to the checkpoint folder as a table, so that lost executors cost no recomputation.
 
-    Unlike a checkpoint the table tells its real size, so joins of it are planned right however many steps led to it.
+    Unlike a checkpoint the table tells its real size, so joins of it are planned right however many steps led to it. It
+    stays until ``clear_settled`` is called, since what an operator returns may still read it.
     """
     spark = df.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/docketlake-{uuid.uuid4().hex}"
+    folder = shared_folder(spark, "docketlake")
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
 
 
+def clear_settled(spark: SparkSession) -> int:
+    """Removes the tables and files that operators and queries of this application have written so far; how many there were.
+
+    To be called when their results have been read or written elsewhere: DataFrames that rest on them cannot be computed
+    after that. Checkpoints of Spark's own are removed by ``spark.cleaner.referenceTracking.cleanCheckpoints``.
+    """
+    return sum(remove_folder(folder) for folder in _WRITTEN.pop(spark.sparkContext.applicationId, []))
+
+
 def settled_in_place(df):
     """``df`` written to the checkpoint folder with its partitions and the order of rows in them."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -15,7 +15,6 @@ import uuid
 from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from urllib.parse import unquote, urlsplit
 
 from pyarrow import fs as files
 from pyspark import TaskContext
@@ -23,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
+from docketlake.places import place_of
 from docketlake.session import ship
 
 BOM = "﻿"
@@ -30,13 +30,6 @@ BOM = "﻿"
 RENAMES = 32
 
 
-def place_of(path: str) -> tuple[files.FileSystem, str]:
-    """The file system and the path in it, of a local path or a uri."""
-    if path.startswith("file:"):
-        path = unquote(urlsplit(path).path)
-    return files.FileSystem.from_uri(path) if "://" in path else (files.LocalFileSystem(), path)
-
-
 @dataclass
 class Attempt(WriterCommitMessage):
     """What a task has staged: the folder of its attempt, and rows by file name."""

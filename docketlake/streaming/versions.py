@@ -7,7 +7,7 @@ import posixpath
 from pyarrow import fs as files
 from pyspark.sql import DataFrame, SparkSession
 
-from docketlake.sources.case_files import place_of
+from docketlake.places import place_of
 
 KEPT = 3
 

@@ -84,3 +84,14 @@ def test_resumed_stream(spark, tmp_path):
     spark.createDataFrame([("a", 9), ("c", 3)], schema).write.mode("append").json(str(source))
     run()
     assert {(r.k, r.done) for r in read_state(spark, state, "k").collect()} == {("a", 1), ("b", 2), ("c", 3)}
+
+
+def test_settled_tables_can_be_removed(spark, tmp_path):
+    from docketlake.session import clear_settled, settled
+
+    clear_settled(spark)
+    kept = [settled(spark.range(5)) for _ in range(3)]
+    assert sum(df.count() for df in kept) == 15
+    assert clear_settled(spark) == 3 and clear_settled(spark) == 0
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+        kept[0].collect()
