@@ -17,7 +17,9 @@ WINDOW_WORDS = 13
 ANCHOR_WORDS = 5
 ANCHOR_SIEVE_BITS = 1 << 25
 ROW_SIEVE_BITS = 1 << 24
-#: From so many documents on, an anchor's segments are dealt out over so many salts.
+#: Words of a segment that count as one, so that an anchor's number bounds the text that its segments have together.
+SEGMENT_WORDS = 64
+#: From so many segments of that length on, an anchor's segments are dealt out over so many salts.
 SALTS = ((4096, 16), (65_536, 256), (1_048_576, 4096))
 SALT_SIEVE_BITS = 1 << 20
 #: Segments that one automaton is compiled for and streamed over.
@@ -71,9 +73,10 @@ def _emit_anchors(window: int):
     def run(batches):
         for rows, data, offsets in text_chunks(batches):
             words = words_of(data, offsets)
-            anchor, head, _ = anchors_of(words, window)
+            anchor, head, tail = anchors_of(words, window)
             dkey = np.asarray(rows.column(2))[np.searchsorted(words.first, head, side="right") - 1]
-            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(dkey)], ["anchor", "dkey"])
+            size = -(-(tail - head + window) // SEGMENT_WORDS)
+            yield pa.RecordBatch.from_arrays([pa.array(anchor.view(np.int64)), pa.array(dkey), pa.array(size.astype(np.int64))], ["anchor", "dkey", "size"])
 
     return run
 
@@ -239,7 +242,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     ship(docs.sparkSession)
     context, plain = docs.sparkSession.sparkContext, _plain(docs)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = plain.mapInArrow(_emit_anchors(window), "anchor long, dkey long").groupBy("anchor").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.count(F.lit(1)).alias("n"))
+    counted = plain.mapInArrow(_emit_anchors(window), "anchor long, dkey long, size long").groupBy("anchor").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.sum("size").alias("n"))
     recurring = settled(counted.where("low < high").select("anchor", "n"))
     sieve = context.broadcast(build_sieve(recurring, "anchor", ANCHOR_SIEVE_BITS))
     tiers = [context.broadcast(build_sieve(recurring.where(F.col("n") >= least), "anchor", SALT_SIEVE_BITS)) for least, _ in SALTS]

@@ -663,6 +663,17 @@ def test_substring_dedup(docs, clashing, no_docs, rows, monkeypatch, salts, shar
     assert substring_dedup.without_repeats(no_docs).count() == 0
 
 
+def test_long_repetitive_texts_are_salted(spark, monkeypatch):
+    """Few texts of one word over and over are one anchor with much text: its number says so, and results stay right."""
+    monkeypatch.setattr(substring_dedup, "SALTS", ((50, 4), (10**9, 8), (10**9, 9)))
+    words = substring_dedup.words_of(*common.string_buffers(pa.array(["w " * 6400])))
+    _, head, tail = substring_dedup.anchors_of(words, 13)
+    assert len(head) == 1 and (tail - head + 13)[0] == 6400
+    rows = [(i, "w " * 6400 + f"end{i}") for i in range(4)] + [(9, "other " * 20)]
+    got = substring_dedup.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(2))
+    assert tuples(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_repeats(rows)
+
+
 def test_sliding_min():
     x = np.random.default_rng(1).integers(0, 99, 40)
     for width in (1, 2, 5, 9):
