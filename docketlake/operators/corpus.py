@@ -78,8 +78,8 @@ def reassembled(lines: DataFrame, cache: DataFrame, doc: str = "doc_id", gate: b
 # functions of all partitions, small tables, are composed on the driver and every partition then packs for itself.
 
 
-def _alone(norm: str, limit: int) -> bool:
-    return len(norm) > limit or re.search(SENTINEL, norm) is not None
+def _alone(norm: str, limit: int) -> Column:
+    return (F.length(norm) > limit) | F.col(norm).rlike("@{3}")
 
 
 class _Packer:
@@ -145,6 +145,12 @@ def pack_batches(paragraphs: DataFrame, order: list[str], norm: str = "norm", li
     in it, is a batch by itself and closes the one before. Exact over any number of partitions: rows are dealt out by
     range, and what reaches the driver is ``limit + 2`` pairs of numbers for each partition. ``order`` must be total.
     """
+    sized = paragraphs.withColumns({"_length": F.length(norm).cast("long"), "_alone": _alone(norm, limit)})
+    return packed_sizes(sized, order, limit).drop("_length", "_alone")
+
+
+def packed_sizes(paragraphs: DataFrame, order: list[str], limit: int = MAX_CHARS) -> DataFrame:
+    """``pack_batches`` of rows that only tell of paragraphs: ``_length``, and ``_alone`` for those that are batches by themselves."""
     spark = paragraphs.sparkSession
     ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -156,13 +162,13 @@ def pack_batches(paragraphs: DataFrame, order: list[str], norm: str = "norm", li
         for frame in frames:
             if len(frame):
                 pid = int(frame["_pid"].iloc[0])
-                lengths += [len(x) for x in frame[norm]]
-                alone += [_alone(x, limit) for x in frame[norm]]
+                lengths += frame["_length"].tolist()
+                alone += frame["_alone"].tolist()
         if pid is not None:
             sizes, counts = _effect(np.array(lengths, dtype=np.int64), np.array(alone, dtype=bool), limit)
             yield pd.DataFrame({"pid": [pid], "sizes": [sizes.tolist()], "counts": [counts.tolist()]})
 
-    table = rows.select(norm, "_pid").mapInPandas(effects, "pid int, sizes array<long>, counts array<long>").toPandas().sort_values("pid")
+    table = rows.select("_length", "_alone", "_pid").mapInPandas(effects, "pid int, sizes array<long>, counts array<long>").toPandas().sort_values("pid")
     size, batch, starts = -1, -1, {}
     for pid, sizes, counts in table.itertuples(index=False):
         starts[int(pid)] = (size, batch)
@@ -175,7 +181,7 @@ def pack_batches(paragraphs: DataFrame, order: list[str], norm: str = "norm", li
             if len(frame):
                 if packer is None:
                     packer = _Packer(limit, *start.value[int(frame["_pid"].iloc[0])])
-                yield frame.drop(columns="_pid").assign(batch_id=[packer.put(len(x), _alone(x, limit)) for x in frame[norm]])
+                yield frame.drop(columns="_pid").assign(batch_id=[packer.put(n, a) for n, a in zip(frame["_length"], frame["_alone"], strict=True)])
 
     schema = paragraphs.select("*", F.lit(0).cast("long").alias("batch_id")).schema
     packed = rows.mapInPandas(pack, schema)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketlake.functions.text import CYRILLIC, looks_untranslated, needs_translation
-from docketlake.operators.corpus import DELIMITER, MAX_CHARS, pack_batches, paragraph_chunks, segments_of, sentence_pieces
+from docketlake.operators.corpus import DELIMITER, MAX_CHARS, _alone, packed_sizes, paragraph_chunks, segments_of, sentence_pieces
 from docketlake.session import settled, ship
 
 #: Text in, text out; raises or returns nothing on failure. It must be picklable: it runs on the executors.
@@ -90,13 +90,15 @@ def translate_values(values: DataFrame, translator: Translator, column: str = "v
 def translate_pending(paragraphs: DataFrame, cache: DataFrame, translator: Translator, order: list[str], limit: int = MAX_CHARS) -> DataFrame:
     """O-2, O-3, O-4, O-5: ``k, ru, en`` of the paragraphs ``k, norm`` that the cache lacks and that could be translated.
 
-    Packed into batches over all partitions; each batch is one call. The result is computed once, so that no plan asks
-    the translator again.
+    Packed into batches over all partitions, by their lengths alone; each batch is one call, to which its texts are
+    joined by key. The result is computed once, so that no plan asks the translator again.
     """
     ship(paragraphs.sparkSession)
     missing = paragraphs.join(cache.select("k"), "k", "left_anti")
-    packed = pack_batches(missing.select("k", "norm", *[c for c in order if c not in ("k", "norm")]), order, "norm", limit)
-    batches = packed.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("batch_pos", "k", "norm"))).alias("items"))
+    sizes = missing.select("k", *[c for c in order if c != "k"], F.length("norm").cast("long").alias("_length"), _alone("norm", limit).alias("_alone"))
+    packed = packed_sizes(sizes, order, limit).select("k", "batch_id", "batch_pos")
+    whole = packed.join(missing.select("k", "norm"), "k")
+    batches = whole.groupBy("batch_id").agg(F.array_sort(F.collect_list(F.struct("batch_pos", "k", "norm"))).alias("items"))
 
     def run(frames):
         for frame in frames:

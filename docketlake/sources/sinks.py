@@ -12,7 +12,7 @@ from docketlake.functions.text import key_of
 
 
 def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, one_file: bool = False) -> bool:
-    """SNK-1, SNK-7, SNK-14: a header and a fixed order of columns; nothing is written for no rows. UTF-8 without a mark."""
+    """SNK-7, SNK-14: a header and a fixed order of columns; nothing is written for no rows. ``case_files`` has files by court."""
     rows = df.select(*columns) if columns else df
     if rows.isEmpty():
         return False
@@ -21,7 +21,7 @@ def write_csv(df: DataFrame, path: str, columns: Sequence[str] | None = None, on
 
 
 def write_table(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
-    """SNK-2, SNK-5, SNK-6, SNK-10, SNK-13: Parquet, one folder for each value of the columns."""
+    """SNK-6, SNK-10, SNK-13: Parquet, one folder for each value of the columns. ``workbook`` has workbooks."""
     df.write.partitionBy(*by).parquet(path) if by else df.write.parquet(path)
 
 
@@ -41,5 +41,5 @@ def append_cache(df: DataFrame, path: str) -> None:
 
 
 def text_rows(df: DataFrame, path: str, text: str) -> DataFrame:
-    """SNK-9, SNK-12: ``path, text``, one row for each file to write."""
+    """SNK-9, SNK-12: ``path, text``, one row for each file to write; ``case_files.write_texts`` writes them."""
     return df.select(F.col(path).alias("path"), F.col(text).alias("text")).groupBy("path").agg(F.min("text").alias("text"))

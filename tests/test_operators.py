@@ -14,6 +14,11 @@ from docketlake.operators import acquire, analytics, cases, corpus, listings, re
 DAY = dt.date
 
 
+def alone(norm, limit):
+    """Which paragraphs are batches by themselves."""
+    return len(norm) > limit or "@@@" in norm
+
+
 @pytest.fixture(scope="module")
 def records(spark):
     rows = [(1, "a", DAY(2025, 1, 5), "x", "P"), (2, "a", DAY(2025, 3, 5), None, "P"), (3, "a", None, "x", "Q"), (4, None, DAY(2025, 1, 1), "y", "Q"), (5, None, DAY(2025, 1, 1), "y", "Q"), (6, "b", None, " ", "P")]
@@ -92,7 +97,7 @@ def sequential(norms, limit):
     """Greedy packing in one pass."""
     packer, out = corpus._Packer(limit), []
     for n in norms:
-        out.append(packer.put(len(n), corpus._alone(n, limit)))
+        out.append(packer.put(len(n), alone(n, limit)))
     return out
 
 
@@ -104,11 +109,11 @@ def test_effects_compose(norms, cut):
     limit, parts = 10, (norms[:cut], norms[cut:])
     size, batch = -1, -1
     for part in parts:
-        sizes, counts = corpus._effect(np.array([len(x) for x in part], dtype=np.int64), np.array([corpus._alone(x, limit) for x in part], dtype=bool), limit)
+        sizes, counts = corpus._effect(np.array([len(x) for x in part], dtype=np.int64), np.array([alone(x, limit) for x in part], dtype=bool), limit)
         size, batch = int(sizes[size]), batch + int(counts[size])
     packer = corpus._Packer(limit)
     for n in norms:
-        packer.put(len(n), corpus._alone(n, limit))
+        packer.put(len(n), alone(n, limit))
     assert (size, batch) == (packer.size, packer.batch)
 
 
