@@ -845,3 +845,26 @@ def test_components(spark, monkeypatch, local):
     rows = spark.createDataFrame([(bytearray(a), bytearray(b)) for a, b in edges], "a binary, b binary")
     assert {bytes(r.node): bytes(r.label) for r in jaccard_join.components(rows.repartition(5)).collect()} == label
     assert jaccard_join.components(rows.limit(0)).count() == 0
+
+
+def test_jaccard_join_loses_no_link_on_the_given_documents(spark):
+    """sf0.1: ids divisible by 50 against all rows, by shared shingles; classes hold every pair, numbers of links are exact."""
+    folder = "/root/testdata/sf0.1"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    sets, having = {}, defaultdict(list)
+    for d, t in texts.items():
+        w = SPLIT.findall(t or "")
+        sets[d] = {hash(tuple(w))} if 0 < len(w) < 5 else {hash(tuple(w[i : i + 5])) for i in range(len(w) - 4)}
+        for x in sets[d]:
+            having[x].append(d)
+    got = {r.doc_id: r for r in jaccard_join.op2_ngram_jaccard_join(spark, folder).collect()}
+    pairs = 0
+    for d in (d for d in texts if d % 50 == 0):
+        shared = defaultdict(int)
+        for x in sets[d]:
+            for other in having[x]:
+                shared[other] += 1
+        linked = [o for o, n in shared.items() if o != d and 5 * n >= 4 * (len(sets[d]) + len(sets[o]) - n)]
+        pairs += len(linked)
+        assert got[d].n_links == len(linked) and all(got[o].class_id == got[d].class_id for o in linked)
+    assert pairs > 50
