@@ -62,7 +62,7 @@ def reassemble_complete(spark: SparkSession, sf: str) -> DataFrame:
 
 def reassemble_in_steps(spark: SparkSession, sf: str) -> DataFrame:
     """The same in three steps: documents with nothing to translate, then each half of the cache touches only what it completes."""
-    assembly = Assembly(spark, shared_folder(spark, "assembly"))
+    assembly = Assembly(spark, shared_folder(spark, "assembly"), buckets=16)
     done = assembly.begin(_lines(spark, sf)).withColumn("step", F.lit(0))
     for step, part in enumerate(("k >= '08' and k < '8'", "k >= '8'"), 1):
         done = done.unionByName(assembly.add(_cache(spark, sf, part), str(step)).withColumn("step", F.lit(step)))

@@ -11,7 +11,11 @@ from docketlake.functions.text import blank, strip
 from docketlake.session import settled
 from docketlake.sources.row_order import numbered_lines
 
-FILE = r"([^/]+)$"
+
+
+def _name(uri: Column) -> Column:
+    """The name of a file, out of its uri."""
+    return F.url_decode(F.replace(F.regexp_extract(uri, r"([^/]+)$", 1), F.lit("+"), F.lit("%2B")))
 
 
 class UnitedFiles:
@@ -41,8 +45,8 @@ class UnitedFiles:
         self.columns = [*first, *[c for c in found if c not in first]]
         # Scans leave empty files out, the listing does not.
         listed = [(f,) for f in spark.read.text(folder).inputFiles()]
-        lengths = spark.read.format("binaryFile").load(folder).select(F.regexp_extract("path", FILE, 1).alias("_path"), "length")
-        names = spark.createDataFrame(listed, "file string").select(F.regexp_extract(F.url_decode("file"), FILE, 1).alias("file"))
+        lengths = spark.read.format("binaryFile").load(folder).select(_name(F.col("_metadata.file_path")).alias("_path"), "length")
+        names = spark.createDataFrame(listed, "file string").select(_name(F.col("file")).alias("file"))
         self.files = names.join(lengths, F.col("file") == F.col("_path"), "left").select("file", F.coalesce("length", F.lit(0)).alias("length"))
 
     def _cells(self, line: str) -> Column:
@@ -61,7 +65,6 @@ class UnitedFiles:
     def lineage(self) -> DataFrame:
         """``file, status, rows``: ``read``, ``empty``, ``unreadable`` or ``missing`` with the columns that it lacks."""
         counts = self.lines.where("line > 0").where(~blank(F.col("value"))).groupBy("file").agg(F.count(F.lit(1)).alias("n"))
-        name = lambda c: F.regexp_extract(c, FILE, 1)
-        heads = self.heads.join(counts, "file", "left").select(name("file").alias("_file"), "missing", "n")
+        heads = self.heads.join(counts, "file", "left").select(_name(F.col("file")).alias("_file"), "missing", "n")
         status = F.when(F.col("length") == 0, "empty").when(F.col("missing").isNull(), "unreadable").when(F.size("missing") > 0, F.concat(F.lit("missing "), F.array_join("missing", ", "))).otherwise("read")
         return self.files.join(heads, F.col("file") == F.col("_file"), "left").select("file", status.alias("status"), F.when(status == "read", F.coalesce("n", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("rows"))

@@ -21,6 +21,7 @@ def folder(tmp_path):
     put(tmp_path, "cases_E.csv", "id,extra, solution \n")
     put(tmp_path, "cases_F.2.csv", "id,zeta\n9,w")
     put(tmp_path, "cases_G.csv.gz", b"no gzip at all")
+    put(tmp_path, "cases_H+ é%41.csv", "id\n")
     return str(tmp_path)
 
 
@@ -39,7 +40,7 @@ def test_united(spark, folder, split):
         lineage = {r.file: (r.status, r.rows) for r in united.lineage().collect()}
         assert lineage == {
             "cases_A.csv": ("read", 2), "cases_B.csv": ("read", 2), "cases_C.csv": ("empty", 0), "cases_D.csv": ("missing id", 0),
-            "cases_E.csv": ("read", 0), "cases_F.2.csv": ("read", 1), "cases_G.csv.gz": ("unreadable", 0),
+            "cases_E.csv": ("read", 0), "cases_F.2.csv": ("read", 1), "cases_G.csv.gz": ("unreadable", 0), "cases_H+ é%41.csv": ("read", 0),
         }
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
