@@ -60,10 +60,11 @@ def case_records(pages: DataFrame) -> DataFrame:
     has a link with a text, which is the case's number.
     """
     found = results_tables(pages.select("url", F.col("page_num").cast("int").alias("page_num"), "html"))
-    header = F.transform(F.get("grid", F.lit(0)), lambda c: F.lower(c["text"]))
-    rows = found.select("url", "page_num", header.alias("header"), F.explode(F.slice("grid", F.lit(2), F.size("grid"))).alias("row"))
-    column = {f: _first_naming(F.col("header"), words) for f, words in HEADERS.items()}
-    rows = rows.where(F.exists("row", lambda c: ~c["head"])).select("*", *[F.get("row", F.when(i >= 0, i)).alias(f"_{f}") for f, i in column.items()])
+    # Columns are found once for each table, below the rows.
+    header = found.withColumn("header", F.transform(F.get("grid", F.lit(0)), lambda c: F.lower(c["text"])))
+    places = header.select("url", "page_num", "grid", F.struct(*[_first_naming(F.col("header"), words).alias(f) for f, words in HEADERS.items()]).alias("at"))
+    rows = places.select("url", "page_num", "at", F.explode(F.slice("grid", F.lit(2), F.size("grid"))).alias("row"))
+    rows = rows.where(F.exists("row", lambda c: ~c["head"])).select("*", *[F.get("row", F.when(F.col(f"at.{f}") >= 0, F.col(f"at.{f}"))).alias(f"_{f}") for f in HEADERS])
     linked = F.get(F.filter("row", lambda c: c["href"].isNotNull() & c["own"]), F.lit(0))
     rows = rows.withColumn("_link", F.when(F.col("_case_number.href").isNotNull(), F.col("_case_number")).otherwise(linked)).where("_link.link <> ''")
     base = F.coalesce("url", F.lit(""))

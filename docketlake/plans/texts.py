@@ -12,7 +12,7 @@ from docketlake.operators.assembly import Assembly
 from docketlake.operators.cases import completion_counts, link_files, participants_pivot, with_events, with_texts
 from docketlake.operators.cases import opinion_jobs as jobs_of
 from docketlake.operators.translate import translate_pending, translate_values
-from docketlake.session import shared_folder
+from docketlake.session import settled, shared_folder
 from docketlake.sources.readers import table
 
 LETTERS = "[A-Za-z]"
@@ -64,8 +64,9 @@ def reassemble_in_steps(spark: SparkSession, sf: str) -> DataFrame:
     """The same in three steps: documents with nothing to translate, then each half of the cache touches only what it completes."""
     assembly = Assembly(spark, shared_folder(spark, "assembly"), buckets=16)
     done = assembly.begin(_lines(spark, sf)).withColumn("step", F.lit(0))
-    for step, part in enumerate(("k >= '08' and k < '8'", "k >= '8'"), 1):
-        done = done.unionByName(assembly.add(_cache(spark, sf, part), str(step)).withColumn("step", F.lit(step)))
+    cache = settled(_cache(spark, sf, "k >= '08'"))
+    for step, part in enumerate(("k < '8'", "k >= '8'"), 1):
+        done = done.unionByName(assembly.add(cache.where(part), str(step)).withColumn("step", F.lit(step)))
     return done.unionByName(assembly.incomplete().select("doc_id"), allowMissingColumns=True)
 
 

@@ -27,6 +27,11 @@ def _by_page(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
     return table(spark, sf, name).withColumn("page_id", F.pmod(F.col(key), n))
 
 
+def _spread(pages: DataFrame) -> DataFrame:
+    """Pages made by joins, dealt out to all cores: what Spark holds for a small partition is much work for a parser."""
+    return pages.repartition(2 * pages.sparkSession.sparkContext.defaultParallelism)
+
+
 def _tag(name: str, *inside, attributes: str = "") -> Column:
     return F.concat(F.lit(f"<{name}{attributes}>"), *[F.lit(x) if isinstance(x, str) else x for x in inside], F.lit(f"</{name}>"))
 
@@ -53,7 +58,7 @@ def _result_listings(spark: SparkSession, sf: str) -> DataFrame:
     said = F.concat(F.lit("<p>Всего по запросу найдено — "), F.col("n").cast("string"), F.lit(". На странице все.</p>"))
     whole = F.concat(said, F.lit(f'<table id="menu"><tr><td>x<table id="tablcont">{head}'), F.col("rows"), F.lit("</table></table>"))
     html = F.replace("html", F.lit("<footer>"), F.concat(F.coalesce(whole, F.lit("")), F.lit("<footer>")))
-    return pages.join(listed, "page_id", "left").select("url", F.col("page_id").alias("page_num"), html.alias("html"))
+    return _spread(pages.join(listed, "page_id", "left").select("url", F.col("page_id").alias("page_num"), html.alias("html")))
 
 
 def _case_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -69,7 +74,7 @@ def _case_pages(spark: SparkSession, sf: str) -> DataFrame:
     block = lambda head, rows: F.coalesce(F.concat(F.lit(f"<table><thead><tr>{head}</tr></thead><tbody>"), rows, F.lit("</tbody></table>")), F.lit(""))
     joined = pages.join(events.select("page_id", F.col("rows").alias("events")), "page_id", "left").join(people.select("page_id", F.col("rows").alias("people")), "page_id", "left")
     told = F.concat(info, block("<th>Наименование события<th>Дата<th>Основания<th>Результат", F.col("events")), block("<th>Вид лица, участвующего в деле<th>Фамилия / наименование", F.col("people")))
-    return joined.select("url", F.replace("html", F.lit("<article>"), F.concat(told, F.lit("<article>"))).alias("html"))
+    return _spread(joined.select("url", F.replace("html", F.lit("<article>"), F.concat(told, F.lit("<article>"))).alias("html")))
 
 
 def url_set_page(spark: SparkSession, sf: str) -> DataFrame:
