@@ -31,7 +31,7 @@ SMALL_SHINGLES = 1 << 21
 CENTRE_SETS, SALT_SETS = 64, 2048
 #: Sets that share a token outside their component's centre are compared at once up to so many, else in blocks of that size.
 BLOCK = 1024
-#: Edges between sets that one task takes at once: two signatures each, some 32 MB.
+#: Edges between sets that one task takes at once: 103 MB of Python objects where no two share a set.
 LOCAL_EDGES = 1 << 18
 #: Sets that a task which reads their shingles has about, where few are left.
 TASK_SETS = 1 << 11
