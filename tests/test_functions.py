@@ -80,6 +80,13 @@ def test_numbers(spark):
     assert (row.a, row.b, row.c) == (12.0, None, 0.625)
 
 
+def test_one_decimal_rounds_the_binary_number(spark):
+    """As C does: ties to even, and 0.35, which is a little less, down. Java's format gives 4698.3, 0.3 and 0.4."""
+    given = [4698.25, 0.25, 0.75, 0.35, 0.45, -0.25, 12.0, 1234567.05, None]
+    got = [r.y for r in spark.createDataFrame([(x,) for x in given], "x double").select(D.one_decimal(F.col("x")).alias("y")).collect()]
+    assert got == ["4698.2", "0.2", "0.8", "0.3", "0.5", "-0.2", "12.0", "1234567.1", None]
+
+
 def test_joined_url(spark):
     """RFC 3986, 5.4, and addresses of the kind that pages have."""
     base = "http://a/b/c/d;p?q"
