@@ -15,7 +15,8 @@ from docketlake.llm.common import Words, build_sieve, settled, ship, string_buff
 WINDOW_WORDS = 13
 #: A window's anchor is the least hash among its runs of so many words.
 ANCHOR_WORDS = 5
-ANCHOR_SIEVE_BITS = 1 << 25
+#: Bits of the sieve of anchors, at least and at most; with a fixed number of them more and more segments would pass for nothing as tables grow.
+ANCHOR_SIEVE_BITS = (1 << 25, 1 << 28)
 ROW_SIEVE_BITS = 1 << 24
 #: Words of a segment that count as one, so that an anchor's number bounds the text that its segments have together.
 SEGMENT_WORDS = 64
@@ -29,6 +30,12 @@ NO_ID = (1 << 63) - 1
 SEGMENT = "anchor long, salt int, kind int, dkey long, text_hash long, start int, segment binary"
 
 
+def anchor_bits(recurring: int) -> int:
+    """Bits of the sieve of so many anchors: four to eight for each, within the bounds."""
+    least, most = ANCHOR_SIEVE_BITS
+    return min(max(1 << (4 * recurring).bit_length(), least), most)
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     out, have = values, 1
     while have < width:
@@ -146,6 +153,14 @@ def _spread_phrases(window: int):
     return run
 
 
+def _codes(words: Words) -> list[int]:
+    """A number for each word, the same for words of equal bytes and no others: an automaton over words has a state for each word of a phrase."""
+    flat, _ = normalised(words)
+    held = flat.tobytes().split(b" ")[:-1]
+    numbers = dict(zip(dict.fromkeys(held), range(len(held))))
+    return list(map(numbers.__getitem__, held))
+
+
 def _locate(window: int):
     """Compiles automata of confirmed phrases and streams the segments of the same anchors through them.
 
@@ -158,10 +173,9 @@ def _locate(window: int):
     def shard(table: pa.Table):
         """All rows of some anchors: confirm, compile, search."""
         salt, kind, dkey, text_hash, start = (np.asarray(table.column(c).combine_chunks()) for c in ("salt", "kind", "dkey", "text_hash", "start"))
-        data, offsets = string_buffers(table.column("segment"))
-        raw = data.tobytes()
-        words = words_of(data, offsets)
-        phrases = {raw[offsets[i] : offsets[i + 1]]: int(dkey[i]) for i in np.flatnonzero(kind == 0)}
+        words = words_of(*string_buffers(table.column("segment")))
+        code, first_word = _codes(words), words.first.tolist()
+        phrases = {tuple(code[first_word[i] : first_word[i + 1]]): int(dkey[i]) for i in np.flatnonzero(kind == 0).tolist()}
         n = np.where((kind == 1) & (salt < 0), np.maximum(words.counts - window + 1, 0), 0)
         row = np.repeat(np.arange(len(n)), n)
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(words.first[:-1], n)
@@ -177,33 +191,30 @@ def _locate(window: int):
             first_of = np.flatnonzero(owner == np.repeat(low, size))
             group = np.searchsorted(heads, first_of, side="right") - 1
             group, one = np.unique(group, return_index=True)
-            for g in np.flatnonzero((low < high)[group]):
-                i = at[first_of[one[g]]]
-                phrases[raw[words.start[i] : words.end[i + window - 1]]] = int(low[group[g]])
+            known = (low < high)[group]
+            for i, first in zip(at[first_of[one[known]]].tolist(), low[group[known]].tolist(), strict=True):
+                phrases[tuple(code[i : i + window])] = first
         out: list[tuple] = []
         if phrases:
-            automaton = ahocorasick.Automaton()
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
             for phrase, first in phrases.items():
-                automaton.add_word(" " + phrase.decode("latin-1") + " ", (first, len(phrase) + 1))
+                automaton.add_word(phrase, first)
             automaton.make_automaton()
-            for i in np.flatnonzero(search).tolist():
-                text = raw[offsets[i] : offsets[i + 1]].decode("latin-1")
-                own, word, low_word, high_word = int(dkey[i]), None, -1, -1
-                for end, (first, length) in automaton.iter(f" {text} "):
+            wanted = np.flatnonzero(search)
+            for i, own, text, begin in zip(wanted.tolist(), dkey[wanted].tolist(), text_hash[wanted].tolist(), start[wanted].tolist(), strict=True):
+                low_word, high_word = -1, -1
+                for end, first in automaton.iter(tuple(code[first_word[i] : first_word[i + 1]])):
                     if first >= own:
                         continue
-                    if word is None:
-                        a, b = words.first[i], words.first[i + 1]
-                        word = {c: k for k, c in enumerate((words.start[a:b] - offsets[i]).tolist())}
-                    here = word[end - length]
+                    here = end - window + 1
                     if here > high_word and high_word >= 0:
-                        out.append((own, int(text_hash[i]), int(start[i]) + low_word, int(start[i]) + high_word))
+                        out.append((own, text, begin + low_word, begin + high_word))
                         low_word = here
                     elif high_word < 0:
                         low_word = here
                     high_word = here + window
                 if high_word >= 0:
-                    out.append((own, int(text_hash[i]), int(start[i]) + low_word, int(start[i]) + high_word))
+                    out.append((own, text, begin + low_word, begin + high_word))
         columns = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.int32()), strict=True)], ["dkey", "text_hash", "low", "high"])
 
@@ -244,7 +255,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = plain.mapInArrow(_emit_anchors(window), "anchor long, dkey long, size long").groupBy("anchor").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.sum("size").alias("n"))
     recurring = settled(counted.where("low < high").select("anchor", "n"))
-    sieve = context.broadcast(build_sieve(recurring, "anchor", ANCHOR_SIEVE_BITS))
+    sieve = context.broadcast(build_sieve(recurring, "anchor", anchor_bits(recurring.count())))
     tiers = [context.broadcast(build_sieve(recurring.where(F.col("n") >= least), "anchor", SALT_SIEVE_BITS)) for least, _ in SALTS]
     segments = plain.mapInArrow(_emit_segments(window, sieve, tiers), SEGMENT)
     # Made again for the few salted anchors: that costs less than to keep all segments.

@@ -48,6 +48,30 @@ def test_sieve(spark):
     assert not common.build_sieve(spark.createDataFrame([], "k long"), "k", 1 << 12).maybe(np.array(keys)).any()
 
 
+def test_sieve_in_parts_is_the_same(spark, monkeypatch):
+    keys = [mix64 * 7919 for mix64 in range(-300, 300)]
+    rows = spark.createDataFrame([(k,) for k in keys], "k long")
+    whole = common.build_sieve(rows, "k", 1 << 12).words
+    monkeypatch.setattr(common, "SIEVE_ROWS", 16)
+    assert (common.build_sieve(rows, "k", 1 << 12).words == whole).all()
+
+
+def test_sieve_of_anchors_grows_with_them():
+    """At most a quarter of its bits are set, up to 6.7 * 10^7 anchors; a fixed one of 2^25 bits had 0.77 of them set by 5 * 10^7."""
+    assert substring_dedup.anchor_bits(10) == 1 << 25
+    assert all(n <= substring_dedup.anchor_bits(n) / 4 for n in (10**6, 10**7, 5 * 10**7))
+    assert substring_dedup.anchor_bits(10**10) == 1 << 28
+
+
+def test_codes_tell_words_apart():
+    """Equal words of different segments have one number, others never; segments meet without a space between."""
+    segments = [b"ab c", b"ab", b"a bc c"]
+    words = common.words_of(np.frombuffer(b"".join(segments), dtype=np.uint8), np.array([0, 4, 6, 12]))
+    assert substring_dedup._codes(words) == [0, 1, 0, 2, 3, 1]
+    assert substring_dedup._codes(common.words_of(np.zeros(0, dtype=np.uint8), np.array([0, 0]))) == []
+
+
+
 @given(st.lists(st.integers(0, 2**64 - 1) | st.integers(0, 9), max_size=60), st.integers(0, 60))
 @settings(max_examples=200, deadline=None)
 def test_quotient_filters(fingerprints, cut):
