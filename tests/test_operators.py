@@ -345,3 +345,22 @@ def test_page_url():
 
 def test_segments():
     assert corpus.segments_of(" a b @@@ c\n@@@@@@\n\n@@@") == ["a b", "c"] and corpus.segments_of(None) == []
+
+
+MARKUP = ["<p>", "</p>", "<table>", "</table>", "<tr>", "<td>", "<td colspan=2>", '<TD rowspan="2">', '<a href="x?a=1&amp;b=2">', '<a href="x?a&lt=1">', "</a>", "text ", "&amp;", "&lt", "<", ">", "<br/>", "<!-- c -->", "<!-->", "<!DOCTYPE html>", '<script>x="</p>"</script>', "<script>", "</script>", "<title>", "</title>", "<div class=a/b>", "<td a = 1>", "<textarea>", "</ p>", "</", "&#65;", "<![CDATA[x]]>"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(MARKUP), max_size=9).map("".join))
+def test_plain_markup_is_parsed_as_by_the_standard_parser(html):
+    standard, plain = H._Builder(), H._Builder()
+    standard.feed(html)
+    standard.close()
+    assert H.parse(html) == standard.root
+    assert not H._parsed_plainly(html, plain) or plain.root == standard.root
+
+
+def test_pages_are_plain_markup():
+    """A page with a script, references and spans does not need the standard parser."""
+    html = '<!DOCTYPE html><html><head><title>a &amp; b</title><script>var t="</p>";</script></head><body><table id="menu"><tr><td rowspan="2"><a href="x?a=1&amp;b=2">y</a><td colspan=2>z</table></body></html>'
+    assert H._parsed_plainly(html, H._Builder())
