@@ -257,44 +257,52 @@ def _compared(members: DataFrame, rows: int, sets: DataFrame, threshold: Fractio
     return _few(whole.repartition(parts, "g"), rows, TASK_SETS).sortWithinPartitions("g").mapInArrow(_compare(threshold, count_links), out)
 
 
+def _name_of(centre: np.ndarray) -> np.ndarray:
+    return mix(centre[:1] + centre.sum(dtype=np.uint64) if len(centre) else np.zeros(1, dtype=np.uint64))
+
+
 def _majority(batches):
-    """``g, held`` to ``g, centre``: the shingles of more than half of the sets held."""
+    """``g, held`` to ``g, centre, name``: the shingles of more than half of the sets held, and a hash of them."""
     for batch in batches:
-        centres = []
+        centres, names = [], []
         for held in batch.column(1).to_pylist():
             values, n = np.unique(np.concatenate([np.frombuffer(x, dtype=np.uint64) for x in held]), return_counts=True)
-            centres.append(values[2 * n > len(held)].tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(centres, pa.binary())], ["g", "centre"])
+            centre = values[2 * n > len(held)]
+            centres.append(centre.tobytes())
+            names.append(int(_name_of(centre).view(np.int64)[0]))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(centres, pa.binary()), pa.array(names, pa.int64())], ["g", "centre", "name"])
 
 
 def _differences(threshold: Fraction, sample: bool):
-    """``g, low, sig, w, size, grams, centre`` to ``g, low, sig, w, size, f, by, rate, n, keys``: see ``_deltas``."""
+    """``g, low, sig, w, size, grams, centre``, with ``sample`` ``groups``, to ``g, low, sig, w, size, f, rate, n, keys``: see ``_deltas``."""
     a, b = threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fs, counts, keys, bys, rates, ns = [], [0], [], [], [], []
-            for g, grams, centre in zip(batch.column(0).to_pylist(), batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True):
+            fs, counts, keys, rates, ns = [], [0], [], [], []
+            groups = batch.column(7).to_pylist() if sample else [None] * batch.num_rows
+            for grams, centre, met in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), groups, strict=True):
                 x, c = np.frombuffer(grams, dtype=np.uint64), np.frombuffer(centre or b"", dtype=np.uint64)
                 apart = np.setxor1d(x, c, assume_unique=True)
                 fs.append(b * len(apart) - a * len(x))
-                by = mix(c[:1] + c.sum(dtype=np.uint64) if len(c) else np.zeros(1, dtype=np.uint64))
                 rates.append(1.0)
                 ns.append(len(x))
                 if sample:
-                    most, named = len(x) * a / threshold.numerator, by
+                    most, name = len(x) * a / threshold.numerator, _name_of(c)
                     if len(apart) > 1.2 * most:
-                        by, rates[-1] = mix(by ^ np.array([g], dtype=np.int64).view(np.uint64)), min(SHARED_KEYS / (len(apart) - most), 1.0)
-                        apart = apart[mix(apart ^ by) <= np.uint64(rates[-1] * (2**64 - 2048))]
-                    apart = mix(apart + named)
-                bys.append(int(by.view(np.int64)[0]))
+                        rates[-1] = min(SHARED_KEYS / (len(apart) - most), 1.0)
+                        limit, drawn = np.uint64(rates[-1] * (2**64 - 2048)), np.zeros(len(apart), dtype=bool)
+                        for by in mix(name ^ np.array(met, dtype=np.int64).view(np.uint64)):
+                            drawn |= mix(apart ^ by) <= limit
+                        apart = apart[drawn]
+                    apart = mix(apart + name)
                 keys.append(np.sort(apart.view(np.int64)))
                 counts.append(counts[-1] + len(apart))
             listed = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(np.concatenate(keys)))
-            columns = [*batch.columns[:5], pa.array(fs, pa.int64()), pa.array(bys, pa.int64()), pa.array(rates), pa.array(ns, pa.int64()), listed]
-            yield pa.RecordBatch.from_arrays(columns, ["g", "low", "sig", "w", "size", "f", "by", "rate", "n", "keys"])
+            columns = [*batch.columns[:5], pa.array(fs, pa.int64()), pa.array(rates), pa.array(ns, pa.int64()), listed]
+            yield pa.RecordBatch.from_arrays(columns, ["g", "low", "sig", "w", "size", "f", "rate", "n", "keys"])
 
     return run
 
@@ -307,7 +315,7 @@ def _salted(rows: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fraction, sample: bool) -> DataFrame:
-    """``g, low, sig, w, size, f, by, rate, n, keys`` of the members (``g, size, shingles, low, only, w``) of large groups.
+    """``g, low, sig, w, size, f, rate, n, keys`` of the members (``g, size, shingles, low, only, w``) of large groups.
 
     ``sizes`` (``g, size``) has a row for each group, of ``size`` members and ``shingles`` together.
 
@@ -318,20 +326,39 @@ def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fr
 
     ``keys`` are the shingles of D(x). With ``sample`` they are keys of buckets to go on with: all of D(x) where it has at
     most 0.3 |x| shingles, else each with a probability (``rate``) of 1.2 / (|D(x)| - |x| / 4). Sets that are linked to x share all
-    of D(x) with it but |x| / 4 shingles, so 1.2 chosen ones on average at least, less where they differ in size. The key
-    has the centre in it, not the group, so that groups of one family with the same centre go on as one.
+    of D(x) with it but |x| / 4 shingles, so 1.2 chosen ones on average at least, less where they differ in size. Groups with
+    the same centre are one there, named by it, and a set stands in it once; shingles are drawn for each of its groups
+    anew, so that two sets that meet in several have as many chances.
     """
     share = F.least(F.lit(1.0), F.greatest(F.lit(8.0), F.least(F.lit(float(CENTRE_SETS)), SMALL_SHINGLES * F.col("size") / F.col("shingles"))) / F.col("size"))
     drawn = members.where(F.pmod(F.xxhash64("g", "low"), F.lit(1 << 30)) <= share * (1 << 30))
     held = drawn.join(sets, "low").where("only is null or only = sig").groupBy("g").agg(F.collect_list("grams").alias("held"))
-    centres = settled(_few(held, sizes.count(), 16).mapInArrow(_majority, "g long, centre binary"))
-    whole = _salted(members, sizes.join(centres, "g", "left").select("g", "size", "centre")).join(sets, "low").where("only is null or only = sig")
-    whole = _few(whole, members.count(), TASK_SETS).select("g", "low", "sig", "w", "size", "grams", "centre")
-    return whole.mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, size long, f long, by long, rate double, n long, keys array<long>")
+    centres = settled(_few(held, sizes.count(), 16).mapInArrow(_majority, "g long, centre binary, name long"))
+    facts, columns = sizes.join(centres, "g", "left").select("g", "size", "centre", "name"), ["g", "low", "sig", "w", "size", "grams", "centre"]
+    if sample:
+        members, facts = _families(members, facts)
+        columns.append("groups")
+    whole = _salted(members, facts.select("g", "size", "centre")).join(sets, "low").where("only is null or only = sig")
+    whole = _few(whole, members.count(), TASK_SETS).select(*columns)
+    return whole.mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, size long, f long, rate double, n long, keys array<long>")
+
+
+def _families(members: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups with the same centre, if any, as one: ``members`` once each with their ``groups``, and ``facts``, ``g`` being the centre's name.
+
+    ``size`` is that of all its groups together, the number of members at least. Where two centres have one name either will do.
+    """
+    named = settled(facts.withColumn("name", F.coalesce("name", F.lit(0))))
+    families = settled(named.groupBy("name").agg(F.sum("size").alias("total"), F.first("centre").alias("centre")))
+    if families.count() == named.count():
+        return members.withColumn("groups", F.array("g")), named
+    of = _salted(members, named.select("g", "size", "name").join(families.select("name", "total"), "name"))
+    once = of.groupBy(F.col("name").alias("g"), F.col("total").alias("size"), "low", "only", "w").agg(F.collect_set("g").alias("groups"))
+    return settled(_few(once, members.count())), families.select(F.col("name").alias("g"), F.col("total").alias("size"), "centre")
 
 
 def _extremes(deltas: DataFrame) -> DataFrame:
-    return settled(deltas.groupBy("g").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("f", "sig")).alias("least"), F.max("f").alias("most")))
+    return settled(deltas.groupBy("g").agg(F.max("size").alias("size"), F.min(F.struct("f", "sig")).alias("least"), F.max("f").alias("most")))
 
 
 def _free_counts(batches):
@@ -381,7 +408,7 @@ def _links_in_large(members: DataFrame, sizes: DataFrame, sets: DataFrame, thres
     free = deltas.groupBy("g", "f").agg(F.sum("w").alias("w")).groupBy("g").agg(F.collect_list(F.struct("f", "w")).alias("held")).mapInArrow(_free_counts, "g long, f long, free long")
     own = F.when(F.col("f") <= 0, F.col("w")).otherwise(F.lit(0))
     follows = deltas.select("g", "f", "sig", "w").join(free, ["g", "f"]).select("sig", (F.col("free") - own).alias("links"))
-    asking = _salted(deltas, ends.select("g", "size", "most")).where("f + most > 0").select("g", "low", "sig", "w", "f", "keys")
+    asking = settled(_salted(deltas, ends.select("g", "size", "most")).where("f + most > 0").select("g", "low", "sig", "w", "f", "keys"))
     rows = settled(asking.select("g", F.explode("keys").alias("token"), "sig"))
     sharing = settled(rows.groupBy("g", "token").agg(F.count(F.lit(1)).alias("n")).where("n > 1"))
     # Tokens with the same sets are looked at once, by the least of them.
@@ -487,7 +514,9 @@ def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, thr
     if labels is not None:
         held = buckets.join(labels.select(_low("node").alias("low"), "label"), "low", "left").select("path", "low", "n", F.coalesce(_low("label"), "low").alias("known"))
     same = [F.bit_xor(F.xxhash64("low", F.lit(i))).alias(f"x{i}") for i in (0, 1)]
-    shares = held.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min("known").alias("p"), F.max("known").alias("q"), *same).where("p < q")
+    shares = held.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles"), F.min("known").alias("p"), F.max("known").alias("q"), F.min("n").alias("least"), F.max("n").alias("most"), *same).where("p < q")
+    # Two sets alone whose sizes are too far apart are not linked.
+    shares = shares.where((F.col("size") > 2) | (F.col("least") * threshold.denominator >= F.col("most") * threshold.numerator))
     # Buckets with the same members are looked at once.
     mixed = shares.groupBy("size", "shingles", "x0", "x1").agg(F.min("path").alias("g"))
     most = buckets.count()
@@ -510,7 +539,7 @@ def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, thr
     # In other ones a set shares (f + least f) / 18 shingles of D at least with any that it is linked to: 1.2 keys of those do.
     shared = (F.col("f") + F.col("least.f")) / (2 * (threshold.denominator + threshold.numerator))
     share = F.least(F.lit(1.0), SHARED_KEYS / F.greatest(F.lit(SHARED_KEYS), shared) / F.col("rate"))
-    split = known.where("least.f + most > 0 and f + most > 0").groupBy("by", "low", "n").agg(F.first("keys").alias("keys"), F.max(share).alias("share"))
+    split = known.where("least.f + most > 0 and f + most > 0").withColumn("share", share)
     split = split.select(F.explode(F.filter("keys", lambda k: F.pmod(F.xxhash64(k), F.lit(1 << 30)) <= F.col("share") * (1 << 30))).alias("path"), "low", "n")
     split = settled(split.join(split.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path"), "path").distinct())
     return edges, split

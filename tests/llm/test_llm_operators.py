@@ -871,6 +871,24 @@ def test_components(spark, monkeypatch, local):
     assert jaccard_join.components(rows.limit(0)).count() == 0
 
 
+def test_large_groups_with_one_centre_are_compared_once(spark):
+    """Groups 1 and 2 hold near copies of one text, group 3 those of another: each set stands in its family once, with all its keys."""
+    r = np.random.default_rng(3)
+    base = [np.sort(r.integers(0, 2**63, 100, dtype=np.uint64)) for _ in range(2)]
+    held = [np.sort(np.r_[np.delete(base[i >= 45], [i % 45, 99 - i % 45]), r.integers(0, 2**63, 2, dtype=np.uint64)]) for i in range(90)]
+    sets = spark.createDataFrame([(i, bytes([i]), bytearray(x.tobytes())) for i, x in enumerate(held)], "low long, sig binary, grams binary")
+    groups = {1: range(0, 40), 2: range(5, 45), 3: range(45, 90)}
+    size = {g: len(m) for g, m in groups.items()}
+    members = [(g, size[g], 100 * size[g], i, None, 1) for g, m in groups.items() for i in m]
+    members = spark.createDataFrame(members, "g long, size long, shingles long, low long, only binary, w long")
+    sizes = spark.createDataFrame([(g, n, 100 * n) for g, n in size.items()], "g long, size long, shingles long")
+    found = jaccard_join._deltas(members.drop("shingles", "size").join(sizes, "g"), sizes.drop("shingles"), sets, jaccard_join.Fraction(4, 5), True).collect()
+    assert sorted(x.low for x in found) == list(range(90))
+    assert len({x.g for x in found if x.low < 45}) == 1 and len({x.g for x in found}) == 2
+    for x in found:
+        assert x.f == 9 * 4 - 100 and len(x.keys) == 4 and x.n == 100
+
+
 def test_jaccard_join_loses_no_link_on_the_given_documents(spark):
     """sf0.1: ids divisible by 50 against all rows, by shared shingles; classes hold every pair, numbers of links are exact."""
     folder = "/root/testdata/sf0.1"
