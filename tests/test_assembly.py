@@ -58,3 +58,16 @@ def test_only_touched_lines_are_read(spark, tmp_path, lines, cache):
     plan = assembly.add(spark.createDataFrame([(key, "x")], "k string, en string"), "a")._jdf.queryExecution().executedPlan().toString()
     bucket = spark.range(1).select(F.pmod(F.xxhash64(F.lit(43).cast("long")), F.lit(64))).first()[0]
     assert "(bucket#" in plan and f" = {bucket})" in plan or f"IN ({bucket})" in plan
+
+
+def test_texts_are_stored_once(spark, tmp_path, lines, cache):
+    """Lines with a key are laid out without their text, and no key stands twice in what is translated, whatever steps bring again."""
+    assembly = Assembly(spark, str(tmp_path))
+    assembly.begin(lines)
+    stored = spark.read.parquet(f"{tmp_path}/lines")
+    assert stored.where("k is not null and line is not null").count() == 0 and "norm" not in stored.columns
+    assert stored.where("k is null").count() == lines.where("k is null and line is not null").count() > 0
+    for step in ("a", "b", "a", "c"):
+        assembly.add(cache.union(cache), step)
+        kept = spark.read.parquet(f"{tmp_path}/cache")
+        assert sorted(r.k for r in kept.collect()) == sorted(r.k for r in cache.collect())
