@@ -42,7 +42,7 @@ def strip(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """S-5: each run of white space, no-break spaces among it, becomes one space; none at the ends."""
-    return F.regexp_replace(F.regexp_replace(c, rf"(?U){WS}+", " "), "^ | $", "")
+    return F.trim(F.regexp_replace(c, rf"(?U){WS}+", " "))
 
 
 def clean(c: Column) -> Column:

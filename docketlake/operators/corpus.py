@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketlake.functions.text import CYRILLIC, collapse, key_of, passthrough_norm
+from docketlake.functions.text import CYRILLIC, collapse, key_of
 from docketlake.session import settled, settled_in_place, ship
 
 #: Characters of a batch at most, and what separates its paragraphs.
@@ -22,10 +22,12 @@ SENTENCE_END = r"(?<=[.!?])\s+"
 def lines_of(docs: DataFrame, doc: str = "doc_id", text: str = "text", pattern: str = CYRILLIC) -> DataFrame:
     """S-5, S-7, S-10, A-1, PF-14: ``doc, pos, line, norm, k``; norm and key are null where a line passes through.
 
-    Lines are what stands between ``\\n``; a null text has none.
+    Lines are what stands between ``\\n``; a null text has none. They are normalised before they become rows: what filters
+    rows by their keys would else, pushed down, normalise each line again.
     """
-    rows = docs.select(doc, F.posexplode(F.split(F.col(text), "\n")).alias("pos", "line"))
-    rows = rows.withColumn("norm", passthrough_norm(F.col("line"), pattern))
+    lines = F.transform(F.split(F.col(text), "\n"), lambda x: F.struct(x.alias("line"), collapse(x).alias("norm")))
+    lines = F.transform(lines, lambda x: F.struct(x["line"].alias("line"), F.when(x["norm"].rlike(pattern), x["norm"]).alias("norm")))
+    rows = docs.select(doc, F.posexplode(lines).alias("pos", "_l")).select(doc, "pos", "_l.line", "_l.norm")
     return rows.withColumn("k", key_of(F.col("norm")))
 
 

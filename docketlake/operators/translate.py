@@ -90,11 +90,11 @@ def translate_values(values: DataFrame, translator: Translator, column: str = "v
 def translate_pending(paragraphs: DataFrame, cache: DataFrame, translator: Translator, order: list[str], limit: int = MAX_CHARS) -> DataFrame:
     """O-2, O-3, O-4, O-5: ``k, ru, en`` of the paragraphs ``k, norm`` that the cache lacks and that could be translated.
 
-    Packed into batches over all partitions, by their lengths alone; each batch is one call, to which its texts are
+    What is missing is found once. Packed into batches over all partitions, by their lengths alone; each batch is one call, to which its texts are
     joined by key. The result is computed once, so that no plan asks the translator again.
     """
     ship(paragraphs.sparkSession)
-    missing = paragraphs.join(cache.select("k"), "k", "left_anti")
+    missing = settled(paragraphs.join(cache.select("k"), "k", "left_anti").select(*dict.fromkeys(["k", "norm", *order])))
     sizes = missing.select("k", *[c for c in order if c != "k"], F.length("norm").cast("long").alias("_length"), _alone("norm", limit).alias("_alone"))
     packed = packed_sizes(sizes, order, limit).select("k", "batch_id", "batch_pos")
     whole = packed.join(missing.select("k", "norm"), "k")

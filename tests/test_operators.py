@@ -176,6 +176,25 @@ def test_second_run_translates_nothing(spark):
     assert translate.without_untranslated(first).count() == 0
 
 
+def test_what_is_missing_is_found_once(spark):
+    """The paragraphs that a translation is asked for are computed once, and lines are normalised once on the way to them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(frames):
+        for frame in frames:
+            seen.add(len(frame))
+            yield frame
+
+    rows = spark.createDataFrame([(f"k{i}", f"text {i}", i) for i in range(20)], "k string, norm string, pos long").mapInPandas(counted, "k string, norm string, pos long")
+    assert translate.translate_pending(rows, spark.createDataFrame([], "k string, en string"), str.upper, ["pos"]).count() == 20
+    assert seen.value == 20
+    docs = spark.createDataFrame([(1, "a \u00a0 b\n\n \n12\n\tc\x1f"), (2, None), (3, "")], "doc_id long, text string")
+    lines = corpus.lines_of(docs, pattern="[A-Za-z]")
+    assert [(r.doc_id, r.pos, r.line, r.norm) for r in lines.orderBy("doc_id", "pos").collect()] == [(1, 0, "a \u00a0 b", "a b"), (1, 1, "", None), (1, 2, " ", None), (1, 3, "12", None), (1, 4, "\tc\x1f", "c"), (3, 0, "", None)]
+    plan = corpus.unique_paragraphs(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 1
+
+
 RESULTS_PAGE = """<html><head><title>Тестовский районный суд</title></head><body><p>Всего по запросу найдено — 57. На странице записи с 1 по 25.</p>
 <table id="tablcont"><tr><th>№ дела</th><th>Дата поступления</th><th>Судья</th><th>Дата решения</th><th>Решение</th><th>Дата вступления в законную силу</th><th>Судебные акты</th></tr>
 <tr><td><a href="/modules.php?name_op=case&amp;case_id=7">2-7/2025</a><td>01.02.2025<td>Тестов Т. Т.<td>03.03.2025<td>Иск УДОВЛЕТВОРЕН<td>04.04.2025<td><a href="doc?n=7">акт</a>
