@@ -31,6 +31,8 @@ SMALL_SHINGLES = 1 << 21
 CENTRE_SETS, SALT_SETS = 64, 2048
 #: Sets that share a token outside their component's centre are compared at once up to so many, else in blocks of that size.
 BLOCK = 1024
+#: Steps of a key's hash that rates are held against.
+LEVELS = 1 << 30
 #: Edges between sets that one task takes at once: 103 MB of Python objects where no two share a set.
 LOCAL_EDGES = 1 << 18
 #: Sets that a task which reads their shingles has about, where few are left.
@@ -274,14 +276,14 @@ def _majority(batches):
 
 
 def _differences(threshold: Fraction, sample: bool):
-    """``g, low, sig, w, size, grams, centre``, with ``sample`` ``groups``, to ``g, low, sig, w, size, f, rate, n, keys``: see ``_deltas``."""
+    """``g, low, sig, w, size, grams, centre``, with ``sample`` ``groups``, to ``g, low, sig, w, size, f, rate, n, keys``, with ``sample`` ``levels``: see ``_deltas``."""
     a, b = threshold.denominator - threshold.numerator, threshold.denominator + threshold.numerator
 
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            fs, counts, keys, rates, ns = [], [0], [], [], []
+            fs, counts, keys, rates, ns, levels = [], [0], [], [], [], []
             groups = batch.column(7).to_pylist() if sample else [None] * batch.num_rows
             for grams, centre, met in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), groups, strict=True):
                 x, c = np.frombuffer(grams, dtype=np.uint64), np.frombuffer(centre or b"", dtype=np.uint64)
@@ -290,19 +292,21 @@ def _differences(threshold: Fraction, sample: bool):
                 rates.append(1.0)
                 ns.append(len(x))
                 if sample:
-                    most, name = len(x) * a / threshold.numerator, _name_of(c)
+                    beyond = (len(apart) + len(c) - len(x)) // 2
+                    most, name = (len(x) + min(beyond, len(x) * a / threshold.numerator)) * a / threshold.denominator, _name_of(c)
+                    level = np.full(len(apart), LEVELS, dtype=np.int32)
+                    for by in mix(name ^ np.array(met, dtype=np.int64).view(np.uint64)):
+                        level = np.minimum(level, (mix(apart ^ by) >> np.uint64(64 - LEVELS.bit_length() + 1)).astype(np.int32))
                     if len(apart) > 1.2 * most:
                         rates[-1] = min(SHARED_KEYS / (len(apart) - most), 1.0)
-                        limit, drawn = np.uint64(rates[-1] * (2**64 - 2048)), np.zeros(len(apart), dtype=bool)
-                        for by in mix(name ^ np.array(met, dtype=np.int64).view(np.uint64)):
-                            drawn |= mix(apart ^ by) <= limit
-                        apart = apart[drawn]
+                        apart, level = apart[level < rates[-1] * LEVELS], level[level < rates[-1] * LEVELS]
                     apart = mix(apart + name)
+                    levels.append(level[np.argsort(apart.view(np.int64))])
                 keys.append(np.sort(apart.view(np.int64)))
                 counts.append(counts[-1] + len(apart))
-            listed = pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(np.concatenate(keys)))
-            columns = [*batch.columns[:5], pa.array(fs, pa.int64()), pa.array(rates), pa.array(ns, pa.int64()), listed]
-            yield pa.RecordBatch.from_arrays(columns, ["g", "low", "sig", "w", "size", "f", "rate", "n", "keys"])
+            lists = [pa.ListArray.from_arrays(pa.array(counts, pa.int32()), pa.array(np.concatenate(part))) for part in ([keys, levels] if sample else [keys])]
+            columns = [*batch.columns[:5], pa.array(fs, pa.int64()), pa.array(rates), pa.array(ns, pa.int64()), *lists]
+            yield pa.RecordBatch.from_arrays(columns, ["g", "low", "sig", "w", "size", "f", "rate", "n", "keys", *["levels"] * sample])
 
     return run
 
@@ -315,7 +319,7 @@ def _salted(rows: DataFrame, facts: DataFrame) -> DataFrame:
 
 
 def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fraction, sample: bool) -> DataFrame:
-    """``g, low, sig, w, size, f, rate, n, keys`` of the members (``g, size, shingles, low, only, w``) of large groups.
+    """``g, low, sig, w, size, f, rate, n, keys``, with ``sample`` ``levels``, of the members (``g, size, shingles, low, only, w``) of large groups.
 
     ``sizes`` (``g, size``) has a row for each group, of ``size`` members and ``shingles`` together.
 
@@ -325,10 +329,13 @@ def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fr
     rest, and others only if they share a shingle of D. This holds for any centre, so a sample may choose it.
 
     ``keys`` are the shingles of D(x). With ``sample`` they are keys of buckets to go on with: all of D(x) where it has at
-    most 0.3 |x| shingles, else each with a probability (``rate``) of 1.2 / (|D(x)| - |x| / 4). Sets that are linked to x share all
-    of D(x) with it but |x| / 4 shingles, so 1.2 chosen ones on average at least, less where they differ in size. Groups with
+    most 1.2 m shingles, else each with a probability (``rate``) of 1.2 / (|D(x)| - m). Sets that are linked to x share all
+    of D(x) with it but m = (|x| + min(p, |x| / 4)) / 5 shingles, p being those of the centre that x lacks: x has |x| / 5 that the
+    other lacks, less 4/5 of those that only the other has. So they share 1.2 chosen ones on average at least. Groups with
     the same centre are one there, named by it, and a set stands in it once; shingles are drawn for each of its groups
-    anew, so that two sets that meet in several have as many chances.
+    anew, so that two sets that meet in several have as many chances. A shingle is drawn at a rate if its hash in one of the
+    groups is below it; ``levels`` are those hashes, from 0 to LEVELS. Of two sets the one with the lower rate thus draws
+    what the other draws too, and whoever knows more of a group may lower rates further by them.
     """
     share = F.least(F.lit(1.0), F.greatest(F.lit(8.0), F.least(F.lit(float(CENTRE_SETS)), SMALL_SHINGLES * F.col("size") / F.col("shingles"))) / F.col("size"))
     drawn = members.where(F.pmod(F.xxhash64("g", "low"), F.lit(1 << 30)) <= share * (1 << 30))
@@ -340,7 +347,8 @@ def _deltas(members: DataFrame, sizes: DataFrame, sets: DataFrame, threshold: Fr
         columns.append("groups")
     whole = _salted(members, facts.select("g", "size", "centre")).join(sets, "low").where("only is null or only = sig")
     whole = _few(whole, members.count(), TASK_SETS).select(*columns)
-    return whole.mapInArrow(_differences(threshold, sample), "g long, low long, sig binary, w long, size long, f long, rate double, n long, keys array<long>")
+    out = "g long, low long, sig binary, w long, size long, f long, rate double, n long, keys array<long>" + ", levels array<int>" * sample
+    return whole.mapInArrow(_differences(threshold, sample), out)
 
 
 def _families(members: DataFrame, facts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -536,11 +544,14 @@ def _edges_of(buckets: DataFrame, labels: DataFrame | None, sets: DataFrame, thr
     if not further:
         return edges, None
     # A bucket all of whose sets are linked to the least is done.
-    # In other ones a set shares (f + least f) / 18 shingles of D at least with any that it is linked to: 1.2 keys of those do.
-    shared = (F.col("f") + F.col("least.f")) / (2 * (threshold.denominator + threshold.numerator))
-    share = F.least(F.lit(1.0), SHARED_KEYS / F.greatest(F.lit(SHARED_KEYS), shared) / F.col("rate"))
+    # In other ones a set shares (f + other f) / 18 shingles of D at least with any that it is linked to: 1.2 keys of those do.
+    # Sets that are linked to the least are together by it. They only look for the others, whose f is over -least f.
+    other = F.when(F.col("f") + F.col("least.f") <= 0, 1 - F.col("least.f")).otherwise(F.col("least.f"))
+    shared = (F.col("f") + other) / (2 * (threshold.denominator + threshold.numerator))
+    share = F.least("rate", SHARED_KEYS / F.greatest(F.lit(SHARED_KEYS), shared))
     split = known.where("least.f + most > 0 and f + most > 0").withColumn("share", share)
-    split = split.select(F.explode(F.filter("keys", lambda k: F.pmod(F.xxhash64(k), F.lit(1 << 30)) <= F.col("share") * (1 << 30))).alias("path"), "low", "n")
+    drawn = F.filter(F.arrays_zip("keys", "levels"), lambda k: k["levels"] < F.col("share") * LEVELS)
+    split = settled(split.select(F.explode(drawn["keys"]).alias("path"), "low", "n"))
     split = settled(split.join(split.groupBy("path").agg(F.min("low").alias("p"), F.max("low").alias("q")).where("p < q").select("path"), "path").distinct())
     return edges, split
 

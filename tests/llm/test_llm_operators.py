@@ -889,6 +889,27 @@ def test_large_groups_with_one_centre_are_compared_once(spark):
         assert x.f == 9 * 4 - 100 and len(x.keys) == 4 and x.n == 100
 
 
+def test_large_buckets_split_by_few_keys_that_linked_sets_both_draw(spark):
+    """One bucket: its centre, 60 sets linked to that, which only look for others, and 100 linked pairs far from it."""
+    r = np.random.default_rng(11)
+    fresh = lambda n: r.integers(0, 2**63, n, dtype=np.uint64)
+    base, pool = np.sort(fresh(150)), fresh(20)
+    held = [base, *[np.r_[np.delete(base, r.permutation(20)[:9]), pool[r.permutation(20)[:9]]] for _ in range(60)]]
+    for _ in range(100):
+        gone, new = r.permutation(150), fresh(31)
+        held += [np.r_[np.delete(base, gone[:30]), new[:30]], np.r_[np.delete(base, gone[1:21]), new[1:20], new[30:]]]
+    sets = [(i, i.to_bytes(16, "big"), bytearray(np.sort(x).tobytes())) for i, x in enumerate(held)]
+    sets = spark.createDataFrame([(i, bytearray(s), x) for i, s, x in sets], "low long, sig binary, grams binary")
+    buckets = spark.createDataFrame([(7, i, 150) for i in range(len(held))], "path long, low long, n long")
+    edges, split = jaccard_join._edges_of(buckets, None, sets, jaccard_join.Fraction(4, 5))
+    assert {bytes(e.b)[-1] for e in edges.collect()} == set(range(1, 61))
+    paths = defaultdict(set)
+    for row in split.collect():
+        paths[row.low].add(row.path)
+    assert sum(len(paths[i]) for i in range(1, 61)) < 60 * 18 / 2
+    assert sum(bool(paths[i] & paths[i + 1]) for i in range(61, 261, 2)) >= 70
+
+
 def test_jaccard_join_loses_no_link_on_the_given_documents(spark):
     """sf0.1: ids divisible by 50 against all rows, by shared shingles; classes hold every pair, numbers of links are exact."""
     folder = "/root/testdata/sf0.1"
