@@ -10,17 +10,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketlake.llm.common import Words, build_sieve, settled, ship, string_buffers, table, text_chunks, words_of
+from docketlake.llm.common import Words, build_sieve, mix, settled, ship, string_buffers, table, text_chunks, words_of
 
 WINDOW_WORDS = 13
 #: A window's anchor is the least hash among its runs of so many words.
 ANCHOR_WORDS = 5
 #: Bits of the sieve of anchors, at least and at most; with a fixed number of them more and more segments would pass for nothing as tables grow.
 ANCHOR_SIEVE_BITS = (1 << 25, 1 << 28)
+ANCHOR_PROBES = 3
 ROW_SIEVE_BITS = 1 << 24
 #: Words of a segment that count as one, so that an anchor's number bounds the text that its segments have together.
 SEGMENT_WORDS = 64
-#: From so many segments of that length on, an anchor's segments are dealt out over so many salts.
+#: From so many segments of that length on an anchor's windows are dealt out by phrase, and from so many windows on a phrase's over so many salts.
 SALTS = ((4096, 16), (65_536, 256), (1_048_576, 4096))
 SALT_SIEVE_BITS = 1 << 20
 #: Segments that one automaton is compiled for and streamed over.
@@ -31,9 +32,9 @@ SEGMENT = "anchor long, salt int, kind int, dkey long, text_hash long, start int
 
 
 def anchor_bits(recurring: int) -> int:
-    """Bits of the sieve of so many anchors: four to eight for each, within the bounds."""
+    """Bits of the sieve of so many anchors: eight to sixteen for each, within the bounds."""
     least, most = ANCHOR_SIEVE_BITS
-    return min(max(1 << (4 * recurring).bit_length(), least), most)
+    return min(max(1 << (8 * recurring).bit_length(), least), most)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -45,9 +46,9 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def anchors_of(words: Words, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def anchors_of(words: Words, window: int, hashes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each run of windows of one text with the same anchor: the anchor, its first and its last window's first word."""
-    grams = words.gram_hashes(ANCHOR_WORDS)
+    grams = words.gram_hashes(ANCHOR_WORDS, hashes)
     least = sliding_min(grams, window - ANCHOR_WORDS + 1) if len(grams) >= window - ANCHOR_WORDS + 1 else grams[:0]
     n = np.maximum(words.counts - window + 1, 0)
     at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(words.first[:-1], n)
@@ -88,30 +89,72 @@ def _emit_anchors(window: int):
     return run
 
 
-def _emit_segments(window: int, sieve, tiers, salted_only: bool = False):
-    counts = tuple(count for _, count in SALTS)
+def _phrase_keys(hashes: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """A hash of the windows that begin at the given words."""
+    out = np.zeros(len(at), dtype=np.uint64)
+    for i in range(window):
+        out = out * np.uint64(0xD6E8FEB86659FD93) + hashes[at + i]
+    return mix(out)
+
+
+def _salts_of(keys: np.ndarray, tiers) -> np.ndarray:
+    salts = np.ones(len(keys), dtype=np.int64)
+    for (_, count), tier in zip(SALTS, tiers, strict=True):
+        salts[tier.value.maybe(keys)] = count
+    return salts
+
+
+def _segments(rows: pa.RecordBatch, words: Words, key: np.ndarray, head: np.ndarray, tail: np.ndarray, salt: np.ndarray, window: int) -> pa.RecordBatch:
+    text = np.searchsorted(words.first, head, side="right") - 1
+    dkey, text_hash = np.asarray(rows.column(2))[text], np.asarray(rows.column(3))[text]
+    salt = np.where(salt > 0, ((text_hash ^ (text_hash >> 29)) & 0x7FFFFFFF) % np.maximum(salt, 1), -1)
+    flat, begin = normalised(words)
+    raw = flat.tobytes()
+    segments = [raw[a : b - 1] for a, b in zip(begin[head].tolist(), begin[tail + window].tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(np.ones(len(salt), dtype=np.int32)), pa.array(dkey), pa.array(text_hash), pa.array((head - words.first[text]).astype(np.int32)), pa.array(segments, pa.binary())],
+        ["anchor", "salt", "kind", "dkey", "text_hash", "start", "segment"],
+    )
+
+
+def _emit_hot(window: int, hot):
+    """The segments of the hot anchors."""
 
     def run(batches):
         for rows, data, offsets in text_chunks(batches):
             words = words_of(data, offsets)
             anchor, head, tail = anchors_of(words, window)
-            hit = tiers[0].value.maybe(anchor) if salted_only else sieve.value.maybe(anchor)
+            hit = hot.value.maybe(anchor)
+            if hit.any():
+                yield _segments(rows, words, anchor[hit], head[hit], tail[hit], np.zeros(hit.sum(), dtype=np.int64), window)
+
+    return run
+
+
+def _emit_segments(window: int, sieve, hot, known, tiers):
+    """Segments of recurring anchors. Of hot ones the windows that are known phrases, by the hash of the phrase; a run of equal windows is one segment."""
+
+    def run(batches):
+        for rows, data, offsets in text_chunks(batches):
+            words = words_of(data, offsets)
+            hashes = words.hashes()
+            anchor, head, tail = anchors_of(words, window, hashes)
+            hit = sieve.value.maybe(anchor)
             anchor, head, tail = anchor[hit], head[hit], tail[hit]
-            if not len(anchor):
-                continue
-            text = np.searchsorted(words.first, head, side="right") - 1
-            dkey, text_hash = np.asarray(rows.column(2))[text], np.asarray(rows.column(3))[text]
-            salts = np.ones(len(anchor), dtype=np.int64)
-            for count, tier in zip(counts, tiers, strict=True):
-                salts[tier.value.maybe(anchor)] = count
-            salt = np.where(salts > 1, ((text_hash ^ (text_hash >> 29)) & 0x7FFFFFFF) % salts, -1)
-            flat, begin = normalised(words)
-            raw = flat.tobytes()
-            segments = [raw[a : b - 1] for a, b in zip(begin[head].tolist(), begin[tail + window].tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(anchor.view(np.int64)), pa.array(salt.astype(np.int32)), pa.array(np.ones(len(salt), dtype=np.int32)), pa.array(dkey), pa.array(text_hash), pa.array((head - words.first[text]).astype(np.int32)), pa.array(segments, pa.binary())],
-                ["anchor", "salt", "kind", "dkey", "text_hash", "start", "segment"],
-            )
+            by_phrase = hot.value.maybe(anchor)
+            salt = np.zeros(len(anchor), dtype=np.int64)
+            if by_phrase.any():
+                n = (tail - head + 1)[by_phrase]
+                at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(head[by_phrase], n)
+                key = _phrase_keys(hashes, at, window)
+                wanted = known.value.maybe(key)
+                at, key, run_of = at[wanted], key[wanted], np.repeat(np.arange(len(n)), n)[wanted]
+                heads = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1] + 1) | (run_of[1:] != run_of[:-1])]) if len(at) else at
+                tails = np.r_[heads[1:], len(at)][: len(heads)] - 1
+                anchor, head, tail = np.r_[anchor[~by_phrase], key[heads]], np.r_[head[~by_phrase], at[heads]], np.r_[tail[~by_phrase], at[tails]]
+                salt = np.r_[salt[~by_phrase], _salts_of(key[heads], tiers)]
+            if len(anchor):
+                yield _segments(rows, words, anchor, head, tail, salt, window)
 
     return run
 
@@ -127,28 +170,45 @@ def _cuts(segment: bytes) -> list[int]:
 
 
 def _note_windows(segment: bytes, dkey: int, window: int, seen: dict[bytes, list[int]]) -> None:
+    """Notes the least and the greatest document of each window, and how often it was seen."""
     cuts = _cuts(segment)
     for i in range(len(cuts) - window):
         phrase = segment[cuts[i] : cuts[i + window] - 1]
         held = seen.get(phrase)
         if held is None:
-            seen[phrase] = [dkey, dkey]
-        elif dkey < held[0]:
+            seen[phrase] = [dkey, dkey, 1]
+            continue
+        held[2] += 1
+        if dkey < held[0]:
             held[0] = dkey
         elif dkey > held[1]:
             held[1] = dkey
 
 
 def _spread_phrases(window: int):
-    """The windows of each batch's segments with the least and the greatest document that has them."""
+    """The windows of each batch's segments with the least and the greatest document that has them, and their number."""
+
+    def run(batches):
+        for batch in batches:
+            seen: dict[bytes, list[int]] = {}
+            for dkey, segment in zip(batch.column(3).to_pylist(), batch.column(6).to_pylist(), strict=True):
+                _note_windows(segment, dkey, window, seen)
+            rows = [(phrase, *held) for phrase, held in seen.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ((),) * 4, (pa.binary(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["phrase", "low", "high", "n"])
+
+    return run
+
+
+def _keyed(window: int):
+    """Phrases with their hash, the one that windows of texts are dealt out by."""
 
     def run(batches):
         for batch in batches:
-            seen: dict[int, dict[bytes, list[int]]] = {}
-            for anchor, dkey, segment in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(6).to_pylist(), strict=True):
-                _note_windows(segment, dkey, window, seen.setdefault(anchor, {}))
-            rows = [(a, p, low, high) for a, phrases in seen.items() for p, (low, high) in phrases.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ((),) * 4, (pa.int64(), pa.binary(), pa.int64(), pa.int64()), strict=True)], ["anchor", "phrase", "low", "high"])
+            if not batch.num_rows:
+                continue
+            words = words_of(*string_buffers(batch.column(0)))
+            key = _phrase_keys(words.hashes(), words.first[:-1], window)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *batch.columns], ["key", "phrase", "low", "n"])
 
     return run
 
@@ -164,18 +224,17 @@ def _codes(words: Words) -> list[int]:
 def _locate(window: int):
     """Compiles automata of confirmed phrases and streams the segments of the same anchors through them.
 
-    Rows come sorted by anchor and salt, phrases before segments. Segments of salted anchors rely on the phrases that
-    come with them. Elsewhere all segments of an anchor meet here: windows whose hash is that of two documents are
-    candidates, the text of the first document's becomes a phrase, and a segment counts only where the automaton finds
-    the phrase in it.
+    Rows come sorted by anchor and salt, phrases before segments. Segments with a salt, which have a phrase's hash in place
+    of their anchor, rely on the phrases that come with them. Elsewhere all segments of an anchor meet here: windows whose
+    hash is that of two documents are candidates, the text of the first document's becomes a phrase, and a segment counts
+    only where the automaton finds the phrase in it.
     """
 
     def shard(table: pa.Table):
         """All rows of some anchors: confirm, compile, search."""
         salt, kind, dkey, text_hash, start = (np.asarray(table.column(c).combine_chunks()) for c in ("salt", "kind", "dkey", "text_hash", "start"))
         words = words_of(*string_buffers(table.column("segment")))
-        code, first_word = _codes(words), words.first.tolist()
-        phrases = {tuple(code[first_word[i] : first_word[i + 1]]): int(dkey[i]) for i in np.flatnonzero(kind == 0).tolist()}
+        sources = (np.zeros(0, dtype=np.int64),) * 3
         n = np.where((kind == 1) & (salt < 0), np.maximum(words.counts - window + 1, 0), 0)
         row = np.repeat(np.arange(len(n)), n)
         at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(words.first[:-1], n)
@@ -192,8 +251,15 @@ def _locate(window: int):
             group = np.searchsorted(heads, first_of, side="right") - 1
             group, one = np.unique(group, return_index=True)
             known = (low < high)[group]
-            for i, first in zip(at[first_of[one[known]]].tolist(), low[group[known]].tolist(), strict=True):
-                phrases[tuple(code[i : i + window])] = first
+            one = first_of[one[known]]
+            sources = row[one], at[one] - words.first[row[one]], low[group[known]]
+        used = search | (kind == 0)
+        used[sources[0]] = True
+        words = words.only(used)
+        code, first_word = _codes(words), words.first.tolist()
+        phrases = {tuple(code[first_word[i] : first_word[i + 1]]): int(dkey[i]) for i in np.flatnonzero(kind == 0).tolist()}
+        for i, first in zip((words.first[sources[0]] + sources[1]).tolist(), sources[2].tolist(), strict=True):
+            phrases[tuple(code[i : i + window])] = first
         out: list[tuple] = []
         if phrases:
             automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
@@ -255,27 +321,24 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = plain.mapInArrow(_emit_anchors(window), "anchor long, dkey long, size long").groupBy("anchor").agg(F.min("dkey").alias("low"), F.max("dkey").alias("high"), F.sum("size").alias("n"))
     recurring = settled(counted.where("low < high").select("anchor", "n"))
-    sieve = context.broadcast(build_sieve(recurring, "anchor", anchor_bits(recurring.count())))
-    tiers = [context.broadcast(build_sieve(recurring.where(F.col("n") >= least), "anchor", SALT_SIEVE_BITS)) for least, _ in SALTS]
-    segments = plain.mapInArrow(_emit_segments(window, sieve, tiers), SEGMENT)
-    # Made again for the few salted anchors: that costs less than to keep all segments.
-    emit, note = _emit_segments(window, sieve, tiers, True), _spread_phrases(window)
-    spread = plain.mapInArrow(lambda batches: note(emit(batches)), "anchor long, phrase binary, low long, high long")
-    spread = spread.groupBy("anchor", "phrase").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high")
-
-    counts = tuple(count for _, count in SALTS)
+    sieve = context.broadcast(build_sieve(recurring, "anchor", anchor_bits(recurring.count()), ANCHOR_PROBES))
+    hot = context.broadcast(build_sieve(recurring.where(F.col("n") >= SALTS[0][0]), "anchor", SALT_SIEVE_BITS))
+    # Made again for the few hot anchors: that costs less than to keep all segments.
+    emit, note = _emit_hot(window, hot), _spread_phrases(window)
+    spread = plain.mapInArrow(lambda batches: note(emit(batches)), "phrase binary, low long, high long, n long")
+    spread = spread.groupBy("phrase").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n")).where("low < high")
+    phrases = settled(spread.select("phrase", "low", "n").mapInArrow(_keyed(window), "key long, phrase binary, low long, n long"))
+    known = context.broadcast(build_sieve(phrases, "key", anchor_bits(phrases.count()), ANCHOR_PROBES))
+    tiers = [context.broadcast(build_sieve(phrases.where(F.col("n") >= least), "key", SALT_SIEVE_BITS)) for least, _ in SALTS]
+    segments = plain.mapInArrow(_emit_segments(window, sieve, hot, known, tiers), SEGMENT)
 
     def salted(batches):
         for batch in batches:
-            anchor = np.asarray(batch.column(0)).astype(np.int64)
-            salts = np.ones(len(anchor), dtype=np.int64)
-            for count, tier in zip(counts, tiers, strict=True):
-                salts[tier.value.maybe(anchor)] = count
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(salts)], ["anchor", "phrase", "low", "salts"])
-
-    known = spread.select("anchor", "phrase", "low").mapInArrow(salted, "anchor long, phrase binary, low long, salts long")
-    known = known.select("anchor", F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("low").alias("dkey"), F.lit(0).cast("long").alias("text_hash"), F.lit(0).alias("start"), F.col("phrase").alias("segment"))
-    dealt = known.union(segments).repartition(2 * parts, "anchor", "salt").sortWithinPartitions("anchor", "salt", "kind")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_salts_of(np.asarray(batch.column(0)).astype(np.int64), tiers))], ["key", "phrase", "low", "salts"])
+
+    copies = phrases.select("key", "phrase", "low").mapInArrow(salted, "key long, phrase binary, low long, salts long")
+    copies = copies.select(F.col("key").alias("anchor"), F.explode(F.sequence(F.lit(0), F.col("salts").cast("int") - 1)).alias("salt"), F.lit(0).alias("kind"), F.col("low").alias("dkey"), F.lit(0).cast("long").alias("text_hash"), F.lit(0).alias("start"), F.col("phrase").alias("segment"))
+    dealt = copies.union(segments).repartition(2 * parts, "anchor", "salt").sortWithinPartitions("anchor", "salt", "kind")
     return dealt.mapInArrow(_locate(window), "dkey long, text_hash long, low int, high int")
 
 
@@ -318,8 +381,9 @@ def without_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
 
     A window's anchor, the least hash of its five-word runs, brings equal windows together. Anchors of one document
     only are out. Segments of the others meet by anchor; windows of two documents are compiled into automata, through
-    which the segments of all documents are streamed, so that every removal rests on equal text. Anchors of very many documents
-    are dealt out by salt: their phrases are confirmed by a pre-aggregated minimum and sent to each salt.
+    which the segments of all documents are streamed, so that every removal rests on equal text. Windows with anchors of very many
+    documents are dealt out by their own hash: the phrases are confirmed by a pre-aggregated minimum and go where their windows go,
+    those of very many windows to each of a number of salts, which grows with these.
     """
     plain = _plain(docs)
     found = settled(repeated_ranges(docs, window))

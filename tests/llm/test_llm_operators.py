@@ -698,6 +698,39 @@ def test_long_repetitive_texts_are_salted(spark, monkeypatch):
     assert tuples(got, "doc_id", "n_words", "n_removed", "kept_sha256") == brute_repeats(rows)
 
 
+def test_phrases_of_hot_anchors_are_dealt_in_proportion(spark, monkeypatch):
+    """Four times as many phrases around five common words make four times the rows, not sixteen times; results stay right."""
+    monkeypatch.setattr(substring_dedup, "SALTS", ((40, 4), (80, 16), (160, 64)))
+    tried = [" ".join(f"c{i}x{j}" for j in range(5)) for i in range(20_000)]
+    words = substring_dedup.words_of(*common.string_buffers(pa.array(tried)))
+    middle = tried[int(np.argmin(words.gram_hashes(5)[words.first[:-1]]))]
+
+    def dealt_only(window):
+        def run(batches):
+            for batch in batches:
+                kind = batch.column(2)
+                yield pa.RecordBatch.from_arrays([kind.cast(pa.int64()), kind.cast(pa.int64()), kind, kind], ["dkey", "text_hash", "low", "high"])
+
+        return run
+
+    found = []
+    for pairs in (40, 160):
+        rows = [(i, " ".join([f"{i % pairs}a{j}" for j in range(8)] + [middle] + [f"{i % pairs}b{j}" for j in range(8)])) for i in range(2 * pairs)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        assert tuples(substring_dedup.without_repeats(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == brute_repeats(rows)
+        with monkeypatch.context() as m:
+            m.setattr(substring_dedup, "_locate", dealt_only)
+            found.append(substring_dedup.repeated_ranges(docs).count())
+    assert 0 < found[1] <= 5 * found[0]
+
+
+def test_sieve_with_several_bits_loses_nothing(spark):
+    keys = np.random.default_rng(2).integers(-(1 << 63), 1 << 63, 5000, dtype=np.int64)
+    sieve = common.build_sieve(spark.createDataFrame([(int(k),) for k in keys], "k long"), "k", 1 << 16, 3)
+    others = np.random.default_rng(3).integers(-(1 << 63), 1 << 63, 5000, dtype=np.int64)
+    assert sieve.maybe(keys).all() and sieve.maybe(others).mean() < 0.05
+
+
 def test_sliding_min():
     x = np.random.default_rng(1).integers(0, 99, 40)
     for width in (1, 2, 5, 9):
